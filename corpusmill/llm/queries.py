@@ -1,11 +1,12 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from corpusmill.llm import mixing, pieces, quality, sharding, warc
+from corpusmill.llm import language, mixing, pieces, quality, sharding, warc
 
 QUERIES = {
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_shard_documents": sharding.op6_shard_documents,
     "op7_sentencepiece": pieces.op7_sentencepiece,
+    "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_warc_round_trip": warc.op10_warc_round_trip,
 }
