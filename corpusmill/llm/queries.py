@@ -1,8 +1,9 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from corpusmill.llm import language, mixing, pieces, quality, sharding, warc
+from corpusmill.llm import language, mixing, pieces, quality, sharding, toxicity, warc
 
 QUERIES = {
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_shard_documents": sharding.op6_shard_documents,
     "op7_sentencepiece": pieces.op7_sentencepiece,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_mix_sources": mixing.OP5_SQL,
     "op10_warc_round_trip": warc.OP10_SQL,
 }
