@@ -1,8 +1,9 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from corpusmill.llm import language, mixing, pieces, quality, sharding, toxicity, warc
+from corpusmill.llm import language, minhash, mixing, pieces, quality, sharding, toxicity, warc
 
 QUERIES = {
+    "op3_minhash_bayes": minhash.op3_minhash_bayes,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_shard_documents": sharding.op6_shard_documents,
@@ -13,7 +14,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_minhash_bayes": minhash.op3_minhash_bayes,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op3_minhash_bayes": minhash.OP3_SQL,
     "op5_mix_sources": mixing.OP5_SQL,
     "op10_warc_round_trip": warc.OP10_SQL,
 }
