@@ -1,8 +1,10 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from corpusmill.llm import language, minhash, mixing, pieces, quality, sharding, toxicity, warc
+from corpusmill.llm import language, lattice, minhash, mixing, pieces, quality, recurrent, sharding, toxicity, warc
 
 QUERIES = {
+    "op1_lattice_hashing": lattice.op1_lattice_hashing,
+    "op2_recurrent_lm": recurrent.op2_recurrent_lm,
     "op3_minhash_bayes": minhash.op3_minhash_bayes,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_mix_sources": mixing.op5_mix_sources,
@@ -14,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_lattice_hashing": lattice.OP1_SQL,
     "op3_minhash_bayes": minhash.op3_minhash_bayes,
     "op4_toxicity": toxicity.op4_toxicity,
     "op3_minhash_bayes": minhash.OP3_SQL,
