@@ -104,7 +104,7 @@ def academic_codes(text: Column, known=fixed.KNOWN_CODES) -> Column:
 
 
 def repair_codes(text: Column, repairs=fixed.CODE_REPAIRS) -> Column:
-    """Codes with a known correction, whole codes only, in sorted order."""
+    """Codes with a known correction, in sorted order; a code that holds another one changes with it."""
     found = academic_codes(text, known=())
     pairs = F.create_map(*[F.lit(x) for pair in repairs for x in pair])
     return F.aggregate(found, text, lambda t, c: F.coalesce(F.replace(t, c, F.element_at(pairs, c)), t))
