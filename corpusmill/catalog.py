@@ -1,4 +1,6 @@
 """The queries over the driver's tables and their SQL, gathered from ``plans``."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from corpusmill.plans import table_queries, text_queries
+
+QUERIES = {**text_queries.QUERIES, **table_queries.QUERIES}
+ORACLE_SQL = {**text_queries.ORACLE_SQL, **table_queries.ORACLE_SQL}
