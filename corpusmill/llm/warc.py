@@ -199,12 +199,11 @@ def write_archives(pages: DataFrame, directory: str) -> DataFrame:
     equal ids one of them) is a response and the others revisit it.
     """
     data = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = stage(
+    rows = (
         pages.select("page_id", "url", data.alias("payload"))
         .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
         .withColumn("payload_digest", F.sha2("payload", 256))
-        .withColumn("w_row", F.monotonically_increasing_id()),
-        "payloads",
+        .withColumn("w_row", F.monotonically_increasing_id())
     )
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "w_row")
     shared = (
@@ -212,6 +211,7 @@ def write_archives(pages: DataFrame, directory: str) -> DataFrame:
         .groupBy("payload_digest").agg(F.min(order).alias("w_first"), F.count(F.lit(1)).alias("w_n"))
         .where("w_n > 1").select("payload_digest", "w_first")
     )
+    shared = stage(shared, "shared")
     revisit = F.col("w_first").isNotNull() & (F.col("w_first.w_row") != F.col("w_row"))
     typed = rows.join(shared, "payload_digest", "left").select(
         "page_id", "url", "payload_bytes", "payload_digest", "w_row",
@@ -219,11 +219,11 @@ def write_archives(pages: DataFrame, directory: str) -> DataFrame:
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
         F.when(revisit, F.col("w_first.page_id")).alias("refers_to"),
     )
-    # staged: a repeated task writes the archives of the same rows again
     spark = pages.sparkSession
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
-    return stage(stage(typed, "records").mapInArrow(_sink(directory), "archive string, records long"), "archives")
+    # sorted: a repeated task cuts the same rows into the same archives
+    return stage(typed.sortWithinPartitions("w_row").mapInArrow(_sink(directory), "archive string, records long"), "archives")
 
 
 def read_archives(spark: SparkSession, directory: str, keep_payload: bool = True) -> DataFrame:
