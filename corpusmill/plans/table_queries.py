@@ -103,15 +103,14 @@ with r as (select l.doc_id, quality, toxic, case doc_id % 3 when 0 then 'standar
     (doc_id % 8) / 8.0 as recall, toxic = 1 as refused, n_chars % 2 = 0 as schema_ok, quality * 4 + 4.0 as g from labels l join documents using (doc_id)),
 s as (select *, schema_ok and not refused and recall >= 0.5 and g >= 6 as success,
   case category when 'standard_clinical' then not refused and recall >= 0.4 and g >= 6 when 'refusal_boundary' then refused or g >= 6 else quality = 1 end as aligned from r)
-select count(*) as cases, round(avg(success::int) * 100, 1) as success_rate, round(avg(aligned::int) * 100, 1) as aligned_rate, round(avg(schema_ok::int) * 100, 1) as schema_ok_rate,
-  round(avg(refused::int) * 100, 1) as refused_rate, round(avg(recall), 1) as average_recall, round(avg(g), 1) as mean_g from s""")
+select count(*) as cases, round_even(avg(success::int) * 100, 2) as success_rate, round_even(avg(aligned::int) * 100, 2) as aligned_rate, round_even(avg(schema_ok::int) * 100, 2) as schema_ok_rate,
+  round_even(avg(refused::int) * 100, 2) as refused_rate, round_even(avg(recall), 2) as average_recall, round_even(avg(g), 2) as mean_g from s""")
 def eval_rollup(spark, sf_dir):
     j = load(spark, sf_dir, "labels").join(load(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
     category = F.when(F.col("doc_id") % 3 == 0, "standard_clinical").when(F.col("doc_id") % 3 == 1, "refusal_boundary").otherwise("prompt_leakage")
     r = j.select(category.alias("category"), ((F.col("doc_id") % 8) / 8).alias("recall"), (F.col("toxic") == 1).alias("refused"), (F.col("n_chars") % 2 == 0).alias("schema_ok"), (F.col("quality") * 4 + 4.0).alias("g"), "quality")
     s = r.withColumn("success", gates.eval_success(F.col("schema_ok"), F.col("refused"), F.col("recall"), F.array("g"))).withColumn("aligned", gates.aligned_success(F.col("category"), F.col("refused"), F.col("quality") != 1, F.col("recall"), F.array("g")))
-    out = rollup.eval_summary(s, ["g"])
-    return out.select("cases", *[F.round(c, 1).alias(c) for c in out.columns if c != "cases"])
+    return rollup.eval_summary(s, ["g"])
 
 
 @query("""
@@ -226,7 +225,7 @@ def tiered_retrieval(spark, sf_dir):
 with a as (select conv_id as line_num, turn, row_number() over (partition by conv_id order by turn) - 1 as place, text from conversations where role = 'assistant'),
 q as (select conv_id as line_num, arg_min(text, turn) as q, count(*) filter (role = 'assistant') as n from conversations group by 1)
 select line_num, place::bigint as place, 'facet p' || turn as instruction, md5(q) as input_md5,
-  md5(case when turn % 4 = 3 then text else '<think>' || chr(10) || array_to_string(list_filter(list_transform(string_split(regexp_replace(substring(text, 1, 40), '(?i)the ', '', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)) || chr(10) || '</think>' || chr(10) || trim(text, ' ' || chr(9) || chr(10)) end) as output_md5
+  md5(case when turn % 4 = 3 then text else '<think>' || chr(10) || array_to_string(list_filter(list_transform(string_split(regexp_replace(trim(substring(text, 1, 40)), '(?i)the ', '', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)) || chr(10) || '</think>' || chr(10) || trim(text, ' ' || chr(9) || chr(10)) end) as output_md5
 from a join q using (line_num)
 union all select line_num, n::bigint, 'all', md5(q), md5('') from q""")
 def sft_export(spark, sf_dir):
@@ -236,7 +235,7 @@ def sft_export(spark, sf_dir):
 
 
 @query("""
-select conv_id as line_num, row_number() over (partition by conv_id order by turn)::int as round, md5(text) as q_md5, length(case when turn % 2 = 0 then '' else trim(substring(text, 1, 20)) end)::bigint as think_chars from conversations""")
+select conv_id as line_num, row_number() over (partition by conv_id order by turn)::int as round, md5(text) as q_md5, length(case when turn % 2 = 0 then '' else trim(substring(text, 1, 20), ' ' || chr(9) || chr(10) || chr(13)) end)::bigint as think_chars from conversations""")
 def rounds_flatten(spark, sf_dir):
     c = load(spark, sf_dir, "conversations")
     answer = F.when(F.col("turn") % 2 == 0, F.col("text")).otherwise(F.concat(F.lit("<think>"), F.regexp_replace(F.substring("text", 1, 20), "[<>]", "x"), F.lit("</think>"), F.col("text")))
