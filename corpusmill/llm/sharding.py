@@ -35,7 +35,7 @@ class Splitters:
     rows: int
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, numbered: bool = False) -> DataFrame:
     """doc_id, size, text_crc32, s_row and s_key of each row.
 
     A null text counts as empty: 8 bytes and the checksum of no bytes. The key
@@ -43,8 +43,8 @@ def keyed(docs: DataFrame) -> DataFrame:
     """
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return (
-        docs.select("doc_id", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"))
-        .withColumn("s_row", F.monotonically_increasing_id())
+        (docs if numbered else docs.withColumn("s_row", F.monotonically_increasing_id()))
+        .select("doc_id", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), "s_row")
         .withColumn("s_key", F.shiftrightunsigned(F.xxhash64("doc_id", "s_row"), 1))
     )
 
@@ -118,12 +118,14 @@ def shard(docs: DataFrame, n_shards: int, tolerance: float = TOLERANCE) -> DataF
 
 def write_shards(docs: DataFrame, n_shards: int, path: str, tolerance: float = TOLERANCE) -> Splitters:
     """Write whole documents below ``path``, one folder a shard, in one exchange."""
-    splitters = find_splitters(stage(keyed(docs), "keys"), n_shards, tolerance)
-    key = F.shiftrightunsigned(F.xxhash64("doc_id", F.monotonically_increasing_id()), 1)
+    # staged with the rows' numbers: both passes must see the same ones
+    docs = stage(docs.withColumn("s_row", F.monotonically_increasing_id()), "numbered")
+    splitters = find_splitters(stage(keyed(docs, numbered=True), "keys"), n_shards, tolerance)
+    key = F.shiftrightunsigned(F.xxhash64("doc_id", "s_row"), 1)
     cells = max(1, splitters.total_bytes // n_shards // (256 << 20) + 1)
     out = docs.withColumn("s_key", key).withColumn("shard", shard_of(F.col("s_key"), splitters))
     out = out.withColumn("s_cell", F.pmod(F.col("s_key"), F.lit(cells))).repartition(n_shards * cells, "shard", "s_cell")
-    out.drop("s_key", "s_cell").write.partitionBy("shard").parquet(path)
+    out.drop("s_key", "s_cell", "s_row").write.partitionBy("shard").parquet(path)
     return splitters
 
 

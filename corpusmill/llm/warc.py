@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import scratch_dir, stage, table
@@ -46,7 +46,7 @@ def record(row: dict) -> bytes:
     head = [
         "WARC/1.1",
         f"WARC-Type: {row['record_type']}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, str(row['w_row']))}>",
+        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, row['w_name'])}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {_clean(row['url'] or '')}",
         f"WARC-Payload-Digest: sha256:{row['payload_digest']}",
@@ -83,7 +83,7 @@ def _sink(directory: str):
                 if out is None:
                     name, size, count = f"part-{part:06d}-{len(done):04d}.warc.gz", 0, 0
                     out = store.open_output_stream(f"{root}/_tmp-{attempt}-{name}", compression=None)
-                out.write(record(row))
+                out.write(record(row | {"w_name": f"{name}/{count}"}))
                 size, count = size + len(row["payload"] or b""), count + 1
                 if size >= ARCHIVE_BYTES:
                     close()
@@ -199,31 +199,29 @@ def write_archives(pages: DataFrame, directory: str) -> DataFrame:
     equal ids one of them) is a response and the others revisit it.
     """
     data = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = (
-        pages.select("page_id", "url", data.alias("payload"))
-        .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-        .withColumn("payload_digest", F.sha2("payload", 256))
-        .withColumn("w_row", F.monotonically_increasing_id())
-    )
-    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "w_row")
-    shared = (
-        rows.where(F.col("payload_bytes") >= REVISIT_BYTES)
-        .groupBy("payload_digest").agg(F.min(order).alias("w_first"), F.count(F.lit(1)).alias("w_n"))
-        .where("w_n > 1").select("payload_digest", "w_first")
-    )
-    shared = stage(shared, "shared")
-    revisit = F.col("w_first").isNotNull() & (F.col("w_first.w_row") != F.col("w_row"))
-    typed = rows.join(shared, "payload_digest", "left").select(
-        "page_id", "url", "payload_bytes", "payload_digest", "w_row",
-        F.when(revisit, F.lit(None)).otherwise(F.col("payload")).alias("payload"),
-        F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
-        F.when(revisit, F.col("w_first.page_id")).alias("refers_to"),
+    rows = pages.select("page_id", "url", data.alias("payload")).withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2("payload", 256)})
+    ids = rows.where(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("payload_digest", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = stage(ids, "ids")
+    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id")
+    shared = ids.groupBy("payload_digest").agg(F.min(order).alias("w_first"), F.sum("n").alias("n")).where("n > 1").select("payload_digest", "w_first")
+    rows = rows.join(stage(shared, "shared"), "payload_digest", "left")
+    other = F.col("w_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("w_first.page_id"))
+    if not ids.where("n > 1").isEmpty():
+        # one of the rows that share a page_id and a payload is the response
+        nth = F.row_number().over(Window.partitionBy("payload_digest", "page_id").orderBy("url"))
+        rows = rows.withColumn("w_nth", nth)
+        other = other | (F.col("w_first").isNotNull() & (F.col("w_nth") > 1))
+    typed = rows.select(
+        "page_id", "url", "payload_bytes", "payload_digest",
+        F.when(other, F.lit(None)).otherwise(F.col("payload")).alias("payload"),
+        F.when(other, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
+        F.when(other, F.col("w_first.page_id")).alias("refers_to"),
     )
     spark = pages.sparkSession
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
     # sorted: a repeated task cuts the same rows into the same archives
-    return stage(typed.sortWithinPartitions("w_row").mapInArrow(_sink(directory), "archive string, records long"), "archives")
+    return stage(typed.sortWithinPartitions("payload_digest", "page_id", "url", "record_type").mapInArrow(_sink(directory), "archive string, records long"), "archives")
 
 
 def read_archives(spark: SparkSession, directory: str, keep_payload: bool = True) -> DataFrame:
