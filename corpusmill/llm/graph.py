@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,20 +22,38 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where(F.col("a") != F.col("b")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node has two edges down, and no node that has one is another's end."""
+    if not edges.groupBy("a").count().where("count > 1").isEmpty():
+        return False
+    return edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(a, b) with b the smallest node that a reaches, for each node of ``edges`` but the smallest ones.
 
     Alternates large-star and small-star steps, each a grouped minimum and a
-    join, until the edges stay as they are. ``edges`` has the columns a and b
+    join, until the edges are stars around smallest nodes. ``edges`` has the columns a and b
     of one orderable type; direction, repeats and self loops do not matter.
     """
     kind = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     now = stage(edges.where(F.col("a") != F.col("b")).select(*kind).distinct(), "edges")
-    seen = None
     for _ in range(most_rounds):
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if mark == seen or not mark[0]:
+        if _settled(now):
             return now
-        seen = mark
         now = stage(_star(_star(now, large=True), large=False), "edges")
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest place that each of n places reaches over pairs of places: for the links of one block."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

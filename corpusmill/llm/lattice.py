@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import stage, table
-from corpusmill.llm.graph import components
+from corpusmill.llm.graph import components, spanning
 
-TABLES, PROBES = 8, 4
+TABLES, PROBES = 6, 4
 #: Lattice step against the expected projected length of a unit vector's part.
 STEP = 0.5657
 BLOCK = 1024
@@ -67,7 +67,11 @@ def decode_e8(x: np.ndarray) -> np.ndarray:
 
 def _mix(points: np.ndarray, salt: int) -> np.ndarray:
     """A 64-bit number for each lattice point."""
-    factors = (np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    # mixed one by one: factors in proportion would give many points one number
+    factors = np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for c in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        factors = (factors ^ (factors >> np.uint64(30))) * np.uint64(c)
+    factors |= np.uint64(1)
     h = ((2 * points).astype(np.int64).astype(np.uint64) * factors).sum(axis=-1, dtype=np.uint64) + np.uint64(salt * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)
     for c in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
         h = (h ^ (h >> np.uint64(33))) * np.uint64(c)
@@ -123,20 +127,6 @@ def _first_meeting(ca: np.ndarray, cb: np.ndarray, table_: int, kind: np.ndarray
     return first
 
 
-def _spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest place that each of n places reaches over pairs of places."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 class _Unit:
     """Links in one block or between two blocks of a cell."""
 
@@ -174,7 +164,7 @@ class _Unit:
         if not len(i):
             return row[:0], weight[:0], row[:0]
         n = np.bincount(i, weight[j], len(row)) + np.bincount(j, weight[i], len(row))
-        root = _spanning(len(row), i, j)
+        root = spanning(len(row), i, j)
         at = np.flatnonzero(n)
         return row[at], n[at].astype(np.int64), row[root[at]]
 

@@ -7,11 +7,12 @@ are compared batch by batch, and the pair is dropped as soon as the posterior
 probability of reaching the threshold falls below ``MISS``; survivors are
 confirmed on their full sets.
 
-Only components are asked for, so a bucket first offers one pair for each
-member, with its smallest class. Once those components are known, the pairs of
-a bucket that still lie in different components are offered too. No link
-between different components is left out, and a bucket of thousands of near
-copies does not become all its pairs.
+Classes that reach each other over shared bands form a cluster. A cluster's
+pairs are compared in blocks of at most ``BLOCK`` classes, each pair of blocks
+in one unit of work that holds signatures and full sets; only a spanning set
+of confirmed links leaves it. No pair is written out, so a group of thousands
+of near copies costs rows in proportion to its size, and no cluster is one
+task's work.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import stage, table
-from corpusmill.llm.graph import components
+from corpusmill.llm.graph import components, spanning
 
 BANDS, ROWS = 25, 5
 #: Signature places compared before each look at the posterior.
@@ -34,6 +35,8 @@ BATCH = 25
 #: Chosen probability of dropping a pair that reaches the threshold.
 MISS = 1e-6
 KNOWN_WORDS = 200_000
+#: Classes in a block of a cluster, and columns of a block's incidence matrix at a time.
+BLOCK, COLUMNS = 256, 4096
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 
 
@@ -118,34 +121,88 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, d_class binary, d_marks binary")
 
 
-def _surviving(pairs: DataFrame, marks: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) whose signatures are not ruled out."""
-    least = least_matches(threshold, BANDS * ROWS)
-    both = pairs.join(marks.select(F.col("d_class").alias("a"), F.col("d_marks").alias("ma")), "a").join(marks.select(F.col("d_class").alias("b"), F.col("d_marks").alias("mb")), "b")
+def _intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact intersection sizes of the pairs (a, b) of sorted sets.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for k in (2, 3))
-            alive, matches = np.arange(len(a)), np.zeros(len(a), np.int64)
-            for at in range(0, a.shape[1], BATCH):
-                matches = matches + (a[alive, at : at + BATCH] == b[alive, at : at + BATCH]).sum(axis=1)
-                stay = matches >= least[min(at + BATCH, a.shape[1]) - 1]
-                alive, matches = alive[stay], matches[stay]
-            yield batch.select([0, 1]).take(pa.array(alive))
-
-    return both.select("a", "b", "ma", "mb").mapInArrow(run, "a binary, b binary")
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, first: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold.
-
-    ``first`` names one document of each class. The sets of the classes in
-    question are made again from their texts.
+    Many pairs among few sets are one product of their incidence matrix with
+    itself, taken over the shingles that two sets hold, some columns at a time.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("d_class")).distinct().join(first, "d_class").select("doc_id").distinct()
-    texts = docs.select("doc_id", "text").join(wanted.withColumnRenamed("doc_id", "w_id"), F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi")
+    own, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    whole = np.concatenate([sets[k] for k in own])
+    rows = np.repeat(np.arange(len(own)), [len(sets[k]) for k in own])
+    _, column, count = np.unique(whole, return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    number = np.cumsum(count > 1) - 1
+    column, rows = number[column[shared]], rows[shared]
+    wide = int((count > 1).sum())
+    mean = len(whole) / len(own)
+    if len(a) * mean * 40 < float(len(own)) ** 2 * wide / 4:
+        out = np.empty(len(a), np.int64)
+        for k, (i, j) in enumerate(zip(a, b, strict=True)):
+            # both are sorted without repeats: a value of both stands next to itself
+            merged = np.sort(np.concatenate([sets[i], sets[j]]), kind="stable")
+            out[k] = (merged[1:] == merged[:-1]).sum()
+        return out
+    order = np.argsort(column, kind="stable")
+    column, rows = column[order], rows[order]
+    product = np.zeros((len(own), len(own)), np.float32)
+    cuts = np.searchsorted(column, np.arange(0, wide + COLUMNS, COLUMNS))
+    for k in range(len(cuts) - 1):
+        part = np.zeros((len(own), COLUMNS), np.float32)
+        part[rows[cuts[k] : cuts[k + 1]], column[cuts[k] : cuts[k + 1]] - k * COLUMNS] = 1
+        product += part @ part.T
+    return product[place[: len(a)], place[len(a) :]].astype(np.int64)
+
+
+class _Verifier:
+    """Confirmed links in one block or between two blocks of a cluster."""
+
+    def __init__(self, percent: int):
+        self.percent, self.least = percent, least_matches(percent / 100, BANDS * ROWS)
+        self.factors = _multipliers()[:ROWS]
+
+    def candidates(self, marks: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of places that share a band and, of two blocks, lie in both."""
+        bands = (marks.reshape(len(marks), BANDS, ROWS).astype(np.uint64) * self.factors).sum(axis=2, dtype=np.uint64)
+        two = block.min() != block.max()
+        left, right = [], []
+        for at in range(0, len(marks), 64):
+            some = (bands[at : at + 64, None, :] == bands[None, :, :]).any(axis=2)
+            some &= np.arange(len(marks))[None, :] > np.arange(at, at + len(some))[:, None]
+            if two:
+                some &= block[at : at + 64, None] != block[None, :]
+            i, j = np.nonzero(some)
+            left.append(i + at)
+            right.append(j)
+        return np.concatenate(left), np.concatenate(right)
+
+    def survivors(self, marks: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs whose posterior stays above the chosen miss probability through all batches."""
+        matches = np.zeros(len(a), np.int64)
+        for at in range(0, marks.shape[1], BATCH):
+            matches += (marks[a, at : at + BATCH] == marks[b, at : at + BATCH]).sum(axis=1)
+            stay = matches >= self.least[min(at + BATCH, marks.shape[1]) - 1]
+            a, b, matches = a[stay], b[stay], matches[stay]
+        return a, b
+
+    def links(self, block: np.ndarray, marks: list[bytes], sets: list[bytes]) -> np.ndarray:
+        """For each place the smallest one it is linked with over confirmed pairs."""
+        signatures = np.frombuffer(b"".join(marks), np.uint32).reshape(len(marks), -1)
+        a, b = self.candidates(signatures, block)
+        if len(a):
+            a, b = self.survivors(signatures, a, b)
+        if len(a):
+            hashes = [np.frombuffer(s, np.uint64) for s in sets]
+            sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
+            common = _intersections(hashes, a, b)
+            good = 100 * common >= self.percent * (sizes[a] + sizes[b] - common)
+            a, b = a[good], b[good]
+        return spanning(len(marks), a, b)
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(d_class, d_set) of the documents named in ``wanted`` (doc_id), made again from their texts."""
+    texts = docs.select("doc_id", "text").join(wanted.select(F.col("doc_id").alias("w_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
@@ -153,22 +210,44 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, first: DataFrame, width: int,
             sets = [s.tobytes() for s in shingler.sets(batch.column(0).to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["d_class", "d_set"])
 
-    sets = stage(texts.select("text").mapInArrow(run, "d_class binary, d_set binary").dropDuplicates(["d_class"]), "sets")
-    both = pairs.join(sets.select(F.col("d_class").alias("a"), F.col("d_set").alias("sa")), "a").join(sets.select(F.col("d_class").alias("b"), F.col("d_set").alias("sb")), "b")
+    return texts.select("text").mapInArrow(run, "d_class binary, d_set binary")
+
+
+def _verified(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a spanning set of the links among members (root, d_class, d_marks, d_set) of the same root."""
+    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("d_class"), F.col("blocks")).cast("int")
+    keys = ["root", "lo", "hi"]
+    dealt = (
+        members.join(sizes, "root").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "d_class", "d_marks", "d_set")
+        .repartition(*keys).sortWithinPartitions(*keys)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        verifier = _Verifier(percent)
+        held: list[tuple] = []
+        last = None
+
+        def flush():
+            names = [r[0] for r in held]
+            root = verifier.links(np.array([r[1] for r in held]), [r[2] for r in held], [r[3] for r in held])
+            at = np.flatnonzero(root != np.arange(len(root)))
+            return pa.RecordBatch.from_arrays([pa.array([names[i] for i in at], pa.binary()), pa.array([names[i] for i in root[at]], pa.binary())], ["a", "b"])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                u, v = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                # both are sorted without repeats: a value of both stands next to itself
-                merged = np.sort(np.concatenate([u, v]), kind="stable")
-                common = int((merged[1:] == merged[:-1]).sum())
-                if 100 * common >= percent * (len(u) + len(v) - common):
-                    good.append(i)
-            yield batch.select([0, 1]).take(pa.array(good, pa.int64()))
+            marks = zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True)
+            rest = zip(*[batch.column(k).to_pylist() for k in (4, 3, 5, 6)], strict=True)
+            for mark, row in zip(marks, rest, strict=True):
+                if mark != last and held:
+                    yield flush()
+                    held = []
+                last = mark
+                held.append(row)
+        if held:
+            yield flush()
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(verify, "a binary, b binary")
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -185,42 +264,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     whole = rows.where(F.col("d_class").isNotNull())
     # one signature of each class; equal sets have equal ones
     marks = stage(whole.groupBy("d_class").agg(F.min("doc_id").alias("doc_id"), F.first("d_marks").alias("d_marks")), "classes")
-    first = marks.select("d_class", "doc_id")
 
     def keys(i: Column) -> Column:
         return F.xxhash64(F.substring(F.col("d_marks"), i * (4 * ROWS) + 1, F.lit(4 * ROWS)), i)
 
     banded = marks.select("d_class", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), keys)).alias("key"))
     shared = banded.groupBy("key").agg(F.min("d_class").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = stage(banded.join(shared.select("key", "lead"), "key"), "buckets")
-    threshold = percent / 100
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        alive = stage(_surviving(pairs, marks, threshold), "alive")
-        return stage(_confirmed(alive, docs, first, width, percent), "links")
-
-    star = stage(buckets.where(F.col("d_class") != F.col("lead")).select(F.col("lead").alias("a"), F.col("d_class").alias("b")).distinct(), "star")
-    links = linked(star)
+    near = banded.join(shared.select("key", "lead"), "key").select(F.col("lead").alias("a"), F.col("d_class").alias("b"))
+    clusters = components(near)
+    clusters = clusters.unionByName(clusters.select(F.col("b").alias("a"), "b").distinct()).select(F.col("a").alias("d_class"), F.col("b").alias("root"))
+    members = stage(clusters.join(marks, "d_class"), "members")
+    sets = _sets_of(docs, members, width).dropDuplicates(["d_class"])
+    links = stage(_verified(members.select("root", "d_class", "d_marks").join(sets, "d_class"), percent), "links")
     roots = components(links)
-    # what shares a bucket but not a component yet
-    rooted = buckets.select("key", "d_class").join(roots.select(F.col("a").alias("d_class"), F.col("b").alias("root")), "d_class", "left").withColumn("root", F.coalesce("root", "d_class"))
-    rooted = stage(rooted, "rooted")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    left = rooted.join(mixed, "key", "left_semi")
-    pairs = (
-        left.select("key", F.col("d_class").alias("a"), F.col("root").alias("ra"))
-        .join(left.select("key", F.col("d_class").alias("b"), F.col("root").alias("rb")), "key")
-        .where("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    pairs = stage(pairs, "rest")
-    if not pairs.isEmpty():
-        more = linked(pairs)
-        if not more.isEmpty():
-            roots = components(links.unionByName(more))
-    grouped = whole.select("doc_id", "d_class").join(roots.select(F.col("a").alias("d_class"), F.col("b").alias("root")), "d_class", "left")
-    least = grouped.withColumn("root", F.coalesce("root", "d_class")).groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = first.select("d_class").join(roots.select(F.col("a").alias("d_class"), F.col("b").alias("root")), "d_class", "left").withColumn("root", F.coalesce("root", "d_class")).join(least, "root").select("d_class", "component_id")
+    # classes hold their smallest doc_id, so components are named from classes alone
+    grouped = marks.select("d_class", "doc_id").join(roots.select(F.col("a").alias("d_class"), F.col("b").alias("root")), "d_class", "left").withColumn("root", F.coalesce("root", "d_class"))
+    grouped = stage(grouped, "grouped")
+    named = grouped.join(grouped.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("d_class", "component_id")
     out = rows.select("doc_id", "n_shingles", "d_class").join(named, "d_class", "left")
     component = F.when(F.col("d_class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))

@@ -27,6 +27,9 @@ CEILING = 2.0
 PART_ROWS = 4096
 
 _KEYS = ("m_null", "m_src", "m_band", "m_part")
+#: What ``mix`` adds, and what it needs on the way.
+ADDED = ("m_size", "m_source_size", "m_target", "m_copies")
+_OWN = (*ADDED, *_KEYS, "m_before", "m_rank", "m_ratio", "m_u", "m_copy")
 
 
 def _offset(source: Column, seed: int) -> Column:
@@ -77,10 +80,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling: float =
     ``docs`` needs doc_id, text and source; other columns pass through. A null
     text has size 0, a null source is a source of its own that comes last.
     Repeated rows are sampled one by one. Documents of a source whose size is
-    0 get no copies. An empty table gives an empty table. Columns that begin
-    with ``m_`` are this operator's and must not be in ``docs``.
+    0 get no copies. An empty table gives an empty table. Columns of ``docs``
+    that bear a name of this operator's own (``_OWN``) are replaced.
     """
-    spark = docs.sparkSession
+    docs = docs.drop(*_OWN)
     parts = max(1, -(-docs.count() // PART_ROWS))
     sized = (
         docs.withColumn("m_size", n_words(F.col("text")))
@@ -124,7 +127,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling: float =
 
 def emit(mixed: DataFrame) -> DataFrame:
     """One row for each copy that ``mix`` decided on, with the input's columns."""
-    own = [c for c in mixed.columns if not c.startswith("m_")]
+    own = [c for c in mixed.columns if c not in ADDED]
     return mixed.where("m_copies > 0").withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("m_copies").cast("int")))).select(*own)
 
 

@@ -290,6 +290,17 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_clashing_columns(spark, docs):
+    odd = docs.withColumn("m_size", F.lit("x")).withColumn("m_mine", F.lit(1)).withColumn("q_of_words", F.lit(2)).withColumn("llr", F.lit(3)).withColumn("l_lang", F.lit(4)).withColumn("ids", F.lit(5)).withColumn("x_score", F.lit(6))
+    mixed = mixing.emit(mixing.mix(odd))
+    assert "m_mine" in mixed.columns and "m_size" not in mixed.columns and mixed.count() > 0
+    labels = spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int")
+    scored = quality.score_quality(odd, labels)
+    assert scored.columns.count("llr") == 1 and dict(scored.dtypes)["llr"] == "double" and scored.count() == docs.count()
+    for out in (language.identify(odd, language.fit(odd)), pieces.encode(odd), toxicity.score(odd, None), minhash.near_duplicates(odd), sharding.shard(odd, 3), recurrent.score_documents(odd)):
+        assert len(set(out.columns)) == len(out.columns) and out.count() == docs.count()
+
+
 def test_mixing_near_target(spark):
     rng = np.random.default_rng(6)
     rows = [(i, "w " * int(rng.integers(1, 60)), "a" if i % 3 else "b") for i in range(9000)]
