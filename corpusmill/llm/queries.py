@@ -17,8 +17,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_lattice_hashing": lattice.OP1_SQL,
-    "op3_minhash_bayes": minhash.op3_minhash_bayes,
-    "op4_toxicity": toxicity.op4_toxicity,
     "op3_minhash_bayes": minhash.OP3_SQL,
     "op5_mix_sources": mixing.OP5_SQL,
     "op10_warc_round_trip": warc.OP10_SQL,
