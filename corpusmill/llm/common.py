@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +43,21 @@ def stage(df: DataFrame, name: str = "t") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of text that a task takes apart at a time.
+PART_BYTES = 2 << 20
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], column: int, most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of text, a row at least; word lists take many times a text's room."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        slot = (np.cumsum(sizes) - sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(slot)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                yield batch.slice(a, b - a)
+
+
 def words(text: Column) -> Column:
     """The words of a text; null and blank texts have none."""
     bare = F.trim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import share_of, table
+from corpusmill.llm.common import in_parts, share_of, table
 
 BINS = 1 << 14
 SMOOTHING = 0.5
@@ -151,7 +151,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: floa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place: dict[str, int] = {}
         values = np.zeros((0, len(langs)))
-        for batch in batches:
+        for batch in in_parts(batches, at):
             texts = [words_of(t) if t else [] for t in batch.column(at).to_pylist()]
             missing = list({w for t in texts for w in t if w not in place})
             if len(place) + len(missing) > KNOWN_WORDS and place:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import share_of, stage, table
+from corpusmill.llm.common import in_parts, share_of, stage, table
 
 LAMBDA = 0.6
 LETTERS = 64
@@ -293,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | N
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(machine)
-        for batch in batches:
+        for batch in in_parts(batches, 0):
             f = reader.features(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(f[:, k]) for k in range(3))], ["toxic", "a", "b", "c"])
 
@@ -317,7 +317,7 @@ def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(machine)
-        for batch in batches:
+        for batch in in_parts(batches, at):
             f = reader.features(batch.column(at).to_pylist())
             z = np.hstack([f, np.ones((len(f), 1))]) @ machine.calibration
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], [*own, "x_score"])
