@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import stage, table
+from corpusmill.llm.common import in_parts, stage, table
 from corpusmill.llm.graph import components, spanning
 
 BANDS, ROWS = 25, 5
@@ -37,6 +37,8 @@ MISS = 1e-6
 KNOWN_WORDS = 200_000
 #: Classes in a block of a cluster, and columns of a block's incidence matrix at a time.
 BLOCK, COLUMNS = 256, 4096
+#: Shingles of a block that are counted at a time.
+SHINGLES = 500_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 
 
@@ -111,7 +113,7 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
-        for batch in batches:
+        for batch in in_parts(batches, 1):
             sets = shingler.sets(batch.column(1).to_pylist())
             classes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             marks = [signature(s, factors).tobytes() if len(s) else None for s in sets]
@@ -126,31 +128,33 @@ def _intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.n
 
     Many pairs among few sets are one product of their incidence matrix with
     itself, taken over the shingles that two sets hold, some columns at a time.
+    The sets are cut at common values, so that some SHINGLES are held at once.
     """
     own, place = np.unique(np.concatenate([a, b]), return_inverse=True)
-    whole = np.concatenate([sets[k] for k in own])
-    rows = np.repeat(np.arange(len(own)), [len(sets[k]) for k in own])
-    _, column, count = np.unique(whole, return_inverse=True, return_counts=True)
-    shared = count[column] > 1
-    number = np.cumsum(count > 1) - 1
-    column, rows = number[column[shared]], rows[shared]
-    wide = int((count > 1).sum())
-    mean = len(whole) / len(own)
-    if len(a) * mean * 40 < float(len(own)) ** 2 * wide / 4:
+    if len(a) <= 4 * len(own):
         out = np.empty(len(a), np.int64)
         for k, (i, j) in enumerate(zip(a, b, strict=True)):
             # both are sorted without repeats: a value of both stands next to itself
             merged = np.sort(np.concatenate([sets[i], sets[j]]), kind="stable")
             out[k] = (merged[1:] == merged[:-1]).sum()
         return out
-    order = np.argsort(column, kind="stable")
-    column, rows = column[order], rows[order]
     product = np.zeros((len(own), len(own)), np.float32)
-    cuts = np.searchsorted(column, np.arange(0, wide + COLUMNS, COLUMNS))
-    for k in range(len(cuts) - 1):
-        part = np.zeros((len(own), COLUMNS), np.float32)
-        part[rows[cuts[k] : cuts[k + 1]], column[cuts[k] : cuts[k + 1]] - k * COLUMNS] = 1
-        product += part @ part.T
+    parts = sum(len(sets[k]) for k in own) // SHINGLES + 1
+    ends = [np.uint64((1 << 64) * p // parts) for p in range(1, parts)]
+    at = [np.concatenate([[0], np.searchsorted(sets[k], ends), [len(sets[k])]]).astype(np.int64) for k in own]
+    for p in range(parts):
+        slices = [sets[k][c[p] : c[p + 1]] for k, c in zip(own, at, strict=True)]
+        rows = np.repeat(np.arange(len(own)), [len(s) for s in slices])
+        _, column, count = np.unique(np.concatenate(slices), return_inverse=True, return_counts=True)
+        shared = count[column] > 1
+        column, rows = (np.cumsum(count > 1) - 1)[column[shared]], rows[shared]
+        order = np.argsort(column, kind="stable")
+        column, rows = column[order], rows[order]
+        cuts = np.searchsorted(column, np.arange(0, int((count > 1).sum()) + COLUMNS, COLUMNS))
+        for k in range(len(cuts) - 1):
+            part = np.zeros((len(own), COLUMNS), np.float32)
+            part[rows[cuts[k] : cuts[k + 1]], column[cuts[k] : cuts[k + 1]] - k * COLUMNS] = 1
+            product += part @ part.T
     return product[place[: len(a)], place[len(a) :]].astype(np.int64)
 
 
@@ -206,7 +210,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
-        for batch in batches:
+        for batch in in_parts(batches, 0):
             sets = [s.tobytes() for s in shingler.sets(batch.column(0).to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["d_class", "d_set"])
 
