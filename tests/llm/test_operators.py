@@ -179,8 +179,11 @@ def brute_near(rows, width, percent):
     return out
 
 
-@pytest.mark.parametrize("width", [2, 5])
-def test_near_duplicates(spark, width):
+@pytest.mark.parametrize(("width", "rows", "size", "small", "pairs", "shingles"), [(2, 4096, 8 << 20, 16, 65_536, 500_000), (5, 4096, 8 << 20, 16, 65_536, 500_000), (2, 5, 1500, 2, 7, 50), (2, 64, 8 << 20, 2, 65_536, 50)])
+def test_near_duplicates(spark, monkeypatch, width, rows, size, small, pairs, shingles):
+    # small blocks send the same groups through the paths of large ones
+    for name, value in (("BLOCK_ROWS", rows), ("BLOCK_BYTES", size), ("SMALL", small), ("PAIRS", pairs), ("SHINGLES", shingles)):
+        monkeypatch.setattr(minhash, name, value)
     rng = np.random.default_rng(3)
     vocab = [f"w{k}" for k in range(50)]
     rows = [(i, t) for i, t, *_ in corpus(30)]
@@ -197,6 +200,15 @@ def test_near_duplicates(spark, width):
     assert got == brute_near(rows, width, 80)
 
 
+def test_intersections():
+    rng = np.random.default_rng(4)
+    pool = np.arange(300, dtype=np.uint64) * np.uint64(60_000_000_000_000_000)
+    sets = [np.sort(rng.choice(pool, rng.integers(1, 200), replace=False)) for _ in range(40)]
+    a, b = np.triu_indices(40, 1)
+    want = [len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b, strict=True)]
+    assert minhash._intersections(sets, a, b).tolist() == minhash._merged(sets, a, b).tolist() == want
+
+
 def test_pruning_bound():
     least = minhash.least_matches(0.8, 125)
     assert least[124] < 0.8 * 125 and least == sorted(least)
