@@ -7,10 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.llm import lattice, language, minhash, mixing, pieces, quality, recurrent, sharding, toxicity, warc
+from corpusmill.llm import common, lattice, language, minhash, mixing, pieces, quality, recurrent, sharding, toxicity, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -45,6 +46,14 @@ def empty(spark):
     return spark.createDataFrame([], DOC)
 
 
+def test_slices_of_batches():
+    batch = pa.record_batch({"i": range(6), "t": ["a" * 5, None, "", "é" * 15, "c", "d" * 9]})
+    for most in (1, 8, 1000):
+        parts = list(common.in_parts([batch, batch.slice(0, 0)], 1, most))
+        assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+        assert all(sum(len((t or "").encode()) for t in p.column(1).to_pylist()[:-1]) <= most for p in parts)
+
+
 # -- 1 ----------------------------------------------------------------------
 
 
