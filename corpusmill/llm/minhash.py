@@ -4,15 +4,16 @@ A document is the set of its distinct word shingles, as 64-bit hashes.
 Documents with equal sets are one class. Signatures of classes are cut into
 bands; classes that share a band are candidates. A candidate pair's signatures
 are compared batch by batch, and the pair is dropped as soon as the posterior
-probability of reaching the threshold falls below ``MISS``; survivors are
-confirmed on their full sets.
-
-Classes that reach each other over shared bands form a cluster. A cluster's
-pairs are compared in blocks of at most ``BLOCK`` classes, each pair of blocks
-in one unit of work that holds signatures and full sets; only a spanning set
-of confirmed links leaves it. No pair is written out, so a group of thousands
-of near copies costs rows in proportion to its size, and no cluster is one
-task's work.
+probability of reaching the threshold falls below ``MISS``.
+
+The first pass compares the first ``FIRST_PLACES`` places, bucket by bucket.
+Classes connected by its survivors form a cluster. The second pass compares
+whole signatures inside clusters and confirms survivors on full sets.
+
+In both passes a group is cut into blocks, each pair of blocks is one unit of
+work, pairs that links connect already are skipped, and only a spanning set of
+links leaves a unit. No pair is written out, so a group of thousands of near
+copies costs rows in proportion to its size, and no group is one task's work.
 """
 
 from __future__ import annotations
@@ -35,8 +36,12 @@ BATCH = 25
 #: Chosen probability of dropping a pair that reaches the threshold.
 MISS = 1e-6
 KNOWN_WORDS = 200_000
-#: Classes in a block of a cluster, and columns of a block's incidence matrix at a time.
-BLOCK, COLUMNS = 256, 4096
+#: Places that the pass over buckets looks at.
+FIRST_PLACES = 2 * BATCH
+#: Mean classes and bytes of sets in a block of a group, and columns of an incidence matrix at a time.
+BLOCK_ROWS, BLOCK_BYTES, COLUMNS = 4096, 8 << 20, 4096
+#: Rows of a unit whose pairs are all formed together with those of other units, and pairs compared at a time.
+SMALL, PAIRS = 16, 65_536
 #: Shingles of a block that are counted at a time.
 SHINGLES = 500_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
@@ -81,11 +86,11 @@ class Shingler:
 
 
 def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The upper 32 bits of each factor's smallest product."""
+    """16 middle bits of each factor's smallest product; its upper bits are small numbers."""
     low = np.full(len(factors), np.uint64(0xFFFFFFFFFFFFFFFF))
     for at in range(0, len(shingles), 2048):
         np.minimum(low, (factors[:, None] * shingles[None, at : at + 2048]).min(axis=1), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32)
+    return (low >> np.uint64(16)).astype(np.uint16)
 
 
 def least_matches(threshold: float, places: int, miss: float = MISS) -> list[int]:
@@ -108,7 +113,7 @@ def least_matches(threshold: float, places: int, miss: float = MISS) -> list[int
 
 
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """d_row, doc_id, n_shingles, d_class (16 bytes; null for an empty set) and signature."""
+    """doc_id, n_shingles, d_class (16 bytes; null for an empty set) and signature."""
     factors = _multipliers()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,6 +128,16 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, d_class binary, d_marks binary")
 
 
+def _merged(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact intersection sizes of the pairs (a, b) of sorted sets, one by one."""
+    out = np.empty(len(a), np.int64)
+    for k, (i, j) in enumerate(zip(a, b, strict=True)):
+        # both are sorted without repeats: a value of both stands next to itself
+        merged = np.sort(np.concatenate([sets[i], sets[j]]), kind="stable")
+        out[k] = (merged[1:] == merged[:-1]).sum()
+    return out
+
+
 def _intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact intersection sizes of the pairs (a, b) of sorted sets.
 
@@ -132,12 +147,7 @@ def _intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.n
     """
     own, place = np.unique(np.concatenate([a, b]), return_inverse=True)
     if len(a) <= 4 * len(own):
-        out = np.empty(len(a), np.int64)
-        for k, (i, j) in enumerate(zip(a, b, strict=True)):
-            # both are sorted without repeats: a value of both stands next to itself
-            merged = np.sort(np.concatenate([sets[i], sets[j]]), kind="stable")
-            out[k] = (merged[1:] == merged[:-1]).sum()
-        return out
+        return _merged(sets, a, b)
     product = np.zeros((len(own), len(own)), np.float32)
     parts = sum(len(sets[k]) for k in own) // SHINGLES + 1
     ends = [np.uint64((1 << 64) * p // parts) for p in range(1, parts)]
@@ -159,28 +169,12 @@ def _intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.n
 
 
 class _Verifier:
-    """Confirmed links in one block or between two blocks of a cluster."""
+    """Linked places in sorted rows of units; a unit is one block of a group or two of its blocks."""
 
     def __init__(self, percent: int):
         self.percent, self.least = percent, least_matches(percent / 100, BANDS * ROWS)
-        self.factors = _multipliers()[:ROWS]
 
-    def candidates(self, marks: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of places that share a band and, of two blocks, lie in both."""
-        bands = (marks.reshape(len(marks), BANDS, ROWS).astype(np.uint64) * self.factors).sum(axis=2, dtype=np.uint64)
-        two = block.min() != block.max()
-        left, right = [], []
-        for at in range(0, len(marks), 64):
-            some = (bands[at : at + 64, None, :] == bands[None, :, :]).any(axis=2)
-            some &= np.arange(len(marks))[None, :] > np.arange(at, at + len(some))[:, None]
-            if two:
-                some &= block[at : at + 64, None] != block[None, :]
-            i, j = np.nonzero(some)
-            left.append(i + at)
-            right.append(j)
-        return np.concatenate(left), np.concatenate(right)
-
-    def survivors(self, marks: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _survivors(self, marks: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs whose posterior stays above the chosen miss probability through all batches."""
         matches = np.zeros(len(a), np.int64)
         for at in range(0, marks.shape[1], BATCH):
@@ -189,19 +183,53 @@ class _Verifier:
             a, b, matches = a[stay], b[stay], matches[stay]
         return a, b
 
-    def links(self, block: np.ndarray, marks: list[bytes], sets: list[bytes]) -> np.ndarray:
-        """For each place the smallest one it is linked with over confirmed pairs."""
-        signatures = np.frombuffer(b"".join(marks), np.uint32).reshape(len(marks), -1)
-        a, b = self.candidates(signatures, block)
-        if len(a):
-            a, b = self.survivors(signatures, a, b)
-        if len(a):
-            hashes = [np.frombuffer(s, np.uint64) for s in sets]
-            sizes = np.fromiter(map(len, hashes), np.int64, len(hashes))
-            common = _intersections(hashes, a, b)
-            good = 100 * common >= self.percent * (sizes[a] + sizes[b] - common)
-            a, b = a[good], b[good]
-        return spanning(len(marks), a, b)
+    def _linked(self, marks: np.ndarray, sets: list[np.ndarray] | None, a: np.ndarray, b: np.ndarray, few: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Of the pairs (a, b) those that are confirmed, or, without sets, not ruled out."""
+        parts = [self._survivors(marks, a[k : k + PAIRS], b[k : k + PAIRS]) for k in range(0, len(a), PAIRS)]
+        a, b = (np.concatenate([p[k] for p in parts]) if parts else a for k in range(2))
+        if sets is None or not len(a):
+            return a, b
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        common = _merged(sets, a, b) if few else _intersections(sets, a, b)
+        good = 100 * common >= self.percent * (sizes[a] + sizes[b] - common)
+        return a[good], b[good]
+
+    def _large(self, block: np.ndarray, marks: np.ndarray, sets: list[np.ndarray] | None) -> np.ndarray:
+        """The smallest place that each place of one unit reaches; pairs that are connected already are not looked at."""
+        n, at = len(block), 0
+        label, place = np.arange(n), np.arange(n)
+        two = block.min() != block.max()
+        while at < n:
+            # a few rows against all others join what is alike; then only the rest is compared
+            rows = place[at : at + (1 if at == 0 else 4 if at == 1 else 32)]
+            open_ = label[rows][:, None] != label[None, :]
+            if at > 1:
+                open_ &= place[None, :] > rows[:, None]
+                if two:
+                    open_ &= block[rows][:, None] != block[None, :]
+            i, j = np.nonzero(open_)
+            a, b = self._linked(marks, sets, rows[i], j, few=False)
+            if len(a):
+                label = spanning(n, np.concatenate([a, place]), np.concatenate([b, label]))
+            at += len(rows)
+        return label
+
+    def roots(self, unit: np.ndarray, block: np.ndarray, marks: np.ndarray, sets: list[np.ndarray] | None) -> np.ndarray:
+        """The smallest place that each row reaches inside its unit; rows of a unit stand together."""
+        starts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+        sizes = np.diff(np.append(starts, len(unit)))
+        small = np.repeat(sizes <= SMALL, sizes)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for d in range(1, min(SMALL, int(sizes.max()))):
+            i = np.flatnonzero((unit[d:] == unit[:-d]) & small[d:])
+            left.append(i)
+            right.append(i + d)
+        a, b = self._linked(marks, sets, np.concatenate(left), np.concatenate(right), few=True)
+        found = [(a, b)]
+        for at, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+            own = slice(at, at + size)
+            found.append((np.arange(at, at + size), at + self._large(block[own], marks[own], sets and sets[own])))
+        return spanning(len(unit), np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -217,39 +245,48 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "d_class binary, d_set binary")
 
 
-def _verified(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): a spanning set of the links among members (root, d_class, d_marks, d_set) of the same root."""
-    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("d_class"), F.col("blocks")).cast("int")
-    keys = ["root", "lo", "hi"]
+def _spanned(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a spanning set of the links among members (group, blocks, d_class, d_marks, and d_set or not) of one group.
+
+    The group is cut into ``blocks``. Without d_set a link is what the signatures at hand do not rule out.
+    """
+    exact = "d_set" in members.columns
+    keys, rest = ["group", "lo", "hi"], ["d_class", "d_marks", *["d_set"] * exact]
     dealt = (
-        members.join(sizes, "root").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "d_class", "d_marks", "d_set")
+        members.withColumn("block", F.pmod(F.xxhash64("d_class"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", *rest)
         .repartition(*keys).sortWithinPartitions(*keys)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         verifier = _Verifier(percent)
-        held: list[tuple] = []
-        last = None
-
-        def flush():
-            names = [r[0] for r in held]
-            root = verifier.links(np.array([r[1] for r in held]), [r[2] for r in held], [r[3] for r in held])
+        held: list[pa.RecordBatch] = []
+
+        def links(rows: pa.Table) -> pa.RecordBatch:
+            number = np.stack([rows.column(k).to_numpy().astype(np.int64) for k in keys])
+            unit = np.cumsum(np.append(True, (number[:, 1:] != number[:, :-1]).any(axis=0)))
+            marks = np.frombuffer(b"".join(rows.column("d_marks").to_pylist()), np.uint16).reshape(rows.num_rows, -1)
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("d_set")] if exact else None
+            root = verifier.roots(unit, rows.column("block").to_numpy(), marks, sets)
             at = np.flatnonzero(root != np.arange(len(root)))
-            return pa.RecordBatch.from_arrays([pa.array([names[i] for i in at], pa.binary()), pa.array([names[i] for i in root[at]], pa.binary())], ["a", "b"])
+            names = rows.column("d_class").combine_chunks()
+            return pa.RecordBatch.from_arrays([names.take(pa.array(at)), names.take(pa.array(root[at]))], ["a", "b"])
 
         for batch in batches:
-            marks = zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True)
-            rest = zip(*[batch.column(k).to_pylist() for k in (4, 3, 5, 6)], strict=True)
-            for mark, row in zip(marks, rest, strict=True):
-                if mark != last and held:
-                    yield flush()
-                    held = []
-                last = mark
-                held.append(row)
+            if not batch.num_rows:
+                continue
+            number = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+            cuts = np.flatnonzero((number != number[:, -1:]).any(axis=0))
+            last = int(cuts[-1]) + 1 if len(cuts) else 0
+            # the last unit may go on in the next batch
+            before = held and tuple(held[-1].column(k)[-1].as_py() for k in range(3)) != tuple(number[:, -1].tolist())
+            if last or before:
+                yield links(pa.Table.from_batches([*held, *[batch.slice(0, last)] * bool(last)]))
+                held = []
+            held.append(batch.slice(last))
         if held:
-            yield flush()
+            yield links(pa.Table.from_batches(held))
 
     return dealt.mapInArrow(run, "a binary, b binary")
 
@@ -267,19 +304,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows = stage(_profiles(docs, width), "profiles")
     whole = rows.where(F.col("d_class").isNotNull())
     # one signature of each class; equal sets have equal ones
-    marks = stage(whole.groupBy("d_class").agg(F.min("doc_id").alias("doc_id"), F.first("d_marks").alias("d_marks")), "classes")
+    marks = stage(whole.groupBy("d_class").agg(F.min("doc_id").alias("doc_id"), F.first("d_marks").alias("d_marks"), F.first("n_shingles").alias("n_shingles")), "classes")
 
     def keys(i: Column) -> Column:
-        return F.xxhash64(F.substring(F.col("d_marks"), i * (4 * ROWS) + 1, F.lit(4 * ROWS)), i)
+        return F.xxhash64(F.substring(F.col("d_marks"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)), i)
 
     banded = marks.select("d_class", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), keys)).alias("key"))
-    shared = banded.groupBy("key").agg(F.min("d_class").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    near = banded.join(shared.select("key", "lead"), "key").select(F.col("lead").alias("a"), F.col("d_class").alias("b"))
-    clusters = components(near)
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    begin = marks.select("d_class", F.substring("d_marks", 1, 2 * FIRST_PLACES).alias("d_marks"))
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int")
+    bucketed = banded.join(shared.withColumn("blocks", blocks), "key").join(begin, "d_class")
+    clusters = components(_spanned(bucketed.select(F.col("key").alias("group"), "blocks", "d_class", "d_marks"), percent))
     clusters = clusters.unionByName(clusters.select(F.col("b").alias("a"), "b").distinct()).select(F.col("a").alias("d_class"), F.col("b").alias("root"))
     members = stage(clusters.join(marks, "d_class"), "members")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK_ROWS), F.sum("n_shingles") * 8 / F.lit(BLOCK_BYTES))).cast("int")
+    sizes = members.groupBy("root").agg(blocks.alias("blocks"))
     sets = _sets_of(docs, members, width).dropDuplicates(["d_class"])
-    links = stage(_verified(members.select("root", "d_class", "d_marks").join(sets, "d_class"), percent), "links")
+    whole_sets = members.join(sizes, "root").select(F.xxhash64("root").alias("group"), "blocks", "d_class", "d_marks").join(sets, "d_class")
+    links = stage(_spanned(whole_sets, percent), "links")
     roots = components(links)
     # classes hold their smallest doc_id, so components are named from classes alone
     grouped = marks.select("d_class", "doc_id").join(roots.select(F.col("a").alias("d_class"), F.col("b").alias("root")), "d_class", "left").withColumn("root", F.coalesce("root", "d_class"))
