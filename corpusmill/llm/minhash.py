@@ -234,7 +234,9 @@ class _Verifier:
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(d_class, d_set) of the documents named in ``wanted`` (doc_id), made again from their texts."""
-    texts = docs.select("doc_id", "text").join(wanted.select(F.col("doc_id").alias("w_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi")
+    # by sorting at every size: the ids grow with the table, so no plan may rest on sending them to all
+    ids = wanted.select(F.col("doc_id").alias("w_id")).distinct().hint("merge")
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("w_id")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
