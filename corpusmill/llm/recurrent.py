@@ -8,10 +8,10 @@ other tokens share one class, inside which a token has its smoothed share of
 the training counts, so every token of the corpus counts, and unknown ones have
 a probability too.
 
-Counts cover all training documents. Backpropagation takes a stretch of every
-training document, in proportion to its length (``STRETCH``). Trainers work on
-parts of these stretches side by side and their weights are averaged, by a
-tree of grouped means, after each of ``ROUNDS`` rounds.
+Counts and backpropagation take every token of every training document. A
+document is learned from in one of ``ROUNDS`` rounds. In a round, trainers work
+on parts of its documents side by side, and their weights are averaged by a
+tree of grouped means.
 
 For scoring, documents meet the counts of their own block's words only, so
 neither the vocabulary nor a document set is held as a whole anywhere.
@@ -36,9 +36,8 @@ HEAD, CLASS, HIDDEN = 4096, 64, 32
 #: Bytes of text that make a block, and words kept while counting one.
 BLOCK_BYTES = 16 << 20
 COUNTED_WORDS = 400_000
-#: One byte in so many of a training document is learned from, at least LEAST_STRETCH.
-STRETCH, LEAST_STRETCH = 12, 256
 WINDOW, SEQUENCES, ROUNDS = 32, 64, 3
+#: Tokens of a trainer in one round.
 TRAINER_TOKENS = 400_000
 RATE = 0.01
 SCORED_AT_ONCE, SCORED_WINDOW = 256, 32
@@ -261,27 +260,21 @@ def _blocked(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "learn").mapInArrow(run, f"block long, doc_id {kinds['doc_id']}, text string")
 
 
-def _stretches(docs: DataFrame, place: dict[bytes, int], head: int) -> DataFrame:
-    """(salt, n, ids): a stretch of every training document, as ids that begin with the start."""
+def _id_type(head: int) -> type:
+    """Places of the head, of other tokens (``head``) and of the start (``head + 1``) fit into it."""
+    return np.uint16 if head + 2 <= 1 << 16 else np.int32
+
+
+def _streams(docs: DataFrame, place: dict[bytes, int], head: int) -> DataFrame:
+    """(salt, n, ids): every training document as the ids of all its tokens, after the start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             salts, sizes, rows = [], [], []
-            for text in batch.column(0).to_pylist():
-                data = (text or "").encode()
-                salt = zlib.crc32(data)
-                size = max(LEAST_STRETCH, len(data) // STRETCH)
-                at = salt % max(1, len(data) - size + 1)
-                words = data[at : at + size].lower().split()
-                # cut words at either side are left out; the end belongs to the text's own end
-                if at and words:
-                    words = words[1:]
-                if at + size < len(data):
-                    words = words[:-1]
-                else:
-                    words.append(END)
-                ids = np.array([head + 1, *(place.get(w, head) for w in words)], np.int32)
-                salts.append(salt)
+            for text in batch.column(0):
+                text = text.as_py()
+                ids = np.array([head + 1, *(place.get(w, head) for w in tokens_of(text))], _id_type(head))
+                salts.append(zlib.crc32((text or "").encode()))
                 sizes.append(len(ids))
                 rows.append(ids.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(salts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())], ["salt", "n", "ids"])
@@ -291,7 +284,8 @@ def _stretches(docs: DataFrame, place: dict[bytes, int], head: int) -> DataFrame
 
 def _averaged(parts: DataFrame, trainers: int) -> np.ndarray:
     """The mean of all weight vectors, by grouped means of FANOUT at a time."""
-    level = parts
+    # staged or dealt, all trainers run side by side; toLocalIterator alone would run one after another
+    level = parts if trainers > FANOUT else stage(parts, "weights")
     while trainers > FANOUT:
         trainers = -(-trainers // FANOUT)
 
@@ -353,9 +347,9 @@ def fit(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
         return None
     top = counts.where("n > 0").orderBy(F.desc("n"), "word").limit(head).collect()
     model = Model([bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.float64), int(sums[0]), int(sums[1]))
-    rows = stage(_stretches(docs, model.place, model.head), "stretches")
+    rows = stage(_streams(docs, model.place, model.head), "streams")
     tokens = rows.agg(F.sum("n")).first()[0] or 0
-    trainers = max(1, int(tokens) // TRAINER_TOKENS)
+    trainers = max(1, int(tokens) // (ROUNDS * TRAINER_TOKENS))
     shape = model.shape
     for k in range(ROUNDS):
         flat, rate = model.flat, RATE * (1 - 0.3 * k)
@@ -363,9 +357,9 @@ def fit(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
         def learn(batches: Iterator[pa.RecordBatch], flat=flat, rate=rate) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            stream = [np.frombuffer(x.as_buffer(), np.int32) for batch in batches for x in batch.column("ids")]
+            stream = [np.frombuffer(x.as_buffer(), _id_type(shape.head)) for batch in batches for x in batch.column("ids")]
             if stream:
-                whole = np.concatenate(stream)
+                whole = np.concatenate(stream).astype(np.int32)
                 new = train_part(flat, shape, whole, rate)
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([len(whole)], pa.int64()), pa.array([new.tobytes()], pa.binary())], ["trainer", "n", "weights"])
 

@@ -159,6 +159,21 @@ def test_lm_gradient_and_learning():
     assert model.scores([stream[:200]])[0] > before / 2
 
 
+def test_lm_learns_from_every_token(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{k % 50}" for k in range(3000 + i))) for i in range(12)] + [(50, None), (51, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("learn", F.col("doc_id") != 3)
+
+    def counting(flat, shape, stream, rate):
+        out = flat.copy()
+        out[0] += len(stream)
+        return out
+
+    monkeypatch.setattr(recurrent, "train_part", counting)
+    model = recurrent.fit(docs, recurrent._counted(docs).groupBy("word").agg(F.sum("n").alias("n")))
+    # each document has its start besides its tokens
+    assert abs(model.flat[0] - sum(len(recurrent.tokens_of(t)) + 1 for i, t in rows if i != 3)) < 1
+
+
 def test_lm_without_training_rows(spark, empty):
     assert recurrent.score_documents(empty).count() == 0
     only = spark.createDataFrame([(i, "a b") for i in range(300) if zlib.crc32(str(i).encode()) % 10 == 0], "doc_id long, text string")
