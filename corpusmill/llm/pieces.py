@@ -15,11 +15,12 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import table
+from corpusmill.llm.common import in_parts, table
 
 MARK = "▁"
 #: Chunks up to this length are cached, and a full cache is emptied.
@@ -129,14 +130,16 @@ class Normalizer:
                 chars, starts = [], []
         return "".join(chars), [*starts, at]
 
-    def text_of(self, text: str) -> str:
-        """The normalised text alone; short where the map changes nothing."""
-        if not self.plain:
-            return self.normalize(text)[0]
-        if not text:
-            return ""
-        out = (" " if self.dummy else "") + text
-        return out.replace(" ", MARK) if self.escape else out
+    def aligned(self, text: str) -> tuple[str, np.ndarray]:
+        """What ``normalize`` gives; without a map each character is its own step, and all are placed at once."""
+        if not self.plain or not text:
+            normal, starts = self.normalize(text)
+            return normal, np.array(starts, np.int32)
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts = np.flatnonzero((data & 0xC0) != 0x80)
+        normal = (" " if self.dummy else "") + text
+        starts = np.concatenate([np.zeros(int(self.dummy), np.int64), starts, [len(data)]]).astype(np.int32)
+        return normal.replace(" ", MARK) if self.escape else normal, starts
 
 
 class PieceCodec:
@@ -165,7 +168,7 @@ class PieceCodec:
         self.cut = None if inside else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.odd = {i for i, k in enumerate(self.kind) if k not in (NORMAL, USER)}
         self.number = [str(i) for i in range(len(self.kind))]
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        self.cache: dict[str, tuple[bytes, bytes, bytes | None]] = {}
 
     def chunks(self, normal: str) -> list[str]:
         return self.cut.findall(normal) if self.cut else [normal] if normal else []
@@ -194,61 +197,63 @@ class PieceCodec:
         for chunk, ids in zip(chunks, self.library.encode(chunks, num_threads=1), strict=True):
             self.cache[chunk] = self._part(chunk, ids)
 
-    def _part(self, chunk: str, ids: list[int]) -> tuple[int, str, str]:
-        # pieces that are neither bytes nor unknown spell the chunk
-        decoded = chunk.replace(MARK, " ") if self.odd.isdisjoint(ids) else self._decoded(ids)
-        return len(ids), ",".join([self.number[i] for i in ids]), decoded
+    def _part(self, chunk: str, ids: list[int]) -> tuple[bytes, bytes, bytes | None]:
+        """Ids of a chunk, the characters that each piece ends, and the place of byte pieces in their character (else -1), as int32; None without odd pieces."""
+        if self.odd.isdisjoint(ids):
+            return np.array(ids, np.int32).tobytes(), np.array([len(self.surface[i]) for i in ids], np.int32).tobytes(), None
+        sizes, places, at, k = [], [], 0, 0
+        for i in ids:
+            if self.kind[i] == BYTE:
+                places.append(k)
+                k += 1
+                sizes.append(int(k == len(chunk[at].encode())))
+                k = 0 if sizes[-1] else k
+            else:
+                places.append(-1)
+                sizes.append(len(self.surface[i]) if self.kind[i] != UNKNOWN else 1)
+            at += sizes[-1]
+        return tuple([np.array(x, np.int32).tobytes() for x in (ids, sizes, places)])
+
+    def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, first and end bytes of the pieces; bytes are those of the source in UTF-8.
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, the ids joined by commas, and the decoded text."""
-        chunks = self.chunks(self.normalizer.text_of(text))
+        A byte piece covers its own byte where the character was not changed,
+        and the whole source of the character where it was.
+        """
+        normal, source = self.normalizer.aligned(text)
+        chunks = self.chunks(normal)
         cache = self.cache
         missing = {c for c in chunks if c not in cache}
         long = {c for c in missing if len(c) > CACHED_LENGTH}
         if missing:
             self.learn([*(missing - long)] if len(cache) + len(missing) <= CACHE_ENTRIES else [c for c in set(chunks) if len(c) <= CACHED_LENGTH])
+        found = {}
         if long:
             listed = [*long]
             found = {c: self._part(c, i) for c, i in zip(listed, self.library.encode(listed, num_threads=1), strict=True)}
-            parts = [found.get(c) or cache[c] for c in chunks]
-        else:
-            parts = [cache[c] for c in chunks]
-        decoded = "".join([p[2] for p in parts])
-        if self.normalizer.dummy and decoded.startswith(" "):
-            decoded = decoded[1:]
-        return sum([p[0] for p in parts]), ",".join([p[1] for p in parts]), decoded
+        parts = [found.get(c) or cache[c] for c in chunks] if found else [cache[c] for c in chunks]
+        ids = np.frombuffer(b"".join([p[0] for p in parts]), np.int32)
+        sizes = np.frombuffer(b"".join([p[1] for p in parts]), np.int32)
+        ends = np.cumsum(sizes)
+        at = ends - sizes
+        first, end = source[at], source[np.minimum(ends, len(source) - 1)]
+        if any([p[2] for p in parts]):
+            data = text.encode()
+            places = np.frombuffer(b"".join([p[2] or b"\xff" * len(p[0]) for p in parts]), np.int32)
+            for n in np.flatnonzero(places >= 0).tolist():
+                k, a, b = int(places[n]), int(source[at[n]]), int(source[min(at[n] + 1, len(source) - 1)])
+                same = data[a:b] == normal[at[n]].encode()
+                first[n], end[n] = (a + k, a + k + 1) if same else (a, b)
+        return ids, first, end
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
-        """(id, first byte, end byte) of each piece; bytes are those of the source in UTF-8.
-
-        A byte piece covers its own byte where the character was not changed,
-        and the whole source of the character where it was.
-        """
-        normal, starts = self.normalizer.normalize(text)
-        data, out, at = text.encode(), [], 0
-        for chunk in self.chunks(normal):
-            raw: list[int] = []
-            for i in self.library.encode(chunk):
-                if self.kind[i] == BYTE:
-                    raw.append(i)
-                    char = normal[at].encode()
-                    first, end = starts[at], self._end(starts, at + 1)
-                    same = data[first:end] == char
-                    out.append((i, first + len(raw) - 1, first + len(raw)) if same else (i, first, end))
-                    if len(raw) == len(char):
-                        raw, at = [], at + 1
-                else:
-                    size = len(self.surface[i]) if self.kind[i] != UNKNOWN else 1
-                    out.append((i, starts[at], self._end(starts, at + size)))
-                    at += size
-        return out
-
-    @staticmethod
-    def _end(starts: list[int], at: int) -> int:
-        return starts[min(at, len(starts) - 1)]
+        """(id, first byte, end byte) of each piece."""
+        ids, first, end = self.arrays(text)
+        return [*zip(ids.tolist(), first.tolist(), end.tolist(), strict=True)]
 
     def decode(self, ids: list[int]) -> str:
-        out = self._decoded(ids)
+        # pieces that are neither bytes nor unknown spell the text
+        out = "".join([self.surface[i] for i in ids]).replace(MARK, " ") if self.odd.isdisjoint(ids) else self._decoded(ids)
         return out[1:] if self.normalizer.dummy and out.startswith(" ") else out
 
 
@@ -282,37 +287,35 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches):
         codec = _codec(path)
-        for batch in batches:
-            spans = [codec.spans(t or "") for t in batch.column(own.index("text")).to_pylist()]
-            new = [pa.array([[s[k] for s in row] for row in spans], pa.list_(pa.int32())) for k in range(3)]
+        for batch in in_parts(batches, own.index("text")):
+            rows = [codec.arrays(t.as_py() or "") for t in batch.column(own.index("text"))]
+            cuts = pa.array(np.cumsum([0, *(len(r[0]) for r in rows)]), pa.int32())
+            new = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate([r[k] for r in rows]), pa.int32())) for k in range(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*own, "ids", "starts", "ends"])
 
     return docs.select(*own).mapInArrow(run, schema)
 
 
 def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each (doc_id, text).
-
-    The same codec as ``encode``; ids and decoded texts are hashed in the task
-    and only their digests leave it.
-    """
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each (doc_id, text), all taken from the ids that ``encode`` gives."""
 
     def run(batches):
         codec = _codec(path)
         for batch in batches:
             out = ([], [], [])
-            for t in batch.column(1):
-                n, ids, decoded = codec.digest(t.as_py() or "")
-                out[0].append(n)
-                out[1].append(hashlib.sha256(ids.encode()).hexdigest())
-                out[2].append(hashlib.sha256(decoded.encode()).hexdigest())
+            for row in batch.column(1):
+                ids = row.values.to_numpy(zero_copy_only=False).tolist()
+                out[0].append(len(ids))
+                out[1].append(hashlib.sha256(",".join([codec.number[i] for i in ids]).encode()).hexdigest())
+                out[2].append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    encoded = encode(docs.select("doc_id", "text"), path).select("doc_id", "ids")
+    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def decode(rows: DataFrame, path: str | None = None) -> DataFrame:

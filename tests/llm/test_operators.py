@@ -398,6 +398,18 @@ def test_pieces_equal_the_library(spark, library):
         assert b"".join(t.encode()[a:b] for a, b in zip(r.starts, r.ends, strict=True)) == t.encode()
 
 
+def test_digests_come_from_encode(spark, monkeypatch):
+    docs = spark.createDataFrame([*enumerate(TEXTS)], "doc_id long, text string")
+    plain, sha = pieces.encode, lambda s: hashlib.sha256(s.encode()).hexdigest()
+    monkeypatch.setattr(pieces, "encode", lambda d, path=None: plain(d, path).withColumn("ids", F.expr("transform(ids, (x, i) -> starts[i] + ends[i] + 300)")))
+    want = {r.doc_id: ",".join(str(a + b + 300) for a, b in zip(r.starts, r.ends, strict=True)) for r in plain(docs).collect()}
+    assert {r.doc_id: r.ids_sha256 for r in pieces.encode_digests(docs).collect()} == {k: sha(v) for k, v in want.items()}
+    codec = pieces.PieceCodec(pieces.model_path())
+    for t in TEXTS:
+        normal, starts = codec.normalizer.aligned(t)
+        assert (normal, starts.tolist()) == codec.normalizer.normalize(t)
+
+
 def double_array(keys):
     """A compiled map's trie, built by brute force, and its blob."""
     import struct
