@@ -33,13 +33,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/corpusmill-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "t") -> DataFrame:
+def stage(df: DataFrame, name: str = "t", compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     It cuts the lineage, and a lost executor costs no recomputation.
     """
     path = f"{scratch_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

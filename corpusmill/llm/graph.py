@@ -10,14 +10,18 @@ from corpusmill.llm.common import stage
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One large-star or small-star step over (a, b) with a > b."""
+    """One large-star or small-star step over (a, b) with a > b.
+
+    The smallest neighbours are staged, so in the join every node stands once
+    on their side and the node with most edges on the other can be split.
+    """
     if large:
         # every node with all its neighbours; the larger ones move to the smallest
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = stage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
         moved = both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        low = edges.groupBy("a").agg(F.min("b").alias("m"))
+        low = stage(edges.groupBy("a").agg(F.min("b").alias("m")), "low")
         moved = edges.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
     return moved.where(F.col("a") != F.col("b")).distinct()
 
@@ -26,7 +30,8 @@ def _settled(edges: DataFrame) -> bool:
     """Whether the edges are stars: no node has two edges down, and no node that has one is another's end."""
     if not edges.groupBy("a").count().where("count > 1").isEmpty():
         return False
-    return edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_semi").isEmpty()
+    ends = edges.groupBy(F.col("b").alias("a")).agg(F.lit(1).alias("is_end"))
+    return edges.select("a").join(ends, "a", "left_semi").isEmpty()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

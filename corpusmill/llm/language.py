@@ -28,7 +28,6 @@ PENALTY = 6.0
 STEPS = 12
 #: Words kept in a task's table of word likelihoods before it is emptied.
 KNOWN_WORDS = 200_000
-LETTER = re.compile(r"[^\W\d_]")
 _TEXT = re.compile(r"[^\W\d_]+")
 
 
@@ -53,7 +52,11 @@ def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(text: str) -> list[str]:
-    return _TEXT.findall(text.lower())
+    """Runs of letters in lower case; signs of numbers that the pattern takes for letters cut them."""
+    out = _TEXT.findall(text.lower())
+    if all(map(str.isalpha, out)):
+        return out
+    return [w for run in out for w in "".join([c if c.isalpha() else " " for c in run]).split()]
 
 
 def fit(docs: DataFrame, holdout: int = 5) -> tuple[list[str], np.ndarray]:
@@ -61,7 +64,8 @@ def fit(docs: DataFrame, holdout: int = 5) -> tuple[list[str], np.ndarray]:
 
     Learns from rows with a language and a text whose crc32(doc_id) modulo
     ``holdout`` is not 0 (all such rows if 0). What comes to the driver is a
-    count for each bin and language, however many documents there are.
+    count for each bin and distinct ``lang``, however many documents there
+    are; so ``lang`` must be a column of labels, some thousand at most.
     """
     chosen = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if holdout:
@@ -138,8 +142,12 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: floa
     """``docs`` with l_lang, l_score, l_langs and l_shares.
 
     ``und`` with score 0 and empty lists if the text is null or has no letter,
-    or if nothing was learned. Ties go to the language that sorts first. Other
-    columns pass through unless they bear one of those names.
+    or if nothing was learned; letters are the characters of Unicode category
+    L, so numeric signs such as a raised two are none. l_score is the share of
+    the words that the first language makes up: a text of one language scores
+    1, whatever the evidence, so it is no probability. Ties go to the language
+    that sorts first. Repeated rows are scored alike; a text of any length is
+    read whole. Other columns pass through unless they bear one of those names.
     """
     langs, table_ = model
     table_t = np.ascontiguousarray(table_.T)

@@ -7,13 +7,16 @@ cosines of members with members and with probing vectors are computed in double
 precision, in blocks; only counts and a spanning set of links leave the task.
 A pair that meets in several tables counts where it meets first.
 
-Equal vectors are one class with a weight. Cells above ``BLOCK`` entries are
+Equal vectors are one class with a weight, named by a digest. Vectors whose
+components are all single-precision numbers travel as such, which loses
+nothing. Cells above ``BLOCK`` entries are
 cut into blocks and each pair of blocks is a task's unit, so no cell is one
 task's work.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm.common import stage, table
 from corpusmill.llm.graph import components, spanning
 
-TABLES, PROBES = 8, 4
+TABLES, PROBES = 5, 4
 #: Lattice step against the expected projected length of a unit vector's part.
 STEP = 0.5657
 BLOCK = 1024
@@ -105,11 +108,28 @@ class Lattice:
         return out
 
 
-def _unit(raw: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows over their length; by their largest component first, so that squares neither vanish nor overflow."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """A vector's bytes, in single precision (marked by a first byte) where that is exact; -0.0 becomes 0.0."""
+    x = x + 0.0
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return b"4" + short.tobytes() if (short == x).all() else b"8" + x.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.float32 if raw[:1] == b"4" else np.float64, offset=1).astype(np.float64)
+
+
+def _unit(raw: list[bytes]) -> np.ndarray:
+    return scaled(np.stack([*map(_unpacked, raw)]))
+
+
 def _first_meeting(ca: np.ndarray, cb: np.ndarray, table_: int, kind: np.ndarray) -> np.ndarray:
     """Whether pairs (cells of a, cells of b; a the smaller row) meet nowhere before (table, kind).
 
@@ -170,7 +190,7 @@ class _Unit:
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, tables: int = TABLES, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
-    """vec_id, n_links, component_id and kept for each row of (vec_id, embedding).
+    """vec_id, n_links, component_id and kept for each row of (vec_id, embedding); other columns are not read.
 
     Vectors that are null, empty, zero or hold null or non-finite components
     link with nothing and keep their own component; so do vectors of another
@@ -179,22 +199,30 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, tables: int = TABL
     table gives an empty table.
     """
     kind = dict(vectors.dtypes)["vec_id"]
-    as_double = F.transform(F.col("embedding"), lambda x: x.cast("double"))
-    fine = F.forall(as_double, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(as_double, lambda x: x != 0)
-    rows = stage(vectors.select("vec_id", F.when(fine, as_double).alias("v")).withColumn("row", F.monotonically_increasing_id()), "rows")
-    classes = stage(rows.where("v is not null").groupBy("v").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("weight")), "classes")
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = []
+            for v in batch.column(1):
+                x = None if not v.is_valid or v.values.null_count else v.values.to_numpy(zero_copy_only=False).astype(np.float64)
+                raw.append(_packed(x) if x is not None and np.isfinite(x).all() and x.any() else None)
+            names = [r and hashlib.blake2b(r, digest_size=16).digest() for r in raw]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.binary()), pa.array(raw, pa.binary())], ["vec_id", "v", "raw"])
+
+    rows = stage(vectors.select("vec_id", "embedding").mapInArrow(named, f"vec_id {kind}, v binary, raw binary"), "rows")
+    classes = rows.where("v is not null").groupBy("v").agg(F.first("raw").alias("raw"), F.count(F.lit(1)).alias("weight"))
+    classes = stage(classes.withColumn("row", F.monotonically_increasing_id()), "classes")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, Lattice] = {}
         for batch in batches:
-            rows_, lists = batch.column(0).to_numpy(), batch.column(1)
-            sizes = np.diff(lists.offsets.to_numpy())
+            rows_, vectors_ = batch.column(0).to_numpy(), [*map(_unpacked, batch.column(1).to_pylist())]
+            sizes = np.fromiter(map(len, vectors_), np.int64, len(vectors_))
             for d in np.unique(sizes):
                 at = np.flatnonzero(sizes == d)
                 if d not in known:
                     known[d] = Lattice(int(d), threshold, tables, probes)
-                x = np.asarray(lists.take(pa.array(at)).flatten(), np.float64).reshape(len(at), d)
-                cells = known[d].cells(x / np.sqrt((x * x).sum(axis=1))[:, None])
+                cells = known[d].cells(scaled(np.stack([vectors_[i] for i in at])))
                 shape = cells.shape
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -206,7 +234,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, tables: int = TABL
                     ["row", "t", "cell", "member"],
                 )
 
-    entries = stage(classes.select("row", "v").mapInArrow(hashed, "row long, t int, cell long, member boolean"), "entries")
+    entries = stage(classes.select("row", "raw").mapInArrow(hashed, "row long, t int, cell long, member boolean"), "entries")
     sizes = entries.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("member").cast("int")).alias("m")).where("n > 1 and m > 0")
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("row", "t"), F.col("blocks")).cast("int")
@@ -217,14 +245,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, tables: int = TABL
         .select("row", "t", "cell", "member", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     )
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [np.asarray(x, np.float64).tobytes() for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], ["row", "weight", "raw"])
-
-    carried = stage(classes.select("row", "weight", "v").mapInArrow(packed, "row long, weight long, raw binary"), "packed")
     keys = ["t", "cell", "lo", "hi"]
-    dealt = placed.join(carried, "row").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = placed.join(classes.select("row", "weight", "raw"), "row").repartition(*keys).sortWithinPartitions(*keys)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = _Unit(threshold, tables, probes)
@@ -236,10 +258,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, tables: int = TABL
                 return None
             raw = whole.column("raw").to_pylist()
             # a number of the hash can name cells of two lengths
-            lengths = {len(r) for r in raw}
+            sizes = np.fromiter((len(r) // (4 if r[:1] == b"4" else 8) for r in raw), np.int64, len(raw))
             out = []
-            for size in lengths:
-                at = np.flatnonzero(np.fromiter(map(len, raw), np.int64, len(raw)) == size)
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
                 part = whole.take(pa.array(at))
                 cols = [part.column(c).to_numpy() for c in ("row", "member", "block", "weight")]
                 out.append(unit.links(int(part.column("t")[0].as_py()), *cols, [raw[i] for i in at]))
@@ -266,11 +288,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, tables: int = TABL
     found = stage(dealt.select("row", "t", "cell", "member", "block", "lo", "hi", "weight", "raw").mapInArrow(meet, "row long, n long, root long"), "found")
     links = found.groupBy("row").agg(F.sum("n").alias("links"))
     roots = components(found.select(F.col("row").alias("a"), F.col("root").alias("b")))
-    named = (
-        classes.join(links, "row", "left").join(roots.select(F.col("a").alias("row"), F.col("b").alias("root")), "row", "left")
+    found_links = (
+        classes.select("row", "v", "weight").join(links, "row", "left").join(roots.select(F.col("a").alias("row"), F.col("b").alias("root")), "row", "left")
         .select("v", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "row").alias("root"))
     )
-    whole = stage(rows.join(named, "v", "left"), "named")
+    whole = stage(rows.select("vec_id", "v").join(found_links, "v", "left"), "named")
     least = whole.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("component_id"))
     out = whole.join(least, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))

@@ -248,14 +248,14 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _spanned(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): a spanning set of the links among members (group, blocks, d_class, d_marks, and d_set or not) of one group.
+    """(a, b): a spanning set of the links among members (group, blocks, c_id, d_marks, and d_set or not) of one group.
 
     The group is cut into ``blocks``. Without d_set a link is what the signatures at hand do not rule out.
     """
     exact = "d_set" in members.columns
-    keys, rest = ["group", "lo", "hi"], ["d_class", "d_marks", *["d_set"] * exact]
+    keys, rest = ["group", "lo", "hi"], ["c_id", "d_marks", *["d_set"] * exact]
     dealt = (
-        members.withColumn("block", F.pmod(F.xxhash64("d_class"), F.col("blocks")).cast("int"))
+        members.withColumn("block", F.pmod(F.xxhash64("c_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", *rest)
         .repartition(*keys).sortWithinPartitions(*keys)
@@ -272,7 +272,7 @@ def _spanned(members: DataFrame, percent: int) -> DataFrame:
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("d_set")] if exact else None
             root = verifier.roots(unit, rows.column("block").to_numpy(), marks, sets)
             at = np.flatnonzero(root != np.arange(len(root)))
-            names = rows.column("d_class").combine_chunks()
+            names = rows.column("c_id").combine_chunks()
             return pa.RecordBatch.from_arrays([names.take(pa.array(at)), names.take(pa.array(root[at]))], ["a", "b"])
 
         for batch in batches:
@@ -290,7 +290,7 @@ def _spanned(members: DataFrame, percent: int) -> DataFrame:
         if held:
             yield links(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, "a binary, b binary")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -305,28 +305,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     """
     rows = stage(_profiles(docs, width), "profiles")
     whole = rows.where(F.col("d_class").isNotNull())
-    # one signature of each class; equal sets have equal ones
-    marks = stage(whole.groupBy("d_class").agg(F.min("doc_id").alias("doc_id"), F.first("d_marks").alias("d_marks"), F.first("n_shingles").alias("n_shingles")), "classes")
+    # one signature of each class, equal sets have equal ones; from here on a number stands for a class
+    marks = whole.groupBy("d_class").agg(F.min("doc_id").alias("doc_id"), F.first("d_marks").alias("d_marks"), F.first("n_shingles").alias("n_shingles"))
+    marks = stage(marks.withColumn("c_id", F.monotonically_increasing_id()), "classes")
 
     def keys(i: Column) -> Column:
         return F.xxhash64(F.substring(F.col("d_marks"), i * (2 * ROWS) + 1, F.lit(2 * ROWS)), i)
 
-    banded = marks.select("d_class", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), keys)).alias("key"))
+    banded = marks.select("c_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), keys)).alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    begin = marks.select("d_class", F.substring("d_marks", 1, 2 * FIRST_PLACES).alias("d_marks"))
+    begin = marks.select("c_id", F.substring("d_marks", 1, 2 * FIRST_PLACES).alias("d_marks"))
     blocks = F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int")
-    bucketed = banded.join(shared.withColumn("blocks", blocks), "key").join(begin, "d_class")
-    clusters = components(_spanned(bucketed.select(F.col("key").alias("group"), "blocks", "d_class", "d_marks"), percent))
-    clusters = clusters.unionByName(clusters.select(F.col("b").alias("a"), "b").distinct()).select(F.col("a").alias("d_class"), F.col("b").alias("root"))
-    members = stage(clusters.join(marks, "d_class"), "members")
+    bucketed = banded.join(shared.withColumn("blocks", blocks), "key").join(begin, "c_id")
+    clusters = components(_spanned(bucketed.select(F.col("key").alias("group"), "blocks", "c_id", "d_marks"), percent))
+    clusters = clusters.unionByName(clusters.select(F.col("b").alias("a"), "b").distinct()).select(F.col("a").alias("c_id"), F.col("b").alias("root"))
+    members = stage(clusters.join(marks, "c_id"), "members")
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK_ROWS), F.sum("n_shingles") * 8 / F.lit(BLOCK_BYTES))).cast("int")
     sizes = members.groupBy("root").agg(blocks.alias("blocks"))
     sets = _sets_of(docs, members, width).dropDuplicates(["d_class"])
-    whole_sets = members.join(sizes, "root").select(F.xxhash64("root").alias("group"), "blocks", "d_class", "d_marks").join(sets, "d_class")
+    whole_sets = members.join(sizes, "root").select(F.col("root").alias("group"), "blocks", "c_id", "d_class", "d_marks").join(sets, "d_class").drop("d_class")
     links = stage(_spanned(whole_sets, percent), "links")
     roots = components(links)
     # classes hold their smallest doc_id, so components are named from classes alone
-    grouped = marks.select("d_class", "doc_id").join(roots.select(F.col("a").alias("d_class"), F.col("b").alias("root")), "d_class", "left").withColumn("root", F.coalesce("root", "d_class"))
+    grouped = marks.select("c_id", "d_class", "doc_id").join(roots.select(F.col("a").alias("c_id"), F.col("b").alias("root")), "c_id", "left").withColumn("root", F.coalesce("root", "c_id"))
     grouped = stage(grouped, "grouped")
     named = grouped.join(grouped.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("d_class", "component_id")
     out = rows.select("doc_id", "n_shingles", "d_class").join(named, "d_class", "left")

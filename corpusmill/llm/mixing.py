@@ -6,11 +6,12 @@ prefix sum of expected copies at a document is that ratio times its rank. One
 random offset is added and a copy is emitted for each integer that the prefix
 sum crosses on the document.
 
-Ranks are found without putting a source into one task: rows are dealt by
-(source, size band, hash part), a table of counts gives the number of rows
-before each part, and the rank inside a part is a row number over some
-thousand rows. Sorting by size makes neighbours in rank alike in size, which
-holds the words taken near the target.
+Within a source documents stand by size band (an eighth of a doubling), then by
+a hash of doc_id and text, at every size of the table. Neighbours in rank are
+alike in size, which holds the words taken near the target. Ranks are found
+without putting a source into one task: a band is cut into ranges of the hash
+of about ``PART_ROWS`` rows, a table of counts gives the number of rows before
+each range, and the rank inside a range is a row number.
 """
 
 from __future__ import annotations
@@ -23,13 +24,13 @@ from corpusmill.llm.common import n_words, stage, table
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CEILING = 2.0
-#: Mean rows of a hash part; the number of parts grows with the input.
-PART_ROWS = 4096
+#: Mean rows of a range of hashes; their number grows with the input and does not change the order.
+PART_ROWS = 1024
 
 _KEYS = ("m_null", "m_src", "m_band", "m_part")
 #: What ``mix`` adds, and what it needs on the way.
 ADDED = ("m_size", "m_source_size", "m_target", "m_copies")
-_OWN = (*ADDED, *_KEYS, "m_before", "m_rank", "m_ratio", "m_u", "m_copy")
+_OWN = (*ADDED, *_KEYS, "m_hash", "m_parts", "m_before", "m_rank", "m_ratio", "m_u", "m_copy")
 
 
 def _offset(source: Column, seed: int) -> Column:
@@ -74,46 +75,53 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling: fl
     )
 
 
+def _band(size: Column) -> Column:
+    """Sizes by their four highest bits."""
+    bits = F.length(F.bin(size))
+    return (bits * 16 + F.when(bits > 4, F.expr("shiftright(m_size, length(bin(m_size)) - 4)")).otherwise(size)).cast("int")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling: float = CEILING, seed: int = 17) -> DataFrame:
     """``docs`` with m_size, m_source_size, m_target and m_copies added.
 
     ``docs`` needs doc_id, text and source; other columns pass through. A null
-    text has size 0, a null source is a source of its own that comes last.
-    Repeated rows are sampled one by one. Documents of a source whose size is
-    0 get no copies. An empty table gives an empty table. Columns of ``docs``
-    that bear a name of this operator's own (``_OWN``) are replaced.
+    text has size 0, a null source is a source of its own that comes last, a
+    null doc_id counts as empty text in the hash. Ties go by doc_id, nulls
+    first; rows alike in all three are interchangeable, and since nothing
+    tells them apart they share one range. Repeated rows are sampled one by
+    one. Documents of a source whose size is 0 get no copies. An empty table
+    gives an empty table. Columns of ``docs`` that bear a name of this
+    operator's own (``_OWN``) are replaced.
     """
     docs = docs.drop(*_OWN)
-    parts = max(1, -(-docs.count() // PART_ROWS))
+    digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col("text"), F.lit(""))))
     sized = (
         docs.withColumn("m_size", n_words(F.col("text")))
         .withColumn("m_null", F.col("source").isNull())
         .withColumn("m_src", F.coalesce(F.col("source").cast("string"), F.lit("")))
-        .withColumn("m_band", F.length(F.bin("m_size")))
-        .withColumn("m_part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) if parts > 1 else F.lit(0))
+        .withColumn("m_band", _band(F.col("m_size")))
+        .withColumn("m_hash", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"))
     )
-    counts = stage(sized.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("m_size").alias("w")), "counts")
-    plan = targets(counts.groupBy("m_null", "m_src").agg(F.sum("w").alias("source_size")), weights, share, ceiling)
+    band = ["m_null", "m_src", "m_band"]
+    bands = stage(sized.groupBy(*band).agg(F.count(F.lit(1)).alias("n"), F.sum("m_size").alias("w")), "bands")
+    plan = targets(bands.groupBy("m_null", "m_src").agg(F.sum("w").alias("source_size")), weights, share, ceiling)
 
     def running(*by: str, order: str) -> Column:
         span = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("n").over(span), F.lit(0))
 
-    bands = counts.groupBy("m_null", "m_src", "m_band").agg(F.sum("n").alias("n"))
-    bands = bands.select("m_null", "m_src", "m_band", running("m_null", "m_src", order="m_band").alias("in_bands"))
-    starts = (
-        counts.withColumn("in_parts", running("m_null", "m_src", "m_band", order="m_part"))
-        .join(bands, ["m_null", "m_src", "m_band"])
-        .join(plan, ["m_null", "m_src"])
-        .select(*_KEYS, (F.col("in_bands") + F.col("in_parts")).alias("m_before"), F.col("source_size").alias("m_source_size"), F.col("target").alias("m_target"))
-    )
-    starts = stage(starts, "starts")
-    inside = F.row_number().over(Window.partitionBy(*_KEYS).orderBy("m_size", "doc_id"))
+    bands = bands.withColumn("in_bands", running("m_null", "m_src", order="m_band")).withColumn("m_parts", F.ceil(F.col("n") / F.lit(PART_ROWS)))
+    bands = stage(bands.join(plan, ["m_null", "m_src"]).select(*band, "m_parts", "in_bands", F.col("source_size").alias("m_source_size"), F.col("target").alias("m_target")), "plan")
+    # ranges of the hash, so that a finer cut leaves the order alone
+    dealt = sized.join(bands, band).withColumn("m_part", F.floor(F.col("m_hash") * F.col("m_parts") / F.lit(4294967296.0)).cast("int"))
+    counts = stage(dealt.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("n")), "counts")
+    starts = stage(counts.select(*_KEYS, running(*band, order="m_part").alias("in_parts")), "starts")
+    inside = F.row_number().over(Window.partitionBy(*_KEYS).orderBy("m_hash", F.asc_nulls_first("doc_id")))
     ratio = F.when(F.col("m_source_size") > 0, F.col("m_target") / F.col("m_source_size")).otherwise(F.lit(0.0))
     u = _offset(F.concat(F.col("m_null").cast("string"), F.lit("|"), F.col("m_src")), seed)
-    rank = (F.col("m_before") + inside).cast("double")
+    rank = (F.col("in_bands") + F.col("in_parts") + inside).cast("double")
     return (
-        sized.join(starts, list(_KEYS))
+        dealt.join(starts, list(_KEYS))
         .withColumn("m_rank", rank)
         .withColumn("m_ratio", ratio)
         .withColumn("m_u", u)
@@ -143,11 +151,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Holds while the table has at most PART_ROWS documents (one hash part).
 OP5_SQL = r"""
 with sized as (
   select doc_id, source is null as is_null, coalesce(source, '') as src,
-         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+         cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '|' || coalesce(text, '')), 1, 8) as bigint) as h
   from documents),
 sizes as (select is_null, src, cast(sum(size) as bigint) as source_size from sized group by all),
 ranked as (
@@ -167,7 +175,7 @@ plan as (
 placed as (
   select s.doc_id, s.size, p.source_size, p.target, p.u,
          case when p.source_size > 0 then p.target / p.source_size else 0 end as ratio,
-         row_number() over (partition by s.is_null, s.src order by length(bin(s.size)), s.size, s.doc_id) as k
+         row_number() over (partition by s.is_null, s.src order by length(bin(s.size)) * 16 + (s.size >> greatest(length(bin(s.size)) - 4, 0)), s.h, s.doc_id nulls first) as k
   from sized s join plan p using (is_null, src)),
 copied as (
   select *, cast(floor(ratio * k + u) - floor(ratio * (k - 1) + u) as bigint) as copies from placed)

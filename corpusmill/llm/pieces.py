@@ -168,7 +168,8 @@ class PieceCodec:
         self.cut = None if inside else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.odd = {i for i, k in enumerate(self.kind) if k not in (NORMAL, USER)}
         self.number = [str(i) for i in range(len(self.kind))]
-        self.cache: dict[str, tuple[bytes, bytes, bytes | None]] = {}
+        #: By chunk: ids, characters that each piece ends, places of byte pieces, text decoded from the ids, decimal ids.
+        self.cache: dict[str, tuple[bytes, bytes, bytes | None, bytes, bytes]] = {}
 
     def chunks(self, normal: str) -> list[str]:
         return self.cut.findall(normal) if self.cut else [normal] if normal else []
@@ -197,10 +198,13 @@ class PieceCodec:
         for chunk, ids in zip(chunks, self.library.encode(chunks, num_threads=1), strict=True):
             self.cache[chunk] = self._part(chunk, ids)
 
-    def _part(self, chunk: str, ids: list[int]) -> tuple[bytes, bytes, bytes | None]:
-        """Ids of a chunk, the characters that each piece ends, and the place of byte pieces in their character (else -1), as int32; None without odd pieces."""
+    def _part(self, chunk: str, ids: list[int]) -> tuple[bytes, bytes, bytes | None, bytes, bytes]:
+        """Ids of a chunk, the characters that each piece ends, and the place of byte pieces in their character (else -1), as int32; None without odd pieces. Then what the ids decode to and their decimals."""
+        numbers = "".join([self.number[i] + "," for i in ids]).encode()
         if self.odd.isdisjoint(ids):
-            return np.array(ids, np.int32).tobytes(), np.array([len(self.surface[i]) for i in ids], np.int32).tobytes(), None
+            pieces = [self.surface[i] for i in ids]
+            decoded = "".join(pieces).replace(MARK, " ").encode()
+            return np.array(ids, np.int32).tobytes(), np.array([*map(len, pieces)], np.int32).tobytes(), None, decoded, numbers
         sizes, places, at, k = [], [], 0, 0
         for i in ids:
             if self.kind[i] == BYTE:
@@ -212,39 +216,63 @@ class PieceCodec:
                 places.append(-1)
                 sizes.append(len(self.surface[i]) if self.kind[i] != UNKNOWN else 1)
             at += sizes[-1]
-        return tuple([np.array(x, np.int32).tobytes() for x in (ids, sizes, places)])
+        return *[np.array(x, np.int32).tobytes() for x in (ids, sizes, places)], self._decoded(ids).encode(), numbers
 
-    def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, first and end bytes of the pieces; bytes are those of the source in UTF-8.
-
-        A byte piece covers its own byte where the character was not changed,
-        and the whole source of the character where it was.
-        """
-        normal, source = self.normalizer.aligned(text)
+    def _parts(self, normal: str) -> list[tuple[bytes, bytes, bytes | None, bytes, bytes]]:
+        """The entries of all chunks of a normalised text."""
         chunks = self.chunks(normal)
         cache = self.cache
+        try:
+            return [*map(cache.__getitem__, chunks)]
+        except KeyError:
+            pass
         missing = {c for c in chunks if c not in cache}
         long = {c for c in missing if len(c) > CACHED_LENGTH}
-        if missing:
-            self.learn([*(missing - long)] if len(cache) + len(missing) <= CACHE_ENTRIES else [c for c in set(chunks) if len(c) <= CACHED_LENGTH])
+        self.learn([*(missing - long)] if len(cache) + len(missing) <= CACHE_ENTRIES else [c for c in set(chunks) if len(c) <= CACHED_LENGTH])
         found = {}
         if long:
             listed = [*long]
             found = {c: self._part(c, i) for c, i in zip(listed, self.library.encode(listed, num_threads=1), strict=True)}
-        parts = [found.get(c) or cache[c] for c in chunks] if found else [cache[c] for c in chunks]
+        return [found.get(c) or cache[c] for c in chunks] if found else [*map(cache.__getitem__, chunks)]
+
+    def _projected(self, text: str, normal: str, source: np.ndarray, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and the bytes of the source at which pieces begin and end."""
         ids = np.frombuffer(b"".join([p[0] for p in parts]), np.int32)
-        sizes = np.frombuffer(b"".join([p[1] for p in parts]), np.int32)
-        ends = np.cumsum(sizes)
-        at = ends - sizes
-        first, end = source[at], source[np.minimum(ends, len(source) - 1)]
+        ends = np.cumsum(np.frombuffer(b"".join([p[1] for p in parts]), np.int32), dtype=np.int32)
+        at = np.empty_like(ends)
+        at[:1], at[1:] = 0, ends[:-1]
         if any([p[2] for p in parts]):
+            first, end = source[at], source[np.minimum(ends, len(source) - 1)]
             data = text.encode()
             places = np.frombuffer(b"".join([p[2] or b"\xff" * len(p[0]) for p in parts]), np.int32)
             for n in np.flatnonzero(places >= 0).tolist():
                 k, a, b = int(places[n]), int(source[at[n]]), int(source[min(at[n] + 1, len(source) - 1)])
                 same = data[a:b] == normal[at[n]].encode()
                 first[n], end[n] = (a + k, a + k + 1) if same else (a, b)
-        return ids, first, end
+            return ids, first, end
+        # pieces join: each begins where the one before ends
+        bounds = source[ends]
+        first = np.empty_like(bounds)
+        first[:1], first[1:] = source[:1], bounds[:-1]
+        return ids, first, bounds
+
+    def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, first and end bytes of the pieces; bytes are those of the source in UTF-8.
+
+        A byte piece covers its own byte where the character was not changed,
+        and the whole source of the character where it was.
+        """
+        normal, source = self.normalizer.aligned(text)
+        return self._projected(text, normal, source, self._parts(normal))
+
+    def whole(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes, bytes]:
+        """What ``arrays`` gives, the text that the ids decode to in UTF-8, and the ids in decimals joined by commas."""
+        normal, source = self.normalizer.aligned(text)
+        parts = self._parts(normal)
+        decoded = b"".join([p[3] for p in parts])
+        if self.normalizer.dummy and decoded.startswith(b" "):
+            decoded = decoded[1:]
+        return *self._projected(text, normal, source, parts), decoded, b"".join([p[4] for p in parts])[:-1]
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(id, first byte, end byte) of each piece."""
@@ -297,25 +325,32 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each (doc_id, text), all taken from the ids that ``encode`` gives."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and spans_sha256 of each (doc_id, text), from the ids and spans of ``encode``.
+
+    ``spans_sha256`` is taken over the first and end bytes of all pieces as
+    little-endian 32-bit numbers. A null text counts as empty and has no
+    tokens; repeated rows are encoded one by one; an empty table gives an
+    empty table. Other columns are not read, so clashing names do no harm.
+    A text is encoded whole, however long; only chunks without a space mark
+    are looked up, and those beyond ``CACHED_LENGTH`` are not kept.
+    """
 
     def run(batches):
         codec = _codec(path)
-        for batch in batches:
-            out = ([], [], [])
-            for row in batch.column(1):
-                ids = row.values.to_numpy(zero_copy_only=False).tolist()
+        for batch in in_parts(batches, 1):
+            out = ([], [], [], [])
+            for text in batch.column(1):
+                ids, first, end, decoded, numbers = codec.whole(text.as_py() or "")
                 out[0].append(len(ids))
-                out[1].append(hashlib.sha256(",".join([codec.number[i] for i in ids]).encode()).hexdigest())
-                out[2].append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                out[1].append(hashlib.sha256(numbers).hexdigest())
+                out[2].append(hashlib.sha256(decoded).hexdigest())
+                spans = hashlib.sha256(first.astype("<i4", copy=False).tobytes())
+                spans.update(end.astype("<i4", copy=False).tobytes())
+                out[3].append(spans.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.int64()), *(pa.array(o, pa.string()) for o in out[1:])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    encoded = encode(docs.select("doc_id", "text"), path).select("doc_id", "ids")
-    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
 
 
 def decode(rows: DataFrame, path: str | None = None) -> DataFrame:

@@ -1,25 +1,27 @@
 """A gated recurrent language model that scores whole documents.
 
 Tokens are lower-cased words and one end per document. The most frequent
-tokens have embeddings and sit in classes of like frequency; the output is
-P(class | state) * P(token | class, state), trained by backpropagation through
-windows of ``WINDOW`` steps with the state carried from window to window. All
-other tokens share one class, inside which a token has its smoothed share of
-the training counts, so every token of the corpus counts, and unknown ones have
-a probability too.
+tokens have embeddings (given as their inputs to the three gates) and sit in
+classes of like frequency; the output is P(class | state) * P(token | class,
+state), trained by backpropagation through windows of ``WINDOW`` steps with the
+state carried from window to window. All other tokens share one class, inside
+which a token has its smoothed share of the training counts, so every token of
+the corpus counts, and unknown ones have a probability too.
 
 Counts and backpropagation take every token of every training document. A
-document is learned from in one of ``ROUNDS`` rounds. In a round, trainers work
-on parts of its documents side by side, and their weights are averaged by a
-tree of grouped means.
-
-For scoring, documents meet the counts of their own block's words only, so
-neither the vocabulary nor a document set is held as a whole anywhere.
+document is learned from in one of several rounds, whose number grows with the
+logarithm of the tokens. In a round each partition of the staged documents is
+a trainer over its own rows, so texts are not exchanged, and the weights are
+averaged by a tree of grouped means.
+
+The input is read once: documents are staged with the number of their block,
+beside the words of each block. For scoring, documents meet the counts of
+their own block's words only, so neither the vocabulary nor a document set is
+held as a whole anywhere.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,19 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import share_of, stage, table
+from corpusmill.llm.common import in_parts, share_of, stage, table
 
 END = b"\n"
 SMOOTHING = 0.1
-HEAD, CLASS, HIDDEN = 4096, 64, 32
-#: Bytes of text that make a block, and words kept while counting one.
-BLOCK_BYTES = 16 << 20
-COUNTED_WORDS = 400_000
-WINDOW, SEQUENCES, ROUNDS = 32, 64, 3
-#: Tokens of a trainer in one round.
-TRAINER_TOKENS = 400_000
-RATE = 0.01
-SCORED_AT_ONCE, SCORED_WINDOW = 256, 32
+HEAD, CLASS, HIDDEN = 4096, 64, 16
+#: Bytes of text that make a block, and blocks of a scoring task.
+BLOCK_BYTES, TASK_BLOCKS = 16 << 20, 4
+WINDOW, SEQUENCES = 32, 256
+#: Rounds for a corpus of ROUND_TOKENS, and one more for each four times that.
+ROUNDS, ROUND_TOKENS = 3, 50_000_000
+#: Tokens that a trainer holds at a time.
+CHUNK_TOKENS = 4_000_000
+RATE = 0.015
+SCORED_AT_ONCE, SCORED_WINDOW = 512, 32
 FANOUT = 32
 LOG10 = float(np.log(10.0))
 
@@ -58,7 +61,7 @@ class Shape:
     def __init__(self, head: int):
         self.head, self.classes = head, -(-head // CLASS)
         h = HIDDEN
-        parts = {"e": (head + 2, h), "wx": (h, 3 * h), "u": (h, 3 * h), "b": (3 * h,), "wc": (h, self.classes + 1), "bc": (self.classes + 1,), "wo": (self.classes * CLASS, h), "bo": (self.classes * CLASS,)}
+        parts = {"e": (head + 2, 3 * h), "u": (h, 3 * h), "wc": (h, self.classes + 1), "bc": (self.classes + 1,), "wo": (self.classes * CLASS, h), "bo": (self.classes * CLASS,)}
         self.parts, self.size = {}, 0
         for name, dims in parts.items():
             n = int(np.prod(dims))
@@ -75,7 +78,6 @@ class Shape:
         p = self.view(flat)
         full = np.full(self.classes * CLASS, 1e-9)
         full[: self.head] = counts
-        p["b"][:] = 0
         p["wo"][:] *= 0.3
         p["wc"][:] *= 0.3
         by_class = np.append(full.reshape(self.classes, CLASS).sum(axis=1), max(tail, 0.1))
@@ -93,10 +95,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def _shares(logits: np.ndarray) -> np.ndarray:
+    """Softmax of each row, in place; weights and states are small, so only absurd values need a bound."""
+    np.minimum(logits, 60.0, out=logits)
+    np.exp(logits, out=logits)
+    logits *= np.reciprocal(logits @ np.ones(logits.shape[1], np.float32))[:, None]
+    return logits
+
+
 def _forward(p: dict, ids: np.ndarray, h: np.ndarray, keep: bool):
     """States after each step of ids (steps, sequences); with ``keep`` also what backpropagation needs."""
     n = HIDDEN
-    x = p["e"][ids] @ p["wx"] + p["b"]
+    x = p["e"][ids]
     states = np.empty((len(ids), *h.shape), np.float32)
     kept = []
     u, uz = p["u"][:, : 2 * n], p["u"][:, 2 * n :]
@@ -124,11 +134,15 @@ def _log_probabilities(p: dict, shape: Shape, states: np.ndarray, targets: np.nd
     cls = np.minimum(targets // CLASS, shape.classes)
     cls[targets >= shape.head] = shape.classes
     logits = states @ p["wc"] + p["bc"]
-    out = logits[np.arange(len(cls)), cls] - np.log(np.exp(logits).sum(axis=1))
+    out = logits[np.arange(len(cls)), cls]
+    np.exp(logits, out=logits)
+    out -= np.log(logits @ np.ones(logits.shape[1], np.float32))
     for c, at in _groups(cls, shape.classes):
         own = slice(c * CLASS, (c + 1) * CLASS)
         inner = states[at] @ p["wo"][own].T + p["bo"][own]
-        out[at] += inner[np.arange(len(at)), targets[at] - c * CLASS] - np.log(np.exp(inner).sum(axis=1))
+        own_logit = inner[np.arange(len(at)), targets[at] - c * CLASS]
+        np.exp(inner, out=inner)
+        out[at] += own_logit - np.log(inner @ np.ones(CLASS, np.float32))
     return out
 
 
@@ -141,8 +155,7 @@ def _gradients(p: dict, shape: Shape, g: dict, ids: np.ndarray, targets: np.ndar
     cls = np.minimum(goal // CLASS, shape.classes)
     cls[goal >= shape.head] = shape.classes
     logits = flat @ p["wc"] + p["bc"]
-    prob = np.exp(logits - logits.max(axis=1, keepdims=True))
-    prob /= prob.sum(axis=1, keepdims=True)
+    prob = _shares(logits)
     rows = np.arange(len(goal))
     loss = -float(np.log(prob[rows, cls] + 1e-12).sum())
     prob[rows, cls] -= 1
@@ -153,8 +166,7 @@ def _gradients(p: dict, shape: Shape, g: dict, ids: np.ndarray, targets: np.ndar
     for c, at in _groups(cls, shape.classes):
         own = slice(c * CLASS, (c + 1) * CLASS)
         inner = flat[at] @ p["wo"][own].T + p["bo"][own]
-        q = np.exp(inner - inner.max(axis=1, keepdims=True))
-        q /= q.sum(axis=1, keepdims=True)
+        q = _shares(inner)
         k = np.arange(len(at))
         loss -= float(np.log(q[k, goal[at] - c * CLASS] + 1e-12).sum())
         q[k, goal[at] - c * CLASS] -= 1
@@ -174,90 +186,98 @@ def _gradients(p: dict, shape: Shape, g: dict, ids: np.ndarray, targets: np.ndar
         dx[t, :, :n] = dh * (new - before) * z * (1 - z)
         dx[t, :, n : 2 * n] = drh * before * r * (1 - r)
         dx[t, :, 2 * n :] = dnew
-        g["u"][:, 2 * n :] += rh.T @ dnew
-        g["u"][:, : 2 * n] += before.T @ dx[t, :, : 2 * n]
         dh = dh * (1 - z) + drh * r + dx[t, :, : 2 * n] @ u.T
-    deep = dx.reshape(-1, 3 * n)
-    seen = p["e"][ids.reshape(-1)]
-    g["wx"] += seen.T @ deep
-    g["b"] += deep.sum(axis=0)
-    np.add.at(g["e"], ids.reshape(-1), deep @ p["wx"].T)
+    steps = dx.reshape(-1, 3 * n)
+    g["u"][:, : 2 * n] += np.concatenate([k[0] for k in kept]).T @ steps[:, : 2 * n]
+    g["u"][:, 2 * n :] += np.concatenate([k[3] for k in kept]).T @ steps[:, 2 * n :]
+    # rows of the embeddings that the window touches, each with its summed gradient
+    flat_ids = ids.reshape(-1)
+    order = np.argsort(flat_ids, kind="stable")
+    touched, starts = np.unique(flat_ids[order], return_index=True)
+    g["touched"], g["rows"] = touched, np.add.reduceat(steps[order], starts, axis=0)
     return last, loss * float(scale)
 
 
-def train_part(flat: np.ndarray, shape: Shape, stream: np.ndarray, rate: float) -> np.ndarray:
-    """One pass of truncated backpropagation over a stream of ids, by Adam."""
-    width = max(1, min(SEQUENCES, len(stream) // (2 * WINDOW)))
-    length = len(stream) // width
-    lines = stream[: width * length].reshape(width, length).T
-    flat = flat.copy()
-    p = shape.view(flat)
-    m, v = np.zeros_like(flat), np.zeros_like(flat)
-    h = np.zeros((width, HIDDEN), np.float32)
-    step = 0
-    steps = max(1, (length - 1) // WINDOW)
-    for at in range(0, length - 1, WINDOW):
-        goal = lines[at + 1 : at + 1 + WINDOW]
-        step += 1
-        grad = np.zeros_like(flat)
-        h, _ = _gradients(p, shape, shape.view(grad), lines[at : at + len(goal)], goal, h)
-        norm = float(np.sqrt((grad * grad).sum()))
-        if norm > 1.0:
-            grad *= 1.0 / norm
-        m += 0.1 * (grad - m)
-        v += 0.01 * (grad * grad - v)
-        now = rate * (1 - 0.7 * step / steps) / (1 - 0.9**step)
-        flat -= now * m / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-    return flat
-
-
-def _counted(docs: DataFrame) -> DataFrame:
-    """(block, word, n): every block's words and how often its training documents hold them."""
+class Trainer:
+    """Adam over truncated backpropagation, its moments kept from stream to stream; embeddings move where they are touched."""
+
+    def __init__(self, flat: np.ndarray, shape: Shape, rate: float):
+        self.flat, self.shape, self.rate, self.step = flat.copy(), shape, rate, 0
+        self.m, self.v = np.zeros_like(flat), np.zeros_like(flat)
+        self.grad = np.zeros_like(flat)
+        self.dense = slice(shape.parts["e"][0].stop, shape.size)
+
+    def learn(self, stream: np.ndarray) -> None:
+        """One pass over a stream of ids, cut into lines side by side."""
+        width = max(1, min(SEQUENCES, len(stream) // (2 * WINDOW)))
+        length = len(stream) // width
+        if length < 2:
+            return
+        lines = stream[: width * length].reshape(width, length).T.astype(np.int64)
+        p, g = self.shape.view(self.flat), self.shape.view(self.grad)
+        em, ev = self.shape.view(self.m)["e"], self.shape.view(self.v)["e"]
+        h = np.zeros((width, HIDDEN), np.float32)
+        steps = max(1, -(-(length - 1) // WINDOW))
+        for k, at in enumerate(range(0, length - 1, WINDOW)):
+            goal = lines[at + 1 : at + 1 + WINDOW]
+            self.step += 1
+            self.grad[self.dense] = 0
+            h, _ = _gradients(p, self.shape, g, lines[at : at + len(goal)], goal, h)
+            dense, rows, touched = self.grad[self.dense], g["rows"], g["touched"]
+            norm = float(np.sqrt(dense @ dense + (rows * rows).sum()))
+            if norm > 1.0:
+                dense *= 1.0 / norm
+                rows *= 1.0 / norm
+            now = np.float32(self.rate * (1 - 0.7 * k / steps) / (1 - 0.9**self.step))
+            fix = np.float32(1 / np.sqrt(1 - 0.99**self.step))
+            m, v = self.m[self.dense], self.v[self.dense]
+            m += np.float32(0.1) * (dense - m)
+            v += np.float32(0.01) * (dense * dense - v)
+            self.flat[self.dense] -= now * m / (np.sqrt(v) * fix + np.float32(1e-6))
+            rm = em[touched] * np.float32(0.9) + np.float32(0.1) * rows
+            rv = ev[touched] * np.float32(0.99) + np.float32(0.01) * rows * rows
+            em[touched], ev[touched] = rm, rv
+            p["e"][touched] -= now * rm / (np.sqrt(rv) * fix + np.float32(1e-6))
+
+
+def _staged(docs: DataFrame) -> DataFrame:
+    """One table of both kinds of rows, from one read: documents (block, doc_id, text, learn) and words (block, word, n).
+
+    A word's n is how often its block's training documents hold it.
+    """
+    kinds = dict(docs.dtypes)
+    names = ["block", "doc_id", "text", "learn", "word", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, k, size = TaskContext.get().partitionId(), 0, 0
+        block, size = TaskContext.get().partitionId() << 24, 0
         train: Counter = Counter()
         other: set = set()
 
-        def flush():
-            names = [*train, *(w for w in other if w not in train)]
-            out = pa.RecordBatch.from_arrays([pa.array(np.full(len(names), (part << 24) + k)), pa.array(names, pa.binary()), pa.array([train[w] for w in names], pa.int64())], ["block", "word", "n"])
-            train.clear()
-            other.clear()
-            return out
-
-        for batch in batches:
-            for text, learn in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        def words(kind: pa.DataType) -> pa.RecordBatch:
+            listed = [*train, *(w for w in other if w not in train)]
+            n = len(listed)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, block)), pa.nulls(n, kind), pa.nulls(n, pa.string()), pa.nulls(n, pa.bool_()), pa.array(listed, pa.binary()), pa.array([train[w] for w in listed], pa.int64())], names
+            )
+
+        kind = None
+        for batch in in_parts(batches, 1):
+            kind, n = batch.column(0).type, batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), batch.column(0), batch.column(1).cast(pa.string()), batch.column(2), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
+            for text, learn in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 (train if learn else other).update(tokens_of(text))
                 size += len(text or "")
-                if size >= BLOCK_BYTES:
-                    yield flush()
-                    k, size = k + 1, 0
-        yield flush()
-
-    return docs.select("text", "learn").mapInArrow(run, "block long, word binary, n long")
+            if size >= BLOCK_BYTES:
+                yield words(kind)
+                train.clear()
+                other.clear()
+                block, size = block + 1, 0
+        if kind is not None:
+            yield words(kind)
 
-
-def _blocked(docs: DataFrame) -> DataFrame:
-    """``docs`` with the block that ``_counted`` put each row into: both read the same scan in the same order."""
-    kinds = dict(docs.dtypes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, k, size = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
-            blocks = []
-            for text in batch.column(1):
-                blocks.append((part << 24) + k)
-                size += len(text.as_py() or "")
-                if size >= BLOCK_BYTES:
-                    k, size = k + 1, 0
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), *batch.columns[:2]], ["block", "doc_id", "text"])
-
-    return docs.select("doc_id", "text", "learn").mapInArrow(run, f"block long, doc_id {kinds['doc_id']}, text string")
+    return stage(docs.select("doc_id", "text", "learn").mapInArrow(run, f"block long, doc_id {kinds['doc_id']}, text string, learn boolean, word binary, n long"), "staged", compression="zstd")
 
 
 def _id_type(head: int) -> type:
@@ -265,27 +285,10 @@ def _id_type(head: int) -> type:
     return np.uint16 if head + 2 <= 1 << 16 else np.int32
 
 
-def _streams(docs: DataFrame, place: dict[bytes, int], head: int) -> DataFrame:
-    """(salt, n, ids): every training document as the ids of all its tokens, after the start."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            salts, sizes, rows = [], [], []
-            for text in batch.column(0):
-                text = text.as_py()
-                ids = np.array([head + 1, *(place.get(w, head) for w in tokens_of(text))], _id_type(head))
-                salts.append(zlib.crc32((text or "").encode()))
-                sizes.append(len(ids))
-                rows.append(ids.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(salts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())], ["salt", "n", "ids"])
-
-    return docs.where("learn").select("text").mapInArrow(run, "salt long, n long, ids binary")
-
-
 def _averaged(parts: DataFrame, trainers: int) -> np.ndarray:
     """The mean of all weight vectors, by grouped means of FANOUT at a time."""
-    # staged or dealt, all trainers run side by side; toLocalIterator alone would run one after another
-    level = parts if trainers > FANOUT else stage(parts, "weights")
+    # staged, all trainers run side by side; toLocalIterator alone would run one after another
+    level = stage(parts, "weights")
     while trainers > FANOUT:
         trainers = -(-trainers // FANOUT)
 
@@ -340,53 +343,47 @@ class Model:
         return out
 
 
-def fit(docs: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
-    """A model of the rows marked ``learn``; None if they hold no token."""
+def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
+    """A model of the rows of (text, learn) marked ``learn``, with the counts of their words; None if they hold no token."""
     sums = counts.agg(F.sum("n"), F.count(F.when(F.col("n") > 0, 1))).first()
     if not sums[0]:
         return None
     top = counts.where("n > 0").orderBy(F.desc("n"), "word").limit(head).collect()
     model = Model([bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.float64), int(sums[0]), int(sums[1]))
-    rows = stage(_streams(docs, model.place, model.head), "streams")
-    tokens = rows.agg(F.sum("n")).first()[0] or 0
-    trainers = max(1, int(tokens) // (ROUNDS * TRAINER_TOKENS))
-    shape = model.shape
-    for k in range(ROUNDS):
-        flat, rate = model.flat, RATE * (1 - 0.3 * k)
+    rounds = ROUNDS + max(0, int(np.log2(max(1.0, model.total / ROUND_TOKENS)))) // 2
+    own = texts.where("learn").select("text")
+    trainers, shape, place = max(1, own.rdd.getNumPartitions()), model.shape, model.place
+    for k in range(rounds):
+        flat, rate = model.flat, RATE * (1 - 0.8 * k / rounds)
 
         def learn(batches: Iterator[pa.RecordBatch], flat=flat, rate=rate) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            stream = [np.frombuffer(x.as_buffer(), _id_type(shape.head)) for batch in batches for x in batch.column("ids")]
-            if stream:
-                whole = np.concatenate(stream).astype(np.int32)
-                new = train_part(flat, shape, whole, rate)
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([len(whole)], pa.int64()), pa.array([new.tobytes()], pa.binary())], ["trainer", "n", "weights"])
-
-        own = rows.where(F.pmod(F.xxhash64("salt"), F.lit(ROUNDS)) == k)
-        # by row number: copies of one text go to many trainers
-        dealt = own.withColumn("r", F.monotonically_increasing_id()).repartition(trainers, "r").sortWithinPartitions("salt", "r")
-        new = _averaged(dealt.select("ids").mapInArrow(learn, "trainer long, n long, weights binary"), trainers)
+            trainer, whole, held, n = Trainer(flat, shape, rate), 0, [], 0
+            for batch in in_parts(batches, 0):
+                for text in batch.column(0):
+                    ids = [shape.head + 1, *(place.get(w, shape.head) for w in tokens_of(text.as_py()))]
+                    held.append(np.array(ids, _id_type(shape.head)))
+                    n += len(ids)
+                if n >= CHUNK_TOKENS:
+                    trainer.learn(np.concatenate(held))
+                    whole, held, n = whole + n, [], 0
+            if held:
+                trainer.learn(np.concatenate(held))
+            if whole + n:
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([whole + n], pa.int64()), pa.array([trainer.flat.tobytes()], pa.binary())], ["trainer", "n", "weights"])
+
+        # copies of one text fall into one round
+        part = own.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k)
+        new = _averaged(part.mapInArrow(learn, "trainer long, n long, weights binary"), trainers)
         model.flat = model.flat if new is None else new
     return model
 
 
-def score_documents(docs: DataFrame, holdout: int = 10) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row of (doc_id, text).
-
-    Learns from rows whose crc32(doc_id) modulo ``holdout`` is not 0. A null
-    or empty text has one token, its end. Repeated rows are counted and scored
-    one by one. If there is nothing to learn from, both scores are those of
-    the smoothed base. An empty table gives an empty table. ``docs`` must give
-    its rows in one order each time it is read, as a table does; ``stage`` one
-    that does not.
-    """
-    marked = docs.select("doc_id", "text").withColumn("learn", share_of(F.col("doc_id"), holdout) != 0)
-    words = stage(_counted(marked), "words")
-    counts = stage(words.groupBy("word").agg(F.sum("n").alias("n")), "counts")
-    model = fit(marked, counts)
+def score_staged(staged: DataFrame, counts: DataFrame, model: Model | None) -> DataFrame:
+    """The scores of all documents of ``_staged`` under a model; without one both are those of the smoothed base."""
     total, distinct = (model.total, model.distinct) if model else (0, 0)
-    kind = dict(docs.dtypes)["doc_id"]
+    kind = dict(staged.dtypes)["doc_id"]
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         names = known.column("word").to_pylist()
@@ -394,7 +391,7 @@ def score_documents(docs: DataFrame, holdout: int = 10) -> DataFrame:
         place = {w: i for i, w in enumerate(names)}
         # with the base's smoothing, in natural logs; a word without a row here cannot occur
         base = np.log((n + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))
-        ids = [np.fromiter(map(place.__getitem__, tokens_of(t)), np.int64) for t in texts.column("text").to_pylist()]
+        ids = [np.fromiter(map(place.__getitem__, tokens_of(t.as_py())), np.int32) for t in texts.column("text")]
         lines = [base[d].sum() for d in ids]
         if model:
             head = np.fromiter((model.place.get(w, model.head) for w in names), np.int32, len(names))
@@ -414,10 +411,28 @@ def score_documents(docs: DataFrame, holdout: int = 10) -> DataFrame:
             }
         )
 
-    own = words.select("block", "word").join(counts, "word").select("block", "word", "n")
+    blocks = staged.where("word is not null").agg(F.countDistinct("block")).first()[0]
+    tasks = max(int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks // TASK_BLOCKS))
+    own = staged.where("word is not null").select("block", "word").join(counts, "word").select("block", "word", "n").repartition(tasks, "block")
+    texts = staged.where("word is null").select(F.col("block").alias("of"), "doc_id", "text").repartition(tasks, "of")
     schema = f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = _blocked(marked).groupBy("block").cogroup(own.groupBy("block")).applyInArrow(score, schema)
-    return out
+    return texts.groupBy("of").cogroup(own.groupBy("block")).applyInArrow(score, schema)
+
+
+def score_documents(docs: DataFrame, holdout: int = 10) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row of (doc_id, text).
+
+    Learns from rows whose crc32(doc_id) modulo ``holdout`` is not 0; a null
+    doc_id counts as empty text there. A null or empty text has one token, its
+    end. Repeated rows are counted and scored one by one. If there is nothing
+    to learn from, both scores are those of the smoothed base. An empty table
+    gives an empty table. Other columns of ``docs`` are not read.
+    """
+    marked = docs.select("doc_id", "text").withColumn("learn", share_of(F.col("doc_id"), holdout) != 0)
+    staged = _staged(marked)
+    counts = stage(staged.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "counts", compression="zstd")
+    model = fit(staged.where("word is null").select("text", "learn"), counts)
+    return score_staged(staged, counts, model)
 
 
 def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

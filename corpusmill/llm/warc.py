@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import scratch_dir, stage, table
@@ -191,41 +191,58 @@ def _source(keep_payload: bool):
     return read
 
 
+def _qualified(spark: SparkSession, directory: str) -> str:
+    """``directory``, made if it is not there, with the scheme of the file system that Spark finds it in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    return re.sub(r"^file:/+", "file:///", system.makeQualified(path).toUri().toString())
+
+
 def write_archives(pages: DataFrame, directory: str) -> DataFrame:
-    """Write (page_id, url, html) below ``directory``; one row for each archive.
+    """Write (page_id, url, html) below ``directory``; one row for each archive. Other columns are not read.
 
     A null html is an empty payload. Of rows with equal payloads of at least
     ``REVISIT_BYTES`` bytes the one with the smallest page_id (null last; among
-    equal ids one of them) is a response and the others revisit it.
+    equal ids one with the smallest url, null last) is a response and the
+    others revisit it. An empty table gives no archive.
     """
     data = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", data.alias("payload")).withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2("payload", 256)})
-    ids = rows.where(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("payload_digest", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    url = F.struct(F.col("url").isNull().alias("none"), "url")
+    ids = rows.where(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("payload_digest", "page_id").agg(F.count(F.lit(1)).alias("n"), F.min(url).alias("w_url"))
     ids = stage(ids, "ids")
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id")
     shared = ids.groupBy("payload_digest").agg(F.min(order).alias("w_first"), F.sum("n").alias("n")).where("n > 1").select("payload_digest", "w_first")
-    rows = rows.join(stage(shared, "shared"), "payload_digest", "left")
-    other = F.col("w_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("w_first.page_id"))
-    if not ids.where("n > 1").isEmpty():
-        # one of the rows that share a page_id and a payload is the response
-        nth = F.row_number().over(Window.partitionBy("payload_digest", "page_id").orderBy("url"))
-        rows = rows.withColumn("w_nth", nth)
-        other = other | (F.col("w_first").isNotNull() & (F.col("w_nth") > 1))
+    rows = rows.join(stage(shared, "shared"), "payload_digest", "left").withColumn("w_main", F.lit(True))
+    repeated = ids.where("n > 1")
+    if not repeated.isEmpty():
+        # rows that share a page_id and a payload are counted, not numbered; then one of them is the response
+        names = repeated.select(F.col("payload_digest").alias("r_digest"), F.col("page_id").alias("r_id"), "w_url")
+        marked = rows.drop("w_main").join(names, (F.col("payload_digest") == F.col("r_digest")) & F.col("page_id").eqNullSafe(F.col("r_id")), "left").drop("r_digest", "r_id")
+        keys = ["page_id", "url", "payload_bytes", "payload_digest", "w_first", "w_url"]
+        many = marked.where(F.col("w_url").isNotNull()).groupBy(*keys).agg(F.first("payload").alias("payload"), F.count(F.lit(1)).alias("n"))
+        many = many.withColumn("w_nth", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).withColumn("w_main", (F.col("w_nth") == 1) & (url == F.col("w_url")))
+        own = [*keys[:-1], "payload", "w_main"]
+        rows = marked.where(F.col("w_url").isNull()).withColumn("w_main", F.lit(True)).select(*own).unionByName(many.select(*own))
+    other = F.col("w_first").isNotNull() & ~(F.col("page_id").eqNullSafe(F.col("w_first.page_id")) & F.col("w_main"))
     typed = rows.select(
         "page_id", "url", "payload_bytes", "payload_digest",
         F.when(other, F.lit(None)).otherwise(F.col("payload")).alias("payload"),
         F.when(other, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
         F.when(other, F.col("w_first.page_id")).alias("refers_to"),
     )
-    spark = pages.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
     # sorted: a repeated task cuts the same rows into the same archives
-    return stage(typed.sortWithinPartitions("payload_digest", "page_id", "url", "record_type").mapInArrow(_sink(directory), "archive string, records long"), "archives")
+    sink = _sink(_qualified(pages.sparkSession, directory))
+    return stage(typed.sortWithinPartitions("payload_digest", "page_id", "url", "record_type").mapInArrow(sink, "archive string, records long"), "archives")
 
 
 def read_archives(spark: SparkSession, directory: str, keep_payload: bool = True) -> DataFrame:
-    """A row for each record of all archives below ``directory``."""
+    """A row for each record of all archives below ``directory``; a null url reads as an empty one, a revisit has no payload.
+
+    An archive that is cut off, framed wrongly or whose payload has another
+    digest raises ``WarcError``. A folder without archives gives no rows.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(directory).select("content")
     schema = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
     return files.mapInArrow(_source(keep_payload), schema)
@@ -233,8 +250,6 @@ def read_archives(spark: SparkSession, directory: str, keep_payload: bool = True
 
 def op10_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     directory = scratch_dir(spark) + "/warc"
-    if ":" not in directory.split("/", 1)[0]:
-        directory = "file://" + directory
     write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), directory)
     return read_archives(spark, directory, keep_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
