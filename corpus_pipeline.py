@@ -17,34 +17,39 @@ LEAST_SHARE = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below the threshold of op4."""
+    """Documents whose toxicity is below the threshold of op4; null and empty texts score low and stay, repeats stay, other columns pass through."""
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, machine).where(F.col("x_score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_unclear_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that makes up at least LEAST_SHARE; those without a letter go."""
+    """Documents with a language that makes up at least LEAST_SHARE; null texts and those without a letter go, repeats stay, other columns pass through."""
     found = language.identify(docs, language.fit(docs))
     return found.where((F.col("l_lang") != "und") & (F.col("l_score") >= LEAST_SHARE)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at 0.8; a repeated doc_id stays once."""
-    kept = minhash.near_duplicates(docs, width=5, percent=80).where("kept").select(F.col("doc_id").alias("k_id")).distinct()
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
-    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return out
-    return out.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(out.where(F.col("doc_id").isNull()))
+    """One row of each group linked by five-word shingles at 0.8, the first in the table.
+
+    Rows are told apart by a number of their own, so documents that share a
+    doc_id, or have none, stay if their texts differ, and of equal rows one
+    stays. Null and blank texts link with nothing and stay. An empty table
+    gives an empty table; other columns pass through.
+    """
+    number = next(f"x_row{k}" for k in range(len(docs.columns) + 1) if f"x_row{k}" not in docs.columns)
+    rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = minhash.near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"), width=5, percent=80)
+    kept = found.where("kept").select(F.col("doc_id").alias(number))
+    return rows.join(kept, number, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it; null sources are one source, texts without a word are never taken."""
     return mixing.emit(mixing.mix(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of each copy."""
+    """Token counts and digests of each copy, by doc_id; null texts have no tokens."""
     return pieces.encode_digests(docs)
 
 
