@@ -37,13 +37,13 @@ SMOOTHING = 0.1
 HEAD, CLASS, HIDDEN = 4096, 64, 16
 #: Bytes of text that make a block, and blocks of a scoring task.
 BLOCK_BYTES, TASK_BLOCKS = 16 << 20, 4
-WINDOW, SEQUENCES = 32, 256
+WINDOW, SEQUENCES = 32, 512
 #: Rounds for a corpus of ROUND_TOKENS, and one more for each four times that.
 ROUNDS, ROUND_TOKENS = 3, 50_000_000
 #: Tokens that a trainer holds at a time.
 CHUNK_TOKENS = 4_000_000
 RATE = 0.015
-SCORED_AT_ONCE, SCORED_WINDOW = 512, 32
+SCORED_AT_ONCE, SCORED_WINDOW = 1024, 32
 FANOUT = 32
 LOG10 = float(np.log(10.0))
 
@@ -391,23 +391,24 @@ def score_staged(staged: DataFrame, counts: DataFrame, model: Model | None) -> D
         place = {w: i for i, w in enumerate(names)}
         # with the base's smoothing, in natural logs; a word without a row here cannot occur
         base = np.log((n + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))
-        ids = [np.fromiter(map(place.__getitem__, tokens_of(t.as_py())), np.int32) for t in texts.column("text")]
-        lines = [base[d].sum() for d in ids]
+        # equal texts of a block have one score
+        own, rows = np.unique(np.array([t.as_py() or "" for t in texts.column("text")], object), return_inverse=True)
+        ids = [np.fromiter(map(place.__getitem__, tokens_of(t)), np.int32) for t in own]
+        lines = np.array([base[d].sum() for d in ids])
+        logs = lines
         if model:
             head = np.fromiter((model.place.get(w, model.head) for w in names), np.int32, len(names))
             inner = np.log((n + SMOOTHING) / (model.tail + SMOOTHING * (model.tail_distinct + 1)))
             inner[head < model.head] = 0.0
             logs = model.scores([head[d] for d in ids]) + np.array([inner[d].sum() for d in ids])
-        else:
-            logs = np.array(lines)
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
-                "n_tokens": pa.array([len(d) for d in ids], pa.int64()),
-                "n_known": pa.array([int((n[d] > 0).sum()) for d in ids], pa.int64()),
-                "train_tokens": pa.array(np.full(len(ids), total)),
-                "base_score": pa.array(np.array(lines) / LOG10),
-                "score": pa.array(logs / LOG10),
+                "n_tokens": pa.array(np.array([len(d) for d in ids], np.int64)[rows]),
+                "n_known": pa.array(np.array([int((n[d] > 0).sum()) for d in ids], np.int64)[rows]),
+                "train_tokens": pa.array(np.full(len(rows), total)),
+                "base_score": pa.array(lines[rows] / LOG10),
+                "score": pa.array(logs[rows] / LOG10),
             }
         )
 
