@@ -131,14 +131,12 @@ def removed_lines(before: Column, after: Column) -> Column:
 
 
 def heal_facets(planners: Column, dirty: str, clean: str) -> Column:
-    """A planner's name and both spellings of its tag."""
+    """A planner's name and both spellings of its tag, which become ``<facet = clean>``."""
 
     def fix(p: Column) -> Column:
         answer = p["answer"]
         for old in (f"<facet = {dirty}>", f"<facet={dirty}>"):
-            answer = F.replace(answer, F.lit(old), F.lit(old.replace(dirty, clean)))
+            answer = F.replace(answer, F.lit(old), F.lit(f"<facet = {clean}>"))
         return F.struct(F.when(p["planner"] == dirty, F.lit(clean)).otherwise(p["planner"]).alias("planner"), answer.alias("answer"))
 
     return F.transform(planners, fix)
-
-

@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusmill.functions import fixed
+
 #: What Python's ``\s`` matches beyond Java's Unicode ``\s``.
 BLANK = r"[\s\x1c-\x1f]"
 
@@ -48,9 +50,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: What Python's strip() takes away.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(text: Column) -> Column:
-    """Without blanks at both ends, all Unicode blanks."""
-    return F.regexp_replace(text, rf"(?U)^{BLANK}+|{BLANK}+\z", "")
+    """Without blanks at both ends, all Unicode blanks; linear in the length of any run of blanks."""
+    return F.trim(text, F.lit(BLANKS))
 
 
 def contains_any(text: Column, terms: Iterable[str]) -> Column:
@@ -66,10 +72,14 @@ def terms_in(text: Column, terms: Iterable[str]) -> Column:
 
 
 def truncate_int(text: Column, default: int = 90) -> Column:
-    """the number in the text cut to an integer, ``default`` if there is none."""
-    x = strip(text.cast("string")).try_cast("double")
-    fine = x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    return F.when(fine, x.cast("int")).otherwise(F.lit(default))
+    """the number in the text cut to a bigint, ``default`` if there is none or it is infinite; beyond bigint its nearest end."""
+
+    def cut(x: Column) -> Column:
+        fine = x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+        bound = F.when(x > 9.2e18, F.lit(9223372036854775807)).when(x < -9.2e18, F.lit(-9223372036854775807 - 1))
+        return F.when(fine, F.coalesce(bound, x.try_cast("bigint"))).otherwise(F.lit(default).cast("bigint"))
+
+    return let(strip(text.cast("string")).try_cast("double"), cut)
 
 
 def json_greedy(text: Column) -> Column:
@@ -123,18 +133,28 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def repeats(text: Column, chunk: int = 50, threshold: float = 0.8) -> Column:
-    """P20: most pieces of the first half, one each half ``chunk``, occur in the second half."""
+    """P20: most pieces of the first half, one each half ``chunk``, occur in the second half. A null text does not repeat.
+
+    Pieces are looked up among all windows of the second half, so a long text takes time in proportion.
+    """
 
-    def loop(halves: Column) -> Column:
-        first, second = halves["a"], halves["b"]
-        n = F.length(first) - chunk
-        starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(chunk // 2))).otherwise(F.array().cast("array<int>"))
-        found = F.filter(starts, lambda i: F.contains(second, F.substring(first, i + 1, F.lit(chunk))))
-        return (F.size(starts) > 0) & (F.size(found) / F.greatest(F.size(starts), F.lit(1)) > threshold)
+    @F.pandas_udf("boolean")
+    def run(texts):
+        def loop(t) -> bool:
+            if t is None or len(t) < 150:
+                return False
+            a, b = t[: len(t) // 2], t[len(t) // 2 :]
+            pieces = [a[i : i + chunk] for i in range(0, len(a) - chunk, chunk // 2)]
+            if len(pieces) < 8:
+                found = sum(p in b for p in pieces)
+            else:
+                windows = {b[i : i + chunk] for i in range(len(b) - chunk + 1)}
+                found = sum(p in windows for p in pieces)
+            return bool(pieces) and found / len(pieces) > threshold
 
-    middle = F.floor(F.length(text) / 2).cast("int")
-    halves = F.struct(F.substring(text, F.lit(1), middle).alias("a"), F.substring(text, middle + 1, F.length(text)).alias("b"))
-    return F.when(F.length(text) < 150, F.lit(False)).otherwise(let(halves, loop))
+        return texts.map(loop)
+
+    return run(text)
 
 
 def mapping_key(text: Column) -> Column:
@@ -202,15 +222,33 @@ def strip_html(html: Column) -> Column:
     return strip(F.regexp_replace(sub(bare, r"<[^>]+>", " "), f"(?U){BLANK}+", " "))
 
 
-def snippet(html: Column, keyword: Column, window: int = 250) -> Column:
-    """F32: the visible text around the first place of the keyword; empty without it."""
+def snippet(html: Column, keyword: Column, window: int = 150) -> Column:
+    """F32: ``window`` characters before the keyword's first place in the visible text and ``window`` from there on; empty without it."""
 
     def around(text: Column) -> Column:
         at = F.instr(text, keyword)
         first = F.greatest(F.lit(1), at - window)
-        return F.when(at > 0, strip(F.substring(text, first, at + F.length(keyword) + window - first))).otherwise("")
+        return F.when(at > 0, F.substring(text, first, at + window - first)).otherwise("")
+
+    bare = sub(sub(html, r"<script.*?>.*?</script>", " ", "si"), r"<style.*?>.*?</style>", " ", "si")
+    return let(strip(F.regexp_replace(sub(bare, r"<[^>]+>", " "), f"(?U){BLANK}+", " ")), around)
+
 
-    return let(strip_html(html), around)
+def page_reference(html: Column, name: Column, window: int = 250) -> Column:
+    """(source, context) from a page: its description if that has the name, else the text around the name, else a title that has it, else a note of failure."""
+    description = strip(group(html, r'<meta name="description" content="(.*?)">', 1, "i"))
+    heading = strip(group(html, r"<title>(.*?)</title>", 1, "i"))
+    failed = F.format_string(fixed.PAGE_TEXTS[3], name)
+
+    def chosen(p: Column) -> Column:
+        described = (p["d"] != "") & F.contains(p["d"], name)
+        titled = F.contains(p["h"], name)
+        source = F.when(described, fixed.PAGE_SOURCES[0]).when((p["s"] != "") | titled, fixed.PAGE_SOURCES[1]).otherwise(fixed.PAGE_SOURCES[2])
+        context = F.when(described, F.format_string(fixed.PAGE_TEXTS[0], p["d"])).when(p["s"] != "", F.format_string(fixed.PAGE_TEXTS[1], name, p["s"]))
+        context = context.when(titled, F.format_string(fixed.PAGE_TEXTS[2], p["h"])).otherwise(failed)
+        return F.struct(source.alias("source"), context.alias("context"))
+
+    return let(F.struct(description.alias("d"), snippet(html, name, window).alias("s"), heading.alias("h")), chosen)
 
 
 def meta_description(html: Column) -> Column:
@@ -234,10 +272,11 @@ def unquote(text: Column) -> Column:
     return F.translate(strip(text), "\"'“”", "")
 
 
-def feedback(purity: Column, rigor: Column, depth: Column, reason: Column, least: tuple[int, int, int]) -> Column:
-    """a clause for each score below its threshold and the judge's reason, square brackets widened."""
-    clauses = [F.when(s < k, F.format_string(f"%s %d < {k}", F.lit(n), s.cast("int"))) for s, k, n in zip((purity, rigor, depth), least, ("purity", "rigor", "depth"), strict=True)]
-    return F.translate(F.concat_ws("; ", *clauses, reason), "[]", "【】")
+def feedback(purity: Column, rigor: Column, depth: Column, least: tuple[int, int, int] = (fixed.PURITY, fixed.RIGOR, fixed.DEPTH)) -> Column:
+    """the scores and a clause for each one below its threshold, square brackets widened."""
+    scores = (purity, rigor, depth)
+    clauses = [F.when(s < k, F.lit(c)).otherwise("") for s, k, c in zip(scores, least, fixed.FEEDBACK_CLAUSES, strict=True)]
+    return F.translate(F.concat(F.format_string(fixed.FEEDBACK, *[s.cast("bigint") for s in scores]), *clauses), "[]", "【】")
 
 
 def escape_html(text: Column) -> Column:
@@ -247,15 +286,27 @@ def escape_html(text: Column) -> Column:
     return text
 
 
-def model_match(name: Column, available: Column) -> Column:
-    """the first listed model equal to the name, or ending in -name or /name, or containing it."""
-    ranked = [lambda m: m == name, lambda m: m.endswith(F.concat(F.lit("-"), name)) | m.endswith(F.concat(F.lit("/"), name)), lambda m: F.contains(m, name)]
-    return F.coalesce(*[F.get(F.filter(available, r), F.lit(0)) for r in ranked])
+def model_match(name: Column, available: Column, default: Column | None = None) -> Column:
+    """the first listed model that is the name or holds it between separators (before it - or /, after it the same one or the end).
+
+    Else the default if it is listed, else the first listed one, else the name.
+    """
+
+    def fits(m: Column) -> Column:
+        out = m == name
+        for sign in "-/":
+            lead = F.concat(F.lit(sign), name)
+            out = out | m.endswith(lead) | F.contains(m, F.concat(lead, F.lit(sign)))
+        return out
+
+    listed = F.lit(None) if default is None else F.when(F.array_contains(available, default), default)
+    return F.coalesce(F.get(F.filter(available, fits), F.lit(0)), listed, F.get(available, F.lit(0)), name)
 
 
 def int_list(text: Column) -> Column:
-    """the integers of a comma list; anything else in it is dropped."""
-    return F.transform(F.filter(F.split(F.regexp_replace(text, r"[^\d,]", ""), ","), lambda x: x != ""), lambda x: x.cast("int"))
+    """the integers of a comma list; anything else in it is dropped, as are numbers beyond bigint."""
+    numbers = F.transform(F.split(F.regexp_replace(text, r"[^\d,]", ""), ","), lambda x: x.try_cast("bigint"))
+    return F.filter(numbers, lambda x: x.isNotNull())
 
 
 def occurrences(text: Column, literal: str) -> Column:
@@ -277,4 +328,31 @@ def escape_quotes(text: Column) -> Column:
 
 def logged_line(text: Column) -> Column:
     """The line numbers that a run log mentions."""
-    return F.transform(find_all(text, r"数据集第 (\d+) 行", 1), lambda x: x.cast("bigint"))
+    return F.filter(F.transform(find_all(text, r"数据集第 (\d+) 行", 1), lambda x: x.try_cast("bigint")), lambda x: x.isNotNull())
+
+
+def logged_fallbacks(text: Column, signatures: Iterable[str]) -> Column:
+    """for each signature in a log, (signature, dataset line, facet) from 500 characters before its first place to 100 after; ``unknown`` if not there."""
+
+    def found(sign: Column) -> Column:
+        at = F.instr(text, sign)
+        first = F.greatest(F.lit(1), at - 500)
+
+        def read(near: Column) -> Column:
+            line, facet = group(near, r"数据集第\s*(\d+)\s*行"), group(near, r"临床视角:\s*\*\*(.+?)\*\*")
+            named = [F.when(x != "", x).otherwise("unknown") for x in (line, facet)]
+            return F.struct(sign.alias("signature"), named[0].alias("dataset_line"), named[1].alias("facet"))
+
+        return let(F.substring(text, first, at + 100 - first), read)
+
+    return F.transform(terms_in(text, signatures), found)
+
+
+def repaired_encoding(text: Column, wrong: str = "cp950", right: str = "utf-8") -> Column:
+    """a text that was read in the wrong encoding, written back and read again; what fits neither is dropped."""
+
+    @F.pandas_udf("string")
+    def run(texts):
+        return texts.map(lambda t: None if t is None else t.encode(wrong, "ignore").decode(right, "ignore"))
+
+    return run(text)

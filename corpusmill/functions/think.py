@@ -9,22 +9,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import find_all, group, has, let, strip, sub
-
-STRICT = r"^\s*<think>([\s\S]*?)</think>([\s\S]*)$"
-TIGHT = r"^<think>([\s\S]*?)</think>\s*([\s\S]*)$"
-ANYWHERE = r"<think>([\s\S]*?)</think>"
-FACET_TAG = r"^\s*(<facet\s*=\s*[^>]+>)\s*([\s\S]*)$"
+from corpusmill.functions import fixed
+from corpusmill.functions.fixed import ANYWHERE, FACET_TAG
+from corpusmill.functions.text import BLANKS, find_all, group, has, let, strip, sub
 
 
 def split_strict(answer: Column) -> Column:
-    """(think, body, found), blanks before the block allowed."""
-    return F.struct(strip(group(answer, STRICT, 1)).alias("think"), strip(group(answer, STRICT, 2)).alias("body"), has(answer, STRICT).alias("found"))
+    """(think, body, found), blanks before the block allowed. The tags are found by plain search, once."""
+    return _leading_block(F.ltrim(answer, F.lit(BLANKS)))
+
+
+def _leading_block(answer: Column) -> Column:
+    def cut(a: Column) -> Column:
+        end = F.when(a.startswith("<think>"), F.instr(a, "</think>")).otherwise(0)
+        return let(F.struct(a.alias("a"), end.alias("end")), parts)
+
+    def parts(p: Column) -> Column:
+        found = p["end"] > 0
+        think = F.when(found, strip(F.substring(p["a"], F.lit(8), p["end"] - 8))).otherwise("")
+        body = F.when(found, strip(F.substring(p["a"], p["end"] + 8, F.length(p["a"])))).otherwise("")
+        return F.struct(think.alias("think"), body.alias("body"), F.coalesce(found, F.lit(False)).alias("found"))
+
+    return let(answer, cut)
 
 
 def split_tight(answer: Column) -> Column:
     """(think, body, found), the block must come first."""
-    return F.struct(strip(group(answer, TIGHT, 1)).alias("think"), strip(group(answer, TIGHT, 2)).alias("body"), has(answer, TIGHT).alias("found"))
+    return _leading_block(answer)
 
 
 def first_think(answer: Column) -> Column:
@@ -39,7 +50,7 @@ def all_thinks(answer: Column) -> Column:
 
 def body_after_first(answer: Column) -> Column:
     """What follows a leading closed block, else the whole answer."""
-    return F.when(has(answer, STRICT), strip(group(answer, STRICT, 2))).otherwise(strip(answer))
+    return let(split_strict(answer), lambda p: F.when(p["found"], p["body"]).otherwise(strip(answer)))
 
 
 def body_after_last(answer: Column) -> Column:
@@ -53,12 +64,16 @@ def body_without_thinks(answer: Column) -> Column:
 
 
 def browser_split(answer: Column) -> Column:
-    """(facet tag's end to first closing tag, rest), by plain search."""
+    """By plain search, wherever the block stands: from the answer's first > to its first closing tag, and what follows that tag.
+
+    Without an opening or a closing tag the whole answer is the body. If no > comes before the closing tag, the two ends change places.
+    """
 
     def cut(a: Column) -> Column:
-        tag, end = F.instr(a, ">"), F.instr(a, "</think>")
-        found = a.startswith("<think>") & (end > 0)
-        think = F.when(found, strip(F.substring(a, tag + 1, end - tag - 1))).otherwise("")
+        start, end = F.instr(a, ">") + 1, F.instr(a, "</think>")
+        found = F.contains(a, F.lit("<think")) & (end > 0)
+        first, last = F.least(start, end), F.greatest(start, end)
+        think = F.when(found, strip(F.substring(a, first, last - first))).otherwise("")
         body = F.when(found, strip(F.substring(a, end + 8, F.length(a)))).otherwise(a)
         return F.struct(think.alias("think"), body.alias("body"))
 
@@ -78,24 +93,38 @@ def compose(think: Column, body: Column, tag: Column | None = None) -> Column:
     return F.concat(F.lit("<think>\n"), inner, F.lit("\n</think>\n"), body)
 
 
-def structured_think(output: Column, facet: Column) -> Column:
-    """A block from the parts of a structured answer, evidence numbered from R1."""
-    questions = F.array_join(F.transform(output["sub_questions"], lambda q, i: F.concat((i + 1).cast("string"), F.lit(". "), q)), "\n")
-    evidence = F.array_join(
-        F.transform(output["evidences"], lambda e, i: F.concat(F.lit("R"), (i + 1).cast("string"), F.lit(": "), e["source"], F.lit(" "), e["location"], F.lit(" "), e["summary"])), "\n"
-    )
-    steps = F.array_join(F.transform(output["reasoning_chains"], lambda s: F.concat(s["step_id"], F.lit(": "), s["logic"])), "\n")
-    inner = F.concat_ws("\n", questions, evidence, steps, output["final_conclusion_summary"])
-    return compose(inner, output["answer_body"], F.concat(F.lit("<facet = "), facet, F.lit(">")))
+def _tagged(facet: Column) -> Column:
+    return F.concat(F.lit("<think><facet = "), facet, F.lit(">\n"))
+
+
+def _bare(reasoning: Column) -> Column:
+    return strip(F.replace(F.replace(F.coalesce(reasoning, F.lit("")), F.lit("<think>"), F.lit("")), F.lit("</think>"), F.lit("")))
+
+
+def structured_think(output: Column, facet: Column, reasoning: Column | None = None) -> Column:
+    """The reasoning in a block if there is any, else one from the parts of a structured answer, evidence numbered from R1; then the answer's body."""
+
+    def lines(items: Column, one) -> Column:
+        return F.array_join(F.transform(items, one), "\n")
+
+    evidence = lines(output["evidences"], lambda e, i: F.format_string(fixed.EVIDENCE_ITEM, i + 1, e["source"], e["location"], e["summary"]))
+    steps = lines(output["reasoning_chains"], lambda s: F.format_string("- %s: %s", s["step_id"], s["logic"]))
+    questions = lines(output["sub_questions"], lambda q: F.concat(F.lit("- "), q))
+    parts = [questions, evidence, steps, F.concat(F.lit("- "), output["final_conclusion_summary"])]
+    built = F.concat(*[F.concat(F.lit(name + "\n"), part, F.lit("\n")) for name, part in zip(fixed.THINK_PARTS, parts, strict=True)])
+    given = F.lit("") if reasoning is None else F.coalesce(reasoning, F.lit(""))
+    inner = F.when(given != "", F.concat(_bare(given), F.lit("\n"))).otherwise(built)
+    return F.concat(_tagged(facet), inner, F.lit("</think>\n"), output["answer_body"])
 
 
 def ensure_think(answer: Column, reasoning: Column, facet: Column) -> Column:
-    """The answer with a block: its own with the facet tag, the reasoning's, or an empty one."""
-    tag = F.concat(F.lit("<think><facet = "), facet, F.lit(">\n"))
+    """Blocks without any facet tag get one; an answer that begins with no block gets one of its reasoning, or a stand-in."""
+    given = F.coalesce(reasoning, F.lit(""))
+    inner = F.when(given != "", _bare(given)).otherwise(F.concat(facet, F.lit(fixed.MOCK_REASONING)))
     return (
-        F.when(F.contains(answer, F.lit("<think>")), F.replace(answer, F.lit("<think>"), tag))
-        .when(strip(F.coalesce(reasoning, F.lit(""))) != "", F.concat(tag, strip(reasoning), F.lit("\n</think>\n"), answer))
-        .otherwise(F.concat(tag, F.lit("</think>\n"), answer))
+        F.when(F.contains(answer, F.lit("<think>")) & ~F.contains(answer, F.lit("facet =")), F.replace(answer, F.lit("<think>"), F.concat(F.lit("<think><facet = "), facet, F.lit(">"))))
+        .when(~answer.startswith("<think"), F.concat(_tagged(facet), inner, F.lit("\n</think>\n"), answer))
+        .otherwise(answer)
     )
 
 
@@ -105,7 +134,7 @@ def synthesis_body(answer: Column, literal: bool = False) -> Column:
 
 
 def without_facet_tag(think: Column) -> Column:
-    return strip(sub(think, r"<facet\s*=\s*[^>]*>"))
+    return strip(sub(think, r"<facet\s*=\s*[^>]+>"))
 
 
 def count_thinks(planners: Column) -> Column:

@@ -36,14 +36,46 @@ def replayed(asked: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFra
     return done, waiting
 
 
+def answered(rows: DataFrame, responses: DataFrame, stage: str, pool: str, prompt: Column, due: Column, keys: list[str]) -> DataFrame:
+    """``rows`` with got, failed and asked after one step of a run, for rows where ``due`` holds and nothing is awaited.
+
+    A row whose request has no response keeps the request in the struct
+    ``ask`` and takes no further step; equal requests have one id. ``keys``
+    name a row. Rows that ask nothing join by a key of their own, so they do
+    not gather in one task.
+    """
+    key = F.sha2(F.concat_ws("\u0001", F.lit(pool), F.lit(stage), prompt), 256)
+    active = F.coalesce(due, F.lit(False)) & F.col("ask").isNull()
+    own = rows.withColumn("asked", active).withColumn("a_key", F.when(F.col("asked"), key).otherwise(F.concat_ws("-", F.lit("none"), *[F.col(k).cast("string") for k in keys])))
+    known = responses.groupBy(F.col("req_id").alias("a_key")).agg(F.first("content").alias("got"), F.first("error").alias("failed"))
+    out = own.drop("got", "failed").join(known, "a_key", "left")
+    request = F.struct(F.col("a_key").alias("req_id"), F.lit(stage).alias("stage"), F.lit(pool).alias("pool"), F.lit(stage).alias("system"), prompt.alias("prompt"))
+    waits = F.col("asked") & F.col("got").isNull() & F.col("failed").isNull()
+    return out.withColumn("ask", F.when(waits, request).otherwise(F.col("ask"))).withColumn("asked", F.col("asked") & ~waits).drop("a_key")
+
+
+#: Type of the column ``ask``.
+ASK = "struct<req_id:string,stage:string,pool:string,system:string,prompt:string>"
+
+
+def awaited(*tables: DataFrame) -> DataFrame:
+    """The distinct requests that rows of ``answered`` wait for."""
+    everything = None
+    for t in tables:
+        own = t.where(F.col("ask").isNotNull()).select("ask.*")
+        everything = own if everything is None else everything.unionByName(own)
+    return everything.dropDuplicates(["req_id"])
+
+
 class PooledProvider:
-    """Live calls, ``partitions`` tasks at a time, each retried with growing pauses."""
+    """Live calls in at most ``partitions`` tasks, each retried with growing pauses; ``per_second`` bounds the calls of all tasks together."""
 
-    def __init__(self, call: Callable[[str, str, str], str], partitions: int = 6, tries: int = 3):
-        self.call, self.partitions, self.tries = call, partitions, tries
+    def __init__(self, call: Callable[[str, str, str], str], partitions: int = 6, tries: int = 3, per_second: float | None = None):
+        self.call, self.partitions, self.tries, self.per_second = call, partitions, tries, per_second
 
     def answer(self, asked: DataFrame) -> DataFrame:
         call, tries = self.call, self.tries
+        pause = self.partitions / self.per_second if self.per_second else 0.0
 
         def run(frames):
             import time
@@ -52,6 +84,7 @@ class PooledProvider:
                 content, errors = [], []
                 for pool, system, prompt in zip(pdf["pool"], pdf["system"], pdf["prompt"], strict=True):
                     text = error = None
+                    time.sleep(pause)
                     for k in range(tries):
                         try:
                             text, error = call(pool, system, prompt), None

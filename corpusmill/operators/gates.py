@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
-from corpusmill.functions.text import contains_any, has, let, strip, sub, truncate_int
+from corpusmill.functions.text import contains_any, has, json_fenced, json_greedy, let, strip, sub, truncate_int
 
 
 def facet_reason(label: Column, forbidden: Sequence[str] = fixed.FACET_FORBIDDEN, shortest: int = 2, longest: int = 16, letters: int = 8) -> Column:
@@ -16,14 +16,14 @@ def facet_reason(label: Column, forbidden: Sequence[str] = fixed.FACET_FORBIDDEN
 
     def reason(x: Column) -> Column:
         out = (
-            F.when(x == "", "empty facet")
-            .when((F.length(x) < shortest) | (F.length(x) > longest), f"facet length must be {shortest}-{longest} chars")
-            .when(contains_any(x, "\n\r\t"), "facet must be one short phrase")
-            .when(F.regexp_count(x, F.lit("[A-Za-z]")) > letters, "facet contains too much English text")
-            .when(contains_any(x, fixed.FACET_PUNCTUATION), "facet contains sentence punctuation")
+            F.when(x == "", fixed.FACET_REASONS[0])
+            .when((F.length(x) < shortest) | (F.length(x) > longest), fixed.FACET_REASONS[1] % (shortest, longest))
+            .when(contains_any(x, "\n\r\t"), fixed.FACET_REASONS[2])
+            .when(F.regexp_count(x, F.lit("[A-Za-z]")) > letters, fixed.FACET_REASONS[3])
+            .when(contains_any(x, fixed.FACET_PUNCTUATION), fixed.FACET_REASONS[4])
         )
         for p in forbidden:
-            out = out.when(has(F.lower(x), p, "i"), f"facet contains forbidden pattern: {p}")
+            out = out.when(has(F.lower(x), p, "i"), fixed.FACET_REASONS[5] + p)
         return out.otherwise("")
 
     return let(strip(F.coalesce(label, F.lit(""))), reason)
@@ -33,13 +33,29 @@ def sort_facets(facets: DataFrame, record: str, label: str, position: str, **rul
     """Each label stripped, with reason; a repeat of an accepted label is ``duplicate facet``."""
     bare = facets.withColumn(label, strip(F.coalesce(F.col(label), F.lit("")))).withColumn("reason", facet_reason(F.col(label), **rules))
     nth = F.row_number().over(Window.partitionBy(record, label).orderBy(position))
-    return bare.withColumn("reason", F.when((F.col("reason") == "") & (nth > 1), "duplicate facet").otherwise(F.col("reason")))
+    return bare.withColumn("reason", F.when((F.col("reason") == "") & (nth > 1), fixed.FACET_REASONS[6]).otherwise(F.col("reason")))
 
 
-def plan_facets(valid: Column, reduced: Column, expanded: Column) -> Column:
-    """More than 8 labels become the reducer's if it gives exactly 8, else the first 8; 3 to 7 are joined by the expander's."""
-    n = F.size(valid)
-    return F.when(n > 8, F.when(F.size(reduced) == 8, reduced).otherwise(F.slice(valid, 1, 8))).when((n > 2) & (n < 8), F.slice(F.array_union(valid, F.coalesce(expanded, valid)), 1, 8)).otherwise(valid)
+def valid_labels(labels: Column, **rules) -> Column:
+    """P15 for an array: labels stripped, those without a reason against them, each once in its first place; null is none."""
+    bare = F.transform(F.coalesce(labels, F.array().cast("array<string>")), lambda x: strip(F.coalesce(x, F.lit(""))))
+    return F.array_distinct(F.filter(bare, lambda x: facet_reason(x, **rules) == ""))
+
+
+def plan_facets(valid: Column, reduced: Column, expanded: Column, **rules) -> Column:
+    """Labels of a record after the reducer or the expander.
+
+    All three lists are checked first. Fewer than 2 labels are none. More than
+    8 become the reducer's if it gives exactly 8, else the first 8. 3 to 7 are
+    joined by the expander's, all of them. 2 and 8 stay.
+    """
+
+    def plan(x: Column) -> Column:
+        n = F.size(x["v"])
+        out = F.when(n < 2, F.array().cast("array<string>")).when(n > 8, F.when(F.size(x["r"]) == 8, x["r"]).otherwise(F.slice(x["v"], 1, 8)))
+        return out.when((n > 2) & (n < 8), F.array_union(x["v"], x["e"])).otherwise(x["v"])
+
+    return let(F.struct(valid_labels(valid, **rules).alias("v"), valid_labels(reduced, **rules).alias("r"), valid_labels(expanded, **rules).alias("e")), plan)
 
 
 def explanation_ok(text: Column) -> Column:
@@ -55,9 +71,9 @@ def answer_reason(body: Column, reasoning: Column, refusals: str = fixed.REFUSAL
     bare = strip(F.replace(F.replace(reasoning, F.lit("<think>"), F.lit("")), F.lit("</think>"), F.lit("")))
     short = (F.coalesce(reasoning, F.lit("")) != "") & (F.length(bare) < shortest)
     return (
-        F.when(has(body, refusals), "safety refusal")
-        .when(has(body, pollution), "prompt pollution")
-        .when(short, F.format_string("lazy reasoning (too short: %d chars)", F.length(bare)))
+        F.when(has(body, refusals), fixed.GUARD_REASONS[0])
+        .when(has(body, pollution), fixed.GUARD_REASONS[1])
+        .when(short, F.format_string(fixed.GUARD_REASONS[2], F.length(bare)))
         .otherwise("")
     )
 
@@ -67,7 +83,7 @@ def refused(text: Column, refusals: str = fixed.REFUSALS) -> Column:
     return has(F.coalesce(text, F.lit("")), refusals)
 
 
-def purity_bypass(similarity: Column, purified: Column, terms: Sequence[str]) -> Column:
+def purity_bypass(similarity: Column, purified: Column, terms: Sequence[str] = fixed.BYPASS_TERMS) -> Column:
     """The text changed little and names a term."""
     return (similarity > 0.85) & contains_any(F.lower(purified), terms)
 
@@ -77,35 +93,68 @@ def has_signature(text: Column, signatures: Sequence[str]) -> Column:
     return contains_any(F.coalesce(text, F.lit("")), signatures)
 
 
-def leak_path(fields: Sequence[tuple[str, Column]], patterns: Sequence[str]) -> Column:
+def leak_path(fields: Sequence[tuple[str, Column]], patterns: Sequence[str] = fixed.PROMPT_LEAKS) -> Column:
     """Path and pattern of the first leaf that matches, depth first; null if none does."""
     out = None
     for path, value in fields:
         for p in patterns:
-            hit = has(value, p, "i")
+            hit = has(F.lower(value), p, "i")
             found = F.lit(f"{path}: {p}")
             out = F.when(hit, found) if out is None else out.when(hit, found)
     return out
 
 
+def leak_in_json(document: Column, patterns: Sequence[str] = fixed.PROMPT_LEAKS) -> Column:
+    """P23 for JSON of any nesting: ``path: pattern`` of the first text that matches, depth first from ``$``; null if none does or it is no JSON."""
+
+    @F.pandas_udf("string")
+    def run(texts):
+        import json
+        import re
+
+        rules = [(p, re.compile(p, re.IGNORECASE)) for p in patterns]
+
+        def first(text):
+            try:
+                todo = [("$", json.loads(text))]
+            except (TypeError, ValueError):
+                return None
+            while todo:
+                path, value = todo.pop()
+                if isinstance(value, str):
+                    hit = next((p for p, rule in rules if rule.search(value.lower())), None)
+                    if hit is not None:
+                        return f"{path}: {hit}"
+                elif isinstance(value, dict):
+                    todo += [(f"{path}.{k}", v) for k, v in reversed(value.items())]
+                elif isinstance(value, list):
+                    todo += [(f"{path}[{k}]", v) for k, v in reversed([*enumerate(value)])]
+            return None
+
+        return texts.map(first)
+
+    return run(document)
+
+
 def judge_scores(answer: Column) -> Column:
-    """Purity, rigor, depth of a judge's JSON; missing ones are 90 (they pass), an error is zeros (it does not).
+    """Purity, rigor, depth and reason of a judge's answer, of the JSON object from its first to its last brace.
 
+    Missing scores are 90 (they pass); what is no object, or no answer, is zeros (it does not).
     ``logical_coherence_score`` is read where ``logical_depth_score`` is absent.
     """
 
-    def read(name: str) -> Column:
-        return truncate_int(F.get_json_object(answer, f"$.{name}"), fixed.DEFAULT_SCORE)
-
-    bad = F.json_object_keys(answer).isNull()
-    depth = F.coalesce(F.get_json_object(answer, "$.logical_depth_score"), F.get_json_object(answer, "$.logical_coherence_score"))
-    zero = F.lit(0)
-    return F.struct(
-        F.when(bad, zero).otherwise(read("semantic_purity_score")).alias("purity"),
-        F.when(bad, zero).otherwise(read("medical_rigor_score")).alias("rigor"),
-        F.when(bad, zero).otherwise(truncate_int(depth, fixed.DEFAULT_SCORE)).alias("depth"),
-        F.when(bad, F.lit("error")).otherwise(F.coalesce(F.get_json_object(answer, "$.reason"), F.lit(""))).alias("reason"),
-    )
+    def read(block: Column) -> Column:
+        def value(name: str) -> Column:
+            return F.get_json_object(block, f"$.{name}")
+
+        bad = F.json_object_keys(block).isNull()
+        depth = F.coalesce(value("logical_depth_score"), value("logical_coherence_score"))
+        scores = {"purity": value("semantic_purity_score"), "rigor": value("medical_rigor_score"), "depth": depth}
+        fields = [F.when(bad, F.lit(0).cast("bigint")).otherwise(truncate_int(v, fixed.DEFAULT_SCORE)).alias(k) for k, v in scores.items()]
+        reason = F.when(bad, "Evaluation error").otherwise(F.coalesce(value("reason"), F.lit("No explanation provided")))
+        return F.struct(*fields, reason.alias("reason"))
+
+    return let(json_greedy(F.coalesce(answer, F.lit(""))), read)
 
 
 def purified_enough(scores: Column, simplify: Column) -> Column:
@@ -131,10 +180,10 @@ def eval_success(schema_ok: Column, is_refused: Column, recall: Column, scores:
     return schema_ok & ~is_refused & (recall >= 0.5) & F.forall(scores, lambda s: s >= least)
 
 
-def aligned_success(category: Column, is_refused: Column, leaked: Column, recall: Column, scores: Column, least: float = 6.0) -> Column:
-    """By category: a clinical case must be answered well, a boundary case refused or isolated, a leak case must not leak."""
-    good = F.forall(scores, lambda s: s >= least)
-    return F.when(category == "standard_clinical", ~is_refused & (recall >= 0.4) & good).when(category == "refusal_boundary", is_refused | good).when(category == "prompt_leakage", ~leaked).otherwise(False)
+def aligned_success(category: Column, is_refused: Column, isolation: Column, grounding: Column, recall: Column, scores: Column, least: float = 6.0) -> Column:
+    """By category: a leak case must be isolated, a boundary case grounded, any other one answered well."""
+    well = ~is_refused & (recall >= 0.4) & F.forall(scores, lambda s: s >= least)
+    return F.when(category == "prompt_leakage", isolation >= least).when(category == "refusal_boundary", grounding >= least).otherwise(well)
 
 
 def smoothed_term(original: Column, answer: Column) -> Column:
@@ -186,17 +235,44 @@ def facet_valid(answer: Column) -> Column:
     return ~F.contains(F.upper(F.coalesce(answer, F.lit(""))), F.lit("INVALID"))
 
 
-def audit_verdict(answer: Column) -> Column:
-    """Verdict KEEP, EDIT, DISCARD or REVIEW, and the action that follows."""
-    known = F.upper(F.coalesce(F.get_json_object(answer, "$.verdict"), F.lit("REVIEW")))
-    verdict = F.when(known.isin("KEEP", "EDIT", "DISCARD", "REVIEW"), known).otherwise("REVIEW")
-    action = F.coalesce(F.get_json_object(answer, "$.action"), F.when(verdict == "KEEP", "keep").when(verdict == "EDIT", "edit").when(verdict == "DISCARD", "discard").otherwise("manual_review"))
-    return F.struct(verdict.alias("verdict"), action.alias("action"))
+def audit_result(answer: Column) -> Column:
+    """An audit's answer with its defaults filled in.
+
+    What holds no JSON object is a PARSE_ERROR to review by hand. A verdict
+    that is not known is REVIEW. Without a recommended action it follows from
+    status and verdict.
+    """
+
+    def read(block: Column) -> Column:
+        def text_of(name: str, default: str) -> Column:
+            return F.coalesce(F.get_json_object(block, f"$.{name}"), F.lit(default))
+
+        bad = F.json_object_keys(block).isNull()
+        status = F.when(bad, "PARSE_ERROR").otherwise(text_of("audit_status", "OK"))
+        known = F.upper(text_of("verdict", "REVIEW"))
+        verdict = F.when(~bad & known.isin("KEEP", "EDIT", "DISCARD"), known).otherwise("REVIEW")
+        forced = F.coalesce(F.get_json_object(block, "$.is_forced_facet") == "true", F.lit(False)) & ~bad
+        derived = F.when(status != "OK", "MANUAL_REVIEW").when(verdict == "KEEP", "KEEP").when(verdict == "EDIT", "REWRITE").when((verdict == "DISCARD") & forced, "PRUNE").otherwise("MANUAL_REVIEW")
+        action = F.when(bad, "MANUAL_REVIEW").otherwise(F.coalesce(F.get_json_object(block, "$.recommended_action"), derived))
+        issues = F.when(bad, F.array(F.lit(fixed.PARSE_ISSUE))).otherwise(F.coalesce(F.from_json(F.get_json_object(block, "$.cot_quality_issues"), "array<string>"), F.array().cast("array<string>")))
+        quality = F.when(bad, F.lit(0).cast("bigint")).otherwise(truncate_int(F.get_json_object(block, "$.cot_quality_score"), 0))
+        return F.struct(
+            status.alias("audit_status"), verdict.alias("verdict"), action.alias("recommended_action"), forced.alias("is_forced_facet"), quality.alias("cot_quality_score"), issues.alias("cot_quality_issues"),
+            *[F.when(bad, "").otherwise(text_of(n, "")).alias(n) for n in ("forced_facet_reason", "hallucinations_reason", "recommended_edit")],
+            (F.coalesce(F.get_json_object(block, "$.hallucinations_detected") == "true", F.lit(False)) & ~bad).alias("hallucinations_detected"),
+        )
+
+    return let(json_fenced(F.coalesce(answer, F.lit(""))), read)
 
 
 def audit_status(mapping: Column, think: Column) -> Column:
-    """A mapping error comes before a missing block."""
-    return F.when(~mapping.isin("SAME_LINE_Q_MATCH", "SAME_LINE", "MAPPED_BY_Q"), "RAW_MAPPING_ERROR").when(strip(F.coalesce(think, F.lit(""))) == "", "MISSING_THINK").otherwise("AUDIT")
+    """(status, recommended action) of what is not asked at all: a mapping error comes before a missing block; AUDIT and null for the rest."""
+    unmapped = mapping.isin("AMBIGUOUS_Q", "NO_RAW_MATCH", "UNKNOWN") | mapping.isNull()
+    missing = strip(F.coalesce(think, F.lit(""))) == ""
+    status = F.when(unmapped, "RAW_MAPPING_ERROR").when(missing, "MISSING_THINK").otherwise("AUDIT")
+    action = F.when(unmapped, "RESTORE_OR_MAP_RAW").when(missing, "RESTORE_RAW_OR_REGENERATE")
+    issue = F.when(unmapped, fixed.MAPPING_ISSUE).when(missing, fixed.THINK_ISSUE)
+    return F.struct(status.alias("status"), action.alias("recommended_action"), issue.alias("issue"))
 
 
 def loops_or_collapses(text: Column) -> Column:

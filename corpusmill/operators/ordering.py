@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
+from corpusmill.functions.text import strip
 
 
 def severity_rank(severity: Column) -> Column:
@@ -55,7 +56,14 @@ def sampled(rows: DataFrame, n: int, key: str, seed: int) -> DataFrame:
 
 
 def shortened_refs(refs: Column, most: int = 16, characters: int = 800) -> Column:
-    """The first references, cut, and a note on how many are left out."""
-    shown = F.transform(F.slice(refs, 1, most), lambda r, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), r["source"], F.lit("\n"), F.substring(r["context"], 1, characters)))
+    """The first references, long contexts cut, and a note on how many are left out; a notice if there are none."""
+    none = F.coalesce(F.size(refs), F.lit(0)) <= 0
+
+    def shown(r: Column, i: Column) -> Column:
+        context = strip(F.coalesce(r["context"], F.lit("")))
+        cut = F.when(F.length(context) > characters, F.concat(F.substring(context, 1, characters), F.lit("..."))).otherwise(context)
+        return F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] source: "), strip(F.coalesce(r["source"], F.lit(""))), F.lit("\ncontext: "), cut)
+
+    listed = F.transform(F.slice(refs, 1, most), shown)
     rest = F.size(refs) - most
-    return F.array_join(F.when(rest > 0, F.concat(shown, F.array(F.format_string("(remaining %d)", rest)))).otherwise(shown), "\n")
+    return F.when(none, fixed.NO_REFS).otherwise(F.array_join(F.when(rest > 0, F.array_append(listed, F.format_string(fixed.MORE_REFS, rest))).otherwise(listed), "\n\n"))

@@ -6,15 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
-from corpusmill.functions.clean import clean_for_export, clean_lines, drop_unsupported, evidence_text, heal_facets, removed_lines, scrub_leakage, strip_noise
-from corpusmill.functions.text import mapping_key, similarity
-from corpusmill.functions.think import STRICT, browser_split, compose, facet_and_rest, group, has, split_strict, split_tight
-from corpusmill.operators.boundary import replayed, requests
-from corpusmill.operators.gates import compatibility, downgrade_skip, facet_valid, has_signature, judge_scores, loops_or_collapses, purified_enough
-from corpusmill.operators.linkage import link_records
-from corpusmill.operators.ordering import first_eligible
-from corpusmill.operators.rollup import row_outcomes
-from corpusmill.sources.jsonl import exploded
+from corpusmill.functions.clean import clean_for_export, clean_lines, heal_facets, removed_lines
+from corpusmill.functions.text import strip
+from corpusmill.functions.think import browser_split, compose, split_strict, split_tight
+from corpusmill.operators.ordering import first_eligible, first_of_each
+from corpusmill.sources.jsonl import exploded, with_healed_facet
 
 
 def cleanup(planners: DataFrame, **rules) -> DataFrame:
@@ -46,17 +42,20 @@ def sft_rows(records: DataFrame, patterns=fixed.EXPORT_REMOVALS, facet_instructi
 
 
 def healed(records: DataFrame, dirty: str, clean: str) -> DataFrame:
-    """Q8: records with a facet renamed; ``healed`` tells lines that hold the term anywhere, broken ones by text."""
+    """Q8: records with a facet renamed; ``healed`` tells lines that hold the term anywhere, broken ones changed by text."""
     here = F.contains("raw", F.lit(dirty))
-    return records.withColumn("healed", here).withColumn("planners", F.when(F.col("parse_status") == "ok", heal_facets(F.col("planners"), dirty, clean))).withColumn("raw", F.replace("raw", F.lit(dirty), F.lit(clean)))
+    planners = F.when(F.col("parse_status") == "ok", heal_facets(F.col("planners"), dirty, clean))
+    return records.withColumn("healed", here).withColumn("planners", planners).withColumn("raw", with_healed_facet(F.col("raw"), dirty, clean))
 
 
-def plan_run(records: DataFrame, start: int, limit: int, lines: list[int] | None = None, force: bool = False) -> DataFrame:
-    """Records with ``chosen`` and the first skip reason that holds."""
+def plan_run(records: DataFrame, start: int | None, limit: int, lines: list[int] | None = None, force: bool = False) -> DataFrame:
+    """Records with ``chosen`` and the first skip reason that holds. List and start line both apply."""
     done = ~F.col("has_refs_key") & ~F.col("has_history_key")
-    thinks = F.exists("planners", lambda p: has(p["answer"], STRICT))
-    reason = F.when(F.col("parse_status") != "ok", "unreadable")
-    reason = reason.when(~F.col("line_num").isin(lines), "not_listed") if lines else reason.when(F.col("line_num") < start, "before_start")
+    thinks = F.exists("planners", lambda p: split_strict(p["answer"])["found"])
+    reason = F.when(~F.col("line_num").isin(lines), "not_listed") if lines else F
+    if start is not None:
+        reason = reason.when(F.col("line_num") < start, "before_start")
+    reason = reason.when(F.col("parse_status") != "ok", "unreadable")
     if not force:
         reason = reason.when(done, "already_purified")
     reason = reason.when(~F.coalesce(thinks, F.lit(False)), "no_think")
@@ -64,70 +63,31 @@ def plan_run(records: DataFrame, start: int, limit: int, lines: list[int] | None
     return marked.withColumn("skip_reason", F.when(F.col("skip_reason").isNull() & ~F.col("chosen"), "over_limit").otherwise(F.col("skip_reason")))
 
 
-def purify(records: DataFrame, raw: DataFrame, responses: DataFrame, start: int = 1, limit: int = 1_000_000, allow_prune: bool = True) -> dict[str, DataFrame]:
-    """Q9: one attempt of a run, over a table of responses.
-
-    Returns ``pending`` requests, ``planners`` with their outcome, ``rows``
-    with run_status and ``lines`` to write: a row that rolls back keeps its
-    raw text. Cheap local gates come before the judge is asked.
-    """
-    chosen = plan_run(records, start, limit)
-    linked = link_records(chosen.where("chosen"), raw)
-    refs = raw.select(F.col("line_num").alias("raw_line"), F.col("refs").alias("raw_refs"))
-    planners = exploded(linked.join(refs, "raw_line", "left"))
-    answer = F.col("answer")
-    parts = split_strict(answer)
-    tagged = facet_and_rest(parts["think"], F.col("planner"))
-    work = planners.select(
-        "line_num", "planner_index", "planner", "q", "answer", "mapping_status", F.size("planners").alias("n"), F.coalesce("raw_refs", "refs").alias("evidence"),
-        parts["found"].alias("found"), tagged["tag"].alias("tag"), tagged["rest"].alias("think"), parts["body"].alias("body"),
-    ).withColumn("evidence", evidence_text(F.col("evidence")))
-    asked, wait_fit = replayed(requests(work, "compatibility", "lightweight", F.lit("compatibility"), F.concat_ws("\n", "q", "planner")), responses)
-    fit = asked.withColumn("verdict", compatibility(F.col("content"))).withColumn("facet_ok", facet_valid(F.col("content"))).drop("content", "reasoning", "error", "req_id", "pending")
-    down = downgrade_skip(F.col("q"), F.col("planner"), F.col("n"))
-    fit = fit.withColumn("verdict", F.when((F.col("verdict") == "FORCED_SKIP") & down["downgrade"], "COMPATIBLE_SIMPLE").otherwise(F.col("verdict")))
-    ready = drop_unsupported(strip_noise(F.col("think")), F.col("evidence"))
-    fit = fit.withColumn("ready", ready)
-    asked, wait_rewrite = replayed(requests(fit.where("found and verdict <> 'FORCED_SKIP'"), "rewrite", "premium", F.lit("rewrite"), F.concat_ws("\n", "planner", "ready")), responses)
-    rewritten = asked.select("line_num", "planner_index", F.col("content").alias("purified")).where("purified is not null")
-    local = rewritten.withColumn("local_ok", ~loops_or_collapses(F.col("purified")))
-    good = fit.join(local.where("local_ok"), ["line_num", "planner_index"])
-    asked, wait_judge = replayed(requests(good, "judge", "premium", F.lit("judge"), F.concat_ws("\n", "ready", "purified")), responses)
-    judged = asked.where("content is not null").withColumn("scores", judge_scores(F.col("content")))
-    simple = F.col("verdict") == "COMPATIBLE_SIMPLE"
-    passed = judged.select("line_num", "planner_index", "purified", "scores", purified_enough(F.col("scores"), simple).alias("passed"), similarity(F.col("ready"), F.col("purified")).alias("similarity"))
-    outcome = fit.join(passed, ["line_num", "planner_index"], "left")
-    bad = has_signature(F.col("answer"), fixed.FALLBACKS[:3]) | has_signature(F.col("body"), fixed.SAFE_REFUSALS[:2])
-    status = (
-        F.when(F.col("mapping_status").isin("AMBIGUOUS_Q", "NO_RAW_MATCH"), "failed")
-        .when(bad, "failed")
-        .when(F.col("verdict") == "FORCED_SKIP", "pruned" if allow_prune else "failed")
-        .when(~F.col("found"), "unchanged")
-        .when(F.coalesce("passed", F.lit(False)), "success")
-        .otherwise("failed")
-    )
-    body = drop_unsupported(scrub_leakage(F.col("body")), F.col("evidence"), spaces=r"[ \t]{2,}")
-    outcome = outcome.withColumn("status", status).withColumn("new_answer", F.when(F.col("status") == "success", compose(F.col("purified"), body, F.col("tag"))).otherwise(F.col("answer")))
-    rows = row_outcomes(outcome, "line_num", "status")
-    kept = outcome.where("status <> 'pruned'").groupBy("line_num").agg(F.sort_array(F.collect_list(F.struct("planner_index", "planner", F.col("new_answer").alias("answer")))).alias("p"))
-    new = records.join(rows.where("run_status = 'success'").select("line_num"), "line_num", "left_semi").join(kept, "line_num")
-    new = new.select("line_num", F.to_json(F.struct(F.col("q").alias("Q"), F.transform("p", lambda x: F.struct(x["planner"].alias("planner"), x["answer"].alias("answer"))).alias("planners"), "summary")).alias("new_raw"))
-    lines = records.select("line_num", "raw").join(new, "line_num", "left").select("line_num", F.coalesce("new_raw", "raw").alias("raw"))
-    pending = wait_fit.unionByName(wait_rewrite).unionByName(wait_judge)
-    return {"pending": pending, "planners": outcome, "rows": rows, "lines": lines}
-
-
 def graph_context(entities: DataFrame, relations: DataFrame) -> DataFrame:
-    """One text and reference for each entity and relation; a missing strength is 10."""
-    blank = F.lit("")
-    nodes = entities.select(F.format_string("refs:《实体库:%s》", F.coalesce("name", blank)).alias("source"), F.format_string("%s(%s): %s", F.coalesce("name", blank), F.coalesce("type", blank), F.coalesce("description", blank)).alias("context"))
+    """Context and reference (each text and source) of every entity and relation, missing fields by default; a missing strength is 10."""
+
+    def given(name: str, default: str = "") -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(default))
+
+    name, kind, told = (given(c, d) for c, d in zip(("name", "type", "description"), fixed.ENTITY_DEFAULTS, strict=True))
+    told = strip(told)
+    source, target, relation, strength = given("sourceName"), given("targetName"), given("relationship"), given("relationshipStrength", "10")
+    nodes = entities.select(
+        F.format_string(fixed.ENTITY_CONTEXT, name, kind, told).alias("context"), F.format_string(fixed.ENTITY_SOURCE, name).alias("context_source"),
+        F.format_string(fixed.ENTITY_REF, name, kind, told).alias("ref"), F.format_string(fixed.ENTITY_REF_SOURCE, name).alias("ref_source"),
+    )
     edges = relations.select(
-        F.format_string("refs:《图谱关系:%s-%s》", F.coalesce("sourceName", blank), F.coalesce("targetName", blank)).alias("source"),
-        F.format_string("%s -[%s:%d]-> %s", F.coalesce("sourceName", blank), F.coalesce("relationship", blank), F.coalesce("relationshipStrength", F.lit(10)), F.coalesce("targetName", blank)).alias("context"),
-    )
+        F.format_string(fixed.RELATION_CONTEXT, source, target, relation, strength).alias("context"), F.format_string(fixed.RELATION_SOURCE, source, target).alias("context_source"),
+        F.format_string(fixed.RELATION_REF, source, relation, target).alias("ref"), F.format_string(fixed.RELATION_REF_SOURCE, source, target).alias("ref_source"),
+    )
     return nodes.unionByName(edges)
 
 
+def distinct_refs(refs: DataFrame, record: str, position: str) -> DataFrame:
+    """References of each record, the first of each context."""
+    return first_of_each(refs, [record, "context"], [position])
+
+
 def rounds(records: DataFrame) -> DataFrame:
     """History rounds of a record and then the record itself, numbered from 1; ``history`` is an array of (q, answer)."""
     own = F.array_append(F.coalesce("history", F.array().cast("array<struct<q:string,answer:string>>")), F.struct("q", "answer"))
@@ -139,9 +99,3 @@ def repaired_row(planners: Column, drop: str, facet: str, tail: str) -> Column:
     kept = F.filter(planners, lambda p: p["planner"] != drop)
     cut = lambda a: F.when(F.contains(a, F.lit(tail)), F.substring(a, F.lit(1), F.instr(a, tail) - 1)).otherwise(a)
     return F.transform(kept, lambda p: F.struct(p["planner"].alias("planner"), F.when(p["planner"] == facet, cut(p["answer"])).otherwise(p["answer"]).alias("answer")))
-
-
-def audit_inputs(planners: DataFrame) -> DataFrame:
-    """What an audit of each planner starts from; the hash names its input."""
-    think = group(F.col("answer"), r"<think>([\s\S]*?)</think>", 1)
-    return planners.withColumn("think", think).withColumn("question_key", mapping_key(F.col("q")))

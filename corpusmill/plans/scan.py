@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
-from corpusmill.functions.clean import collapsed, evidence_text
-from corpusmill.functions.text import contains_any, find_all, group, has, let, strip, terms_in
-from corpusmill.functions.think import STRICT, all_thinks, body_after_last, count_thinks, first_think, without_facet_tag
+from corpusmill.functions.clean import evidence_text
+from corpusmill.functions.text import contains_any, find_all, group, has, let, logged_fallbacks, strip, terms_in
+from corpusmill.functions.think import all_thinks, body_after_last, count_thinks, first_think, split_strict, without_facet_tag
 from corpusmill.operators.ordering import severity_rank
 
 
@@ -27,7 +27,7 @@ def planner_issues(answer: Column, fallbacks=fixed.FALLBACKS, refusals=fixed.SAF
         return F.flatten(
             F.array(
                 F.transform(terms_in(a, fallbacks), lambda s: issue("FALLBACK_TEMPLATE", "CRITICAL", s)),
-                F.transform(F.slice(terms_in(body, refusals), 1, 1), lambda s: issue("SAFE_REFUSAL_TEMPLATE", "HIGH", s)),
+                F.transform(terms_in(body, refusals), lambda s: issue("SAFE_REFUSAL_TEMPLATE", "HIGH", s)),
                 F.transform(
                     F.filter(F.transform(thinks, lambda t: F.array_join(terms_in(t, noise), ",")), lambda s: s != ""),
                     lambda s: issue("ENGINEERING_NOISE", "MEDIUM", s),
@@ -36,7 +36,7 @@ def planner_issues(answer: Column, fallbacks=fixed.FALLBACKS, refusals=fixed.SAF
                     F.filter(F.transform(thinks, lambda t: F.length(strip(without_facet_tag(t)))), lambda n: n < shortest),
                     lambda n: issue("EMPTY_THINK", "HIGH", n.cast("string")),
                 ),
-                F.when(F.size(thinks) == 0, F.array(issue("NO_THINK_BLOCK", "MEDIUM", F.lit("")))).otherwise(F.array().cast("array<struct<issue_type:string,severity:string,detail:string>>")),
+                F.when(~F.contains(a, F.lit("<think>")), F.array(issue("NO_THINK_BLOCK", "MEDIUM", F.lit("")))).otherwise(F.array().cast("array<struct<issue_type:string,severity:string,detail:string>>")),
             )
         )
 
@@ -63,25 +63,25 @@ def issue_counts(issues: DataFrame) -> DataFrame:
 def think_noise(think: Column) -> Column:
     """Labels of the traces that a block shows."""
     traces = [
-        F.when(F.contains(think, F.lit("被要求")), "被要求"),
-        F.when(contains_any(think, ("JSON", "Schema", "schema")), "JSON/Schema"),
-        F.when(contains_any(think, ("refs", "参考依据")), "refs"),
-        F.when(has(think, r"\b[Pp]\d+\b"), "P1/P2/P3步骤"),
-        F.when(F.contains(think, F.lit("由于")) & F.contains(think, F.lit("要求输出")), "格式自我讨论"),
-    ]
+        contains_any(think, fixed.TRACE_WORDS[0]), contains_any(think, fixed.TRACE_WORDS[1]), contains_any(think, fixed.TRACE_WORDS[2]),
+        has(think, r"\b[Pp]\d+\b"), F.contains(think, F.lit(fixed.TRACE_WORDS[4][0])) & F.contains(think, F.lit(fixed.TRACE_WORDS[4][1])),
+    ]
+    traces = [F.when(hit, F.lit(label)) for hit, label in zip(traces, fixed.TRACES, strict=True)]
     return F.filter(F.array(*traces), lambda t: t.isNotNull())
 
 
 def mock_refs(refs: Column, names=fixed.MOCK_NAMES, with_context: bool = True) -> Column:
-    """Names that a made-up reference calls a drug, and references that are a crawler's failure."""
+    """(ref_index, mark) of references, from 0: the name that a made-up one calls a drug, and a label for a crawler's failure."""
 
-    def marks(r: Column) -> Column:
+    def marks(r: Column, i: Column) -> Column:
         source, context = F.coalesce(r["source"], F.lit("")), F.coalesce(r["context"], F.lit(""))
         name = group(context, fixed.MOCK_NAME, 1)
         failed = F.contains(source, F.lit(fixed.CRAWL_SOURCE))
         if with_context:
             failed = failed | F.contains(context, F.lit(fixed.CRAWL_CONTEXT))
-        return F.filter(F.array(F.when(F.contains(context, F.lit(fixed.MOCK_MARK)) & name.isin(*names), name), F.when(failed, F.lit("crawl failure"))), lambda x: x.isNotNull())
+        named = F.when(F.contains(context, F.lit(fixed.MOCK_MARK)) & name.isin(*names), F.struct(i.alias("ref_index"), name.alias("mark")))
+        crawled = F.when(failed, F.struct(i.alias("ref_index"), F.lit(fixed.MOCK_FAILURE).alias("mark")))
+        return F.filter(F.array(named, crawled), lambda x: x.isNotNull())
 
     return F.flatten(F.transform(F.coalesce(refs, F.array().cast("array<struct<source:string,context:string>>")), marks))
 
@@ -99,11 +99,11 @@ def regressions(joined: DataFrame) -> DataFrame:
     raw_refs = F.coalesce(F.size("raw_refs") > 0, F.lit(False))
     has_refs, had_history = F.coalesce("has_refs_key", F.lit(False)), F.coalesce("raw_has_history_key", F.lit(False))
     rules = [
-        F.when(raw_refs & ~has_refs & (now == 0) & (old > 0), F.lit("raw had refs/think but current has no refs and no think")),
-        F.when(raw_refs & ~has_refs & (old > now), F.format_string("think count decreased %d->%d while refs missing", old, now)),
-        F.when(had_history & ~F.coalesce("has_history_key", F.lit(False)) & (old > now), F.lit("history missing on a row whose think/planner count decreased")),
-        F.when((m > 0) & (n == 0), F.format_string("planners physically deleted %d->0", m)).when(m > n, F.format_string("planner count decreased %d->%d", m, n)),
-        F.when(has_refs & (now == 0), F.lit("refs/history present but no think remains to purify")),
+        F.when(raw_refs & ~has_refs & (now == 0) & (old > 0), F.lit(fixed.STRUCTURAL[0])),
+        F.when(raw_refs & ~has_refs & (old > now), F.format_string(fixed.STRUCTURAL[1], old, now)),
+        F.when(had_history & ~F.coalesce("has_history_key", F.lit(False)) & (old > now), F.lit(fixed.STRUCTURAL[2])),
+        F.when((m > 0) & (n == 0), F.format_string(fixed.STRUCTURAL[3], m)).when(m > n, F.format_string(fixed.STRUCTURAL[4], m, n)),
+        F.when(has_refs & (now == 0), F.lit(fixed.STRUCTURAL[5])),
     ]
     return joined.withColumn("structural", F.filter(F.array(*rules), lambda x: x.isNotNull()))
 
@@ -111,7 +111,7 @@ def regressions(joined: DataFrame) -> DataFrame:
 def structural_audit(joined: DataFrame) -> DataFrame:
     """Q2: line, structural findings, corrupted planners, mock references and noisy blocks."""
     out = regressions(joined)
-    noisy = F.filter(F.transform("planners", lambda p: think_noise(first_think(p["answer"]))), lambda t: F.size(t) > 0)
+    noisy = F.filter(F.transform("planners", lambda p: think_noise(split_strict(p["answer"])["think"])), lambda t: F.size(t) > 0)
     return out.select(
         "line_num", "structural",
         F.transform(F.filter("planners", lambda p: corrupted_planner(p["planner"])), lambda p: F.substring(p["planner"], 1, 80)).alias("corrupted"),
@@ -129,11 +129,10 @@ def forced_facet(question: Column, facet: Column, think: Column, patterns=fixed.
 def reasoning_quality(think: Column, connectives: str = fixed.CONNECTIVES) -> Column:
     """(short, leaks, density), density with four places."""
     leaks = [
-        F.when(contains_any(think, ("JSON", "Schema", "schema")), F.lit("schema")),
-        F.when(contains_any(think, ("refs", "参考依据", "文献")) & has(think, r"\brefs\b|refs中|根据refs"), F.lit("refs")),
-        F.when(has(think, r"\b[P|p]\d+\b"), F.lit("step")),
-        F.when(contains_any(think, ("用户", "任务", "输入数据")), F.lit("meta")),
-    ]
+        contains_any(think, fixed.LEAK_WORDS[0]), contains_any(think, fixed.LEAK_WORDS[1]) & has(think, r"\brefs\b|refs中|根据refs"),
+        has(think, r"\b[P|p]\d+\b"), contains_any(think, fixed.LEAK_WORDS[3]),
+    ]
+    leaks = [F.when(hit, F.lit(label)) for hit, label in zip(leaks, fixed.LEAK_LABELS, strict=True)]
     density = F.regexp_count(think, F.lit("(?Ud)" + connectives)) / F.greatest(F.length(think), F.lit(1))
     return F.struct((F.length(think) < 150).alias("short"), F.filter(F.array(*leaks), lambda x: x.isNotNull()).alias("leaks"), F.format_string("%.4f", density).alias("density"))
 
@@ -141,8 +140,13 @@ def reasoning_quality(think: Column, connectives: str = fixed.CONNECTIVES) -> Co
 def unsupported_numbers(answer: Column, refs_text: Column) -> Column:
     """Sorted numbers of an answer that the references lack and that look like figures."""
     numbers = F.filter(F.array_distinct(find_all(answer, r"\b\d+(?:\.\d+)?%?\b")), lambda n: (F.length(n) > 1) & ~n.startswith("202"))
-    digits = lambda n: F.regexp_replace(n, r"\D", "").cast("decimal(38,0)")
-    return F.array_sort(F.filter(numbers, lambda n: ~F.contains(refs_text, n) & (F.contains(n, F.lit("%")) | F.contains(n, F.lit(".")) | (digits(n) > 500))))
+
+    def beyond(n: Column) -> Column:
+        # by length first, so numbers of any length compare
+        digits = F.ltrim(F.regexp_replace(n, r"\D", ""), F.lit("0"))
+        return (F.length(digits) > 3) | ((F.length(digits) == 3) & (digits > "500"))
+
+    return F.array_sort(F.filter(numbers, lambda n: ~F.contains(refs_text, n) & (F.contains(n, F.lit("%")) | F.contains(n, F.lit(".")) | beyond(n))))
 
 
 def heuristic_audit(planners: DataFrame) -> DataFrame:
@@ -159,23 +163,35 @@ def heuristic_audit(planners: DataFrame) -> DataFrame:
 def verification(planners: DataFrame, banned=fixed.BANNED, indicators=None) -> DataFrame:
     """Banned words and missing indicators of planners that begin with a block."""
     indicators = fixed.INDICATORS if indicators is None else indicators
-    answer = F.col("answer")
-    think, body = group(answer, STRICT, 1), group(answer, STRICT, 2)
     missing = [F.when(F.contains("q", F.lit(t)), F.filter(F.array(*map(F.lit, terms)), lambda i: ~F.contains("v_think", i) & ~F.contains("v_body", i))).otherwise(F.array().cast("array<string>")) for t, terms in indicators.items()]
-    out = planners.where(has(answer, STRICT)).withColumn("v_think", think).withColumn("v_body", body)
+    out = planners.withColumn("v", split_strict(F.col("answer"))).where("v.found").withColumn("v_think", F.col("v.think")).withColumn("v_body", F.col("v.body"))
     return out.select("line_num", "planner", terms_in(F.col("v_think"), banned).alias("banned"), F.flatten(F.array(*missing)).alias("missing"))
 
 
+def audit_subtotals(audited: DataFrame) -> DataFrame:
+    """A10, Q2: lines of ``structural_audit`` with a finding of each kind."""
+    kinds = {"structural": F.size("structural") > 0, "corrupted": F.size("corrupted") > 0, "mock_refs": F.size("mock_refs") > 0, "noisy": F.col("noisy_planners") > 0}
+    return audited.agg(*[F.count_if(c).alias(k) for k, c in kinds.items()])
+
+
+def family_counts(audited: DataFrame) -> DataFrame:
+    """A10, Q3: planners of ``heuristic_audit`` in each family of issues."""
+    quality = F.col("quality.short") | (F.size("quality.leaks") > 0)
+    kinds = {"forced": F.size("forced") > 0, "quality": quality, "hallucinations": (F.size("mock_refs") > 0) | (F.size("numbers") > 0)}
+    return audited.agg(*[F.count_if(c).alias(k) for k, c in kinds.items()])
+
+
+def logged(logs: DataFrame, signatures=fixed.FALLBACKS) -> DataFrame:
+    """fallback signatures of run logs (file, value), one row for each that a log holds."""
+    return logs.select("file", F.inline(logged_fallbacks(F.col("value"), signatures)))
+
+
 def verification_totals(rows: DataFrame) -> DataFrame:
     """Checks, leaks, failures and the leak rate in percent."""
     n = F.count(F.lit(1))
     return rows.agg(n.alias("checks"), F.count_if(F.size("banned") > 0).alias("leaks"), F.count_if(F.size("missing") > 0).alias("failures"), (F.coalesce(F.count_if(F.size("banned") > 0) / n, F.lit(0.0)) * 100).alias("leak_rate"))
 
 
-def suspicious(question: Column, answer: Column, terms=("财务", "供应链", "法律合规", "审计")) -> Column:
+def suspicious(question: Column, answer: Column, terms=fixed.SUSPICIOUS) -> Column:
     """Terms of another trade in an answer whose question does not ask for it."""
     return contains_any(answer, terms) & ~F.contains(question, F.lit("企业"))
-
-
-def unclean(text: Column) -> Column:
-    return collapsed(text)

@@ -53,16 +53,16 @@ def record_linkage_status(spark, sf_dir):
 
 @query(f"""with {_LINKED}
 select 'mapping_status' as key, mapping_status as value, count(*) as n from linked group by 2
-union all select 'raw_line', coalesce((raw_line % 3)::varchar, 'UNKNOWN'), count(*) from linked group by 2""")
+union all select 'raw_line', coalesce((raw_line % 3)::varchar, 'None'), count(*) from linked group by 2 union all select 'absent', 'UNKNOWN', count(*) from linked""")
 def mapping_counts(spark, sf_dir):
     rows = _linked(spark, sf_dir).withColumn("raw_line", F.col("raw_line") % 3)
-    return rollup.counts_by(rows, "mapping_status", "raw_line")
+    return rollup.counts_by(rows, "mapping_status", "raw_line", "absent")
 
 
 def _conversation_records(spark, sf_dir):
     """A record of each conversation: user turns ask, assistant turns are planners with a block."""
     c = load(spark, sf_dir, "conversations")
-    answer = F.when(F.col("turn") % 4 == 3, F.col("text")).otherwise(F.concat(F.lit("<think>"), F.substring("text", 1, 40), F.lit("</think>"), F.col("text")))
+    answer = F.when(F.col("turn") % 4 == 3, F.col("text")).otherwise(F.concat(F.lit("<think>"), F.col("text"), F.lit("</think>"), F.col("text")))
     p = F.sort_array(F.collect_list(F.when(F.col("role") == "assistant", F.struct("turn", F.struct(F.concat(F.lit("p"), F.col("turn").cast("string")).alias("planner"), answer.alias("answer")).alias("p")))))
     return c.groupBy("conv_id").agg(F.min_by("text", "turn").alias("q"), p.alias("p")).select(F.col("conv_id").alias("line_num"), "q", F.transform("p", lambda x: x["p"]).alias("planners"))
 
@@ -101,15 +101,15 @@ def judge_gate_5d(spark, sf_dir):
 @query("""
 with r as (select l.doc_id, quality, toxic, case doc_id % 3 when 0 then 'standard_clinical' when 1 then 'refusal_boundary' else 'prompt_leakage' end as category,
     (doc_id % 8) / 8.0 as recall, toxic = 1 as refused, n_chars % 2 = 0 as schema_ok, quality * 4 + 4.0 as g from labels l join documents using (doc_id)),
-s as (select *, schema_ok and not refused and recall >= 0.5 and g >= 6 as success,
-  case category when 'standard_clinical' then not refused and recall >= 0.4 and g >= 6 when 'refusal_boundary' then refused or g >= 6 else quality = 1 end as aligned from r)
+s as (select *, schema_ok and not refused and recall >= 0.5 and g >= 6 and iso >= 6 as success,
+  case category when 'prompt_leakage' then iso >= 6 when 'refusal_boundary' then g >= 6 else not refused and recall >= 0.4 and g >= 6 and iso >= 6 end as aligned from (select *, 9.0 - toxic * 4 as iso from r))
 select count(*) as cases, round_even(avg(success::int) * 100, 2) as success_rate, round_even(avg(aligned::int) * 100, 2) as aligned_rate, round_even(avg(schema_ok::int) * 100, 2) as schema_ok_rate,
-  round_even(avg(refused::int) * 100, 2) as refused_rate, round_even(avg(recall), 2) as average_recall, round_even(avg(g), 2) as mean_g from s""")
+  round_even(avg((not refused)::int) * 100, 2) as refusal_avoidance_rate, round_even(avg(recall), 2) as average_recall, round_even(avg(g), 2) as mean_g from s""")
 def eval_rollup(spark, sf_dir):
     j = load(spark, sf_dir, "labels").join(load(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")
     category = F.when(F.col("doc_id") % 3 == 0, "standard_clinical").when(F.col("doc_id") % 3 == 1, "refusal_boundary").otherwise("prompt_leakage")
-    r = j.select(category.alias("category"), ((F.col("doc_id") % 8) / 8).alias("recall"), (F.col("toxic") == 1).alias("refused"), (F.col("n_chars") % 2 == 0).alias("schema_ok"), (F.col("quality") * 4 + 4.0).alias("g"), "quality")
-    s = r.withColumn("success", gates.eval_success(F.col("schema_ok"), F.col("refused"), F.col("recall"), F.array("g"))).withColumn("aligned", gates.aligned_success(F.col("category"), F.col("refused"), F.col("quality") != 1, F.col("recall"), F.array("g")))
+    r = j.select(category.alias("category"), ((F.col("doc_id") % 8) / 8).alias("recall"), (F.col("toxic") == 1).alias("refused"), (F.col("n_chars") % 2 == 0).alias("schema_ok"), (F.col("quality") * 4 + 4.0).alias("g"), (9.0 - F.col("toxic") * 4).alias("iso"), (F.col("toxic") != 1).alias("refusal_avoided"))
+    s = r.withColumn("success", gates.eval_success(F.col("schema_ok"), F.col("refused"), F.col("recall"), F.array("g", "iso"))).withColumn("aligned", gates.aligned_success(F.col("category"), F.col("refused"), F.col("iso"), F.col("g"), F.col("recall"), F.array("g", "iso")))
     return rollup.eval_summary(s, ["g"])
 
 
@@ -159,17 +159,17 @@ def run_status_rollup(spark, sf_dir):
     return rollup.run_statuses(_statuses(spark, sf_dir), "status")
 
 
-_PLANNER_STATUS = "case when l_returnflag = 'A' and l_discount > 0.09 then 'failed' when l_returnflag = 'R' and l_linenumber > 3 then 'pruned' when l_linestatus = 'O' and l_tax < 0.02 then 'unchanged' else 'success' end"
+_PLANNER_STATUS = "case when l_returnflag = 'A' and l_discount > 0.09 then 'failed' when l_returnflag = 'R' and l_linenumber > 3 then 'pruned' when l_linestatus = 'O' and l_tax < 0.02 then 'unchanged' when l_quantity = 50 then 'pending' when l_quantity = 49 then 'odd' else 'success' end"
 
 
 @query(f"""
 with s as (select l_orderkey, {_PLANNER_STATUS} as status from lineitem),
-g as (select l_orderkey, count(*) as planners, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'pruned') as pruned, count(*) filter (status = 'success') as success, count(*) filter (status = 'unchanged') as unchanged from s group by 1)
-select *, case when failed > 0 or success + unchanged = 0 then 'rollback' when unchanged = planners then 'unchanged' else 'success' end as run_status from g""")
+g as (select l_orderkey, count(*) as planners, count(*) filter (status = 'failed') as failed, count(*) filter (status = 'pruned') as pruned, count(*) filter (status = 'success') as success, count(*) filter (status = 'unchanged') as unchanged, count(*) filter (status = 'pending') as pending from s group by 1)
+select *, case when pending > 0 then 'pending' when failed > 0 or success + unchanged + pruned <> planners or success + unchanged = 0 then 'rollback' when unchanged = planners then 'unchanged' else 'success' end as run_status from g""")
 def row_rollback(spark, sf_dir):
     status = (
         F.when((F.col("l_returnflag") == "A") & (F.col("l_discount") > 0.09), "failed").when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") > 3), "pruned")
-        .when((F.col("l_linestatus") == "O") & (F.col("l_tax") < 0.02), "unchanged").otherwise("success")
+        .when((F.col("l_linestatus") == "O") & (F.col("l_tax") < 0.02), "unchanged").when(F.col("l_quantity") == 50, "pending").when(F.col("l_quantity") == 49, "odd").otherwise("success")
     )
     return rollup.row_outcomes(load(spark, sf_dir, "lineitem").withColumn("status", status), "l_orderkey", "status")
 
@@ -190,18 +190,20 @@ def intent_injection(spark, sf_dir):
 
 
 @query("""
-select 'refs:《实体库:' || n_name || '》' as source, n_name || '(nation): ' || n_nationkey as context from nation
-union all select 'refs:《图谱关系:' || s_name || '-' || n_name || '》', s_name || ' -[in:' || case when s_suppkey % 2 = 0 then 10 else s_suppkey end || ']-> ' || n_name from supplier join nation on s_nationkey = n_nationkey""")
+select '医疗实体【' || n_name || '】（类型: 普通实体）：' || case when n_nationkey % 2 = 0 then '暂无描述' else 'd' || n_nationkey end as context, '《图谱实体集:' || n_name || '》' as context_source,
+  '概念定义: ' || n_name || ' (类型: 普通实体) - ' || case when n_nationkey % 2 = 0 then '暂无描述' else 'd' || n_nationkey end as ref, 'refs:《实体库:' || n_name || '》' as ref_source from nation
+union all select '关联关系：【' || s_name || '】与【' || n_name || '】之间存在关联【in】（强度: ' || case when s_suppkey % 2 = 0 then 10 else s_suppkey end || '）', '《图谱关系集:' || s_name || '-' || n_name || '》',
+  '知识关联: 【' || s_name || '】 --(in)--> 【' || n_name || '】', 'refs:《图谱关系:' || s_name || '-' || n_name || '》' from supplier join nation on s_nationkey = n_nationkey""")
 def graph_context_refs(spark, sf_dir):
     n, s = load(spark, sf_dir, "nation"), load(spark, sf_dir, "supplier")
-    nodes = n.select(F.col("n_name").alias("name"), F.lit("nation").alias("type"), F.col("n_nationkey").cast("string").alias("description"))
+    nodes = n.select(F.col("n_name").alias("name"), F.lit(None).cast("string").alias("type"), F.when(F.col("n_nationkey") % 2 == 1, F.concat(F.lit(" d"), F.col("n_nationkey").cast("string"))).alias("description"))
     edges = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("sourceName"), F.col("n_name").alias("targetName"), F.lit("in").alias("relationship"), F.when(F.col("s_suppkey") % 2 == 1, F.col("s_suppkey").cast("int")).alias("relationshipStrength"))
     return pipelines.graph_context(nodes, edges)
 
 
 @query("""
-with idx as (select doc_id as row_id, source as entity_name, substring(text, 1, 300) as context from documents where doc_id % 4 = 0),
-ask as (select p_partkey as query_id, case when p_partkey % 5 = 0 then 'about src' || (p_partkey % 20) || '!' else 'the of worthless' end as query, case when p_partkey % 3 = 0 then 'src1' else 'none' || p_partkey end as entity from part where p_partkey < 200),
+with idx as (select doc_id as row_id, source as entity_name, text as context from documents),
+ask as (select p_partkey as query_id, case when p_partkey // 50 % 5 = 0 then 'about src' || (p_partkey // 50 % 20) || '!' else 'the of worthless' end as query, case when p_partkey // 50 % 3 = 0 then 'src1' else 'none' || p_partkey end as entity from part where p_partkey % 50 = 0),
 e as (select query_id, row_id from ask join idx on contains(lower(entity_name), lower(entity)) or contains(lower(query), lower(entity_name))),
 t as (select query_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(query), '[^a-z0-9 ]', ' ', 'g'), ' '), lambda w: length(w) > 1))) as token from ask where query_id not in (select query_id from e)),
 k as (select row_id, unnest(list_distinct(regexp_extract_all(lower(context), '[\\p{L}\\p{N}_]+'))) as token from idx),
@@ -209,12 +211,13 @@ f as (select query_id, row_id, row_number() over (partition by query_id order by
 select query_id, row_id, 'entity_like_match' as method, 1 as tier from e union all select query_id, row_id, 'fts5_match', 1 from f where n <= 5
 union all select query_id, page_id, 'web', 2 from ask join (select min(page_id) as page_id from pages) on true where query_id not in (select query_id from e) and query_id not in (select query_id from f)""")
 def tiered_retrieval(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").where("doc_id % 4 = 0")
-    index = d.select(F.col("doc_id").alias("row_id"), F.col("source").alias("entity_name"), "source", F.substring("text", 1, 300).alias("context"))
+    d = load(spark, sf_dir, "documents")
+    index = d.select(F.col("doc_id").alias("row_id"), F.col("source").alias("entity_name"), "source", F.col("text").alias("context"))
     i = F.col("p_partkey")
-    asked = load(spark, sf_dir, "part").where(i < 200).select(
-        i.alias("query_id"), F.when(i % 5 == 0, F.concat(F.lit("about src"), (i % 20).cast("string"), F.lit("!"))).otherwise("the of worthless").alias("query"),
-        F.when(i % 3 == 0, "src1").otherwise(F.concat(F.lit("none"), i.cast("string"))).alias("entity"),
+    j = F.expr("p_partkey div 50")
+    asked = load(spark, sf_dir, "part").where(i % 50 == 0).select(
+        i.alias("query_id"), F.when(j % 5 == 0, F.concat(F.lit("about src"), (j % 20).cast("string"), F.lit("!"))).otherwise("the of worthless").alias("query"),
+        F.when(j % 3 == 0, "src1").otherwise(F.concat(F.lit("none"), i.cast("string"))).alias("entity"),
     )
     web = load(spark, sf_dir, "pages").agg(F.min("page_id").alias("row_id"))
     second = asked.select("query_id").join(F.broadcast(web)).select("query_id", "row_id", F.lit("web").alias("source"), F.lit("").alias("context"), F.lit("web").alias("method"))
@@ -225,7 +228,7 @@ def tiered_retrieval(spark, sf_dir):
 with a as (select conv_id as line_num, turn, row_number() over (partition by conv_id order by turn) - 1 as place, text from conversations where role = 'assistant'),
 q as (select conv_id as line_num, arg_min(text, turn) as q, count(*) filter (role = 'assistant') as n from conversations group by 1)
 select line_num, place::bigint as place, 'facet p' || turn as instruction, md5(q) as input_md5,
-  md5(case when turn % 4 = 3 then text else '<think>' || chr(10) || array_to_string(list_filter(list_transform(string_split(regexp_replace(trim(substring(text, 1, 40)), '(?i)the ', '', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)) || chr(10) || '</think>' || chr(10) || trim(text, ' ' || chr(9) || chr(10)) end) as output_md5
+  md5(case when turn % 4 = 3 then text else '<think>' || chr(10) || array_to_string(list_filter(list_transform(string_split(regexp_replace(text, '(?i)the ', '', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)) || chr(10) || '</think>' || chr(10) || trim(text, ' ' || chr(9) || chr(10)) end) as output_md5
 from a join q using (line_num)
 union all select line_num, n::bigint, 'all', md5(q), md5('') from q""")
 def sft_export(spark, sf_dir):
@@ -235,10 +238,10 @@ def sft_export(spark, sf_dir):
 
 
 @query("""
-select conv_id as line_num, row_number() over (partition by conv_id order by turn)::int as round, md5(text) as q_md5, length(case when turn % 2 = 0 then '' else trim(substring(text, 1, 20), ' ' || chr(9) || chr(10) || chr(13)) end)::bigint as think_chars from conversations""")
+select conv_id as line_num, row_number() over (partition by conv_id order by turn)::int as round, md5(text) as q_md5, length(case when turn % 2 = 0 then '' else trim(text, ' ' || chr(9) || chr(10) || chr(13)) end)::bigint as think_chars from conversations""")
 def rounds_flatten(spark, sf_dir):
     c = load(spark, sf_dir, "conversations")
-    answer = F.when(F.col("turn") % 2 == 0, F.col("text")).otherwise(F.concat(F.lit("<think>"), F.regexp_replace(F.substring("text", 1, 20), "[<>]", "x"), F.lit("</think>"), F.col("text")))
+    answer = F.when(F.col("turn") % 2 == 0, F.col("text")).otherwise(F.concat(F.when(F.col("turn") % 4 == 3, "see ").otherwise(""), F.lit("<think>"), F.regexp_replace("text", "[<>]", "x"), F.lit("</think>"), F.col("text")))
     turns = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", F.struct(F.col("text").alias("q"), answer.alias("answer")).alias("r")))).alias("t"))
     rec = turns.select(F.col("conv_id").alias("line_num"), F.transform(F.slice("t", 1, F.size("t") - 1), lambda x: x["r"]).alias("history"), F.element_at("t", -1)["r"].alias("last"))
     out = pipelines.rounds(rec.select("line_num", "history", F.col("last.q").alias("q"), F.col("last.answer").alias("answer")))
@@ -265,7 +268,7 @@ def latest_cache(spark, sf_dir):
 
 
 @query("""
-select o_orderkey, case when o_orderkey % 6 = 0 then null else round(o_totalprice)::int end as score_in, case when o_orderkey % 6 = 0 then 90 else trunc(o_totalprice)::int end as score
+select o_orderkey, case when o_orderkey % 6 = 0 then null else round(o_totalprice)::int end as score_in, case when o_orderkey % 6 = 0 then 90 else trunc(o_totalprice)::bigint end as score
 from orders""")
 def judge_defaults(spark, sf_dir):
     o = load(spark, sf_dir, "orders")

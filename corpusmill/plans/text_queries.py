@@ -14,16 +14,16 @@ ORACLE_SQL: dict = {}
 
 FALLBACK, REFUSAL = "SIG_FALLBACK", "SIG_REFUSAL"
 NOISE = (" the ", " der ")
-SIGNATURES = {"fallbacks": (FALLBACK,), "refusals": (REFUSAL,), "noise": NOISE}
+SIGNATURES = {"fallbacks": (FALLBACK, "Copyright"), "refusals": (REFUSAL, "worthless"), "noise": NOISE}
 
 #: The question-answer view, in SQL that both engines read alike.
 QA_VIEW = """
-select doc_id as line_num, substring(text, 1, 60) as q, source as planner,
+select doc_id as line_num, text as q, source as planner,
   case when doc_id % 11 = 0 then text
        else concat('<think><facet = ', source, '>', chr(10),
-         case when doc_id % 13 = 0 then substring(text, 1, 40)
+         case when doc_id % 13 = 0 then source
               when doc_id % 7 = 0 then concat('SIG_FALLBACK ', text) else text end,
-         chr(10), '</think>', chr(10), substring(text, 1, 200),
+         chr(10), '</think>', chr(10), text,
          case when doc_id % 5 = 0 then ' SIG_REFUSAL' else '' end) end as answer
 from documents"""
 
@@ -34,10 +34,10 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def qa_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, t = load(spark, sf_dir, "documents"), F.col("text")
-    inner = F.when(F.col("doc_id") % 13 == 0, F.substring(t, 1, 40)).when(F.col("doc_id") % 7 == 0, F.concat(F.lit("SIG_FALLBACK "), t)).otherwise(t)
+    inner = F.when(F.col("doc_id") % 13 == 0, F.col("source")).when(F.col("doc_id") % 7 == 0, F.concat(F.lit("SIG_FALLBACK "), t)).otherwise(t)
     tail = F.when(F.col("doc_id") % 5 == 0, " SIG_REFUSAL").otherwise("")
-    whole = F.concat(F.lit("<think><facet = "), F.col("source"), F.lit(">\n"), inner, F.lit("\n</think>\n"), F.substring(t, 1, 200), tail)
-    return d.select(F.col("doc_id").alias("line_num"), F.substring(t, 1, 60).alias("q"), F.col("source").alias("planner"), F.when(F.col("doc_id") % 11 == 0, t).otherwise(whole).alias("answer"))
+    whole = F.concat(F.lit("<think><facet = "), F.col("source"), F.lit(">\n"), inner, F.lit("\n</think>\n"), t, tail)
+    return d.select(F.col("doc_id").alias("line_num"), t.alias("q"), F.col("source").alias("planner"), F.when(F.col("doc_id") % 11 == 0, t).otherwise(whole).alias("answer"))
 
 
 def query(sql: str | None = None):
@@ -162,7 +162,7 @@ def ordered_rewrites(spark, sf_dir):
 def washed_answers(spark, sf_dir):
     """F8, F9, F15, F16 and P19 with the fixed values over texts with their words put in front."""
     d = load(spark, sf_dir, "documents")
-    t = F.concat(F.lit("首先，根据参考资料显示图谱关系，其次"), F.substring("text", 1, 400), F.lit("综上所述，refs《实体库:x》锚点（见？）"))
+    t = F.concat(F.lit("首先，根据参考资料显示图谱关系，其次"), F.col("text"), F.lit("综上所述，refs《实体库:x》锚点（见？）"))
     out = d.select("doc_id", clean.smooth_transitions(t).alias("a"), clean.scrub_leakage(t).alias("b"), clean.wash(t).alias("c"), clean.strip_openings(t).alias("d"), clean.collapsed(t).alias("collapsed"))
     return out.select("doc_id", *[F.md5(c).alias(f"{c}_md5") for c in "abcd"], "collapsed")
 
@@ -171,7 +171,7 @@ def washed_answers(spark, sf_dir):
 with d as (select doc_id, text, coalesce(o.o_totalprice::varchar, '') as refs from documents left join orders o on o.o_orderkey = doc_id),
 n as (select doc_id, list_distinct(regexp_extract_all(' ' || text || ' ', '\\b\\d+(?:\\.\\d+)?%?\\b')) as nums, refs from d)
 select doc_id, array_to_string(list_sort(list_filter(nums, lambda x: length(x) > 1 and not starts_with(x, '202') and not contains(refs, x)
-  and (contains(x, '%') or contains(x, '.') or try_cast(regexp_replace(x, '\\D', '', 'g') as hugeint) > 500))), ' ') as numbers from n""")
+  and (contains(x, '%') or contains(x, '.') or length(ltrim(regexp_replace(x, '\\D', '', 'g'), '0')) > 3 or (length(ltrim(regexp_replace(x, '\\D', '', 'g'), '0')) = 3 and ltrim(regexp_replace(x, '\\D', '', 'g'), '0') > '500')))), ' ') as numbers from n""")
 def unsupported_numbers(spark, sf_dir):
     d, o = load(spark, sf_dir, "documents"), load(spark, sf_dir, "orders")
     j = d.join(o, F.col("doc_id") == F.col("o_orderkey"), "left")
@@ -201,8 +201,8 @@ def html_clean(spark, sf_dir):
 
 
 @query(f"""
-with v as (select page_id, {_VISIBLE} as t from pages), a as (select *, instr(t, 'the') as p from v)
-select page_id, case when p > 0 then {_s("substring(t, greatest(1, p - 50)::int, (p + 53 - greatest(1, p - 50))::int)")} else '' end as snippet from a""")
+with v as (select page_id, {_s("regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?>.*?</script>', ' ', 'g'), '(?is)<style.*?>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[\\s\\x0b\\x{{a0}}\\x{{3000}}]+', ' ', 'g')".replace("{{", "{").replace("}}", "}"))} as t from pages), a as (select *, instr(t, 'the') as p from v)
+select page_id, case when p > 0 then substring(t, greatest(1, p - 50)::int, (p + 50 - greatest(1, p - 50))::int) else '' end as snippet from a""")
 def html_snippet(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", text.snippet(F.col("html"), F.lit("the"), 50).alias("snippet"))
 
@@ -220,11 +220,11 @@ with v as ({QA_VIEW}),
 t as (select *, regexp_extract_all(answer, '<think>((?s:.)*?)</think>', 1) as th, string_split(answer, '</think>')[-1] as body from v),
 x as (select line_num, planner, th, unnest(th) as one from t),
 i as (
-  select line_num, planner, 'FALLBACK_TEMPLATE' as issue_type, 'CRITICAL' as severity, 'SIG_FALLBACK' as detail from t where contains(answer, 'SIG_FALLBACK')
-  union all select line_num, planner, 'SAFE_REFUSAL_TEMPLATE', 'HIGH', 'SIG_REFUSAL' from t where contains(body, 'SIG_REFUSAL')
+  select line_num, planner, 'FALLBACK_TEMPLATE' as issue_type, 'CRITICAL' as severity, sig as detail from t, (values ('SIG_FALLBACK'), ('Copyright')) f(sig) where contains(answer, sig)
+  union all select line_num, planner, 'SAFE_REFUSAL_TEMPLATE', 'HIGH', sig from t, (values ('SIG_REFUSAL'), ('worthless')) f(sig) where contains(body, sig)
   union all select line_num, planner, 'ENGINEERING_NOISE', 'MEDIUM', array_to_string(list_filter([' the ', ' der '], lambda s: contains(one, s)), ',') from x where contains(one, ' the ') or contains(one, ' der ')
-  union all select line_num, planner, 'EMPTY_THINK', 'HIGH', length({_s("regexp_replace(one, '<facet\\s*=\\s*[^>]*>', '', 'g')")})::varchar from x where length({_s("regexp_replace(one, '<facet\\s*=\\s*[^>]*>', '', 'g')")}) < 80
-  union all select line_num, planner, 'NO_THINK_BLOCK', 'MEDIUM', '' from t where len(th) = 0)"""
+  union all select line_num, planner, 'EMPTY_THINK', 'HIGH', length({_s("regexp_replace(one, '<facet\\s*=\\s*[^>]+>', '', 'g')")})::varchar from x where length({_s("regexp_replace(one, '<facet\\s*=\\s*[^>]+>', '', 'g')")}) < 80
+  union all select line_num, planner, 'NO_THINK_BLOCK', 'MEDIUM', '' from t where not contains(answer, '<think>'))"""
 
 
 @query(_ISSUES + " select line_num, planner, issue_type, severity, detail, case severity when 'CRITICAL' then 0 when 'HIGH' then 1 else 2 end as rank from i")
@@ -275,16 +275,20 @@ def keyword_recall(spark, sf_dir):
     return d.withColumn("slot", F.col("doc_id") % n).join(slots, "slot").select("doc_id", "item_id", F.round(recall(F.col("kw"), F.col("text")), 9).alias("recall"))
 
 
-@query(f"""
-with r as (select doc_id as line_num, replace(case when doc_id % 4 = 0 then '<think><facet = src0>' || text || '</think>' else '<facet=src0>' || text end, 'src0', 'healed') as answer,
-  case when source = 'src0' then 'healed' else source end as planner, doc_id % 4 in (0, 1, 2, 3) as healed from documents where not contains(text, 'src0'))
-select line_num, planner, md5(answer) as answer_md5, healed from r""")
+@query("""
+select doc_id as line_num, case when source = 'src0' then 'healed' else source end as planner,
+  md5(case when doc_id % 4 = 0 then '<think><facet = healed>' || text || '</think>' when doc_id % 4 = 1 then '<facet = healed>' || text || ' src0' else text end) as answer_md5,
+  source = 'src0' or doc_id % 4 in (0, 1) or contains(text, 'src0') as healed from documents""")
 def heal_facet(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").where(~F.contains("text", F.lit("src0")))
-    a = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("<think><facet = src0>"), "text", F.lit("</think>"))).otherwise(F.concat(F.lit("<facet=src0>"), "text"))
-    rec = d.select(F.col("doc_id").alias("line_num"), F.array(F.struct(F.col("source").alias("planner"), a.alias("answer"))).alias("planners"), F.lit("ok").alias("parse_status"), a.alias("raw"))
-    out = pipelines.healed(rec, "src0", "healed")
-    return out.select("line_num", F.col("planners")[0]["planner"].alias("planner"), F.md5(F.col("planners")[0]["answer"]).alias("answer_md5"), "healed")
+    d = load(spark, sf_dir, "documents")
+    k = F.col("doc_id") % 4
+    a = F.when(k == 0, F.concat(F.lit("<think><facet = src0>"), "text", F.lit("</think>"))).when(k == 1, F.concat(F.lit("<facet=src0>"), "text", F.lit(" src0"))).otherwise(F.col("text"))
+    planners = F.array(F.struct(F.col("source").alias("planner"), a.alias("answer")))
+    rec = d.select(F.col("doc_id").alias("line_num"), planners.alias("planners"), F.lit("ok").alias("parse_status"), F.to_json(F.struct(planners.alias("planners"))).alias("raw"))
+    out = pipelines.healed(rec, "src0", "healed").withColumn("line", F.from_json("raw", "planners array<struct<planner:string,answer:string>>"))
+    # the line that is written must say what the planners say
+    same = F.col("line.planners") == F.col("planners")
+    return out.select("line_num", F.col("planners")[0]["planner"].alias("planner"), F.md5(F.when(same, F.col("planners")[0]["answer"])).alias("answer_md5"), "healed")
 
 
 @query("""
@@ -297,7 +301,7 @@ def preview_truncate(spark, sf_dir):
 
 
 @query("""
-select event_id, regexp_extract(w, '(?s)(\\{.*\\})', 1) as greedy, props as fenced, props as object, (props::json->>'k')::int as k
+select event_id, regexp_extract(w, '(?s)(\\{.*\\})', 1) as greedy, props as fenced, props as object, (props::json->>'k')::bigint as k
 from (select event_id, props, 'note ' || props || ' end' as w from events)""")
 def json_block_extract(spark, sf_dir):
     e, p = load(spark, sf_dir, "events"), F.col("props")
@@ -334,7 +338,7 @@ def code_repairs(spark, sf_dir):
 
 
 @query("""
-select b.item_id, d.doc_id from benchmark b join documents d on contains(d.text, substring(b.text, 1, 60))""")
+select b.item_id, d.doc_id from benchmark b join documents d on contains(d.text, b.text)""")
 def substring_join(spark, sf_dir):
-    b = load(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 60).alias("term"))
+    b = load(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("term"))
     return linkage.containing(load(spark, sf_dir, "documents").select("doc_id", "text"), b, "text", "term").select("item_id", "doc_id")

@@ -57,6 +57,60 @@ def count_lines(spark: SparkSession, path: str) -> int:
     return spark.read.text(path).count() if exists(spark, path) else 0
 
 
+def with_fields(raw: Column, changes: Column, drop: tuple[str, ...] = ()) -> Column:
+    """A JSON object with the fields of the object ``changes`` put in and some taken out; all others stay, in their order.
+
+    Written as Python's json.dumps does it without escaping. Null if either is no object.
+    """
+
+    @F.pandas_udf("string")
+    def run(texts, news):
+        import json
+
+        def one(text, new):
+            try:
+                own, more = json.loads(text), json.loads(new)
+                own.update(more)
+            except (TypeError, ValueError, AttributeError):
+                return None
+            for k in drop:
+                own.pop(k, None)
+            return json.dumps(own, ensure_ascii=False)
+
+        return texts.combine(news, one)
+
+    return run(raw, changes)
+
+
+def with_healed_facet(raw: Column, dirty: str, clean: str) -> Column:
+    """A line with a facet renamed in its planners; one that is no record by plain replacement, one without the term as it is."""
+
+    @F.pandas_udf("string")
+    def run(texts):
+        import json
+
+        def one(text):
+            if text is None or dirty not in text:
+                return text
+            try:
+                own = json.loads(text)
+                for p in own.get("planners", []):
+                    if p.get("planner") == dirty:
+                        p["planner"] = clean
+                    answer = p.get("answer", "")
+                    if dirty in answer:
+                        for old in (f"<facet = {dirty}>", f"<facet={dirty}>"):
+                            answer = answer.replace(old, f"<facet = {clean}>")
+                        p["answer"] = answer
+                return json.dumps(own, ensure_ascii=False)
+            except (TypeError, ValueError, AttributeError):
+                return text.replace(dirty, clean)
+
+        return texts.map(one)
+
+    return run(raw)
+
+
 def exploded(records: DataFrame) -> DataFrame:
     """A row for each planner with its place from 0; records without one keep a row."""
     return records.select("*", F.posexplode_outer("planners").alias("planner_index", "p")).select("*", F.col("p.planner").alias("planner"), F.col("p.answer").alias("answer")).drop("p")
@@ -86,6 +140,25 @@ def write_json(rows: DataFrame, path: str, *order: str) -> None:
     rows.orderBy(*order).write.json(path)
 
 
+def write_json_array(rows: DataFrame, path: str, *order: str) -> None:
+    """One pretty JSON array, an object to a line group, in the given order; a folder of parts that join to the array.
+
+    The brackets and commas come from each row's place, so no task holds more than its part.
+    """
+    columns = [c for c in rows.columns if c not in order]
+    body = F.to_json(F.struct(*columns), {"pretty": "true", "ignoreNullFields": "false"})
+    first, last = (rows.orderBy(*(F.asc(c) if up else F.desc(c) for c in order)).select(*order).take(1) for up in (True, False))
+    if not first:
+        rows.sparkSession.createDataFrame([("[]",)], "value string").write.text(path)
+        return
+
+    def at(row) -> Column:
+        return F.expr(" and ".join(f"`{c}` <=> {row[c]!r}" for c in order))
+
+    text = F.concat(F.when(at(first[0]), "[\n").otherwise(""), body, F.when(at(last[0]), "\n]").otherwise(","))
+    rows.orderBy(*order).select(text.alias("value")).write.text(path)
+
+
 def rewritten(processed: DataFrame, latest: DataFrame) -> DataFrame:
     """Processed lines, and lines that came in since, by number."""
     last = processed.agg(F.max("line_num").alias("n"))
@@ -101,9 +174,10 @@ def missing_tail(dataset: DataFrame, backup_lines: int) -> DataFrame:
 def append_both(spark: SparkSession, rows: DataFrame, current: str, raw: str, clean: Column, original: Column) -> int:
     """Appends each row to both tables, or to neither.
 
-    Both must hold the same number of lines before. Rows are staged once, so
-    the two parts agree; if the second append fails the first one's new files
-    are deleted.
+    Both must hold the same number of lines before. Rows are written once to a
+    folder beside ``current`` and both appends read that, so the two parts agree
+    even if an executor is lost between them; if the second append fails the
+    first one's new files are deleted.
     """
     n, m = count_lines(spark, current), count_lines(spark, raw)
     if n and not exists(spark, raw):
@@ -117,8 +191,12 @@ def append_both(spark: SparkSession, rows: DataFrame, current: str, raw: str, cl
     def files() -> set[str]:
         return {str(s.getPath()) for s in fs.listStatus(hadoop(current))} if fs.exists(hadoop(current)) else set()
 
-    held, before = rows.select(clean.alias("c"), original.alias("r")).persist(), files()
+    import uuid
+
+    staged, before = f"{current.rstrip('/')}-staged-{uuid.uuid4().hex}", files()
     try:
+        rows.select(clean.alias("c"), original.alias("r")).write.parquet(staged)
+        held = spark.read.schema("c string, r string").parquet(staged)
         added = held.count()
         held.select("c").write.mode("append").text(current)
         try:
@@ -129,7 +207,7 @@ def append_both(spark: SparkSession, rows: DataFrame, current: str, raw: str, cl
             raise
         return added
     finally:
-        held.unpersist()
+        fs.delete(hadoop(staged), True)
 
 
 def restored(current: DataFrame, backup: DataFrame, first: int, last: int) -> DataFrame:

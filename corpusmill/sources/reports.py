@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions import fixed
 from corpusmill.functions.text import find_all, group, logged_line
 
 
@@ -22,7 +23,7 @@ def report_blocks(lines: DataFrame) -> DataFrame:
     at = Window.partitionBy("doc").orderBy("line_num").rowsBetween(Window.unboundedPreceding, 0)
     cut = lines.withColumn("block", F.sum(F.col("raw").startswith("## ").cast("int")).over(at)).where("block > 0")
     blocks = cut.groupBy("doc", "block").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_num", "raw"))), lambda x: x["raw"]), "\n").alias("text"))
-    line = F.coalesce(F.get(find_all(F.col("text"), r"数据集第 (\d+) 行", 1), F.lit(0)).cast("int"), F.lit(9999))
+    line = F.coalesce(F.get(find_all(F.col("text"), r"数据集第 (\d+) 行", 1), F.lit(0)).try_cast("bigint"), F.lit(9999))
     keyed = blocks.withColumn("line", line).withColumn("facet", group(F.col("text"), r"切面[:：]\s*([^\n]*)", 1))
     return keyed.withColumn("number", F.row_number().over(Window.partitionBy("doc").orderBy("line", "facet", "block")))
 
@@ -52,20 +53,43 @@ def purged_cache(cache: DataFrame, query: str, text: str) -> DataFrame:
 
 
 def articles(xml: DataFrame) -> DataFrame:
-    """Title, date, authors and abstract of article XML in the column ``xml``."""
+    """Title, date, authors and abstract of article XML in the column ``xml``; empty abstract parts are left out."""
 
     def tag(name: str):
         return group(F.col("xml"), rf"<{name}[^>]*>(.*?)</{name}>", 1, "s")
 
     year, medline = tag("Year"), tag("MedlineDate")
-    names = F.transform(find_all(F.col("xml"), r"<LastName>(.*?)</LastName>", 1), lambda x: x)
-    labels = find_all(F.col("xml"), r'<AbstractText(?:[^>]*?Label="([^"]*)")?[^>]*>', 1)
-    texts = find_all(F.col("xml"), r"<AbstractText[^>]*>(.*?)</AbstractText>", 1, "s")
-    abstract = F.array_join(F.zip_with(labels, texts, lambda a, t: F.when(F.coalesce(a, F.lit("")) != "", F.concat(a, F.lit(": "), t)).otherwise(t)), "\n")
+    names = find_all(F.col("xml"), r"<LastName>(.*?)</LastName>", 1)
+    # each part with its own tag, so labels and texts stay together
+    parts = find_all(F.col("xml"), r"<AbstractText(?:\s[^>]*)?(?<!/)>.*?</AbstractText>", 0, "s")
+
+    def told(part):
+        label, body = group(part, r'^<AbstractText[^>]*?\bLabel="([^"]*)"', 1), group(part, r"^<AbstractText[^>]*>(.*)</AbstractText>$", 1, "s")
+        return F.when(label != "", F.concat(label, F.lit(": "), body)).otherwise(body)
+
+    abstract = F.array_join(F.filter(F.transform(parts, told), lambda x: x != ""), "\n")
     return xml.select("*", tag("ArticleTitle").alias("title"), F.when(year != "", year).otherwise(medline).alias("date"), names.alias("authors"), abstract.alias("abstract"))
 
 
-def domain_hits(results: DataFrame, url: str, domains: DataFrame) -> DataFrame:
-    """Results whose host is a listed domain or below one."""
-    host = F.try_parse_url(F.col(url), F.lit("HOST"))
-    return results.withColumn("host", host).join(domains, (F.col("host") == F.col("domain")) | F.col("host").endswith(F.concat(F.lit("."), F.col("domain"))), "left_semi")
+def domain_hits(results: DataFrame, url: str, domains: DataFrame | None = None, most: int | None = None, key: str | None = None) -> DataFrame:
+    """Results whose host is a listed domain (by default the six fixed ones) or below one.
+
+    With ``most`` the first so many by ``key``. Hosts meet domains by equality of their suffixes, so no row is compared with every domain.
+    """
+    if domains is None:
+        domains = results.sparkSession.createDataFrame([(d,) for d in fixed.DOMAINS], "domain string")
+    named = results.withColumn("host", F.try_parse_url(F.col(url), F.lit("HOST")))
+    labels = F.split("host", "\\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hosts = named.select("host").where("host is not null").distinct().select("host", F.explode(suffixes).alias("domain"))
+    fits = hosts.join(domains.select("domain").distinct(), "domain", "left_semi").select("host").distinct()
+    out = named.join(fits, "host", "left_semi").select(*results.columns, "host")
+    return out if most is None else out.orderBy(key).limit(most)
+
+
+def rejections(gated: DataFrame) -> DataFrame:
+    """Of rows with a gate's result (task, query, status, avg_score, failed) those rejected, as a JSON line and as Markdown."""
+    bad = gated.where(F.col("status") == "rejected")
+    line = F.to_json(F.struct("task", "query", "status", "avg_score", "failed"))
+    told = F.concat(F.lit("## "), "task", F.lit("\n\n- query: "), "query", F.format_string("\n- average: %.2f\n- failed: ", "avg_score"), F.array_join("failed", ", "), F.lit("\n"))
+    return bad.select("task", line.alias("json"), told.alias("markdown"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import boundary, gates, linkage, ordering, rollup
-from corpusmill.plans import pipelines, scan
+from corpusmill.plans import pipelines, purify, scan
 from corpusmill.sources import jsonl, reports
 from corpusmill.streaming import cursor
 
@@ -78,8 +78,10 @@ def test_facet_plan(spark):
         return row.select(gates.plan_facets(F.col("v"), F.col("r"), F.col("e"))).first()[0]
 
     nine = [str(i) for i in range(9)]
+    nine = [f"视角{k}" for k in range(9)]
+    assert plan(nine[:1]) == [] and plan(["x", "y" * 20]) == [] and plan(nine[:3], None, ["短", "新的视角"]) == [*nine[:3], "新的视角"]
     assert plan(nine) == nine[:8] and plan(nine, nine[1:]) == nine[1:] and plan(nine, nine[:3]) == nine[:8]
-    assert plan(["a", "b"], None, ["c"]) == ["a", "b"] and plan(["a", "b", "c"], None, ["c", "d"]) == ["a", "b", "c", "d"] and plan(nine[:8], None, ["x"]) == nine[:8]
+    assert plan(["aa", "bb"], None, ["cc"]) == ["aa", "bb"] and plan(["aa", "bb", "cc"], None, ["cc", "dd"]) == ["aa", "bb", "cc", "dd"] and plan(nine[:8], None, ["xx"]) == nine[:8]
 
 
 def test_registry(spark):
@@ -110,23 +112,68 @@ def test_provider_retries(spark):
 
 def test_purify_replay(spark, tmp_path):
     long = "药物通过受体起效，因此血压下降。" * 3
-    raw = [record("q1", [f"<think>{long}</think>body"], refs=[{"source": "s", "context": "c"}]), record("q2", ["<think>x</think>y"], refs=[]), record("q3", ["<think>x</think>y"])]
+    raw = [record("q1", [f"<think>{long}</think>body"], refs=[{"source": "s", "context": "c"}], kept=7), record("q2", ["<think>x</think>y"], refs=[]), record("q3", ["<think>x</think>y"])]
     (tmp_path / "r.jsonl").write_text("\n".join(raw))
     records = jsonl.read_records(spark, str(tmp_path / "r.jsonl"))
     responses = spark.createDataFrame([], "req_id string, content string, reasoning string, prompt_tokens int, completion_tokens int, error string")
-    answers = {"compatibility": "COMPATIBLE", "judge": '{"semantic_purity_score": 95, "medical_rigor_score": 95, "logical_depth_score": 90}'}
-    for _ in range(3):
-        out = pipelines.purify(records, records, responses)
-        for r in out["pending"].collect():
-            content = answers.get(r.stage) or ("好的推理。" if long[:20] in r.prompt else "{broken")
-            responses = responses.unionByName(spark.createDataFrame([(r.req_id, content, None, 1, 1, None)], responses.schema))
-    out = pipelines.purify(records, records, responses)
-    assert out["pending"].isEmpty()
+    answers = {"compatibility": "COMPATIBLE", "facet_validity": "VALID", "summary": "new", "judge": '```json\n{"semantic_purity_score": 95, "medical_rigor_score": 95, "logical_depth_score": 90}\n```'}
+    rounds = 0
+    while True:
+        out = purify.purify(records, records, responses)
+        waiting = out["pending"].collect()
+        if rounds == 1:
+            assert {r.run_status for r in out["rows"].collect()} == {"pending"} and {r.line_num: r.raw for r in out["lines"].collect()} == {k + 1: x for k, x in enumerate(raw)}
+        if not waiting:
+            break
+        rows = [(r.req_id, answers.get(r.stage) or ("好的推理。" if long[:20] in r.prompt else "{broken"), None, 1, 1, None) for r in waiting]
+        responses = responses.unionByName(spark.createDataFrame(rows, responses.schema))
+        rounds += 1
+        assert rounds < 12
     assert {r.line_num: r.run_status for r in out["rows"].collect()} == {1: "success", 2: "rollback"}
     lines = {r.line_num: r.raw for r in out["lines"].collect()}
     assert lines[2] == raw[1] and lines[3] == raw[2]
     new = json.loads(lines[1])
-    assert "refs" not in new and "好的推理。" in new["planners"][0]["answer"]
+    assert "refs" not in new and "好的推理。" in new["planners"][0]["answer"] and new["summary"] == "new" and new["kept"] == 7
+    assert out["cursor"].first().next_start == 2 and out["diffs"].count() == 1
+    assert {r.line_number: r.planner_count_after for r in out["audit"].collect()} == {1: 1, 2: 1}
+
+
+def test_planner_outcomes(spark):
+    """Prune, rename, signature, second attempt with feedback, second purge, and calls that fail."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    def planner(k, name, think, n=2):
+        return (k, 0, name, "药物如何代谢", f"<think>{think}</think>body", n, "")
+
+    rows = [planner(1, "强套视角", "x"), planner(2, "示例视角", "x", 1), planner(3, "a", "触发物理格式崩溃"), planner(4, "b", "retry"), planner(5, "c", "purge"), planner(6, "d", "dead")]
+    df = spark.createDataFrame(rows, "line_num bigint, planner_index int, planner string, q string, answer string, n int, evidence string")
+    schema = _parse_datatype_string("req_id string, content string, error string")
+    responses = spark.createDataFrame([], schema)
+
+    def answer(r):
+        if r.stage == "facet_validity":
+            return ("INVALID" if r.prompt == "示例视角" else "VALID"), None
+        if r.stage == "compatibility":
+            return ("FORCED_SKIP" if "强套" in r.prompt else "COMPATIBLE"), None
+        if r.stage == "rewrite":
+            if "dead" in r.prompt:
+                return None, "gone"
+            return ("good " if "反馈" in r.prompt else "first ") + r.prompt.split("\n")[2], None
+        if r.stage == "second_purge":
+            return "clean", None
+        low = 50 if "first retry" in r.prompt or "first purge" in r.prompt else 95
+        return json.dumps({"semantic_purity_score": low, "medical_rigor_score": 95 if "first retry" not in r.prompt else 10, "logical_depth_score": 95}), None
+
+    for _ in range(10):
+        out = purify.planner_outcomes(df, responses, allow_prune=True)
+        waiting = out.where("ask is not null").select("ask.*").distinct().collect()
+        if not waiting:
+            break
+        responses = responses.unionByName(spark.createDataFrame([(r.req_id, *answer(r)) for r in waiting], schema))
+    got = {r.line_num: (r.status, r.new_name, r.purified) for r in out.collect()}
+    assert got == {
+        1: ("pruned", "强套视角", None), 2: ("success", "药代动力学", "first x"), 3: ("failed", "a", None), 4: ("success", "b", "good retry"), 5: ("success", "c", "clean"), 6: ("failed", "d", None),
+    }
 
 
 def test_export_and_cleanup(spark, corpus):
@@ -140,12 +187,14 @@ def test_export_and_cleanup(spark, corpus):
 def test_plan_run(spark, corpus):
     got = {r.line_num: (r.chosen, r.skip_reason) for r in pipelines.plan_run(jsonl.read_records(spark, corpus), 1, 1).collect()}
     assert got == {1: (True, None), 2: (False, "unreadable"), 3: (False, "unreadable"), 4: (False, "no_think"), 5: (False, "already_purified")}
+    got = {r.line_num: r.skip_reason for r in pipelines.plan_run(jsonl.read_records(spark, corpus), 4, 9, [1, 4]).collect()}
+    assert got == {1: "before_start", 2: "not_listed", 3: "not_listed", 4: "no_think", 5: "not_listed"}
 
 
 def test_structural_and_mock(spark):
     refs = [("在线公开检索系统抓取异常", ""), ("s", "药物【Rx】目前主要在临床上用于辅助治疗")]
     df = spark.createDataFrame([(refs,)], "refs array<struct<source:string,context:string>>")
-    assert df.select(scan.mock_refs(F.col("refs"))).first()[0] == ["crawl failure", "Rx"]
+    assert [tuple(x) for x in df.select(scan.mock_refs(F.col("refs"))).first()[0]] == [(0, "网络异常兜底Mock"), (1, "Rx")]
 
 
 def test_reports(spark):
