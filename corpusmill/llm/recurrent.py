@@ -38,6 +38,8 @@ HEAD, CLASS, HIDDEN = 4096, 64, 16
 #: Bytes of text that make a block, and blocks of a scoring task.
 BLOCK_BYTES, TASK_BLOCKS = 16 << 20, 4
 WINDOW, SEQUENCES = 32, 512
+#: Steps that a stream is good for at least, by fewer sequences side by side.
+LEAST_STEPS = 100
 #: Rounds for a corpus of ROUND_TOKENS, and one more for each four times that.
 ROUNDS, ROUND_TOKENS = 3, 50_000_000
 #: Tokens that a trainer holds at a time.
@@ -209,7 +211,7 @@ class Trainer:
 
     def learn(self, stream: np.ndarray) -> None:
         """One pass over a stream of ids, cut into lines side by side."""
-        width = max(1, min(SEQUENCES, len(stream) // (2 * WINDOW)))
+        width = max(1, min(SEQUENCES, len(stream) // (LEAST_STEPS * WINDOW)))
         length = len(stream) // width
         if length < 2:
             return
