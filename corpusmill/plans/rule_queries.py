@@ -391,3 +391,30 @@ def article_records(spark, sf_dir):
     when = F.when(k % 2 == 0, F.format_string("<Year>20%02d</Year>", k % 30)).otherwise("<MedlineDate>2001 Jan</MedlineDate>")
     xml = F.concat(F.format_string("<PubmedArticle><ArticleTitle>T%d</ArticleTitle>", k), when, F.lit('<LastName>A</LastName><LastName>B</LastName><AbstractText Label="AIM">u</AbstractText><AbstractText/><AbstractText>w</AbstractText></PubmedArticle>'))
     return reports.articles(load(spark, sf_dir, "documents").select("doc_id", xml.alias("xml"))).select("doc_id", "title", "date", F.array_join("authors", ",").alias("authors"), "abstract")
+
+
+@query("""
+with c as (select conv_id as line, arg_min(text, turn) as q, count(*) as n from conversations group by 1),
+p as (select line, q, 0 as planner_index, 'p0' as facet, case when line % 5 = 0 then 'plain ' || n else '<think>t' || line || '</think>b' || n end as answer from c union all select line, q, 1, 'p1', '<think>u</think>c' from c),
+k as (select regexp_replace(q, '[\\s\\x0b\\x{a0}\\x{3000}]+', '', 'g') as k, count(*) as n, min(line) as first from c where line % 3 <> 0 group by 1),
+m as (select p.*, case when line % 3 <> 0 then 'SAME_LINE' when coalesce(k.n, 0) = 1 then 'MAPPED_BY_Q' when k.n > 1 then 'AMBIGUOUS_Q' else 'NO_RAW_MATCH' end as status0, case when line % 3 <> 0 then line when k.n = 1 then k.first end as raw_line
+  from p left join k on k.k = regexp_replace(p.q, '[\\s\\x0b\\x{a0}\\x{3000}]+', '', 'g') and k.k <> ''),
+s as (select *, case when status0 in ('AMBIGUOUS_Q', 'NO_RAW_MATCH') then 'RAW_MAPPING_ERROR' when not contains(answer, '<think>') then 'MISSING_THINK' when line % 7 = 0 then 'PENDING' else 'OK' end as audit_status from m)
+select line, planner_index::bigint as planner_index, raw_line, status0 as raw_mapping_status, substring(sha256('{"answer": "' || answer || '", "planner": "' || facet || '"}'), 1, 16) as input_hash, audit_status,
+  case when audit_status = 'OK' and planner_index = 0 then 'KEEP' when audit_status = 'OK' then 'EDIT' else 'REVIEW' end as verdict,
+  case audit_status when 'RAW_MAPPING_ERROR' then 'RESTORE_OR_MAP_RAW' when 'MISSING_THINK' then 'RESTORE_RAW_OR_REGENERATE' when 'PENDING' then 'MANUAL_REVIEW' else case when planner_index = 0 then 'KEEP' else 'REWRITE' end end as recommended_action from s""")
+def mapped_audit(spark, sf_dir):
+    """Q4 and X13, replayed: conversations against a copy without each third one, answers for all but each seventh."""
+    from corpusmill.plans.audit import audit
+
+    n = F.col("line_num")
+    c = load(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("line_num")).agg(F.min_by("text", "turn").alias("q"), F.count(F.lit(1)).alias("n"))
+    first = F.when(n % 5 == 0, F.concat(F.lit("plain "), F.col("n").cast("string"))).otherwise(F.concat(F.lit("<think>t"), n.cast("string"), F.lit("</think>b"), F.col("n").cast("string")))
+    planners = F.array(F.struct(F.lit("p0").alias("planner"), first.alias("answer")), F.struct(F.lit("p1").alias("planner"), F.lit("<think>u</think>c").alias("answer")))
+    records = c.select("line_num", "q", F.lit("ok").alias("parse_status"), planners.alias("planners"), F.lit(None).cast("array<struct<source:string,context:string>>").alias("refs"), F.lit("").alias("summary"), F.lit(False).alias("has_history_key"))
+    raw = records.where(n % 3 != 0)
+    none = spark.createDataFrame([], "req_id string, content string, error string")
+    asked = audit(records.where(n % 7 != 0), raw, none, 0, allow_unmapped=True)["pending"]
+    responses = asked.select("req_id", F.when(F.contains("prompt", F.lit("\np0\n")), '{"verdict": "keep"}').otherwise('{"verdict": "EDIT"}').alias("content"), F.lit(None).cast("string").alias("error"))
+    rows = audit(records, raw, responses, 0, allow_unmapped=True)["rows"]
+    return rows.select("line", F.col("planner_index").cast("bigint").alias("planner_index"), "raw_line", "raw_mapping_status", "input_hash", "audit_status", "verdict", "recommended_action")
