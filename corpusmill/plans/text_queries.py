@@ -180,7 +180,10 @@ def unsupported_numbers(spark, sf_dir):
     return j.select("doc_id", F.array_join(scan.unsupported_numbers(ascii_, F.coalesce(F.col("o_totalprice").cast("string"), F.lit(""))), " ").alias("numbers"))
 
 
-@query()
+@query("""
+with r as (select p_partkey, p_partkey % 3 as m, 'YB' || lpad(p_partkey::varchar, 5, '0') as code, p_name from part),
+t as (select p_partkey, case m when 0 then '国家药品执行标准：' || code || '，另有批准文号 XK2020001；' || p_name when 1 then '国家药品执行标准：' || code || '，另有；' || p_name else '，另有批准文号 XK2020001；' || p_name end as t from r)
+select p_partkey, t as strict, t as answer from t""")
 def identifier_evidence_filter(spark, sf_dir):
     """codes of a part stay in a text only where the evidence names them."""
     p = load(spark, sf_dir, "part")
@@ -329,7 +332,9 @@ def cache_key_hash(spark, sf_dir):
     return d.select("doc_id", text.cache_key(F.lit(" svc "), F.col("source")).alias("cache_key"), j.alias("input_json"), text.short_hash(j).alias("input_hash"))
 
 
-@query()
+@query("""
+with t as (select p_partkey, p_size, p_name || ' HSV-1 OER-1 XYZ-' || p_size || ' OER-12' as t, p_name from part)
+select p_partkey, 'OER-1,OER-12,XYZ-' || p_size as codes, p_name || ' HSV-1 OAT-1 XYZ-' || p_size || ' OAT-12' as repaired, substring(t, (instr(t, 'OER-1') - 5)::int, 15) as context from t""")
 def code_repairs(spark, sf_dir):
     """Academic codes found, and those with a known correction put right."""
     p = load(spark, sf_dir, "part")

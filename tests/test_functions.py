@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import clean, fixed, text, think
 from corpusmill.operators import gates
+from corpusmill.plans import scan
 
 
 def values(spark, rows, **columns):
@@ -134,3 +135,61 @@ def test_safe_facets(spark):
     assert [r.f for r in values(spark, rows, f=gates.safe_facet)] == ["不良反应机制边界", "成分构成", "临床事实核验", ""]
     got = values(spark, [("有何不良反应", "分子机制")], one=lambda q, f: gates.downgrade_skip(q, f, F.lit(1)), two=lambda q, f: gates.downgrade_skip(q, f, F.lit(2)))[0]
     assert got.one.downgrade and not got.two.downgrade
+
+
+def test_washed_answers_by_python(spark):
+    """The query's ordered rewrites with the fixed values, said with Python's own patterns over whole texts."""
+    import hashlib
+    import os
+    import re
+
+    import pyarrow.parquet as pq
+
+    from corpusmill.functions import fixed
+    from corpusmill.plans.text_queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no driver tables")
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    docs = {r["doc_id"]: r["text"] for r in pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
+    got = {r.doc_id: r for r in QUERIES["washed_answers"](spark, sf).collect()}
+    assert set(got) == set(docs)
+    for k, text in docs.items():
+        t = "首先，根据参考资料显示图谱关系，其次" + text + "综上所述，refs《实体库:x》锚点（见？）"
+        a = b = c = t
+        for p, new in fixed.TRANSITIONS:
+            a = re.sub(p, new, a, flags=re.IGNORECASE)
+        for p in fixed.LEAKAGE:
+            b = re.sub(p, "", b, flags=re.IGNORECASE)
+        b = re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]{2,}", " ", b)).strip()
+        for old, new in fixed.WASH:
+            c = c.replace(old, new)
+        d = re.sub(fixed.DRAFT_TAIL, "", t.strip())
+        for p in fixed.META_OPENINGS:
+            d = re.sub(p, "", d).strip()
+        d = re.sub(fixed.FACET_PHRASE, "", d, flags=re.IGNORECASE).strip()
+        d = re.sub(f"^[{fixed.OPENING_PUNCTUATION}]", "", d).strip()
+        collapsed = any(x in t for x in fixed.COLLAPSE_LITERALS) or any(re.search(p, t) for p in fixed.COLLAPSE_PATTERNS)
+        r = got[k]
+        assert (r.a_md5, r.b_md5, r.c_md5, r.d_md5, r.collapsed) == (md5(a.strip()), md5(b), md5(c), md5(d), collapsed), k
+
+
+def test_numbers_and_blanks_of_any_length(spark):
+    """Numbers beyond every integer type, and long runs of blanks in time."""
+    import time
+
+    long = "9" * 50
+    rows = [(f"{long} 501 499 0{'0' * 45}7 {long}% 2024",)]
+    assert values(spark, rows, n=lambda c: scan.unsupported_numbers(c, F.lit("")))[0].n == ["501", long]
+    got = [r.n for r in values(spark, [("1e12",), ("-3.9",), ("inf",), ("1e300",), (None,)], n=text.truncate_int)]
+    assert got == [10**12, -3, 90, 9223372036854775807, 90]
+    assert values(spark, [(f"1,{long},7x",)], n=text.int_list)[0].n == [1, 7]
+    blanks = "a" + " " * 100_000 + "b" + "\u3000" * 100_000
+    values(spark, [("a ",)], n=text.strip)
+    began = time.time()
+    assert len(values(spark, [(blanks,)], n=text.strip)[0].n) == 100_002
+    assert time.time() - began < 5
+    twice = "word " * 20_000
+    began = time.time()
+    assert values(spark, [(twice,)], n=text.repeats)[0].n is True and time.time() - began < 10
