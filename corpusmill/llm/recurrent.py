@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ ROUNDS, ROUND_TOKENS = 3, 50_000_000
 CHUNK_TOKENS = 4_000_000
 RATE = 0.015
 SCORED_AT_ONCE, SCORED_WINDOW = 1024, 32
+#: Rows of the output layer at a time.
+OUTPUT_ROWS = 2048
 FANOUT = 32
 LOG10 = float(np.log(10.0))
 
@@ -97,14 +100,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _shares(logits: np.ndarray) -> np.ndarray:
-    """Softmax of each row, in place; weights and states are small, so only absurd values need a bound."""
-    np.minimum(logits, 60.0, out=logits)
-    np.exp(logits, out=logits)
-    logits *= np.reciprocal(logits @ np.ones(logits.shape[1], np.float32))[:, None]
-    return logits
-
-
 def _forward(p: dict, ids: np.ndarray, h: np.ndarray, keep: bool):
     """States after each step of ids (steps, sequences); with ``keep`` also what backpropagation needs."""
     n = HIDDEN
@@ -124,27 +119,53 @@ def _forward(p: dict, ids: np.ndarray, h: np.ndarray, keep: bool):
     return states, h, kept
 
 
-def _groups(cls: np.ndarray, classes: int) -> list[tuple[int, np.ndarray]]:
-    """Places of each class that occurs."""
+def _by_class(states: np.ndarray, targets: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in the order of their targets' classes: the order, the first row of each class, classes, and states with a one behind them, which takes the outputs' biases."""
+    cls = np.minimum(targets // CLASS, shape.classes)
+    cls[targets >= shape.head] = shape.classes
     order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(classes + 1))
-    return [(c, order[cuts[c] : cuts[c + 1]]) for c in range(classes) if cuts[c] < cuts[c + 1]]
+    cls = cls[order]
+    rows = np.ones((len(order), HIDDEN + 1), states.dtype)
+    rows[:, :HIDDEN] = states[order]
+    return order, np.searchsorted(cls, np.arange(shape.classes + 1)), cls, rows
+
+
+def _outputs(p: dict) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Weights of classes and of tokens, each with its biases, and whether a logit can be absurd: states lie in -1 to 1."""
+    wc, wo = np.vstack([p["wc"], p["bc"]]), np.column_stack([p["wo"], p["bo"]])
+    highest = max((np.abs(p["wc"]).sum(axis=0) + p["bc"]).max(), (np.abs(p["wo"]).sum(axis=1) + p["bo"]).max())
+    return wc, wo, bool(highest > 60.0)
+
+
+def _weights(rows: np.ndarray, w: np.ndarray, absurd: bool, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """exp of the logits, their sums, and log of each row's share at its place."""
+    out = rows @ w
+    if absurd:
+        np.minimum(out, 60.0, out=out)
+    own = out[np.arange(len(out)), places]
+    np.exp(out, out=out)
+    total = out @ np.ones(out.shape[1], out.dtype)
+    return out, total, own - np.log(total)
+
+
+def _slices(first: int, end: int):
+    """A range in slices of OUTPUT_ROWS, whose logits stay in a core's cache."""
+    return [slice(a, min(a + OUTPUT_ROWS, end)) for a in range(first, end, OUTPUT_ROWS)]
 
 
 def _log_probabilities(p: dict, shape: Shape, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of P(class) * P(token | class); for tail tokens of P(class) alone."""
-    cls = np.minimum(targets // CLASS, shape.classes)
-    cls[targets >= shape.head] = shape.classes
-    logits = states @ p["wc"] + p["bc"]
-    out = logits[np.arange(len(cls)), cls]
-    np.exp(logits, out=logits)
-    out -= np.log(logits @ np.ones(logits.shape[1], np.float32))
-    for c, at in _groups(cls, shape.classes):
-        own = slice(c * CLASS, (c + 1) * CLASS)
-        inner = states[at] @ p["wo"][own].T + p["bo"][own]
-        own_logit = inner[np.arange(len(at)), targets[at] - c * CLASS]
-        np.exp(inner, out=inner)
-        out[at] += own_logit - np.log(inner @ np.ones(CLASS, np.float32))
+    order, cuts, cls, rows = _by_class(states, targets, shape)
+    wc, wo, absurd = _outputs(p)
+    goal, found = targets[order], np.empty(len(order), states.dtype)
+    for at in _slices(0, len(order)):
+        found[at] = _weights(rows[at], wc, absurd, cls[at])[2]
+    for c in range(shape.classes):
+        own = wo[c * CLASS : (c + 1) * CLASS].T
+        for at in _slices(cuts[c], cuts[c + 1]):
+            found[at] += _weights(rows[at], own, absurd, goal[at] - c * CLASS)[2]
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
@@ -153,29 +174,36 @@ def _gradients(p: dict, shape: Shape, g: dict, ids: np.ndarray, targets: np.ndar
     n = HIDDEN
     states, last, kept = _forward(p, ids, h, keep=True)
     flat, goal = states.reshape(-1, n), targets.reshape(-1)
-    scale = np.float32(1.0 / len(goal))
-    cls = np.minimum(goal // CLASS, shape.classes)
-    cls[goal >= shape.head] = shape.classes
-    logits = flat @ p["wc"] + p["bc"]
-    prob = _shares(logits)
-    rows = np.arange(len(goal))
-    loss = -float(np.log(prob[rows, cls] + 1e-12).sum())
-    prob[rows, cls] -= 1
-    prob *= scale
-    g["wc"] += flat.T @ prob
-    g["bc"] += prob.sum(axis=0)
-    down = prob @ p["wc"].T
-    for c, at in _groups(cls, shape.classes):
+    scale = flat.dtype.type(1.0 / len(goal))
+    order, cuts, cls, rows = _by_class(flat, goal, shape)
+    wc, wo, absurd = _outputs(p)
+    goal, sorted_down, loss, gwc = goal[order], np.empty((len(order), n), flat.dtype), 0.0, np.zeros_like(wc)
+
+    def push(at: slice, w: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Scaled gradient of the logits of a slice; adds its loss."""
+        nonlocal loss
+        prob, total, logs = _weights(rows[at], w, absurd, places)
+        loss -= float(logs.sum())
+        prob *= (scale / total)[:, None]
+        prob[np.arange(len(prob)), places] -= scale
+        return prob
+
+    for at in _slices(0, len(order)):
+        prob = push(at, wc, cls[at])
+        gwc += rows[at].T @ prob
+        sorted_down[at] = prob @ p["wc"].T
+    g["wc"] += gwc[:n]
+    g["bc"] += gwc[n]
+    for c in range(shape.classes):
         own = slice(c * CLASS, (c + 1) * CLASS)
-        inner = flat[at] @ p["wo"][own].T + p["bo"][own]
-        q = _shares(inner)
-        k = np.arange(len(at))
-        loss -= float(np.log(q[k, goal[at] - c * CLASS] + 1e-12).sum())
-        q[k, goal[at] - c * CLASS] -= 1
-        q *= scale
-        g["wo"][own] += q.T @ flat[at]
-        g["bo"][own] += q.sum(axis=0)
-        down[at] += q @ p["wo"][own]
+        for at in _slices(cuts[c], cuts[c + 1]):
+            q = push(at, wo[own].T, goal[at] - c * CLASS)
+            moved = q.T @ rows[at]
+            g["wo"][own] += moved[:, :n]
+            g["bo"][own] += moved[:, n]
+            sorted_down[at] += q @ p["wo"][own]
+    down = np.empty_like(sorted_down)
+    down[order] = sorted_down
     down = down.reshape(states.shape)
     dx = np.empty((*states.shape[:2], 3 * n), np.float32)
     dh = np.zeros_like(h)
@@ -326,21 +354,20 @@ class Model:
         for b in range(0, len(order), SCORED_AT_ONCE):
             own = order[b : b + SCORED_AT_ONCE]
             long = sizes[own]
+            # all sequences in a line, each behind a start
+            line = np.concatenate([x for k in own for x in ([self.head + 1], docs[k])]).astype(np.int32)
+            first = np.cumsum(long + 1) - long - 1
             h = np.zeros((len(own), HIDDEN), np.float32)
             for at in range(0, int(long[0]), SCORED_WINDOW):
                 live = int((long > at).sum())
-                steps = min(SCORED_WINDOW, int(long[0]) - at)
-                goal = np.full((live, steps), -1, np.int32)
-                given = np.full((live, steps), self.head, np.int32)
-                for k in range(live):
-                    part = docs[own[k]][at : at + steps]
-                    goal[k, : len(part)] = part
-                    given[k, 0] = docs[own[k]][at - 1] if at else self.head + 1
-                    given[k, 1 : len(part)] = part[:-1]
+                step = np.arange(at, min(at + SCORED_WINDOW, int(long[0])))
+                place = first[:live, None] + step
+                real = (step < long[:live, None]).T
+                given = np.where(real.T, line[np.minimum(place, len(line) - 1)], self.head)
+                goal = line[np.minimum(place + 1, len(line) - 1)].T
                 states, h, _ = _forward(p, np.ascontiguousarray(given.T), h[:live], keep=False)
-                real = goal.T >= 0
                 logs = np.zeros(real.shape)
-                logs[real] = _log_probabilities(p, self.shape, states[real], goal.T[real])
+                logs[real] = _log_probabilities(p, self.shape, states[real], goal[real])
                 out[own[:live]] += logs.sum(axis=0)
         return out
 
@@ -364,7 +391,7 @@ def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
             trainer, whole, held, n = Trainer(flat, shape, rate), 0, [], 0
             for batch in in_parts(batches, 0):
                 for text in batch.column(0):
-                    ids = [shape.head + 1, *(place.get(w, shape.head) for w in tokens_of(text.as_py()))]
+                    ids = [shape.head + 1, *map(place.get, tokens_of(text.as_py()), repeat(shape.head))]
                     held.append(np.array(ids, _id_type(shape.head)))
                     n += len(ids)
                 if n >= CHUNK_TOKENS:
