@@ -250,8 +250,8 @@ class PieceCodec:
                 same = data[a:b] == normal[at[n]].encode()
                 first[n], end[n] = (a + k, a + k + 1) if same else (a, b)
             return ids, first, end
-        # pieces join: each begins where the one before ends
-        bounds = source[ends]
+        # pieces join: each begins where the one before ends; none lies beyond the text
+        bounds = source.take(ends, mode="clip")
         first = np.empty_like(bounds)
         first[:1], first[1:] = source[:1], bounds[:-1]
         return ids, first, bounds
