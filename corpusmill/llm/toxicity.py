@@ -3,12 +3,19 @@
 The kernel compares two units (a word, or single letters that were spread out)
 by their common subsequences of three letters, each weighted by LAMBDA to the
 power of its span; gaps lower the weight but do not lose the match, so inserted
-letters and gaps keep a unit near its plain form. Units of labelled sentences
-are the training rows, with the number of toxic and of other documents that
-hold them as weights. Since the decision function is linear in the kernel
-values against the landmarks, it folds into one weight for each letter triple,
-and a unit is scored by summing over its own triples: exactly the kernel
-machine, without a loop over landmarks.
+letters and gaps keep a unit near its plain form. Since the decision function
+is linear in the kernel values against the landmarks, it folds into one weight
+for each letter triple, and a unit is scored by summing over its own triples:
+exactly the kernel machine, without a loop over landmarks.
+
+The training rows are the labelled texts, as in a multiple-instance machine: of
+a toxic text, the units above zero under the machine so far are toxic, or else
+its highest one, and every unit of a text without the label is not toxic. What
+a text speaks through are its witnesses: those units, and the highest one of a
+text without the label. Each round reads all units of all labelled texts, takes the new
+witnesses of both labels into the working set and trains again, until no
+witness is new or ROUNDS is reached. The first machine starts from units that
+are frequent in one label; they only begin the working set.
 
 A document's score is a logistic function of its highest unit and of how many
 units are above the margin.
@@ -32,7 +39,9 @@ LAMBDA = 0.6
 LETTERS = 64
 #: The most labelled documents that are learned from, the first by hash.
 LABELLED_ROWS = 20_000
-POSITIVE_UNITS, NEGATIVE_UNITS, LANDMARKS = 1_500, 4_000, 256
+#: Units that begin the working set, by label; the rounds add the rest that matters.
+POSITIVE_START, NEGATIVE_START = 1_500, 4_000
+LANDMARKS, ROUNDS = 256, 4
 #: Documents that count as seen without the label, for each unit.
 PRIOR = 3.0
 THRESHOLD = 0.7
@@ -47,8 +56,7 @@ def units_of(token: str) -> list[str]:
     if len(parts) > 1:
         joined = "".join(parts)
         parts = [p for p in parts if len(p) > 2]
-        if len(joined) <= LONGEST:
-            parts.append(joined)
+        parts.append(joined)
     out = []
     for p in parts:
         if len(p) <= LONGEST:
@@ -80,9 +88,10 @@ def tokens_of(text: str) -> list[str]:
 
 
 def _codes(units: list[str], n: int) -> np.ndarray:
+    """Numbers of letters: a-z have their own, and so have the letters of one alphabet of up to 37 in a row."""
     raw = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(len(units), n).astype(np.int64)
     plain = (raw >= 97) & (raw <= 122)
-    return np.where(plain, raw - 96, 27 + (raw * 40503 >> 4) % (LETTERS - 27))
+    return np.where(plain, raw - 96, 27 + raw % (LETTERS - 27))
 
 
 _triples: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -185,17 +194,19 @@ def train(units: list[str], toxic: np.ndarray, clean: np.ndarray, ridge: float =
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
     z = np.hstack([kernel(rows, marks) @ root, np.ones((len(rows), 1))])
-    x = np.vstack([z, z])
-    y = np.repeat([1.0, -1.0], len(rows))
     # weights grow with the square root, so frequent words do not drown the rest
-    c = np.sqrt(np.concatenate([up, down]))
-    w = np.zeros(x.shape[1])
+    sides = [(y, np.sqrt(np.asarray(c, float))) for y, c in ((1.0, up), (-1.0, down))]
+    w = np.zeros(z.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(steps):
-        active = (y * (x @ w) < 1) & (c > 0)
-        xa = x[active] * c[active, None]
-        new = np.linalg.solve(xa.T @ x[active] + np.diag(penalty), xa.T @ y[active])
+        left, right = np.diag(penalty), np.zeros(len(w))
+        reached = z @ w
+        for y, c in sides:
+            active = (y * reached < 1) & (c > 0)
+            za = z[active] * c[active, None]
+            left, right = left + za.T @ z[active], right + y * za.sum(axis=0)
+        new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -213,6 +224,18 @@ class _Reader:
     def __init__(self, machine: Machine):
         self.machine, self.known = machine, {}
 
+    def witnesses(self, texts: list[str | None], toxic: list[int]) -> list[list[str]]:
+        """Of each text the highest unit, of equal ones the first by name, and of a toxic one all units above zero."""
+        listed = [sorted({u for t in set(tokens_of(x or "")) for u in units_of(t)}) for x in texts]
+        missing = list({u for units in listed for u in units if u not in self.known})
+        if len(self.known) + len(missing) > KNOWN_TOKENS and self.known:
+            self.known = {}
+            missing = list({u for units in listed for u in units})
+        if missing:
+            self.known.update(zip(missing, self.machine.decide(missing).tolist(), strict=True))
+        value = self.known.__getitem__
+        return [[u for u in units if bad and value(u) > 0] or ([max(units, key=value)] if units else []) for units, bad in zip(listed, toxic, strict=True)]
+
     def features(self, texts: list[str | None]) -> np.ndarray:
         listed = [tokens_of(t) if t else [] for t in texts]
         missing = {w for t in listed for w in t if w not in self.known}
@@ -255,8 +278,33 @@ def labelled(labels: DataFrame, holdout: bool = True, most: int = LABELLED_ROWS)
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
+def _trained(working: dict[str, tuple[float, float]]) -> Machine:
+    names = sorted(working)
+    weights = np.array([working[u] for u in names], float)
+    return train(names, weights[:, 0], weights[:, 1])
+
+
+def _witnesses(rows: DataFrame, machine: Machine) -> DataFrame:
+    """(unit, toxic) of all witnesses of ``rows``, with the number of toxic texts each speaks for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _Reader(machine)
+        for batch in in_parts(batches, 0):
+            toxic = batch.column(1).to_pylist()
+            found = reader.witnesses(batch.column(0).to_pylist(), toxic)
+            pairs = [(u, t) for units, t in zip(found, toxic, strict=True) for u in units]
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in pairs], pa.string()), pa.array([t for _, t in pairs], pa.int64())], ["unit", "toxic"])
+
+    found = rows.select("text", (F.col("toxic") > 0).cast("long").alias("toxic")).mapInArrow(run, "unit string, toxic long")
+    return found.groupBy("unit").agg(F.sum("toxic").alias("toxic"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | None:
-    """The machine learned from the labelled documents; None without both classes."""
+    """The machine learned from the labelled documents; None without both classes.
+
+    What reaches the driver are the distinct witnesses and three features of
+    the LABELLED_ROWS texts at most.
+    """
     sample = stage(labelled(labels, holdout), "labelled")
     rows = stage(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")), "sample")
 
@@ -279,17 +327,26 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | N
 
     counts = rows.select("text", "toxic").mapInArrow(count, "unit string, toxic long, clean long").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counts = stage(counts, "units")
-    picked = [
-        counts.where(F.col("toxic") > F.col("clean") + PRIOR).orderBy(F.desc(F.col("toxic") - F.col("clean")), "unit").limit(POSITIVE_UNITS),
-        counts.where(F.col("clean") > 0).orderBy(F.desc("clean"), "unit").limit(NEGATIVE_UNITS // 2),
-        counts.where(F.col("clean") > 0).orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVE_UNITS // 2),
+    begin = [
+        counts.where(F.col("toxic") > F.col("clean") + PRIOR).orderBy(F.desc(F.col("toxic") - F.col("clean")), "unit").limit(POSITIVE_START),
+        counts.where(F.col("clean") > 0).orderBy(F.desc("clean"), "unit").limit(NEGATIVE_START // 2),
+        counts.where(F.col("clean") > 0).orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVE_START // 2),
     ]
-    chosen = {r["unit"]: (r["toxic"], r["clean"] + PRIOR) for p in picked for r in p.collect()}
-    if not chosen or not any(t > c for t, c in chosen.values()):
+    working = {r["unit"]: (r["toxic"], r["clean"] + PRIOR) for p in begin for r in p.collect()}
+    if not working or not any(t > c for t, c in working.values()):
         return None
-    names = sorted(chosen)
-    weights = np.array([chosen[u] for u in names], float)
-    machine = train(names, weights[:, 0], weights[:, 1])
+    machine = _trained(working)
+    for _ in range(ROUNDS):
+        seen = _witnesses(rows, machine).join(counts.select("unit", "clean"), "unit").collect()
+        fresh = any(r["unit"] not in working for r in seen)
+        # a toxic text speaks through its present witnesses alone
+        working = {u: (0, down) for u, (_, down) in working.items()}
+        working.update({r["unit"]: (r["toxic"], r["clean"] + PRIOR) for r in seen})
+        if not any(t > c for t, c in working.values()):
+            break
+        machine = _trained(working)
+        if not fresh:
+            break
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(machine)

@@ -79,3 +79,26 @@ def test_scores_do_not_depend_on_the_batch():
             inner = p["wo"][own].astype(float) @ states[k] + p["bo"][own]
             want += inner[targets[k] - cls * recurrent.CLASS] - np.log(np.exp(inner).sum())
         assert abs(got[k] - want) < 1e-3
+
+
+def test_witnesses_are_the_units_that_speak_for_a_text(spark):
+    bad, good = ["moron", "worthless"], ["window", "garden", "paper", "morning", "worth", "ladder"]
+    machine = toxicity.train(bad + good, np.array([9.0] * 2 + [0.0] * 6), np.array([1.0] * 2 + [9.0] * 6))
+    texts = ["a moron in the garden, worthless", "garden paper morning", "", None, "w.o.r.t.h.l.e.s.s window", "ladder paper"]
+    flags = [1, 0, 1, 0, 1, 1]
+    got = toxicity._Reader(machine).witnesses(texts, flags)
+    for text, toxic, units in zip(texts, flags, got, strict=True):
+        all_units = sorted({u for t in toxicity.tokens_of(text or "") for u in toxicity.units_of(t)})
+        value = dict(zip(all_units, machine.decide(all_units))) if all_units else {}
+        above = [u for u in all_units if value[u] > 0]
+        assert units == (above if toxic and above else [max(all_units, key=value.get)] if all_units else [])
+    rows = spark.createDataFrame([(t, f) for t, f in zip(texts, flags, strict=True)] * 2, "text string, toxic int")
+    spoken = {r.unit: r.toxic for r in toxicity._witnesses(rows, machine).collect()}
+    assert spoken["moron"] == 2 and spoken["worthless"] == 4 and spoken["morning"] == 0
+
+
+def test_long_joined_tokens_and_alphabets():
+    assert any("worthless" in u for u in toxicity.units_of("what.a.w-o-r-t-h-l-e-s-s.person"))
+    for first, last in (("а", "я"), ("α", "ω"), ("ß", "ÿ")):
+        letters = [chr(c) for c in range(ord(first), ord(last) + 1)]
+        assert len(set(toxicity._codes(letters, 1)[:, 0])) == len(letters)
