@@ -24,7 +24,6 @@ units are above the margin.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -224,9 +223,8 @@ class _Reader:
     def __init__(self, machine: Machine):
         self.machine, self.known = machine, {}
 
-    def witnesses(self, texts: list[str | None], toxic: list[int]) -> list[list[str]]:
-        """Of each text the highest unit, of equal ones the first by name, and of a toxic one all units above zero."""
-        listed = [sorted({u for t in set(tokens_of(x or "")) for u in units_of(t)}) for x in texts]
+    def witnesses(self, listed: list[list[str]], toxic: list[int]) -> list[list[str]]:
+        """Of each text's units the highest, of equal ones the first listed, and of a toxic text all above zero."""
         missing = list({u for units in listed for u in units if u not in self.known})
         if len(self.known) + len(missing) > KNOWN_TOKENS and self.known:
             self.known = {}
@@ -284,19 +282,17 @@ def _trained(working: dict[str, tuple[float, float]]) -> Machine:
     return train(names, weights[:, 0], weights[:, 1])
 
 
-def _witnesses(rows: DataFrame, machine: Machine) -> DataFrame:
-    """(unit, toxic) of all witnesses of ``rows``, with the number of toxic texts each speaks for."""
+def _witnesses(held: DataFrame, machine: Machine) -> DataFrame:
+    """(unit, toxic): the witnesses of the texts of ``held`` (units, toxic), with the number of toxic texts each speaks for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(machine)
-        for batch in in_parts(batches, 0):
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             toxic = batch.column(1).to_pylist()
-            found = reader.witnesses(batch.column(0).to_pylist(), toxic)
-            pairs = [(u, t) for units, t in zip(found, toxic, strict=True) for u in units]
+            pairs = [(u, t) for units, t in zip(reader.witnesses(batch.column(0).to_pylist(), toxic), toxic, strict=True) for u in units]
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in pairs], pa.string()), pa.array([t for _, t in pairs], pa.int64())], ["unit", "toxic"])
 
-    found = rows.select("text", (F.col("toxic") > 0).cast("long").alias("toxic")).mapInArrow(run, "unit string, toxic long")
-    return found.groupBy("unit").agg(F.sum("toxic").alias("toxic"))
+    return held.mapInArrow(run, "unit string, toxic long").groupBy("unit").agg(F.sum("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | None:
@@ -308,25 +304,14 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | N
     sample = stage(labelled(labels, holdout), "labelled")
     rows = stage(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")), "sample")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: tuple[Counter, Counter] = (Counter(), Counter())
-
-        def flush():
-            names = list(found[0].keys() | found[1].keys())
-            batch = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([found[1][u] for u in names], pa.int64()), pa.array([found[0][u] for u in names], pa.int64())], ["unit", "toxic", "clean"])
-            found[0].clear()
-            found[1].clear()
-            return batch
-
-        for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found[int(toxic > 0)].update({u for t in set(tokens_of(text or "")) for u in units_of(t)})
-            if len(found[0]) + len(found[1]) > KNOWN_TOKENS:
-                yield flush()
-        yield flush()
-
-    counts = rows.select("text", "toxic").mapInArrow(count, "unit string, toxic long, clean long").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    counts = stage(counts, "units")
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches, 0):
+            units = [sorted({u for t in set(tokens_of(x or "")) for u in units_of(t)}) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(units, pa.list_(pa.string())), batch.column(1)], ["units", "toxic"])
+
+    held = stage(rows.select("text", (F.col("toxic") > 0).cast("long").alias("toxic")).mapInArrow(part, "units array<string>, toxic long"), "units")
+    counts = held.select(F.explode("units").alias("unit"), "toxic").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+    counts = stage(counts, "counts")
     begin = [
         counts.where(F.col("toxic") > F.col("clean") + PRIOR).orderBy(F.desc(F.col("toxic") - F.col("clean")), "unit").limit(POSITIVE_START),
         counts.where(F.col("clean") > 0).orderBy(F.desc("clean"), "unit").limit(NEGATIVE_START // 2),
@@ -337,7 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | N
         return None
     machine = _trained(working)
     for _ in range(ROUNDS):
-        seen = _witnesses(rows, machine).join(counts.select("unit", "clean"), "unit").collect()
+        seen = _witnesses(held, machine).join(counts.select("unit", "clean"), "unit").collect()
         fresh = any(r["unit"] not in working for r in seen)
         # a toxic text speaks through its present witnesses alone
         working = {u: (0, down) for u, (_, down) in working.items()}

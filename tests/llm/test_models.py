@@ -86,13 +86,13 @@ def test_witnesses_are_the_units_that_speak_for_a_text(spark):
     machine = toxicity.train(bad + good, np.array([9.0] * 2 + [0.0] * 6), np.array([1.0] * 2 + [9.0] * 6))
     texts = ["a moron in the garden, worthless", "garden paper morning", "", None, "w.o.r.t.h.l.e.s.s window", "ladder paper"]
     flags = [1, 0, 1, 0, 1, 1]
-    got = toxicity._Reader(machine).witnesses(texts, flags)
-    for text, toxic, units in zip(texts, flags, got, strict=True):
-        all_units = sorted({u for t in toxicity.tokens_of(text or "") for u in toxicity.units_of(t)})
+    listed = [sorted({u for t in toxicity.tokens_of(x or "") for u in toxicity.units_of(t)}) for x in texts]
+    got = toxicity._Reader(machine).witnesses(listed, flags)
+    for all_units, toxic, units in zip(listed, flags, got, strict=True):
         value = dict(zip(all_units, machine.decide(all_units))) if all_units else {}
         above = [u for u in all_units if value[u] > 0]
         assert units == (above if toxic and above else [max(all_units, key=value.get)] if all_units else [])
-    rows = spark.createDataFrame([(t, f) for t, f in zip(texts, flags, strict=True)] * 2, "text string, toxic int")
+    rows = spark.createDataFrame([(u, f) for u, f in zip(listed, flags, strict=True)] * 2, "units array<string>, toxic long")
     spoken = {r.unit: r.toxic for r in toxicity._witnesses(rows, machine).collect()}
     assert spoken["moron"] == 2 and spoken["worthless"] == 4 and spoken["morning"] == 0
 
