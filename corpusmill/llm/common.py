@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,12 @@ def stage(df: DataFrame, name: str = "t", compression: str = "snappy") -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(taken: Iterable[str], name: str) -> str:
+    """``name``, or with the first number that makes it differ from all of ``taken``; upper and lower case are one."""
+    used = {c.lower() for c in taken}
+    return next(x for x in (name, *(f"{name}{k}" for k in range(len(used) + 1))) if x.lower() not in used)
+
+
 #: Bytes of text that a task takes apart at a time.
 PART_BYTES = 2 << 20
 

@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express them, their SQL."""
 
-from corpusmill.llm import language, lattice, minhash, mixing, pieces, quality, recurrent, sharding, toxicity, warc
+from corpusmill.llm import counting, divergence, language, lattice, minhash, mixing, periods, pieces, quality, recurrent, sharding, toxicity, warc
 
 QUERIES = {
     "op1_lattice_hashing": lattice.op1_lattice_hashing,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_warc_round_trip": warc.op10_warc_round_trip,
+    "op11_token_counts": counting.op11_token_counts,
+    "op12_periodic_runs": periods.op12_periodic_runs,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLE_SQL = {
@@ -20,4 +23,5 @@ ORACLE_SQL = {
     "op3_minhash_bayes": minhash.OP3_SQL,
     "op5_mix_sources": mixing.OP5_SQL,
     "op10_warc_round_trip": warc.OP10_SQL,
+    "op13_source_divergence": divergence.OP13_SQL,
 }
