@@ -1,5 +1,7 @@
 """Row types of the corpus and of its audit tables."""
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,3 +18,9 @@ JUDGE_5D = ("grounding", "isolation", "explainability", "professionalism", "rele
 def has_key(raw: Column, key: str) -> Column:
     """Whether the object names the key, null value or not."""
     return F.coalesce(F.array_contains(F.json_object_keys(raw), key), F.lit(False))
+
+
+def free(taken: Iterable[str], name: str) -> str:
+    """``name``, or with the first number that makes it differ from all of ``taken``; upper and lower case are one."""
+    used = {c.lower() for c in taken}
+    return next(x for x in (name, *(f"{name}{k}" for k in range(len(used) + 1))) if x.lower() not in used)
