@@ -13,18 +13,22 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import free, in_parts, scratch_dir, stage, table
+from corpusmill.llm.common import in_parts, scratch_dir, stage, table
+from corpusmill.schema import free
 
-#: Up to so many missing digests (32 bytes each, so 8 MB) are sent to all tasks; more are joined by a shuffle.
-SENT_DIGESTS = 1 << 18
+#: Up to so many missing digests (32 bytes each, so 2 MB) are sent to all tasks; more are joined by a shuffle.
+SENT_DIGESTS = 1 << 16
 #: Bytes of text that are encoded at a time.
 SLICE_BYTES = 1 << 20
+#: Counts of stretches of text that a task keeps, twice over (those in use outlast the others), and the longest stretch kept.
+KNOWN_STRETCHES, KNOWN_LENGTH = 150_000, 64
 #: The session's setting that names a lasting cache.
 CACHE_SETTING = "spark.corpusmill.token.cache"
 
@@ -38,6 +42,24 @@ def installed(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Two blanks in a row, and a place before a single space or on both sides of a single line break, other signs on both sides.
+_BLANKS = re.compile(r"\s\s")
+_CUT = re.compile(r"(?<=\S)(?=[ ]\S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
+
+
+def stretches_of(text: str) -> list[str]:
+    """The text cut where the byte-level pattern cuts it in any case.
+
+    The pattern takes one space to the word behind it, and a line break alone
+    if no other blank is beside it; words hold no blanks. Python's blanks are
+    more than the pattern's, so a place is cut only if both agree. In a text
+    without two blanks in a row every space and line break is such a place.
+    """
+    if "\0" in text or _BLANKS.search(text):
+        return _CUT.split(text)
+    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+
+
 class Tokenizer:
     """A tokenizers (.json) or sentencepiece (.model) file: counts, the content that decides them, and the version."""
 
@@ -60,6 +82,8 @@ class Tokenizer:
         else:
             raise ValueError(f"neither a .json nor a .model file: {path}")
         self.library = f"{library.__name__} {library.__version__}"
+        self.known: dict[str, int] = {}
+        self.before: dict[str, int] = {}
 
     @property
     def folds(self) -> bool:
@@ -83,12 +107,54 @@ class Tokenizer:
             return b"n" + self.own.normalizer.normalize_str(text).encode()
         return b"t" + text.encode()
 
-    def counts(self, texts: list[str]) -> list[int]:
-        """Tokens of each text, without begin, end or added special tokens."""
+    @property
+    def cuts_at_spaces(self) -> bool:
+        """Whether no token crosses the place before a single space, and that around a single line break, between other signs.
+
+        So it is where the byte-level pattern cuts the text and nothing else
+        looks at it before.
+        """
+        return self.is_json and not self.folds and self.declared.get("pre_tokenizer") == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
+    def _whole(self, texts: list[str]) -> list[int]:
         if self.is_json:
             return [len(e) for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
         return [len(ids) for ids in self.own.encode(texts, num_threads=1)]
 
+    def counts(self, texts: list[str]) -> list[int]:
+        """Tokens of each text, without begin, end or added special tokens."""
+        if not self.cuts_at_spaces:
+            return self._whole(texts)
+        added = [t["content"] for t in self.declared.get("added_tokens", [])]
+        out, later = [], []
+        for k, text in enumerate(texts):
+            if any(a in text for a in added):
+                out.append(0)
+                later.append(k)
+            else:
+                out.append(self._by_stretches(text))
+        for k, n in zip(later, self._whole([texts[k] for k in later])):
+            out[k] = n
+        return out
+
+    def _by_stretches(self, text: str) -> int:
+        stretches = stretches_of(text)
+        if len(self.known) > KNOWN_STRETCHES:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        fresh, long = [], {}
+        for s in set(stretches):
+            if s not in known:
+                if s in before:
+                    known[s] = before[s]
+                else:
+                    fresh.append(s)
+        for s, n in zip(fresh, self._whole(fresh)):
+            (known if len(s) <= KNOWN_LENGTH else long)[s] = n
+        if long:
+            return sum([known[s] if s in known else long[s] for s in stretches])
+        return sum(map(known.__getitem__, stretches))
+
 
 _open: dict[str, Tokenizer] = {}
 
@@ -99,12 +165,12 @@ def _tokenizer(path: str) -> Tokenizer:
     return _open[path]
 
 
-def _folded(path: str):
+def _folded(path: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _tokenizer(path)
         for batch in in_parts(batches, -1, SLICE_BYTES):
             digests = [hashlib.sha256(own.content(t or "")).digest() for t in batch.column(-1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, "t_digest"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, name])
 
     return run
 
@@ -115,14 +181,27 @@ def with_digest(docs: DataFrame, path: str, name: str = "t_digest") -> DataFrame
         return docs.withColumn(name, F.unhex(F.sha2(F.concat(F.lit("t"), F.coalesce("text", F.lit(""))), 256)))
     own = [c for c in docs.columns if c != "text"]
     kinds = dict(docs.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*own, "text"]) + ", t_digest binary"
-    return docs.select(*own, "text").mapInArrow(_folded(path), schema).withColumnRenamed("t_digest", name)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*own, "text"]) + f", `{name}` binary"
+    return docs.select(*own, "text").mapInArrow(_folded(path, name), schema)
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each digest, which is column 0; a task holds the digests it has met."""
+    met: set[bytes] = set()
+    for batch in batches:
+        keep = []
+        for k, digest in enumerate(batch.column(0).to_pylist()):
+            if digest not in met:
+                met.add(digest)
+                keep.append(k)
+        for at in range(0, len(keep), 512):
+            yield batch.take(pa.array(keep[at : at + 512], pa.int64()))
 
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _tokenizer(path)
-        for batch in in_parts(batches, 1, SLICE_BYTES):
+        for batch in in_parts(_once(batches), 1, SLICE_BYTES):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.counts(batch.column(1).to_pylist()), pa.int64())], ["t_digest", "n_tokens"])
 
     return run
@@ -144,11 +223,12 @@ def cached_counts(spark: SparkSession, cache: str, path: str) -> DataFrame:
     return spark.read.schema("t_digest binary, n_tokens long").parquet(folder).groupBy("t_digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
-def _one_text_each(texts: DataFrame, missing: DataFrame, n_missing: int) -> DataFrame:
-    """One text of each missing digest; each task passes on one at most of each."""
+def _missing_texts(texts: DataFrame, missing: DataFrame, n_missing: int) -> DataFrame:
+    """The texts of missing digests, one of each task that holds it, dealt by digest; nothing is sorted."""
+    kind = "t_digest binary, t_text string"
     if n_missing <= SENT_DIGESTS:
-        return texts.join(F.broadcast(missing), "t_digest", "left_semi").groupBy("t_digest").agg(F.first("t_text").alias("t_text"))
-    return texts.groupBy("t_digest").agg(F.first("t_text").alias("t_text")).join(missing, "t_digest", "left_semi")
+        return texts.join(F.broadcast(missing), "t_digest", "left_semi").mapInArrow(_once, kind).repartition("t_digest")
+    return texts.mapInArrow(_once, kind).join(missing.hint("shuffle_hash"), "t_digest", "left_semi")
 
 
 def count_tokens(docs: DataFrame, path: str, cache: str) -> DataFrame:
@@ -172,7 +252,7 @@ def count_tokens(docs: DataFrame, path: str, cache: str) -> DataFrame:
     n_missing = missing.count()
     if n_missing:
         texts = with_digest(docs.select("text"), path).select("t_digest", F.coalesce("text", F.lit("")).alias("t_text"))
-        found = _one_text_each(texts, missing, n_missing).select("t_digest", "t_text").mapInArrow(_encoded(path), "t_digest binary, n_tokens long")
+        found = _missing_texts(texts, missing, n_missing).mapInArrow(_encoded(path), "t_digest binary, n_tokens long")
         found.write.mode("append").parquet(_folder(spark, f"{cache.rstrip('/')}/version={_tokenizer(path).version()}"))
     counts = cached_counts(spark, cache, path).withColumnRenamed("t_digest", digest)
     return keys.join(counts, digest, "left").select(*own, *ADDED)
