@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder of the session.
 
-    ``spark.checkpoint.dir`` names it; only where that is unset (tests, a
-    laptop) a folder in the warehouse takes its place.
+    ``spark.checkpoint.dir`` names it; only where that is unset on a local
+    master (tests, a laptop) a folder in the warehouse takes its place.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
     return f"{base.rstrip('/')}/corpusmill-{uuid.uuid4().hex}"
 
@@ -43,6 +46,18 @@ def stage(df: DataFrame, name: str = "t", compression: str = "snappy") -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """Jobs that run inside send texts to Python ``rows`` at a time, so the buffers between the two stay small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: Bytes of text that a task takes apart at a time.
 PART_BYTES = 2 << 20
 

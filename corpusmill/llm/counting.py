@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import in_parts, scratch_dir, stage, table
+from corpusmill.llm.common import in_parts, scratch_dir, small_batches, stage, table
 from corpusmill.schema import free
 
 #: Up to so many missing digests (32 bytes each, so 2 MB) are sent to all tasks; more are joined by a shuffle.
@@ -28,7 +28,7 @@ SENT_DIGESTS = 1 << 16
 #: Bytes of text that are encoded at a time.
 SLICE_BYTES = 1 << 20
 #: Counts of stretches of text that a task keeps, twice over (those in use outlast the others), and the longest stretch kept.
-KNOWN_STRETCHES, KNOWN_LENGTH = 150_000, 64
+KNOWN_STRETCHES, KNOWN_LENGTH = 100_000, 64
 #: The session's setting that names a lasting cache.
 CACHE_SETTING = "spark.corpusmill.token.cache"
 
@@ -194,8 +194,8 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if digest not in met:
                 met.add(digest)
                 keep.append(k)
-        for at in range(0, len(keep), 512):
-            yield batch.take(pa.array(keep[at : at + 512], pa.int64()))
+        if keep:
+            yield batch.take(pa.array(keep, pa.int64()))
 
 
 def _encoded(path: str):
@@ -253,7 +253,8 @@ def count_tokens(docs: DataFrame, path: str, cache: str) -> DataFrame:
     if n_missing:
         texts = with_digest(docs.select("text"), path).select("t_digest", F.coalesce("text", F.lit("")).alias("t_text"))
         found = _missing_texts(texts, missing, n_missing).mapInArrow(_encoded(path), "t_digest binary, n_tokens long")
-        found.write.mode("append").parquet(_folder(spark, f"{cache.rstrip('/')}/version={_tokenizer(path).version()}"))
+        with small_batches(spark):
+            found.write.mode("append").parquet(_folder(spark, f"{cache.rstrip('/')}/version={_tokenizer(path).version()}"))
     counts = cached_counts(spark, cache, path).withColumnRenamed("t_digest", digest)
     return keys.join(counts, digest, "left").select(*own, *ADDED)
 
