@@ -59,6 +59,11 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(BLANKS))
 
 
+def ascii_lower(text: Column) -> Column:
+    """A-Z in lower case and nothing else, as LIKE compares."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def contains_any(text: Column, terms: Iterable[str]) -> Column:
     out = F.lit(False)
     for t in terms:
@@ -106,14 +111,54 @@ def json_fenced(text: Column) -> Column:
     return let(strip(F.when(fenced != "", fenced).otherwise(text)), cut)
 
 
+def strict_json(text: Column) -> Column:
+    """The text if Python's json.loads reads it, with null for NaN and the infinities; null if it does not.
+
+    Spark's own readers stop behind the first value and take single quotes. A
+    second element, the digest of the text, is put behind it: it is found
+    there only if the text is one value and no more. Quotes and names of
+    numbers matter outside strings alone; where one occurs the text is cut at
+    its double quotes, escaped ones apart, and every other piece is outside.
+    """
+    double, quote = "\x02\x02", "\x02\x03"
+
+    def outside(x: Column) -> Column:
+        pieces = F.split(F.replace(F.replace(x, F.lit("\\\\"), F.lit(double)), F.lit('\\"'), F.lit(quote)), '"')
+        plain = F.transform(pieces, lambda s, i: F.when(i % 2 == 0, F.regexp_replace(s, r"(?<![\w.+-])(?:NaN|-?Infinity)(?!\w)", "null")).otherwise(s))
+
+        def joined(p: Column) -> Column:
+            bad = F.exists(F.transform(p, lambda s, i: F.when(i % 2 == 0, F.contains(s, F.lit("'"))).otherwise(s.rlike(r"[\x00\x01\x04-\x1f]"))), lambda b: b)
+            whole = F.replace(F.replace(F.array_join(p, '"'), F.lit(quote), F.lit('\\"')), F.lit(double), F.lit("\\\\"))
+            return F.when(~bad, whole)
+
+        return F.when(~contains_any(x, ("\x02", "\x03")), let(plain, joined))
+
+    def checked(x: Column) -> Column:
+        mark = F.md5(x)
+        return F.when(F.get_json_object(F.concat(F.lit("["), x, F.lit(',"'), mark, F.lit('"]')), "$[1]") == mark, x)
+
+    return let(text, lambda t: let(F.when(t.rlike(r"['\x00-\x1f]|NaN|Infinity"), outside(t)).otherwise(t), checked))
+
+
+def strict_object(text: Column) -> Column:
+    """``strict_json`` of a text that is one JSON object; null of any other."""
+    return let(strict_json(text), lambda x: F.when(F.startswith(F.ltrim(x, F.lit(" \t\n\r")), F.lit("{")), x))
+
+
+def json_braces(text: Column) -> Column:
+    """The content of a code fence if any, from its first opening to its last closing brace."""
+    fenced = group(text, r"```(?:json)?\s*(.*?)\s*```", 1, "si")
+    return json_greedy(strip(F.when(fenced != "", fenced).otherwise(text)))
+
+
 def json_object(text: Column) -> Column:
-    """the JSON object in the text, null if there is none that parses."""
-    return let(json_fenced(text), lambda x: F.when(F.json_object_keys(x).isNotNull(), x))
+    """the JSON object in the text, null if there is none or more than that."""
+    return strict_object(json_fenced(text))
 
 
 def json_or(text: Column, default: str) -> Column:
     """the text if it is JSON, else ``default``."""
-    return F.when(F.try_parse_json(text).isNotNull(), text).otherwise(F.lit(default))
+    return F.when(strict_json(text).isNotNull(), text).otherwise(F.lit(default))
 
 
 def word_set(text: Column) -> Column:
@@ -167,13 +212,34 @@ def short_hash(text: Column) -> Column:
     return F.substring(F.sha2(text, 256), 1, 16)
 
 
-def python_json(fields: dict[str, Column]) -> Column:
-    """an object as Python's json.dumps(sort_keys=True, ensure_ascii=False) writes it; values are text, integers or null."""
+#: The control characters that JSON names by one letter.
+_NAMED_CONTROLS = {8: "b", 9: "t", 10: "n", 12: "f", 13: "r"}
 
-    def quoted(c: Column) -> Column:
-        return F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
 
-    parts = [F.concat(F.lit(f'"{k}": '), F.coalesce(quoted(v), F.lit("null"))) for k, v in sorted(fields.items())]
+def quoted_json(value: Column) -> Column:
+    """Text or an integer as Python's json.dumps(ensure_ascii=False) writes it, null as ``null``.
+
+    Spark's writer has capitals in the numbers of control characters, so texts
+    with such a character are escaped one kind after the other.
+    """
+
+    def plain(c: Column) -> Column:
+        return let(F.to_json(F.array(c)), lambda j: j.substr(F.lit(2), F.length(j) - 2))
+
+    def escaped(c: Column) -> Column:
+        out = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+        for k in range(32):
+            out = F.replace(out, F.lit(chr(k)), F.lit("\\" + _NAMED_CONTROLS[k] if k in _NAMED_CONTROLS else f"\\u{k:04x}"))
+        return F.concat(F.lit('"'), out, F.lit('"'))
+
+    # numbers hold no such character
+    odd = value.cast("string").rlike(r"[\x00-\x07\x0b\x0e-\x1f]")
+    return F.when(odd, escaped(value.cast("string"))).otherwise(F.coalesce(plain(value), F.lit("null")))
+
+
+def python_json(fields: dict[str, Column]) -> Column:
+    """an object as Python's json.dumps(sort_keys=True, ensure_ascii=False) writes it; values are text, integers or null."""
+    parts = [F.concat(F.lit(f'"{k}": '), quoted_json(v)) for k, v in sorted(fields.items())]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 

@@ -12,7 +12,9 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import has
+from corpusmill.functions.shape import Shape, checked
+from corpusmill.functions.text import has, json_fenced
+from corpusmill.sources.staging import staged
 
 
 class Provider(Protocol):
@@ -36,8 +38,8 @@ def replayed(asked: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFra
     return done, waiting
 
 
-def answered(rows: DataFrame, responses: DataFrame, stage: str, pool: str, prompt: Column, due: Column, keys: list[str]) -> DataFrame:
-    """``rows`` with got, failed and asked after one step of a run, for rows where ``due`` holds and nothing is awaited.
+def answered(rows: DataFrame, responses: DataFrame, stage: str, pool: str, prompt: Column, due: Column, keys: list[str], reasoning: bool = False) -> DataFrame:
+    """``rows`` with got, failed and asked after one step of a run, for rows where ``due`` holds and nothing is awaited; and with mused, if ``reasoning``.
 
     A row whose request has no response keeps the request in the struct
     ``ask`` and takes no further step; equal requests have one id. ``keys``
@@ -47,8 +49,9 @@ def answered(rows: DataFrame, responses: DataFrame, stage: str, pool: str, promp
     key = F.sha2(F.concat_ws("\u0001", F.lit(pool), F.lit(stage), prompt), 256)
     active = F.coalesce(due, F.lit(False)) & F.col("ask").isNull()
     own = rows.withColumn("asked", active).withColumn("a_key", F.when(F.col("asked"), key).otherwise(F.concat_ws("-", F.lit("none"), *[F.col(k).cast("string") for k in keys])))
-    known = responses.groupBy(F.col("req_id").alias("a_key")).agg(F.first("content").alias("got"), F.first("error").alias("failed"))
-    out = own.drop("got", "failed").join(known, "a_key", "left")
+    thought = [F.first("reasoning").alias("mused")] if reasoning else []
+    known = responses.groupBy(F.col("req_id").alias("a_key")).agg(F.first("content").alias("got"), F.first("error").alias("failed"), *thought)
+    out = own.drop("got", "failed", *(["mused"] if reasoning else [])).join(known, "a_key", "left")
     request = F.struct(F.col("a_key").alias("req_id"), F.lit(stage).alias("stage"), F.lit(pool).alias("pool"), F.lit(stage).alias("system"), prompt.alias("prompt"))
     waits = F.col("asked") & F.col("got").isNull() & F.col("failed").isNull()
     return out.withColumn("ask", F.when(waits, request).otherwise(F.col("ask"))).withColumn("asked", F.col("asked") & ~waits).drop("a_key")
@@ -67,36 +70,91 @@ def awaited(*tables: DataFrame) -> DataFrame:
     return everything.dropDuplicates(["req_id"])
 
 
+#: What ``structured`` adds to rows.
+STRUCTURED = ("s_json", "s_codes", "s_failed", "s_mused", "s_tries", "s_asked")
+
+
+def structured(rows: DataFrame, responses: DataFrame, stage: str, pool: str, prompt: Column, due: Column, keys: list[str], shape: Shape, tries: int = 3) -> DataFrame:
+    """A step whose answer must fit a shape, asked again with what was wrong, ``tries`` times at most.
+
+    ``rows`` with s_json (the answer that fits, else null), s_codes (what is
+    wrong with the last one), s_failed (a call's error, after which nothing
+    is asked again), s_mused (reasoning), s_tries (answers heard) and s_asked
+    (false also for a row that waits). A later request carries the prompt, the
+    answers before it and their codes.
+    """
+    empty = {"s_json": "string", "s_codes": "array<string>", "s_failed": "string", "s_mused": "string"}
+    rows = rows.drop(*STRUCTURED).withColumns({k: F.lit(None).cast(v) for k, v in empty.items()})
+    rows = rows.withColumns({"s_tries": F.lit(0), "s_told": prompt, "s_due": F.coalesce(due, F.lit(False)) & F.col("ask").isNull()})
+    live = F.col("s_due") & F.col("s_json").isNull() & F.col("s_failed").isNull() & F.col("ask").isNull()
+    for k in range(tries):
+        rows = answered(rows, responses, f"{stage}~{k}" if k else stage, pool, F.col("s_told"), live, keys, reasoning=True)
+        heard = F.col("asked") & F.col("failed").isNull()
+        rows = rows.withColumn("s_look", F.when(heard, checked(json_fenced(F.coalesce("got", F.lit(""))), shape)))
+        wrong = heard & F.col("s_look.json").isNull()
+        rows = rows.withColumns({
+            "s_json": F.coalesce("s_look.json", "s_json"), "s_codes": F.coalesce("s_look.codes", "s_codes"), "s_tries": F.col("s_tries") + heard.cast("int"),
+            "s_failed": F.when(F.col("asked"), F.col("failed")).otherwise(F.col("s_failed")), "s_mused": F.when(heard, F.col("mused")).otherwise(F.col("s_mused")),
+            "s_told": F.when(wrong, F.concat_ws("\n", "s_told", "got", F.array_join("s_look.codes", "\n"))).otherwise(F.col("s_told")),
+        })
+        rows = staged(rows.drop("s_look", "got", "failed", "mused", "asked"))
+        if k + 1 == tries or rows.where(live).isEmpty():
+            break
+    return rows.withColumn("s_asked", F.col("s_due") & F.col("ask").isNull()).drop("s_told", "s_due")
+
+
 class PooledProvider:
-    """Live calls in at most ``partitions`` tasks, each retried with growing pauses; ``per_second`` bounds the calls of all tasks together."""
+    """Live calls, ``pool`` at a time in each of at most ``partitions`` tasks (the cluster's own number of tasks if not given).
+
+    A call that fails is tried again after 2^n and a random part of half a
+    second, as the limit of tries allows; ``per_second`` bounds the calls of
+    all tasks together. A failure is a value of the error column. Answers
+    leave a task as they come, so it holds ``pool`` of them.
+    """
 
-    def __init__(self, call: Callable[[str, str, str], str], partitions: int = 6, tries: int = 3, per_second: float | None = None):
-        self.call, self.partitions, self.tries, self.per_second = call, partitions, tries, per_second
+    def __init__(self, call: Callable[[str, str, str], str], partitions: int | None = None, tries: int = 3, per_second: float | None = None, pool: int = 6, backoff: float = 2.0):
+        self.call, self.partitions, self.tries, self.per_second, self.pool, self.backoff = call, partitions, tries, per_second, pool, backoff
 
     def answer(self, asked: DataFrame) -> DataFrame:
-        call, tries = self.call, self.tries
-        pause = self.partitions / self.per_second if self.per_second else 0.0
+        call, tries, pool, backoff = self.call, self.tries, self.pool, self.backoff
+        spread = self.partitions or asked.sparkSession.sparkContext.defaultParallelism
+        gap = spread / self.per_second if self.per_second else 0.0
 
         def run(frames):
+            import random
+            import threading
             import time
-
-            for pdf in frames:
-                content, errors = [], []
-                for pool, system, prompt in zip(pdf["pool"], pdf["system"], pdf["prompt"], strict=True):
-                    text = error = None
-                    time.sleep(pause)
-                    for k in range(tries):
-                        try:
-                            text, error = call(pool, system, prompt), None
-                            break
-                        except Exception as e:  # a provider's failure is a value of the error column
-                            error = str(e)
-                            time.sleep(0.1 * 2**k if k + 1 < tries else 0)
-                    content.append(text)
-                    errors.append(error)
-                yield pdf[["req_id"]].assign(content=content, reasoning=None, error=errors)
-
-        return asked.select("req_id", "pool", "system", "prompt").repartition(self.partitions).mapInPandas(run, "req_id string, content string, reasoning string, error string")
+            from concurrent.futures import ThreadPoolExecutor
+
+            import pandas as pd
+
+            turn, due = threading.Lock(), [0.0]
+
+            def wait() -> None:
+                with turn:
+                    now = time.monotonic()
+                    at = max(now, due[0])
+                    due[0] = at + gap
+                time.sleep(max(0.0, at - now))
+
+            def one(req_id, kind, system, prompt):
+                error = None
+                for k in range(1, tries + 1):
+                    wait()
+                    try:
+                        return req_id, call(kind, system, prompt), None, None
+                    except Exception as e:  # a provider's failure is a value of the error column
+                        error = str(e)
+                        if k < tries:
+                            time.sleep(backoff**k + random.uniform(0.1, 0.5) if backoff else 0.0)
+                return req_id, None, None, error
+
+            with ThreadPoolExecutor(pool) as workers:
+                for pdf in frames:
+                    out = list(workers.map(lambda args: one(*args), pdf[["req_id", "pool", "system", "prompt"]].itertuples(index=False, name=None)))
+                    yield pd.DataFrame(out, columns=["req_id", "content", "reasoning", "error"])
+
+        return asked.select("req_id", "pool", "system", "prompt").repartition(spread).mapInPandas(run, "req_id string, content string, reasoning string, error string")
 
 
 def staged_attempts(rows: DataFrame, attempts: list[DataFrame], key: str, accept: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
-from corpusmill.functions.text import contains_any, has, json_fenced, json_greedy, let, strip, sub, truncate_int
+from corpusmill.functions.text import contains_any, has, json_braces, json_greedy, let, strict_object, strip, sub, truncate_int
 
 
 def facet_reason(label: Column, forbidden: Sequence[str] = fixed.FACET_FORBIDDEN, shortest: int = 2, longest: int = 16, letters: int = 8) -> Column:
@@ -139,22 +139,20 @@ def leak_in_json(document: Column, patterns: Sequence[str] = fixed.PROMPT_LEAKS)
 def judge_scores(answer: Column) -> Column:
     """Purity, rigor, depth and reason of a judge's answer, of the JSON object from its first to its last brace.
 
-    Missing scores are 90 (they pass); what is no object, or no answer, is zeros (it does not).
-    ``logical_coherence_score`` is read where ``logical_depth_score`` is absent.
+    Missing scores are 90 (they pass); no answer, or what is not one whole JSON object, is zeros (it does not).
     """
 
     def read(block: Column) -> Column:
         def value(name: str) -> Column:
             return F.get_json_object(block, f"$.{name}")
 
-        bad = F.json_object_keys(block).isNull()
-        depth = F.coalesce(value("logical_depth_score"), value("logical_coherence_score"))
-        scores = {"purity": value("semantic_purity_score"), "rigor": value("medical_rigor_score"), "depth": depth}
+        bad = block.isNull()
+        scores = {"purity": value("semantic_purity_score"), "rigor": value("medical_rigor_score"), "depth": value("logical_depth_score")}
         fields = [F.when(bad, F.lit(0).cast("bigint")).otherwise(truncate_int(v, fixed.DEFAULT_SCORE)).alias(k) for k, v in scores.items()]
         reason = F.when(bad, "Evaluation error").otherwise(F.coalesce(value("reason"), F.lit("No explanation provided")))
         return F.struct(*fields, reason.alias("reason"))
 
-    return let(json_greedy(F.coalesce(answer, F.lit(""))), read)
+    return let(strict_object(json_greedy(F.coalesce(answer, F.lit("")))), read)
 
 
 def purified_enough(scores: Column, simplify: Column) -> Column:
@@ -247,7 +245,7 @@ def audit_result(answer: Column) -> Column:
         def text_of(name: str, default: str) -> Column:
             return F.coalesce(F.get_json_object(block, f"$.{name}"), F.lit(default))
 
-        bad = F.json_object_keys(block).isNull()
+        bad = block.isNull()
         status = F.when(bad, "PARSE_ERROR").otherwise(text_of("audit_status", "OK"))
         known = F.upper(text_of("verdict", "REVIEW"))
         verdict = F.when(~bad & known.isin("KEEP", "EDIT", "DISCARD"), known).otherwise("REVIEW")
@@ -262,7 +260,7 @@ def audit_result(answer: Column) -> Column:
             (F.coalesce(F.get_json_object(block, "$.hallucinations_detected") == "true", F.lit(False)) & ~bad).alias("hallucinations_detected"),
         )
 
-    return let(json_fenced(F.coalesce(answer, F.lit(""))), read)
+    return let(strict_object(json_braces(F.coalesce(answer, F.lit("")))), read)
 
 
 def audit_status(mapping: Column, think: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
 from corpusmill.functions.text import strip
+from corpusmill.schema import free
+from corpusmill.sources.staging import staged
 
 
 def severity_rank(severity: Column) -> Column:
@@ -32,16 +34,48 @@ def first_of_each(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return rows.withColumn("w_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("w_n = 1").drop("w_n")
 
 
+def _ranged(rows: DataFrame, order: list[str | Column], at: str, part: str) -> DataFrame:
+    """``rows`` written in order, with their place in it and the number of their range; a key with many rows fills many ranges."""
+    held = staged(rows.orderBy(*order).withColumn(at, F.monotonically_increasing_id()))
+    return held.withColumn(part, F.shiftright(at, 33))
+
+
+def running(rows: DataFrame, keys: list[str], order: list[str | Column], value: Column, name: str, total: str | None = None) -> DataFrame:
+    """``rows`` with the sum of ``value`` over the rows of their key up to and with their own, and, if named, over all of them.
+
+    Rows are sorted into ranges of (keys, order). A sum inside a range adds to
+    the sums of a key's earlier ranges, of which there is one row for each, so
+    a key with a third of all rows is no task's burden. Null keys are one key;
+    rows alike in ``order`` stand in any order, alike for all results of one call.
+    """
+    at, part, amount, ahead, whole = (free(rows.columns, f"r_{n}") for n in ("at", "part", "value", "ahead", "whole"))
+    held = _ranged(rows.withColumn(amount, value.cast("bigint")), [*keys, *order], at, part)
+    sums = held.groupBy(*keys, part).agg(F.sum(amount).alias(ahead))
+    own = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum(ahead).over(own.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(*[F.col(k).alias(f"{ahead}_{i}") for i, k in enumerate(keys)], F.col(part).alias(f"{part}_2"), before.alias(ahead), F.sum(ahead).over(own).alias(whole))
+    alike = F.col(part) == F.col(f"{part}_2")
+    for i, k in enumerate(keys):
+        alike = alike & F.col(k).eqNullSafe(F.col(f"{ahead}_{i}"))
+    inside = F.sum(amount).over(Window.partitionBy(*keys, part).orderBy(at).rowsBetween(Window.unboundedPreceding, 0))
+    out = held.withColumn(name, inside).join(staged(sums), alike).withColumn(name, F.col(name) + F.col(ahead))
+    return out.select(*rows.columns, name, *([F.col(whole).alias(total)] if total else []))
+
+
+def placed(rows: DataFrame, keys: list[str], order: list[str | Column], name: str, total: str | None = None) -> DataFrame:
+    """``rows`` with their number from 1 in their key's order, and the key's rows if ``total`` names that."""
+    return running(rows, keys, order, F.lit(1), name, total)
+
+
 def numbered_versions(rows: DataFrame, name: str, order: list[str]) -> DataFrame:
     """A version from 1 for each name, the last one active."""
-    own = Window.partitionBy(name)
-    return rows.withColumn("version", F.row_number().over(own.orderBy(*order))).withColumn("is_active", (F.col("version") == F.count(F.lit(1)).over(own)).cast("int"))
+    count = free(rows.columns, "w_count")
+    return placed(rows, [name], order, "version", count).withColumn("version", F.col("version").cast("int")).withColumn("is_active", (F.col("version") == F.col(count)).cast("int")).drop(count)
 
 
 def sections(lines: DataFrame, document: str, line: str, is_header: Column) -> DataFrame:
     """Header lines open sections; first and last line and the number of lines of each."""
-    at = Window.partitionBy(document).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = lines.withColumn("section", F.sum(is_header.cast("int")).over(at)).where("section > 0")
+    numbered = running(lines, [document], [line], is_header.cast("int"), "section").where("section > 0")
     return numbered.groupBy(document, "section").agg(F.min(line).alias("first_line"), F.max(line).alias("last_line"), F.count(F.lit(1)).alias("n_lines"))
 
 

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
-from corpusmill.functions.clean import collapsed, drop_unsupported, evidence_text, repair_codes, scrub_leakage, strip_noise
-from corpusmill.functions.text import feedback, repeats, similarity, strip, unfence
+from corpusmill.functions.clean import academic_codes, clean_lines, code_context, collapsed, drop_unsupported, evidence_text, scrub_leakage, strip_noise
+from corpusmill.functions.text import feedback, repeats, similarity, strict_json, strip, unfence
 from corpusmill.functions.think import compose, facet_and_rest, split_strict
 from corpusmill.operators import gates
 from corpusmill.operators.boundary import ASK, answered, awaited
 from corpusmill.operators.linkage import link_records
-from corpusmill.operators.rollup import next_start, row_outcomes
+from corpusmill.operators.rollup import mentions, next_start, row_outcomes
 from corpusmill.plans.pipelines import plan_run
 from corpusmill.sources.jsonl import exploded, with_fields
 from corpusmill.sources.staging import staged
@@ -50,15 +50,17 @@ def _attempt(rows: DataFrame, responses: DataFrame, last: bool) -> DataFrame:
     rows = answered(rows, responses, "second_purge", "lightweight", F.col("text"), F.col("live") & gates.needs_second_purge(F.col("scores"), simple), KEYS)
     rows = rows.withColumn("again", F.when(F.col("asked") & F.col("failed").isNull(), bare_answer(F.col("got"))))
     rows = answered(rows, responses, "judge", "judge", F.concat_ws("\n", "q", "name", "think", "again"), F.col("again").isNotNull(), KEYS)
-    rows = rows.withColumn("purer", F.when(F.col("asked"), gates.judge_scores(F.col("got"))["purity"]))
-    better = F.coalesce(F.col("purer") >= fixed.PURITY, F.lit(False))
-    rows = rows.withColumn("text", F.when(better, F.col("again")).otherwise(F.col("text"))).withColumn("scores", F.when(better, F.col("scores").withField("purity", F.col("purer"))).otherwise(F.col("scores")))
+    rows = rows.withColumn("second", F.when(F.col("asked"), gates.judge_scores(F.col("got"))))
+    better = F.coalesce(F.col("second.purity") >= fixed.PURITY, F.lit(False))
+    # the gate holds the new purity against the first verdict's rigor and depth; what is kept is the whole second verdict
+    rows = rows.withColumn("gate", F.when(better, F.col("scores").withField("purity", F.col("second.purity"))).otherwise(F.col("scores")))
+    rows = rows.withColumn("text", F.when(better, F.col("again")).otherwise(F.col("text"))).withColumn("scores", F.when(better, F.col("second")).otherwise(F.col("scores")))
     rows = rows.withColumn("live", F.col("live") & F.col("ask").isNull())
-    rows = rows.withColumn("passed", F.coalesce(F.col("live") & gates.purified_enough(F.col("scores"), simple), F.lit(False)))
-    told = feedback(F.col("scores.purity"), F.col("scores.rigor"), F.col("scores.depth"))
+    rows = rows.withColumn("passed", F.coalesce(F.col("live") & gates.purified_enough(F.col("gate"), simple), F.lit(False)))
+    told = feedback(F.col("gate.purity"), F.col("gate.rigor"), F.col("gate.depth"))
     rows = rows.withColumns(
         {
-            "purified": F.when(F.col("passed"), repair_codes(F.col("text"))).otherwise(F.col("purified")),
+            "purified": F.when(F.col("passed"), F.col("text")).otherwise(F.col("purified")),
             "last_scores": F.when(F.col("live"), F.col("scores")).otherwise(F.col("last_scores")),
             "feedback": F.when(F.col("live") & ~F.col("passed"), told).otherwise(F.col("feedback")),
             "status": F.when(F.col("passed"), "success").otherwise(F.col("status")),
@@ -66,8 +68,44 @@ def _attempt(rows: DataFrame, responses: DataFrame, last: bool) -> DataFrame:
     )
     if last:
         over = F.col("status").isNull() & F.col("ask").isNull()
-        rows = rows.withColumn("reason", F.when(over, "quality gate failure").otherwise(F.col("reason"))).withColumn("status", F.when(over, "failed").otherwise(F.col("status")))
-    return rows.drop("live", "text", "scores", "again", "purer", "passed", "got", "failed", "asked")
+        rows = rows.withColumns({
+            "reason": F.when(over, "quality gate failure").otherwise(F.col("reason")), "status": F.when(over, "failed").otherwise(F.col("status")),
+            # what stands for a rewrite that never passed: the block cleaned line by line, with scores of its own
+            "purified": F.when(over, clean_lines(F.col("think"))).otherwise(F.col("purified")),
+            "last_scores": F.when(over, _scores(fixed.FALLBACK_SCORES, fixed.FALLBACK_REASON)).otherwise(F.col("last_scores")),
+        })
+    return rows.drop("live", "text", "scores", "gate", "again", "second", "passed", "got", "failed", "asked")
+
+
+def repaired_entities(rows: DataFrame, responses: DataFrame) -> DataFrame:
+    """The texts of planners that succeeded with codes of entities put right, each in its order.
+
+    Known codes stay, those with a known correction get it. Any other is
+    searched for; one that no reference of the literature's site names is
+    asked about with the text around it, and the answer takes its place if it
+    is a short word. A call that failed leaves its code. A planner that waits
+    for one of its codes is not done yet.
+    """
+    fixes = F.create_map(*[F.lit(x) for pair in fixed.CODE_REPAIRS for x in pair])
+    done = rows.where((F.col("status") == "success") & F.col("ask").isNull())
+    each = done.select(*KEYS, "purified", F.explode(academic_codes(F.col("purified"))).alias("code")).withColumn("ask", F.lit(None).cast(ASK))
+    each = staged(each.withColumn("word", F.element_at(fixes, F.col("code"))))
+    if each.isEmpty():
+        return rows
+    keys = [*KEYS, "code"]
+    each = answered(each, responses, "search", "search", F.col("code"), F.col("word").isNull(), keys)
+    refs = F.from_json(strict_json(F.col("got")), "array<struct<source:string,context:string>>")
+    each = each.withColumn("unknown", F.col("asked") & F.col("failed").isNull() & (mentions(refs, "ncbi.nlm.nih.gov") == 0))
+    each = answered(each, responses, "repair", "lightweight", F.concat_ws("\n", "code", code_context(F.col("purified"), F.col("code"))), F.col("unknown"), keys)
+    said = strip(F.replace(F.replace(F.translate(F.col("got"), "\"'", ""), F.lit("<think>"), F.lit("")), F.lit("</think>"), F.lit("")))
+    each = each.withColumn("word", F.coalesce("word", F.when(F.col("asked") & F.col("failed").isNull(), gates.corrected_word(F.col("code"), said))))
+    pairs = F.array_sort(F.collect_list(F.when(F.col("word").isNotNull(), F.struct("code", "word"))))
+    found = each.groupBy(*KEYS).agg(pairs.alias("e_pairs"), F.first("ask", ignorenulls=True).alias("e_ask"))
+    out = rows.join(found, KEYS, "left")
+    text = F.aggregate("e_pairs", F.col("purified"), lambda t, p: F.replace(t, p["code"], p["word"]))
+    waits = F.col("e_ask").isNotNull()
+    out = out.withColumns({"purified": F.when(F.col("e_pairs").isNotNull() & ~waits, text).otherwise(F.col("purified")), "ask": F.coalesce("ask", "e_ask"), "status": F.when(waits, F.lit(None)).otherwise(F.col("status"))})
+    return staged(out.drop("e_pairs", "e_ask"))
 
 
 def planner_outcomes(planners: DataFrame, responses: DataFrame, allow_prune: bool = False, attempts: int = 3) -> DataFrame:
@@ -111,7 +149,7 @@ def planner_outcomes(planners: DataFrame, responses: DataFrame, allow_prune: boo
         if rows.isEmpty():
             break
         rows = staged(_attempt(rows, responses, k == attempts - 1))
-    rows = reduce(DataFrame.unionByName, done, rows)
+    rows = repaired_entities(reduce(DataFrame.unionByName, done, rows), responses)
     body = drop_unsupported(scrub_leakage(F.col("body")), F.col("evidence"), spaces=r"[ \t]{2,}")
     rows = rows.withColumn("new_body", F.when(F.col("status") == "success", body)).withColumn("status", F.when(F.col("ask").isNotNull(), "pending").otherwise(F.col("status")))
     near = similarity(F.col("think"), F.coalesce("purified", F.lit("")))
@@ -144,12 +182,22 @@ def diffs(outcome: DataFrame) -> DataFrame:
     )
 
 
+def analysed(rows: DataFrame, responses: DataFrame) -> DataFrame:
+    """Rows of ``diffs`` with what a model says of the change (the first 1,200 characters of both texts are shown), a fixed notice if the call failed, null while it waits; and ask."""
+    shown = [F.substring(c, 1, fixed.SHOWN) for c in ("original", "purified")]
+    prompt = F.concat_ws("\n", "question", "facet", F.col("scores.reason"), F.when(F.col("simplify"), F.lit("simple")), *shown)
+    rows = answered(rows.withColumn("ask", F.lit(None).cast(ASK)), responses, "diff_analysis", "lightweight", prompt, F.lit(True), ["line_number", "planner_index"])
+    told = F.when(F.col("failed").isNotNull(), fixed.FAILED_ANALYSIS).otherwise(strip(F.col("got")))
+    return staged(rows.withColumn("analysis", F.when(F.col("asked"), told)).drop("got", "failed", "asked"))
+
+
 def purify(records: DataFrame, raw: DataFrame, responses: DataFrame, start: int | None = 1, limit: int = 1_000_000, allow_prune: bool = False, attempts: int = 3, lines: list[int] | None = None) -> dict[str, DataFrame]:
     """Q9: a run over a table of responses, which it never makes up.
 
     Returns ``pending`` requests, ``planners`` with their outcome, ``rows``
     with run_status, ``audit`` events, ``diffs`` of rows that succeeded,
-    ``lines`` to write and the ``cursor``. A row succeeds only if all its
+    ``lines`` to write and the ``cursor``. Diffs carry an analysis, which no
+    row waits for. A row succeeds only if all its
     planners do (pruned ones leave) and its summary is made anew; then history
     and refs go and all other fields stay. A row that rolls back or is pending
     keeps its raw text. The cursor is null after a run with an explicit list
@@ -185,11 +233,12 @@ def purify(records: DataFrame, raw: DataFrame, responses: DataFrame, start: int
         F.col("line_num").alias("line_number"), "run_status", "reason", F.col("q").alias("question"), "raw_line", "raw_mapping_status", F.col("before").alias("planner_count_before"),
         F.size("kept").alias("planner_count_after"), "pruned_count", F.when(F.col("run_status") == "success", F.col("purified_facets")).alias("purified_facets"), F.col("events").alias("planners"),
     )
-    waiting = outcome.select("line_num", "ask").unionByName(rows.select("line_num", "ask"))
+    changed = analysed(diffs(outcome).join(done.select(F.col("line_num").alias("line_number")), "line_number", "left_semi"), responses)
+    waiting = outcome.select("ask").unionByName(rows.select("ask")).unionByName(changed.select("ask"))
     wrote = F.count_if(F.col("run_status") == "success") > 0
     cursor = next_start(rows, "line_num", "run_status", purified=wrote if not lines else F.lit(False))
     return {
         "pending": awaited(waiting), "planners": outcome, "rows": rows.select("line_num", "run_status", "reason"), "audit": audit,
-        "diffs": diffs(outcome).join(done.select(F.col("line_num").alias("line_number")), "line_number", "left_semi"),
+        "diffs": changed.drop("ask"),
         "lines": records.select("line_num", "raw").join(new, "line_num", "left").select("line_num", F.coalesce("new_raw", "raw").alias("raw")), "cursor": cursor,
     }

@@ -62,47 +62,93 @@ def think_building(spark, sf_dir):
     return rows.select("p_partkey", think.structured_think(F.col("o"), F.col("p_brand"), reasoning).alias("built"), think.ensure_think(answer, F.when(k % 5 == 2, " <think>r</think>"), F.lit("F")).alias("ensured"))
 
 
+#: Answers of a judge: plain, fenced, broken, sparse, followed by text, two objects, single quotes, numbers that JSON lacks, the old name of depth, an array, quotes and braces inside a text.
+_ANSWERS = (
+    '{"semantic_purity_score": "<p>.9", "medical_rigor_score": <r>, "logical_depth_score": <d>, "reason": "ok [<p>]"}',
+    'Here:\n```json\n{"semantic_purity_score": "<p>.9", "medical_rigor_score": <r>, "logical_depth_score": <d>, "reason": "ok [<p>]"}\n```',
+    "no {idea", '{"semantic_purity_score": <p>, "logical_depth_score": <d>}', '{"semantic_purity_score": <p>} so it is', '{"semantic_purity_score": "<p>"} {"b": 1}',
+    "{'semantic_purity_score': <p>}", '{"semantic_purity_score": NaN, "medical_rigor_score": <r>, "logical_depth_score": -Infinity, "reason": "it\'s NaN"}',
+    '{"semantic_purity_score": <p>, "logical_coherence_score": 10}', "[<p>, <r>]", '{"semantic_purity_score": <p>, "reason": "a \\"b\\" } \'c\' \\\\", "medical_rigor_score": "x"}', '{"semantic_purity_score": <p>}}, "end"',
+)
+
+
+def _filled(template: str, values: dict[str, Column]) -> Column:
+    """A template with <name> places."""
+    out = F.lit(template)
+    for name, value in values.items():
+        out = F.replace(out, F.lit(f"<{name}>"), value)
+    return out
+
+
+def _filled_sql(template: str, *names: str) -> str:
+    out = "'" + template.replace("'", "''") + "'"
+    for name in names:
+        out = f"replace({out}, '<{name}>', {name})"
+    return out
+
+
+def _number_sql(name: str, default: int) -> str:
+    """A number in the block, cut to a whole one; the default if there is none."""
+    x = f"try_cast(trim(json_extract_string(block, '$.{name}')) as double)"
+    return f"coalesce(case when isnan({x}) or isinf({x}) then null else trunc({x}) end, {default})::bigint"
+
+
 @query("""
-with j as (select o_orderkey as k, o_orderkey % 4 as c, 60 + o_orderkey % 41 as p, 70 + o_orderkey % 31 as r, 50 + o_orderkey % 51 as d from orders),
-s as (select k, c, case when c = 2 then 0 else p end as purity, case when c = 2 then 0 when c = 3 then 90 else r end as rigor, case when c = 2 then 0 else d end as depth,
-  case c when 2 then 'Evaluation error' when 3 then 'No explanation provided' else 'ok [' || p || ']' end as reason from j)
-select k as o_orderkey, purity::bigint as purity, rigor::bigint as rigor, depth::bigint as depth, reason, purity >= 85 and rigor >= 90 and depth >= case when k % 3 = 0 then 50 else 85 end as passed,
+with j as (select o_orderkey as k, (60 + o_orderkey % 41)::varchar as p, (70 + o_orderkey % 31)::varchar as r, (50 + o_orderkey % 51)::varchar as d from orders),
+w as (select k, case k % """ + str(len(_ANSWERS)) + " " + " ".join(f"when {i} then {_filled_sql(t, 'p', 'r', 'd')}" for i, t in enumerate(_ANSWERS)) + """ end as answer from j),
+b as (select k, case when regexp_matches(answer, '(?s)\\{.*\\}') then regexp_extract(answer, '(?s)(\\{.*\\})', 1) else answer end as cut from w),
+o as (select k, case when json_valid(cut) then case when json_type(cut) = 'OBJECT' then cut end end as block from b),
+s as (select k, case when block is null then 0 else """ + _number_sql("semantic_purity_score", 90) + """ end as purity, case when block is null then 0 else """ + _number_sql("medical_rigor_score", 90) + """ end as rigor,
+  case when block is null then 0 else """ + _number_sql("logical_depth_score", 90) + """ end as depth, case when block is null then 'Evaluation error' else coalesce(json_extract_string(block, '$.reason'), 'No explanation provided') end as reason from o)
+select k as o_orderkey, purity, rigor, depth, reason, purity >= 85 and rigor >= 90 and depth >= case when k % 3 = 0 then 50 else 85 end as passed,
   purity < 85 and rigor >= 90 and depth >= case when k % 3 = 0 then 50 else 85 end as second,
   chr(10) || chr(10) || '【前一次清洗尝试质量不达标反馈：语义纯净度=' || purity || '/100, 医学严谨度=' || rigor || '/100, 逻辑深度=' || depth || '/100。】'
-  || case when purity < 85 then chr(10) || '【核心优化指令：你的前一次写入在“语义纯净度”上不符合规范。请确保全篇为完全连贯、自然流动的临床学术段落，绝对禁止提及或表露元数据结构。】' else '' end
-  || case when rigor < 90 then chr(10) || '【核心优化指令：你的前一次写入在“医学严谨度”上不符合规范。请删除任何未经确证事实支持的官方标准号、批准文号、注册号、受体通路、靶点、免疫机制或药代参数，不要保留原文中的高仿真编号。】' else '' end
-  || case when depth < 85 then chr(10) || '【核心优化指令：你的前一次写入在“逻辑深度”上不符合规范，请避免平铺直叙，融入探究反思。】' else '' end as feedback from s""")
+  || case when purity < 85 then chr(10) || '""" + fixed.FEEDBACK_CLAUSES[0].strip() + """' else '' end
+  || case when rigor < 90 then chr(10) || '""" + fixed.FEEDBACK_CLAUSES[1].strip() + """' else '' end
+  || case when depth < 85 then chr(10) || '""" + fixed.FEEDBACK_CLAUSES[2].strip() + """' else '' end as feedback from s""")
 def judge_parsing(spark, sf_dir):
-    """Answers plain, fenced, broken and with missing keys."""
+    """What a judge's answer comes to, whole objects and all that is not one."""
     k = F.col("o_orderkey")
-    p, r, d = (F.format_string("%d", (k % m + b)) for m, b in ((41, 60), (31, 70), (51, 50)))
-    whole = F.concat(F.lit('{"semantic_purity_score": "'), p, F.lit('.9", "medical_rigor_score": '), r, F.lit(', "logical_depth_score": '), d, F.lit(', "reason": "ok ['), p, F.lit(']"}'))
-    fenced = F.concat(F.lit("Here:\n```json\n"), whole, F.lit("\n```"))
-    sparse = F.concat(F.lit('{"semantic_purity_score": '), p, F.lit(', "logical_depth_score": '), d, F.lit("}"))
-    answer = F.when(k % 4 == 0, whole).when(k % 4 == 1, fenced).when(k % 4 == 2, "no {idea").otherwise(sparse)
+    values = {n: F.format_string("%d", (k % m + b)) for n, m, b in (("p", 41, 60), ("r", 31, 70), ("d", 51, 50))}
+    answer = F.element_at(F.array(*[_filled(t, values) for t in _ANSWERS]), (k % len(_ANSWERS) + 1).cast("int"))
     rows = load(spark, sf_dir, "orders").select("o_orderkey", gates.judge_scores(answer).alias("s"))
     simple, scores = k % 3 == 0, [F.col(f"s.{n}") for n in ("purity", "rigor", "depth")]
     return rows.select("o_orderkey", "s.*", gates.purified_enough(F.col("s"), simple).alias("passed"), gates.needs_second_purge(F.col("s"), simple).alias("second"), text.feedback(*scores).alias("feedback"))
 
 
+#: Ways an audit's answer is wrapped; the second place stands for the object.
+_WRAPS = ("so ```json\n{x}\n```", "{x}", "{x} and more", "[{x}]", "{x}{x}", "say {x}\n\n", "```\n{x}```", "\u3000{x}", "[1, 2", "")
+
+
 @query(f"""
-with a as (select p_partkey as k, {said('p_partkey', ('KEEP', 'edit', 'DISCARD', 'odd', None))} as v, p_partkey % 7 = 0 as forced, p_partkey % 11 = 0 as broken, p_partkey % 13 = 0 as own, p_partkey % 17 = 0 as failed,
-  {said('p_partkey', ('SAME_LINE', 'AMBIGUOUS_Q', 'MAPPED_BY_Q', 'NO_RAW_MATCH', None))} as m, case when p_partkey % 3 = 0 then '' else 't' end as th from part),
-b as (select *, case when broken then 'PARSE_ERROR' when failed then 'LATE' else 'OK' end as status, case when broken or v is null or upper(v) not in ('KEEP', 'EDIT', 'DISCARD') then 'REVIEW' else upper(v) end as verdict from a)
-select k as p_partkey, status, verdict, case when broken then 'MANUAL_REVIEW' when own then 'OWN' when failed then 'MANUAL_REVIEW' when verdict = 'KEEP' then 'KEEP' when verdict = 'EDIT' then 'REWRITE'
-  when verdict = 'DISCARD' and forced then 'PRUNE' else 'MANUAL_REVIEW' end as action, case when broken then 'JSON解析失败' else 'x' end as issues,
+with a as (select p_partkey as k, {said('p_partkey', ('KEEP', 'edit', 'DISCARD', 'odd', None))} as v, p_partkey % 7 = 0 as forced, p_partkey % 13 = 0 as own, p_partkey % 17 = 0 as late, p_name as n,
+  {said('p_partkey', ('SAME_LINE', 'AMBIGUOUS_Q', 'MAPPED_BY_Q', 'NO_RAW_MATCH', None))} as m, case when p_partkey % 3 = 0 then '' else 't' end as th, {said('p_partkey', _WRAPS)} as wrap from part),
+w as (select *, '{{' || case when v is null then '' else '"verdict":"' || v || '",' end || case when forced then '"is_forced_facet":true,' else '' end || case when own then '"recommended_action":"OWN",' else '' end
+  || case when late then '"audit_status":"LATE",' else '' end || '"cot_quality_score":"' || k % 10 || '.7","cot_quality_issues":["' || n || '"]}}' as obj from a),
+t as (select *, trim(replace(wrap, '{{x}}', obj), ' ' || chr(10) || chr(12288)) as answer from w),
+f as (select *, case when contains(answer, '```') then trim(regexp_extract(answer, '(?s)```(?:json)?\\s*(.*?)\\s*```', 1), ' ' || chr(10)) else answer end as inside from t),
+c as (select *, case when regexp_matches(inside, '(?s)\\{{.*\\}}') then regexp_extract(inside, '(?s)(\\{{.*\\}})', 1) else inside end as cut from f),
+o as (select *, case when json_valid(cut) then case when json_type(cut) = 'OBJECT' then cut end end as block from c),
+b as (select *, case when block is null then 'PARSE_ERROR' else coalesce(json_extract_string(block, '$.audit_status'), 'OK') end as status, upper(coalesce(json_extract_string(block, '$.verdict'), 'REVIEW')) as known from o),
+r as (select *, case when block is not null and known in ('KEEP', 'EDIT', 'DISCARD') then known else 'REVIEW' end as verdict, coalesce(json_extract_string(block, '$.is_forced_facet') = 'true', false) as is_forced from b)
+select k as p_partkey, status, verdict, case when block is null then 'MANUAL_REVIEW' else coalesce(json_extract_string(block, '$.recommended_action'), case when status <> 'OK' then 'MANUAL_REVIEW' when verdict = 'KEEP' then 'KEEP' when verdict = 'EDIT' then 'REWRITE'
+  when verdict = 'DISCARD' and is_forced then 'PRUNE' else 'MANUAL_REVIEW' end) end as action, case when block is null then 'JSON解析失败' else json_extract_string(block, '$.cot_quality_issues[0]') end as issues, case when block is null then 0 else {_number_sql('cot_quality_score', 0)} end as quality,
   case when m is null or m in ('AMBIGUOUS_Q', 'NO_RAW_MATCH') then 'RAW_MAPPING_ERROR' when th = '' then 'MISSING_THINK' else 'AUDIT' end as before,
-  case when m is null or m in ('AMBIGUOUS_Q', 'NO_RAW_MATCH') then 'RESTORE_OR_MAP_RAW' when th = '' then 'RESTORE_RAW_OR_REGENERATE' end as before_action from b""")
+  case when m is null or m in ('AMBIGUOUS_Q', 'NO_RAW_MATCH') then 'RESTORE_OR_MAP_RAW' when th = '' then 'RESTORE_RAW_OR_REGENERATE' end as before_action from r""")
 def audit_results(spark, sf_dir):
-    """P51, P52 and F4."""
+    """An audit's answer in every wrapping, names of parts among its issues."""
     p, k = part(spark, sf_dir)
     verdict = pick(k, ("KEEP", "edit", "DISCARD", "odd", None))
     fields = F.struct(
-        verdict.alias("verdict"), F.when(k % 7 == 0, True).alias("is_forced_facet"), F.when(k % 13 == 0, "OWN").alias("recommended_action"), F.when(k % 17 == 0, "LATE").alias("audit_status"), F.array(F.lit("x")).alias("cot_quality_issues")
-    )
-    answer = F.when(k % 11 == 0, "[1, 2").otherwise(F.concat(F.lit("so ```json\n"), F.to_json(fields), F.lit("\n```")))
+        verdict.alias("verdict"), F.when(k % 7 == 0, True).alias("is_forced_facet"), F.when(k % 13 == 0, "OWN").alias("recommended_action"), F.when(k % 17 == 0, "LATE").alias("audit_status"),
+        F.format_string("%d.7", k % 10).alias("cot_quality_score"), F.array("p_name").alias("cot_quality_issues"),
+    )
+    answer = F.replace(pick(k, _WRAPS), F.lit("{x}"), F.to_json(fields))
     rows = p.select("p_partkey", gates.audit_result(answer).alias("r"), gates.audit_status(pick(k, ("SAME_LINE", "AMBIGUOUS_Q", "MAPPED_BY_Q", "NO_RAW_MATCH", None)), F.when(k % 3 == 0, " \n").otherwise("t")).alias("b"))
-    return rows.select("p_partkey", F.col("r.audit_status").alias("status"), F.col("r.verdict").alias("verdict"), F.col("r.recommended_action").alias("action"), F.array_join("r.cot_quality_issues", ",").alias("issues"), F.col("b.status").alias("before"), F.col("b.recommended_action").alias("before_action"))
+    return rows.select(
+        "p_partkey", F.col("r.audit_status").alias("status"), F.col("r.verdict").alias("verdict"), F.col("r.recommended_action").alias("action"), F.array_join("r.cot_quality_issues", ",").alias("issues"),
+        F.col("r.cot_quality_score").alias("quality"), F.col("b.status").alias("before"), F.col("b.recommended_action").alias("before_action"),
+    )
 
 
 _WANTED = ("gpt-4", "x-pro", "none", "v4", "deep")

@@ -13,7 +13,7 @@ from corpusmill.functions import fixed
 from corpusmill.functions.clean import evidence_text
 from corpusmill.functions.text import contains_any, find_all, group, has, let, logged_fallbacks, strip, terms_in
 from corpusmill.functions.think import all_thinks, body_after_last, count_thinks, first_think, split_strict, without_facet_tag
-from corpusmill.operators.ordering import severity_rank
+from corpusmill.operators.ordering import placed, severity_rank
 
 
 def planner_issues(answer: Column, fallbacks=fixed.FALLBACKS, refusals=fixed.SAFE_REFUSALS, noise=fixed.ENGINEERING_NOISE, shortest: int = 80) -> Column:
@@ -49,6 +49,19 @@ def scan(planners: DataFrame, **terms) -> DataFrame:
     return issues.select("line_num", "planner", F.col("issue.issue_type"), F.col("issue.severity"), F.col("issue.detail"), severity_rank(F.col("issue.severity")).alias("rank"))
 
 
+def scan_report(current: DataFrame, raw: DataFrame) -> dict[str, DataFrame]:
+    """Q1: the issues of both corpora (tables of ``scan`` with ``parse_issues``) side by side.
+
+    ``counts``: issues of each corpus by type; ``listed``: all issues of the
+    current one, the critical and high ones of the raw one, with the place in
+    their corpus by severity and line. Ties go by planner, type and detail.
+    """
+    both = current.withColumn("corpus", F.lit("current")).unionByName(raw.withColumn("corpus", F.lit("raw")))
+    counts = both.groupBy("corpus", "issue_type").agg(F.count(F.lit(1)).alias("n"))
+    shown = both.where("corpus = 'current' or severity in ('CRITICAL', 'HIGH')")
+    return {"counts": counts, "listed": placed(shown, ["corpus"], ["rank", "line_num", "planner", "issue_type", "detail"], "place")}
+
+
 def parse_issues(records: DataFrame) -> DataFrame:
     """Lines that are no JSON."""
     return records.where("parse_status = 'error'").select("line_num", F.lit("").alias("planner"), F.lit("JSON_PARSE_ERROR").alias("issue_type"), F.lit("HIGH").alias("severity"), F.lit("").alias("detail"), F.lit(1).alias("rank"))
@@ -181,7 +194,7 @@ def family_counts(audited: DataFrame) -> DataFrame:
     return audited.agg(*[F.count_if(c).alias(k) for k, c in kinds.items()])
 
 
-def logged(logs: DataFrame, signatures=fixed.FALLBACKS) -> DataFrame:
+def logged(logs: DataFrame, signatures=fixed.LOG_FALLBACKS) -> DataFrame:
     """fallback signatures of run logs (file, value), one row for each that a log holds."""
     return logs.select("file", F.inline(logged_fallbacks(F.col("value"), signatures)))
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.schema import RECORD, has_key
+from corpusmill.functions.text import quoted_json, strict_object, strip
+from corpusmill.schema import RECORD, free, has_key
+from corpusmill.sources.ordered import write_one_file
+from corpusmill.sources.staging import staged
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -22,15 +25,21 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parsed(lines: DataFrame) -> DataFrame:
-    """Records with parse_status ok, blank or error; bad lines keep their place with null fields."""
-    blank = F.trim(F.coalesce("raw", F.lit(""))) == ""
-    status = F.when(blank, "blank").when(F.json_object_keys("raw").isNull(), "error").otherwise("ok")
-    record = F.from_json("raw", RECORD)
-    fields = {"q": F.coalesce(record["Q"], F.lit("")), "planners": F.coalesce(record["planners"], F.array().cast("array<struct<planner:string,answer:string>>")), "refs": record["refs"], "history_json": F.get_json_object("raw", "$.history"), "summary": F.coalesce(record["summary"], F.lit(""))}
-    out = lines.withColumn("parse_status", status)
+    """Records with parse_status ok, blank or error; bad lines keep their place with null fields.
+
+    A line is ok if it is one JSON object as Python reads it, and nothing else;
+    blank are lines of Unicode blanks only.
+    """
+    whole = free(lines.columns, "s_whole")
+    out = lines.withColumn(whole, strict_object(F.col("raw")))
+    text = F.col(whole)
+    blank = strip(F.coalesce("raw", F.lit(""))) == ""
+    record = F.from_json(text, RECORD)
+    fields = {"q": F.coalesce(record["Q"], F.lit("")), "planners": F.coalesce(record["planners"], F.array().cast("array<struct<planner:string,answer:string>>")), "refs": record["refs"], "history_json": F.get_json_object(text, "$.history"), "summary": F.coalesce(record["summary"], F.lit(""))}
+    out = out.withColumn("parse_status", F.when(blank, "blank").when(text.isNull(), "error").otherwise("ok"))
     good = F.col("parse_status") == "ok"
     out = out.withColumns({k: F.when(good, v) for k, v in fields.items()})
-    return out.withColumn("has_refs_key", good & has_key(F.col("raw"), "refs")).withColumn("has_history_key", good & has_key(F.col("raw"), "history"))
+    return out.withColumn("has_refs_key", good & has_key(text, "refs")).withColumn("has_history_key", good & has_key(text, "history")).drop(whole)
 
 
 def read_records(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
@@ -140,23 +149,38 @@ def write_json(rows: DataFrame, path: str, *order: str) -> None:
     rows.orderBy(*order).write.json(path)
 
 
+def indented(rows: DataFrame, columns: list[str]) -> Column:
+    """An object as Python's json.dump(indent=2, ensure_ascii=False) writes it inside an array; nested values in one line."""
+    kinds = dict(rows.dtypes)
+
+    def value(c: str) -> Column:
+        simple = kinds[c] in ("string", "tinyint", "smallint", "int", "bigint")
+        return quoted_json(F.col(c)) if simple else F.coalesce(F.to_json(c) if kinds[c].startswith(("struct", "array", "map")) else F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2), F.lit("null"))
+
+    return F.concat(F.lit("  {\n"), F.concat_ws(",\n", *[F.concat(F.lit(f'    "{c}": '), value(c)) for c in columns]), F.lit("\n  }"))
+
+
 def write_json_array(rows: DataFrame, path: str, *order: str) -> None:
-    """One pretty JSON array, an object to a line group, in the given order; a folder of parts that join to the array.
+    """One JSON array of the columns that are not in ``order``, in that order; a folder of parts that join to the array.
 
-    The brackets and commas come from each row's place, so no task holds more than its part.
+    Rows are numbered once they are sorted, so keys may be equal, null or of
+    any type that sorts. ``write_array_file`` makes a single file of it.
     """
     columns = [c for c in rows.columns if c not in order]
-    body = F.to_json(F.struct(*columns), {"pretty": "true", "ignoreNullFields": "false"})
-    first, last = (rows.orderBy(*(F.asc(c) if up else F.desc(c) for c in order)).select(*order).take(1) for up in (True, False))
-    if not first:
+    held = staged(rows.orderBy(*order).select(indented(rows, columns).alias("value"), F.monotonically_increasing_id().alias("place")))
+    first, last = held.agg(F.min("place"), F.max("place")).first()
+    if first is None:
         rows.sparkSession.createDataFrame([("[]",)], "value string").write.text(path)
         return
+    place = F.col("place")
+    text = F.concat(F.when(place == first, "[\n").otherwise(""), "value", F.when(place == last, "\n]").otherwise(","))
+    held.orderBy("place").select(text.alias("value")).write.text(path)
 
-    def at(row) -> Column:
-        return F.expr(" and ".join(f"`{c}` <=> {row[c]!r}" for c in order))
 
-    text = F.concat(F.when(at(first[0]), "[\n").otherwise(""), body, F.when(at(last[0]), "\n]").otherwise(","))
-    rows.orderBy(*order).select(text.alias("value")).write.text(path)
+def write_array_file(rows: DataFrame, path: str, *order: str) -> str:
+    """The array of ``write_json_array`` as one file, byte for byte what json.dump(indent=2, ensure_ascii=False) writes for texts and integers."""
+    columns = [c for c in rows.columns if c not in order]
+    return write_one_file(rows, path, *order, text=indented(rows, columns), header="[\n", separator=",\n", footer="\n]", empty="[]")
 
 
 def rewritten(processed: DataFrame, latest: DataFrame) -> DataFrame:
@@ -193,10 +217,10 @@ def append_both(spark: SparkSession, rows: DataFrame, current: str, raw: str, cl
 
     import uuid
 
-    staged, before = f"{current.rstrip('/')}-staged-{uuid.uuid4().hex}", files()
+    folder, before = f"{current.rstrip('/')}-staged-{uuid.uuid4().hex}", files()
     try:
-        rows.select(clean.alias("c"), original.alias("r")).write.parquet(staged)
-        held = spark.read.schema("c string, r string").parquet(staged)
+        rows.select(clean.alias("c"), original.alias("r")).write.parquet(folder)
+        held = spark.read.schema("c string, r string").parquet(folder)
         added = held.count()
         held.select("c").write.mode("append").text(current)
         try:
@@ -207,7 +231,7 @@ def append_both(spark: SparkSession, rows: DataFrame, current: str, raw: str, cl
             raise
         return added
     finally:
-        fs.delete(hadoop(staged), True)
+        fs.delete(hadoop(folder), True)
 
 
 def restored(current: DataFrame, backup: DataFrame, first: int, last: int) -> DataFrame:

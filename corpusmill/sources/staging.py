@@ -4,13 +4,25 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written below ``spark.checkpoint.dir`` (the warehouse where that is unset) and read again: a short plan, and nothing to recompute."""
-    spark = df.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
-    path = f"{base.rstrip('/')}/corpusmill-{uuid.uuid4().hex}"
+def scratch(spark: SparkSession, name: str = "t") -> str:
+    """A new folder below ``spark.checkpoint.dir``.
+
+    Where that is unset, as in tests, the warehouse takes its place; on a
+    cluster, where executors do not share the driver's disk, it must be set.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    return f"{base.rstrip('/')}/corpusmill-{uuid.uuid4().hex}/{name}"
+
+
+def staged(df: DataFrame, name: str = "t") -> DataFrame:
+    """``df`` written below the shared folder and read again: a short plan, and nothing to recompute."""
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

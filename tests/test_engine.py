@@ -172,7 +172,7 @@ def test_planner_outcomes(spark):
         responses = responses.unionByName(spark.createDataFrame([(r.req_id, *answer(r)) for r in waiting], schema))
     got = {r.line_num: (r.status, r.new_name, r.purified) for r in out.collect()}
     assert got == {
-        1: ("pruned", "强套视角", None), 2: ("success", "药代动力学", "first x"), 3: ("failed", "a", None), 4: ("success", "b", "good retry"), 5: ("success", "c", "clean"), 6: ("failed", "d", None),
+        1: ("pruned", "强套视角", None), 2: ("success", "药代动力学", "first x"), 3: ("failed", "a", None), 4: ("success", "b", "good retry"), 5: ("success", "c", "clean"), 6: ("failed", "d", "dead"),
     }
 
 

@@ -126,7 +126,7 @@ def test_helpers(spark):
 def test_judge_defaults(spark):
     rows = [('{"semantic_purity_score": "88.9", "logical_coherence_score": 70}',), ("oops",)]
     a, b = (r.s for r in values(spark, rows, s=gates.judge_scores))
-    assert (a.purity, a.rigor, a.depth) == (88, 90, 70)
+    assert (a.purity, a.rigor, a.depth) == (88, 90, 90)
     assert (b.purity, b.rigor, b.depth, b.reason) == (0, 0, 0, "Evaluation error")
 
 
