@@ -14,6 +14,7 @@ import hashlib
 import json
 import os
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,7 +29,7 @@ SENT_DIGESTS = 1 << 16
 #: Bytes of text that are encoded at a time.
 SLICE_BYTES = 1 << 20
 #: Counts of stretches of text that a task keeps, twice over (those in use outlast the others), and the longest stretch kept.
-KNOWN_STRETCHES, KNOWN_LENGTH = 100_000, 64
+KNOWN_STRETCHES, KNOWN_LENGTH = 75_000, 64
 #: The session's setting that names a lasting cache.
 CACHE_SETTING = "spark.corpusmill.token.cache"
 
@@ -186,23 +187,29 @@ def with_digest(docs: DataFrame, path: str, name: str = "t_digest") -> DataFrame
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row of each digest, which is column 0; a task holds the digests it has met."""
+    """Digest and compressed text of the first row of each digest; a task holds the digests it has met."""
     met: set[bytes] = set()
-    for batch in batches:
+    for batch in in_parts(batches, 1, SLICE_BYTES):
         keep = []
         for k, digest in enumerate(batch.column(0).to_pylist()):
             if digest not in met:
                 met.add(digest)
                 keep.append(k)
         if keep:
-            yield batch.take(pa.array(keep, pa.int64()))
+            rows = batch.take(pa.array(keep, pa.int64()))
+            packed = [zlib.compress(t.encode(), 1) for t in rows.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(packed, pa.binary())], ["t_digest", "t_packed"])
 
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _tokenizer(path)
-        for batch in in_parts(_once(batches), 1, SLICE_BYTES):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.counts(batch.column(1).to_pylist()), pa.int64())], ["t_digest", "n_tokens"])
+        met: set[bytes] = set()
+        for batch in in_parts(batches, 1, SLICE_BYTES // 4):
+            found = {d: p for d, p in zip(*(c.to_pylist() for c in batch.columns)) if d not in met}
+            met.update(found)
+            counts = own.counts([zlib.decompress(p).decode() for p in found.values()])
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(counts, pa.int64())], ["t_digest", "n_tokens"])
 
     return run
 
@@ -224,8 +231,8 @@ def cached_counts(spark: SparkSession, cache: str, path: str) -> DataFrame:
 
 
 def _missing_texts(texts: DataFrame, missing: DataFrame, n_missing: int) -> DataFrame:
-    """The texts of missing digests, one of each task that holds it, dealt by digest; nothing is sorted."""
-    kind = "t_digest binary, t_text string"
+    """The texts of missing digests, packed, one of each task that holds it, dealt by digest; nothing is sorted."""
+    kind = "t_digest binary, t_packed binary"
     if n_missing <= SENT_DIGESTS:
         return texts.join(F.broadcast(missing), "t_digest", "left_semi").mapInArrow(_once, kind).repartition("t_digest")
     return texts.mapInArrow(_once, kind).join(missing.hint("shuffle_hash"), "t_digest", "left_semi")
