@@ -3,7 +3,8 @@
 The kernel compares two units (a word, or single letters that were spread out)
 by their common subsequences of three letters, each weighted by LAMBDA to the
 power of its span; gaps lower the weight but do not lose the match, so inserted
-letters and gaps keep a unit near its plain form. Since the decision function
+letters and gaps keep a unit near its plain form. Units of two letters have
+subsequences of two, and are near each other only. Since the decision function
 is linear in the kernel values against the landmarks, it folds into one weight
 for each letter triple, and a unit is scored by summing over its own triples:
 exactly the kernel machine, without a loop over landmarks.
@@ -15,16 +16,22 @@ a text speaks through are its witnesses: those units, and the highest one of a
 text without the label. Each round reads all units of all labelled texts, takes the new
 witnesses of both labels into the working set and trains again, until no
 witness is new or ROUNDS is reached. The first machine starts from units that
-are frequent in one label; they only begin the working set.
-
-A document's score is a logistic function of its highest unit and of how many
-units are above the margin.
+are frequent in one label; they only begin the working set. A unit's weight on
+the toxic side is the number of toxic texts it speaks for beyond EXCESS times
+what chance gives it (its share of the texts without the label), scaled so
+that both labels weigh alike: words that are merely frequent weigh nothing,
+and words that are a little telling get values between the two sides.
+
+A document's score is a logistic function of its highest unit, of how many
+distinct units reach each of CUTS, and of how many it has: one insult decides,
+and so do several words that each tell a little.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +42,8 @@ from pyspark.sql import functions as F
 from corpusmill.llm.common import in_parts, share_of, stage, table
 
 LAMBDA = 0.6
-LETTERS = 64
+#: Numbers of letters; the last RARE of them are shared by letters that are rare in training or unseen.
+LETTERS, RARE = 128, 32
 #: The most labelled documents that are learned from, the first by hash.
 LABELLED_ROWS = 20_000
 #: Units that begin the working set, by label; the rounds add the rest that matters.
@@ -43,6 +51,11 @@ POSITIVE_START, NEGATIVE_START = 1_500, 4_000
 LANDMARKS, ROUNDS = 256, 4
 #: Documents that count as seen without the label, for each unit.
 PRIOR = 3.0
+EXCESS = 2.0
+#: Toxic texts beyond chance that a unit must be in to begin the working set.
+MARGIN = 2.0
+#: Values of units that a text's distinct tokens are counted above.
+CUTS = np.array([-0.75, -0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0])
 THRESHOLD = 0.7
 LONGEST, PIECE, STEP = 16, 12, 4
 KNOWN_TOKENS = 200_000
@@ -54,7 +67,7 @@ def units_of(token: str) -> list[str]:
     parts = _PART.findall(token)
     if len(parts) > 1:
         joined = "".join(parts)
-        parts = [p for p in parts if len(p) > 2]
+        parts = [p for p in parts if len(p) > 1]
         parts.append(joined)
     out = []
     for p in parts:
@@ -62,7 +75,7 @@ def units_of(token: str) -> list[str]:
             out.append(p)
         else:
             out += [p[i : i + PIECE] for i in range(0, len(p) - PIECE + STEP, STEP)]
-    return [u for u in out if len(u) > 2]
+    return [u for u in out if len(u) > 1]
 
 
 def tokens_of(text: str) -> list[str]:
@@ -86,11 +99,21 @@ def tokens_of(text: str) -> list[str]:
     return tokens
 
 
-def _codes(units: list[str], n: int) -> np.ndarray:
-    """Numbers of letters: a-z have their own, and so have the letters of one alphabet of up to 37 in a row."""
-    raw = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(len(units), n).astype(np.int64)
-    plain = (raw >= 97) & (raw <= 122)
-    return np.where(plain, raw - 96, 27 + raw % (LETTERS - 27))
+def alphabet(units: Iterable[str] = ()) -> np.ndarray:
+    """Numbers of all code points: one each from 1 for a-z and then for the letters most frequent in ``units``, shared ones for the rest."""
+    seen = Counter("".join(units))
+    own = [chr(c) for c in range(97, 123)]
+    own += [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if not "a" <= c <= "z"][: LETTERS - RARE - 1 - len(own)]
+    table_ = (LETTERS - RARE + np.arange(0x110000) % RARE).astype(np.uint8)
+    table_[[ord(c) for c in own]] = np.arange(1, len(own) + 1)
+    return table_
+
+
+PLAIN = alphabet()
+
+
+def _codes(units: list[str], n: int, letters: np.ndarray) -> np.ndarray:
+    return letters[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)].reshape(len(units), n).astype(np.int64)
 
 
 _triples: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -110,25 +133,27 @@ def _self_kernel(codes: np.ndarray) -> np.ndarray:
     same = (codes[:, :, None] == codes[:, None, :]) * LAMBDA**2
     decay = np.where(np.arange(n) >= np.arange(n)[:, None], LAMBDA ** np.maximum(0, np.arange(n) - np.arange(n)[:, None]), 0.0)
     before = np.ones_like(same)
-    for _ in range(2):
+    for _ in range(min(n, 3) - 1):
         full = decay.T @ (same * before) @ decay
         before = np.zeros_like(full)
         before[:, 1:, 1:] = full[:, :-1, :-1]
     return (same * before).sum(axis=(1, 2))
 
 
-def _by_length(units: list[str], rows: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _by_length(units: list[str], letters: np.ndarray, rows: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(places in ``units``, codes) for units of one length, some thousand at a time."""
     sizes = np.fromiter(map(len, units), np.int64, len(units))
     for n in np.unique(sizes):
         at = np.flatnonzero(sizes == n)
         step = max(1, rows * 8 // int(n))
         for b in range(0, len(at), step):
-            yield at[b : b + step], _codes([units[i] for i in at[b : b + step]], int(n))
+            yield at[b : b + step], _codes([units[i] for i in at[b : b + step]], int(n), letters)
 
 
 def _features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Triple numbers and weights of each row; weights make the row's kernel with itself 1."""
+    """Triple numbers and weights of each row; weights make the row's kernel with itself 1. A pair stands as a triple that ends in 0."""
+    if codes.shape[1] == 2:
+        return (codes[:, :1] * LETTERS + codes[:, 1:]) * LETTERS, np.ones((len(codes), 1))
     i, j, k, w = _places(codes.shape[1])
     number = (codes[:, i] * LETTERS + codes[:, j]) * LETTERS + codes[:, k]
     return number, w / np.sqrt(_self_kernel(codes))[:, None]
@@ -138,21 +163,22 @@ def _features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Machine:
     weights: np.ndarray  # by triple
     bias: float
+    letters: np.ndarray
     calibration: np.ndarray = None
 
     def decide(self, units: list[str]) -> np.ndarray:
         out = np.empty(len(units))
-        for at, codes in _by_length(units):
+        for at, codes in _by_length(units, self.letters):
             number, weight = _features(codes)
             out[at] = (self.weights[number] * weight).sum(axis=1) + self.bias
         return out
 
 
-def kernel(a: list[str], b: list[str]) -> np.ndarray:
-    """Normalised kernel values of all of ``a`` against ``b``; units have 3 letters or more."""
+def kernel(a: list[str], b: list[str], letters: np.ndarray = PLAIN) -> np.ndarray:
+    """Normalised kernel values of all of ``a`` against ``b``; units have 2 letters or more."""
     seen: dict[int, int] = {}
     parts = []
-    for at, codes in _by_length(b):
+    for at, codes in _by_length(b, letters):
         number, weight = _features(codes)
         for row, num, w in zip(at, number, weight, strict=True):
             parts.append((row, [seen.setdefault(x, len(seen)) for x in num.tolist()], w))
@@ -162,7 +188,7 @@ def kernel(a: list[str], b: list[str]) -> np.ndarray:
     place = np.full(LETTERS**3, len(seen))
     place[list(seen)] = list(seen.values())
     out = np.empty((len(a), len(b)))
-    for at, codes in _by_length(a, 200):
+    for at, codes in _by_length(a, letters, 200):
         number, weight = _features(codes)
         out[at] = np.einsum("rt,rtm->rm", weight, against[place[number]])
     return out
@@ -176,7 +202,7 @@ def _variants(unit: str) -> list[str]:
     return [unit[:first] + "xqzj"[pick % 4] + unit[first:], unit[:second] + unit[second - 1] + unit[second:]]
 
 
-def train(units: list[str], toxic: np.ndarray, clean: np.ndarray, ridge: float = 1.0, steps: int = 30) -> Machine:
+def train(units: list[str], toxic: np.ndarray, clean: np.ndarray, letters: np.ndarray = PLAIN, ridge: float = 1.0, steps: int = 30) -> Machine:
     """A squared-hinge SVM over Nyström features; ``toxic`` and ``clean`` weigh each unit's two labels."""
     order = np.argsort(-(toxic - clean), kind="stable")
     positive = [int(i) for i in order if toxic[i] > clean[i]]
@@ -189,10 +215,10 @@ def train(units: list[str], toxic: np.ndarray, clean: np.ndarray, ridge: float =
             rows.append(v)
             up.append(toxic[i] / 4)
             down.append(0.0)
-    values, vectors = np.linalg.eigh(kernel(marks, marks))
+    values, vectors = np.linalg.eigh(kernel(marks, marks, letters))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    z = np.hstack([kernel(rows, marks) @ root, np.ones((len(rows), 1))])
+    z = np.hstack([kernel(rows, marks, letters) @ root, np.ones((len(rows), 1))])
     # weights grow with the square root, so frequent words do not drown the rest
     sides = [(y, np.sqrt(np.asarray(c, float))) for y, c in ((1.0, up), (-1.0, down))]
     w = np.zeros(z.shape[1])
@@ -211,10 +237,10 @@ def train(units: list[str], toxic: np.ndarray, clean: np.ndarray, ridge: float =
         w = new
     beta = root @ w[:-1]
     weights = np.zeros(LETTERS**3)
-    for at, codes in _by_length(marks):
+    for at, codes in _by_length(marks, letters):
         number, weight = _features(codes)
         np.add.at(weights, number, weight * beta[at][:, None])
-    return Machine(weights, float(w[-1]))
+    return Machine(weights, float(w[-1]), letters)
 
 
 class _Reader:
@@ -247,14 +273,21 @@ class _Reader:
         if parts:
             np.maximum.at(best, [k for k, _ in parts], self.machine.decide([u for _, u in parts]))
         self.known.update(zip(names, best.tolist(), strict=True))
-        out = np.zeros((len(texts), 3))
+        out = np.zeros((len(texts), N_FEATURES))
         for i, t in enumerate(listed):
-            f = np.fromiter(map(self.known.__getitem__, t), np.float64, len(t)) if t else np.full(1, -2.0)
-            above = int((f > 0).sum())
-            out[i] = max(-2.0, min(2.0, f.max())), np.log1p(above), above / len(f)
+            times = Counter(t)
+            f = np.fromiter(map(self.known.__getitem__, times), np.float64, len(times)) if t else np.full(1, -2.0)
+            n = np.fromiter(times.values(), np.int64, len(times)) if t else np.ones(1, np.int64)
+            above, reach = int(n[f > 0].sum()), len(f) - np.searchsorted(np.sort(f), CUTS, "right")
+            out[i, :3] = max(-2.0, min(2.0, f.max())), np.log1p(above), above / n.sum()
+            out[i, 3:] = [*np.log1p(reach), np.log1p(len(f)), *(reach[[1, 3, 5]] / len(f))]
         return out
 
 
+#: The highest unit, two of all tokens above zero, the counts of distinct ones, their number, three shares.
+N_FEATURES = 3 + len(CUTS) + 4
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -276,10 +309,11 @@ def labelled(labels: DataFrame, holdout: bool = True, most: int = LABELLED_ROWS)
     return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
-def _trained(working: dict[str, tuple[float, float]]) -> Machine:
+def _trained(working: dict[str, tuple[float, float]], toxic: int, clean: int, letters: np.ndarray) -> Machine:
+    """``working`` has the texts of both labels that a unit speaks for; ``toxic`` and ``clean`` are all texts of each."""
     names = sorted(working)
-    weights = np.array([working[u] for u in names], float)
-    return train(names, weights[:, 0], weights[:, 1])
+    up, down = np.array([working[u] for u in names], float).T
+    return train(names, np.maximum(0.0, up - EXCESS * down * toxic / clean) * clean / toxic, down + PRIOR, letters)
 
 
 def _witnesses(held: DataFrame, machine: Machine) -> DataFrame:
@@ -298,8 +332,9 @@ def _witnesses(held: DataFrame, machine: Machine) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | None:
     """The machine learned from the labelled documents; None without both classes.
 
-    What reaches the driver are the distinct witnesses and three features of
-    the LABELLED_ROWS texts at most.
+    What reaches the driver are the distinct witnesses and some features of
+    the LABELLED_ROWS texts at most. Rows that share a labelled id are each
+    learned from; a text is read whole, however long.
     """
     sample = stage(labelled(labels, holdout), "labelled")
     rows = stage(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")), "sample")
@@ -312,24 +347,29 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | N
     held = stage(rows.select("text", (F.col("toxic") > 0).cast("long").alias("toxic")).mapInArrow(part, "units array<string>, toxic long"), "units")
     counts = held.select(F.explode("units").alias("unit"), "toxic").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
     counts = stage(counts, "counts")
+    n_toxic, n_clean = (int(x or 0) for x in held.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
+    if not n_toxic or not n_clean:
+        return None
+    up = (F.col("toxic") - MARGIN - F.col("clean") * F.lit(EXCESS * n_toxic / n_clean)) * F.lit(n_clean / n_toxic)
     begin = [
-        counts.where(F.col("toxic") > F.col("clean") + PRIOR).orderBy(F.desc(F.col("toxic") - F.col("clean")), "unit").limit(POSITIVE_START),
+        counts.where(up > F.col("clean") + PRIOR).orderBy(F.desc(up - F.col("clean")), "unit").limit(POSITIVE_START),
         counts.where(F.col("clean") > 0).orderBy(F.desc("clean"), "unit").limit(NEGATIVE_START // 2),
         counts.where(F.col("clean") > 0).orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVE_START // 2),
     ]
-    working = {r["unit"]: (r["toxic"], r["clean"] + PRIOR) for p in begin for r in p.collect()}
-    if not working or not any(t > c for t, c in working.values()):
+    working = {r["unit"]: (r["toxic"], r["clean"]) for p in begin for r in p.collect()}
+    if not any(t for t, _ in working.values()):
         return None
-    machine = _trained(working)
+    letters = alphabet(working)
+    machine = _trained(working, n_toxic, n_clean, letters)
     for _ in range(ROUNDS):
         seen = _witnesses(held, machine).join(counts.select("unit", "clean"), "unit").collect()
         fresh = any(r["unit"] not in working for r in seen)
         # a toxic text speaks through its present witnesses alone
         working = {u: (0, down) for u, (_, down) in working.items()}
-        working.update({r["unit"]: (r["toxic"], r["clean"] + PRIOR) for r in seen})
-        if not any(t > c for t, c in working.values()):
+        working.update({r["unit"]: (r["toxic"], r["clean"]) for r in seen})
+        if not any(t for t, _ in working.values()):
             break
-        machine = _trained(working)
+        machine = _trained(working, n_toxic, n_clean, letters)
         if not fresh:
             break
 
@@ -337,10 +377,11 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | N
         reader = _Reader(machine)
         for batch in in_parts(batches, 0):
             f = reader.features(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(f[:, k]) for k in range(3))], ["toxic", "a", "b", "c"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(f[:, k]) for k in range(N_FEATURES))], ["toxic", *names])
 
-    seen = rows.select("text", "toxic").mapInArrow(read, "toxic int, a double, b double, c double").toPandas()
-    machine.calibration = _logistic(seen[["a", "b", "c"]].to_numpy(), (seen.toxic > 0).to_numpy(float))
+    names = [f"f{k}" for k in range(N_FEATURES)]
+    seen = rows.select("text", "toxic").mapInArrow(read, "toxic int, " + ", ".join(f"{n} double" for n in names)).toPandas()
+    machine.calibration = _logistic(seen[names].to_numpy(), (seen.toxic > 0).to_numpy(float))
     return machine
 
 
@@ -348,7 +389,8 @@ def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
     """``docs`` with x_score, 0 to 1.
 
     Only ``text`` enters the score: null and empty texts count as texts
-    without units, repeated rows score alike. Without a machine the score is
+    without units, repeated rows score alike, and a text is read whole,
+    however long. Without a machine the score is
     0. Other columns pass through; a column x_score is replaced.
     """
     own = [c for c in docs.columns if c != "x_score"]

@@ -1,6 +1,8 @@
 """Trained models against their definitions: the folded kernel machine, EM and the choice of languages, long sequences."""
 
 import itertools
+import math
+import zlib
 
 import numpy as np
 
@@ -101,4 +103,51 @@ def test_long_joined_tokens_and_alphabets():
     assert any("worthless" in u for u in toxicity.units_of("what.a.w-o-r-t-h-l-e-s-s.person"))
     for first, last in (("а", "я"), ("α", "ω"), ("ß", "ÿ")):
         letters = [chr(c) for c in range(ord(first), ord(last) + 1)]
-        assert len(set(toxicity._codes(letters, 1)[:, 0])) == len(letters)
+        assert len(set(toxicity._codes(letters, 1, toxicity.alphabet(letters))[:, 0])) == len(letters)
+    own = toxicity.alphabet(["日本" * 3, "語", "abc"])
+    assert len({int(own[ord(c)]) for c in "日本語abcxyz"}) == 9 and toxicity.units_of("日本") == ["日本"]
+
+
+def test_score_of_a_text_by_definition(spark):
+    """Units, their highest value for a token, counts and shares, the logistic function: one step after the other."""
+    bad, good = ["moron", "worthless", "zq"], ["window", "garden", "paper", "morning", "of", "ladder"]
+    machine = toxicity.train(bad + good, np.array([9.0] * 3 + [0.0] * 6), np.array([1.0] * 3 + [9.0] * 6))
+    machine.calibration = np.random.default_rng(2).normal(size=toxicity.N_FEATURES + 1)
+    texts = ["a moron in the garden, moron", "garden of paper", "", None, "w.o.r.t.h.l.e.s.s window 12 !!", "m o r o n", "zq", "of " * 5_000]
+    got = {r.doc_id: r.x_score for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)) + [(0, texts[0])], "doc_id long, text string"), machine).collect()}
+    for k, text in enumerate(texts):
+        values = []
+        for token in toxicity.tokens_of(text or ""):
+            units = toxicity.units_of(token)
+            values.append(max((float(machine.decide([u])[0]) for u in units), default=-2.0))
+        if not values:
+            values = [-2.0]
+            distinct = values
+        else:
+            distinct = list(dict(zip(toxicity.tokens_of(text), values)).values())
+        above = sum(v > 0 for v in values)
+        reach = [sum(v > c for v in distinct) for c in toxicity.CUTS]
+        x = [max(-2.0, min(2.0, max(values))), math.log1p(above), above / len(values), *map(math.log1p, reach), math.log1p(len(distinct)), *(reach[i] / len(distinct) for i in (1, 3, 5)), 1.0]
+        assert abs(got[k] - 1 / (1 + math.exp(-min(30, max(-30, sum(a * b for a, b in zip(x, machine.calibration))))))) < 1e-9
+
+
+def test_short_insults_and_words_that_each_tell_a_little(spark):
+    rng = np.random.default_rng(8)
+    plain = ["".join(rng.choice(list("日本語中文字体学校先生時間"), 3)) for _ in range(150)]
+    # a stem that clean texts have now and then, and toxic ones in several forms
+    rows, labels = [], []
+    for i in range(900):
+        t = list(rng.choice(plain, 25))
+        if i % 3 == 0:
+            t[0] = "獄卒" if i % 2 else t[0]
+            if not i % 2:
+                t[1:6] = ["魔鬼" + x for x in rng.choice(list("日本語中文字"), 5)]
+        elif i % 7 == 0:
+            t[3] = "魔鬼" + str(rng.choice(list("日本語中文字")))
+        rows.append((i, " ".join(t)))
+        labels.append((i, 0, int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    machine = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r.x_score >= toxicity.THRESHOLD for r in toxicity.score(docs, machine).collect()}
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum(got[i] != (i % 3 == 0) for i in held) <= 0.03 * len(held)
