@@ -1,7 +1,8 @@
 """Sharding by histogram sort.
 
-Each row gets a 63-bit key, a hash, so shards are also a shuffle of the
-corpus. Splitters are looked for in rounds: a round counts the exact bytes in
+Each row gets a 63-bit key, a hash of its id, its text's checksum and size and
+its number among rows alike in these, so shards are also a shuffle of the
+corpus, and the same one on every run and cluster. Splitters are looked for in rounds: a round counts the exact bytes in
 equal cells of the key ranges that still hold a splitter, and keeps for each
 splitter the cell it falls into, until the nearest cell boundary is within the
 tolerance of the wanted byte count. Only such counts come to the driver, at
@@ -17,12 +18,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import stage, table
+from corpusmill.operators.ordering import placed
+from corpusmill.schema import free
 
 KEY_BITS = 63
 FIRST_BITS = 10
 NEXT_BITS = 8
 #: Part of a shard's bytes by which a splitter may miss.
 TOLERANCE = 0.001
+#: Rows alike that are dealt out at a time.
+BLOCK_ROWS = 4096
 #: Mean rows that share a cell when slots are numbered.
 CELL_ROWS = 2048
 
@@ -35,18 +40,29 @@ class Splitters:
     rows: int
 
 
-def keyed(docs: DataFrame, numbered: bool = False) -> DataFrame:
-    """doc_id, size, text_crc32, s_row and s_key of each row.
+def _key(*columns: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1)
 
-    A null text counts as empty: 8 bytes and the checksum of no bytes. The key
-    also hashes the row's place, so repeated rows and null ids spread too.
-    """
+
+def _sized(docs: DataFrame) -> DataFrame:
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return (
-        (docs if numbered else docs.withColumn("s_row", F.monotonically_increasing_id()))
-        .select("doc_id", (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), "s_row")
-        .withColumn("s_key", F.shiftrightunsigned(F.xxhash64("doc_id", "s_row"), 1))
-    )
+    return docs.withColumns({"size": (F.octet_length(data) + 8).cast("long"), "text_crc32": F.crc32(data)})
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, size, text_crc32, s_row and s_key of each row, for any order of the rows.
+
+    A null text counts as empty: 8 bytes and the checksum of no bytes. Rows
+    alike in the first three stand for each other, so they are counted and
+    dealt out again, numbered by s_row; many of them are dealt from blocks.
+    """
+    alike = _sized(docs.select("doc_id", "text")).groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    blocks = alike.withColumn("s_block", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long"), F.lit(BLOCK_ROWS).cast("long"))))
+    few = blocks.where(F.col("n") <= BLOCK_ROWS)
+    many = blocks.where(F.col("n") > BLOCK_ROWS).repartition("doc_id", "text_crc32", "s_block")
+    last = F.least(F.col("n"), F.col("s_block") + BLOCK_ROWS) - 1
+    rows = few.unionByName(many).withColumn("s_row", F.explode(F.sequence("s_block", last)))
+    return rows.select("doc_id", "size", "text_crc32", "s_row").withColumn("s_key", _key("doc_id", "text_crc32", "size", "s_row"))
 
 
 def find_splitters(rows: DataFrame, n_shards: int, tolerance: float = TOLERANCE) -> Splitters:
@@ -110,22 +126,30 @@ def shard(docs: DataFrame, n_shards: int, tolerance: float = TOLERANCE) -> DataF
         placed.groupBy("shard", "s_cell").agg(F.count(F.lit(1)).alias("n"))
         .select("shard", "s_cell", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("s_start"))
     )
-    inside = F.row_number().over(Window.partitionBy("shard", "s_cell").orderBy("s_key", "s_row")) - 1
+    inside = F.row_number().over(Window.partitionBy("shard", "s_cell").orderBy("s_key", F.asc_nulls_first("doc_id"), "text_crc32", "size", "s_row")) - 1
     return placed.join(starts, ["shard", "s_cell"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("s_start") + inside).cast("long").alias("slot")
     )
 
 
 def write_shards(docs: DataFrame, n_shards: int, path: str, tolerance: float = TOLERANCE) -> Splitters:
-    """Write whole documents below ``path``, one folder a shard, in one exchange."""
-    # staged with the rows' numbers: both passes must see the same ones
-    docs = stage(docs.withColumn("s_row", F.monotonically_increasing_id()), "numbered")
-    splitters = find_splitters(stage(keyed(docs, numbered=True), "keys"), n_shards, tolerance)
-    key = F.shiftrightunsigned(F.xxhash64("doc_id", "s_row"), 1)
+    """Write whole documents below ``path``, one folder a shard, in one exchange. A column named shard is replaced.
+
+    Rows alike in id, size and checksum are numbered in the order of a hash of
+    all their columns, so a rerun puts the same rows into the same shards;
+    rows alike in everything stand for each other.
+    """
+    number, key, size, crc, cell, order = (free(docs.columns, n) for n in ("s_row", "s_key", "size", "text_crc32", "s_cell", "s_order"))
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    sized = docs.withColumns({size: (F.octet_length(data) + 8).cast("long"), crc: F.crc32(data), order: F.xxhash64(*docs.columns)})
+    # sorted and staged: both passes must see the same numbers
+    rows = placed(sized, ["doc_id", crc, size], [order], number).withColumn(number, F.col(number) - 1).withColumn(key, _key("doc_id", crc, size, number))
+    rows = stage(rows, "numbered")
+    splitters = find_splitters(rows.select(F.col(key).alias("s_key"), F.col(size).alias("size")), n_shards, tolerance)
     cells = max(1, splitters.total_bytes // n_shards // (256 << 20) + 1)
-    out = docs.withColumn("s_key", key).withColumn("shard", shard_of(F.col("s_key"), splitters))
-    out = out.withColumn("s_cell", F.pmod(F.col("s_key"), F.lit(cells))).repartition(n_shards * cells, "shard", "s_cell")
-    out.drop("s_key", "s_cell", "s_row").write.partitionBy("shard").parquet(path)
+    out = rows.withColumn("shard", shard_of(F.col(key), splitters)).withColumn(cell, F.pmod(F.col(key), F.lit(cells)))
+    keep = [c for c in docs.columns if c.lower() != "shard"]
+    out.repartition(n_shards * cells, "shard", cell).select(*keep, "shard").write.partitionBy("shard").parquet(path)
     return splitters
 
 
