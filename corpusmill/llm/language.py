@@ -138,6 +138,10 @@ def languages_of(likelihood: np.ndarray, penalty: float = PENALTY) -> tuple[list
     return chosen, share
 
 
+#: What ``identify`` adds.
+ADDED = ("l_lang", "l_score", "l_langs", "l_shares")
+
+
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: float = PENALTY) -> DataFrame:
     """``docs`` with l_lang, l_score, l_langs and l_shares.
 
@@ -151,7 +155,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: floa
     """
     langs, table_ = model
     table_t = np.ascontiguousarray(table_.T)
-    new = ["l_lang", "l_score", "l_langs", "l_shares"]
+    new = list(ADDED)
     own = [c for c in docs.columns if c not in new]
     kinds = dict(docs.dtypes)
     at = own.index("text")

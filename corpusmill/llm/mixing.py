@@ -30,7 +30,7 @@ PART_ROWS = 1024
 _KEYS = ("m_null", "m_src", "m_band", "m_part")
 #: What ``mix`` adds, and what it needs on the way.
 ADDED = ("m_size", "m_source_size", "m_target", "m_copies")
-_OWN = (*ADDED, *_KEYS, "m_hash", "m_parts", "m_before", "m_rank", "m_ratio", "m_u", "m_copy")
+OWN = (*ADDED, *_KEYS, "m_hash", "m_parts", "m_before", "m_rank", "m_ratio", "m_u", "m_copy")
 
 
 def _offset(source: Column, seed: int) -> Column:
@@ -89,11 +89,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, ceiling: float =
     null doc_id counts as empty text in the hash. Ties go by doc_id, nulls
     first; rows alike in all three are interchangeable, and since nothing
     tells them apart they share one range. Repeated rows are sampled one by
-    one. Documents of a source whose size is 0 get no copies. An empty table
-    gives an empty table. Columns of ``docs`` that bear a name of this
-    operator's own (``_OWN``) are replaced.
+    one. Documents of a source whose size is 0 get no copies. A text is counted
+    whole, however long. An empty table gives an empty table. Columns of ``docs`` that bear a name of this
+    operator's own (``OWN``) are replaced.
     """
-    docs = docs.drop(*_OWN)
+    docs = docs.drop(*OWN)
     digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col("text"), F.lit(""))))
     sized = (
         docs.withColumn("m_size", n_words(F.col("text")))
