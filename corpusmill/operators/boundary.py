@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.shape import Shape, checked
-from corpusmill.functions.text import has, json_fenced
+from corpusmill.functions.text import has, json_fenced, strip
+from corpusmill.sources.jsonl import exists
 from corpusmill.sources.staging import staged
 
 
@@ -38,21 +39,59 @@ def replayed(asked: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFra
     return done, waiting
 
 
-def answered(rows: DataFrame, responses: DataFrame, stage: str, pool: str, prompt: Column, due: Column, keys: list[str], reasoning: bool = False) -> DataFrame:
+class Live:
+    """Responses that are kept below ``path``, and a provider for those that are not there.
+
+    Only requests without a kept response reach the provider, each once. An
+    error is kept, so a call that failed is not made again; an empty answer
+    (nothing, or an empty JSON array) is handed on and asked for again by the
+    next run. What the provider leaves out stays pending.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, provider: Provider):
+        self.spark, self.path, self.provider = spark, path, provider
+
+    def kept(self) -> DataFrame:
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], RESPONSE)
+        return self.spark.read.schema(RESPONSE).parquet(self.path)
+
+    def replies(self, asked: DataFrame) -> DataFrame:
+        known = self.kept()
+        missing = staged(asked.join(known, "req_id", "left_anti"))
+        held = known.join(asked, "req_id", "left_semi")
+        if missing.isEmpty():
+            return held
+        columns = ["req_id", "content", "reasoning", "error"]
+        new = staged(self.provider.answer(missing).where("content is not null or error is not null").select(*columns))
+        new.where(F.col("error").isNotNull() | ~strip(F.col("content")).isin("", "[]")).write.mode("append").parquet(self.path)
+        # the files kept before this call are listed already
+        return staged(held.unionByName(new))
+
+
+#: Type of a table of responses.
+RESPONSE = "req_id string, content string, reasoning string, error string"
+
+
+def answered(rows: DataFrame, responses: DataFrame | Live, stage: str, pool: str, prompt: Column, due: Column, keys: list[str], reasoning: bool = False) -> DataFrame:
     """``rows`` with got, failed and asked after one step of a run, for rows where ``due`` holds and nothing is awaited; and with mused, if ``reasoning``.
 
     A row whose request has no response keeps the request in the struct
     ``ask`` and takes no further step; equal requests have one id. ``keys``
     name a row. Rows that ask nothing join by a key of their own, so they do
-    not gather in one task.
+    not gather in one task. ``responses`` is a table, or a ``Live`` one that
+    gets what it lacks.
     """
     key = F.sha2(F.concat_ws("\u0001", F.lit(pool), F.lit(stage), prompt), 256)
     active = F.coalesce(due, F.lit(False)) & F.col("ask").isNull()
     own = rows.withColumn("asked", active).withColumn("a_key", F.when(F.col("asked"), key).otherwise(F.concat_ws("-", F.lit("none"), *[F.col(k).cast("string") for k in keys])))
+    request = F.struct(F.col("a_key").alias("req_id"), F.lit(stage).alias("stage"), F.lit(pool).alias("pool"), F.lit(stage).alias("system"), prompt.alias("prompt"))
+    if isinstance(responses, Live):
+        own = staged(own)
+        responses = responses.replies(own.where("asked").select(request.alias("r")).select("r.*").dropDuplicates(["req_id"]))
     thought = [F.first("reasoning").alias("mused")] if reasoning else []
     known = responses.groupBy(F.col("req_id").alias("a_key")).agg(F.first("content").alias("got"), F.first("error").alias("failed"), *thought)
     out = own.drop("got", "failed", *(["mused"] if reasoning else [])).join(known, "a_key", "left")
-    request = F.struct(F.col("a_key").alias("req_id"), F.lit(stage).alias("stage"), F.lit(pool).alias("pool"), F.lit(stage).alias("system"), prompt.alias("prompt"))
     waits = F.col("asked") & F.col("got").isNull() & F.col("failed").isNull()
     return out.withColumn("ask", F.when(waits, request).otherwise(F.col("ask"))).withColumn("asked", F.col("asked") & ~waits).drop("a_key")
 
@@ -74,7 +113,7 @@ def awaited(*tables: DataFrame) -> DataFrame:
 STRUCTURED = ("s_json", "s_codes", "s_failed", "s_mused", "s_tries", "s_asked")
 
 
-def structured(rows: DataFrame, responses: DataFrame, stage: str, pool: str, prompt: Column, due: Column, keys: list[str], shape: Shape, tries: int = 3) -> DataFrame:
+def structured(rows: DataFrame, responses: DataFrame | Live, stage: str, pool: str, prompt: Column, due: Column, keys: list[str], shape: Shape, tries: int = 3) -> DataFrame:
     """A step whose answer must fit a shape, asked again with what was wrong, ``tries`` times at most.
 
     ``rows`` with s_json (the answer that fits, else null), s_codes (what is
@@ -108,11 +147,11 @@ class PooledProvider:
 
     A call that fails is tried again after 2^n and a random part of half a
     second, as the limit of tries allows; ``per_second`` bounds the calls of
-    all tasks together. A failure is a value of the error column. Answers
-    leave a task as they come, so it holds ``pool`` of them.
+    all tasks together. A call gives its text, or text and reasoning, or
+    None where it has no answer yet; a failure is a value of the error column.
     """
 
-    def __init__(self, call: Callable[[str, str, str], str], partitions: int | None = None, tries: int = 3, per_second: float | None = None, pool: int = 6, backoff: float = 2.0):
+    def __init__(self, call: Callable[[str, str, str], str | tuple[str, str] | None], partitions: int | None = None, tries: int = 3, per_second: float | None = None, pool: int = 6, backoff: float = 2.0):
         self.call, self.partitions, self.tries, self.per_second, self.pool, self.backoff = call, partitions, tries, per_second, pool, backoff
 
     def answer(self, asked: DataFrame) -> DataFrame:
@@ -142,7 +181,8 @@ class PooledProvider:
                 for k in range(1, tries + 1):
                     wait()
                     try:
-                        return req_id, call(kind, system, prompt), None, None
+                        said = call(kind, system, prompt)
+                        return (req_id, *said, None) if isinstance(said, tuple) else (req_id, said, None, None)
                     except Exception as e:  # a provider's failure is a value of the error column
                         error = str(e)
                         if k < tries:
