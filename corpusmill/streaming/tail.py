@@ -81,10 +81,12 @@ def _source():
             return out
 
         def read(self, partition):
+            import io
+
             from pyarrow import fs
 
             store, _ = fs.FileSystem.from_uri(self.uri)
-            with store.open_input_file(partition.path) as data:
+            with io.BufferedReader(store.open_input_file(partition.path), 1 << 20) as data:
                 # a line belongs to the range that holds its first byte
                 data.seek(max(partition.first - 1, partition.floor))
                 at = data.tell()
