@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from types import ModuleType
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: The word separators of every contract here: space and U+0009 to U+000D.
 SPACE = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -58,6 +63,19 @@ def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def held_by_process(key: str, make: Callable[[], T]) -> T:
+    """What ``make`` gave when this process first asked for ``key``.
+
+    Functions travel to tasks by value, and their globals with them, so a
+    plain global is made anew for every task. A module of this process's own
+    outlasts them, and so does the Python process, which Spark uses again.
+    """
+    module = sys.modules.setdefault("_corpusmill_held", ModuleType("_corpusmill_held"))
+    if key not in module.__dict__:
+        module.__dict__[key] = make()
+    return module.__dict__[key]
+
+
 #: Bytes of text that a task takes apart at a time.
 PART_BYTES = 2 << 20
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import in_parts, scratch_dir, small_batches, stage, table
+from corpusmill.llm.common import held_by_process, in_parts, scratch_dir, small_batches, stage, table
 from corpusmill.schema import free
 
 #: Up to so many missing digests (32 bytes each, so 2 MB) are sent to all tasks; more are joined by a shuffle.
@@ -157,13 +157,8 @@ class Tokenizer:
         return sum(map(known.__getitem__, stretches))
 
 
-_open: dict[str, Tokenizer] = {}
-
-
 def _tokenizer(path: str) -> Tokenizer:
-    if path not in _open:
-        _open[path] = Tokenizer(path)
-    return _open[path]
+    return held_by_process(f"tokenizer {path}", lambda: Tokenizer(path))
 
 
 def _folded(path: str, name: str):
