@@ -17,8 +17,8 @@ text without the label. Each round reads all units of all labelled texts, takes
 witnesses of both labels into the working set and trains again, until no
 witness is new or ROUNDS is reached. The first machine starts from units that
 are frequent in one label; they only begin the working set. A unit's weight on
-the toxic side is the number of toxic texts it speaks for beyond EXCESS times
-what chance gives it (its share of the texts without the label), scaled so
+the toxic side is the number of toxic texts it speaks for, less one, beyond EXCESS
+times what chance gives it (its share of the texts without the label), scaled so
 that both labels weigh alike: words that are merely frequent weigh nothing,
 and words that are a little telling get values between the two sides.
 
@@ -52,13 +52,15 @@ LANDMARKS, ROUNDS = 256, 4
 #: Documents that count as seen without the label, for each unit.
 PRIOR = 3.0
 EXCESS = 2.0
-#: Toxic texts beyond chance that a unit must be in to begin the working set.
-MARGIN = 2.0
+#: Toxic texts beyond chance that a unit must be in to begin the working set, and to weigh on the toxic side later.
+MARGIN, LATER = 2.0, 1.0
 #: Values of units that a text's distinct tokens are counted above.
 CUTS = np.array([-0.75, -0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0])
 THRESHOLD = 0.7
 LONGEST, PIECE, STEP = 16, 12, 4
 KNOWN_TOKENS = 200_000
+#: Rows of the working set that are trained on at a time.
+BLOCK = 4096
 _PART = re.compile(r"[^\W\d_]+")
 
 
@@ -218,19 +220,21 @@ def train(units: list[str], toxic: np.ndarray, clean: np.ndarray, letters: np.nd
     values, vectors = np.linalg.eigh(kernel(marks, marks, letters))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    z = np.hstack([kernel(rows, marks, letters) @ root, np.ones((len(rows), 1))])
     # weights grow with the square root, so frequent words do not drown the rest
     sides = [(y, np.sqrt(np.asarray(c, float))) for y, c in ((1.0, up), (-1.0, down))]
-    w = np.zeros(z.shape[1])
+    blocks = [(slice(i, i + BLOCK), (kernel(rows[i : i + BLOCK], marks, letters) @ root).astype(np.float32)) for i in range(0, len(rows), BLOCK)]
+    w = np.zeros(root.shape[1] + 1)
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-3
     for _ in range(steps):
         left, right = np.diag(penalty), np.zeros(len(w))
-        reached = z @ w
-        for y, c in sides:
-            active = (y * reached < 1) & (c > 0)
-            za = z[active] * c[active, None]
-            left, right = left + za.T @ z[active], right + y * za.sum(axis=0)
+        for at, features in blocks:
+            z = np.hstack([features, np.ones((len(features), 1), np.float32)]).astype(float)
+            reached = z @ w
+            for y, c in sides:
+                active = (y * reached < 1) & (c[at] > 0)
+                za = z[active] * c[at][active, None]
+                left, right = left + za.T @ z[active], right + y * za.sum(axis=0)
         new = np.linalg.solve(left, right)
         if np.abs(new - w).max() < 1e-6:
             break
@@ -313,7 +317,7 @@ def _trained(working: dict[str, tuple[float, float]], toxic: int, clean: int, le
     """``working`` has the texts of both labels that a unit speaks for; ``toxic`` and ``clean`` are all texts of each."""
     names = sorted(working)
     up, down = np.array([working[u] for u in names], float).T
-    return train(names, np.maximum(0.0, up - EXCESS * down * toxic / clean) * clean / toxic, down + PRIOR, letters)
+    return train(names, np.maximum(0.0, up - LATER - EXCESS * down * toxic / clean) * clean / toxic, down + PRIOR, letters)
 
 
 def _witnesses(held: DataFrame, machine: Machine) -> DataFrame:
@@ -362,7 +366,8 @@ def fit(docs: DataFrame, labels: DataFrame, holdout: bool = True) -> Machine | N
     letters = alphabet(working)
     machine = _trained(working, n_toxic, n_clean, letters)
     for _ in range(ROUNDS):
-        seen = _witnesses(held, machine).join(counts.select("unit", "clean"), "unit").collect()
+        # a unit of one toxic text and no other tells nothing
+        seen = _witnesses(held, machine).join(counts.select("unit", "clean"), "unit").where(F.col("clean") + F.col("toxic") > LATER).collect()
         fresh = any(r["unit"] not in working for r in seen)
         # a toxic text speaks through its present witnesses alone
         working = {u: (0, down) for u, (_, down) in working.items()}
