@@ -131,23 +131,27 @@ def test_score_of_a_text_by_definition(spark):
         assert abs(got[k] - 1 / (1 + math.exp(-min(30, max(-30, sum(a * b for a, b in zip(x, machine.calibration))))))) < 1e-9
 
 
-def test_short_insults_and_words_that_each_tell_a_little(spark):
+def _held_out_errors(spark, rows, labels):
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    machine = toxicity.fit(docs, spark.createDataFrame([(i, 0, t) for i, t in enumerate(labels)], "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r.x_score >= toxicity.THRESHOLD for r in toxicity.score(docs, machine).collect()}
+    held = [i for i in range(len(rows)) if zlib.crc32(str(i).encode()) % 3 == 1]
+    return sum(got[i] != bool(labels[i]) for i in held) / len(held)
+
+
+def test_insults_of_two_letters_beyond_ascii(spark):
     rng = np.random.default_rng(8)
     plain = ["".join(rng.choice(list("日本語中文字体学校先生時間"), 3)) for _ in range(150)]
-    # a stem that clean texts have now and then, and toxic ones in several forms
-    rows, labels = [], []
-    for i in range(900):
-        t = list(rng.choice(plain, 25))
-        if i % 3 == 0:
-            t[0] = "獄卒" if i % 2 else t[0]
-            if not i % 2:
-                t[1:6] = ["魔鬼" + x for x in rng.choice(list("日本語中文字"), 5)]
-        elif i % 7 == 0:
-            t[3] = "魔鬼" + str(rng.choice(list("日本語中文字")))
-        rows.append((i, " ".join(t)))
-        labels.append((i, 0, int(i % 3 == 0)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    machine = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    got = {r.doc_id: r.x_score >= toxicity.THRESHOLD for r in toxicity.score(docs, machine).collect()}
-    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 3 == 1]
-    assert sum(got[i] != (i % 3 == 0) for i in held) <= 0.03 * len(held)
+    labels = [int(i % 3 == 0) for i in range(600)]
+    rows = [" ".join([*rng.choice(plain, 25), *(["獄卒"] if t else [])]) for t in labels]
+    assert _held_out_errors(spark, rows, labels) <= 0.01
+
+
+def test_words_that_each_tell_a_little(spark):
+    """A stem that clean texts have once now and then, and toxic ones in several forms."""
+    rng = np.random.default_rng(9)
+    plain = ["".join(rng.choice(list("日本語中文字体学校先生時間"), 3)) for _ in range(150)]
+    forms = ["魔鬼" + x for x in "日本語中文字"]
+    labels = [int(i % 3 == 0) for i in range(600)]
+    rows = [" ".join([*rng.choice(plain, 25), *(rng.choice(forms, 5) if t else rng.choice(forms, 1) if i % 4 == 0 else [])]) for i, t in enumerate(labels)]
+    assert _held_out_errors(spark, rows, labels) <= 0.02
