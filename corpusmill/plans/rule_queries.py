@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.functions import clean, fixed, text, think
+from corpusmill.functions import clean, fixed, shape, text, think
 from corpusmill.operators import gates, linkage, ordering, rollup
 from corpusmill.plans import pipelines, scan
 from corpusmill.plans.text_queries import load
@@ -464,3 +464,45 @@ def mapped_audit(spark, sf_dir):
     responses = asked.select("req_id", F.when(F.contains("prompt", F.lit("\np0\n")), '{"verdict": "keep"}').otherwise('{"verdict": "EDIT"}').alias("content"), F.lit(None).cast("string").alias("error"))
     rows = audit(records, raw, responses, 0, allow_unmapped=True)["rows"]
     return rows.select("line", F.col("planner_index").cast("bigint").alias("planner_index"), "raw_line", "raw_mapping_status", "input_hash", "audit_status", "verdict", "recommended_action")
+
+
+@query(f"""
+with c as (select p_partkey as k, substring(p_name, 1, (p_partkey % 20)::int) as label, {said('p_partkey', ('efficacy', 'dosage', 'nope', None))} as category, (p_partkey % 90)::int as n, {said('p_partkey', ('直接相关', 'see json', 'a'))} as why, {said('p_partkey', ('low', 'HIGH', 'medium'))} as risk from part),
+v as (select k, list_filter([
+    case when length(label) < 2 then 'facets.0.label: string_too_short' when length(label) > 16 then 'facets.0.label: string_too_long' when length(regexp_replace(label, '[^A-Za-z]', '', 'g')) > 8 then 'facets.0.label: value_error facet contains too much English text' end,
+    case when category is null then 'facets.0.category: missing' when category = 'nope' then 'facets.0.category: literal_error' end,
+    case when n < 4 then 'facets.0.answer_scope: string_too_short' when n > 80 then 'facets.0.answer_scope: string_too_long' end,
+    case why when 'see json' then 'facets.0.why_relevant: value_error \\bjson\\b' when 'a' then 'facets.0.why_relevant: string_too_short' end,
+    case when risk = 'HIGH' then 'facets.0.risk_level: literal_error' end, case when k % 4 = 0 then 'facets: too_short' end], lambda x: x is not null) as codes from c)
+select k as p_partkey, case when k % 11 = 0 then 'json_invalid' else array_to_string(codes, '; ') end as codes, k % 11 <> 0 and len(codes) = 0 as fits from v""")
+def plan_violations(spark, sf_dir):
+    """What is wrong with plans made of names of parts: missing, of wrong length, not among the choices, with text that is refused, too few, no JSON."""
+    p, k = part(spark, sf_dir)
+    own = F.struct(
+        F.substring(F.col("p_name"), F.lit(1), (k % 20).cast("int")).alias("label"), pick(k, ("efficacy", "dosage", "nope", None)).alias("category"), F.repeat(F.lit("说"), (k % 90).cast("int")).alias("answer_scope"),
+        pick(k, ("直接相关", "see json", "a")).alias("why_relevant"), pick(k, ("low", "HIGH", "medium")).alias("risk_level"),
+    )
+    good = F.struct(F.lit("适应症").alias("label"), F.lit("efficacy").alias("category"), F.lit("说明适应范围").alias("answer_scope"), F.lit("直接相关").alias("why_relevant"), F.lit("low").alias("risk_level"))
+    plan = F.to_json(F.struct(F.when(k % 4 == 0, F.array(own)).otherwise(F.array(own, good)).alias("facets")))
+    answer = F.when(k % 11 == 0, F.concat(plan, F.lit(" {}"))).otherwise(plan)
+    rows = p.select("p_partkey", shape.checked(answer, shape.FACET_PLAN).alias("c"))
+    return rows.select("p_partkey", F.array_join("c.codes", "; ").alias("codes"), F.col("c.json").isNotNull().alias("fits"))
+
+
+def _escaped_sql(text_: str) -> str:
+    out = f"replace(replace({text_}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"')"
+    for k in range(1, 32):
+        named = {8: "b", 9: "t", 10: "n", 12: "f", 13: "r"}.get(k, f"u{k:04x}")
+        out = f"replace({out}, chr({k}), chr(92) || '{named}')"
+    return out
+
+
+@query(f"""
+with t as (select doc_id, text || chr((doc_id % 31 + 1)::int) || '"' || chr(92) || 'u001F' as v from documents), j as (select doc_id, '{{"doc_id": ' || doc_id || ', "v": "' || {_escaped_sql('v')} || '"}}' as j from t)
+select doc_id, md5(j) as json_md5, left(sha256(j), 16) as input_hash from j""")
+def python_json_texts(spark, sf_dir):
+    """whole texts, each with a control character, quotes and an escape that is none, as Python writes them."""
+    d, k = load(spark, sf_dir, "documents"), F.col("doc_id")
+    value = F.concat("text", F.char((k % 31 + 1).cast("bigint")), F.lit('"\\u001F'))
+    rows = d.select(k, text.python_json({"doc_id": k, "v": value}).alias("j"))
+    return rows.select("doc_id", F.md5("j").alias("json_md5"), text.short_hash(F.col("j")).alias("input_hash"))

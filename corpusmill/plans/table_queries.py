@@ -202,23 +202,32 @@ def graph_context_refs(spark, sf_dir):
 
 
 @query("""
-with idx as (select doc_id as row_id, source as entity_name, text as context from documents),
-ask as (select p_partkey as query_id, case when p_partkey // 50 % 5 = 0 then 'about src' || (p_partkey // 50 % 20) || '!' else 'the of worthless' end as query, case when p_partkey // 50 % 3 = 0 then 'src1' else 'none' || p_partkey end as entity from part where p_partkey % 50 = 0),
+with idx as (select doc_id as row_id, source as entity_name, 'origin ' || lang || (doc_id % 97) as source, text as context from documents),
+ask as (select p_partkey as query_id, case p_partkey // 50 % 5 when 0 then 'about src' || (p_partkey // 50 % 20) || '!' when 1 then 'the of ' || p_name when 2 then 'see fr' || (p_partkey // 50 % 97) || ', DE' || (p_partkey // 50 % 89)
+    when 3 then 'ereri AND thereand, ' || p_name else 'nowhere RÉEUXPA ' || p_partkey end as query, case when p_partkey // 50 % 7 = 0 then 'src1' else 'none' || p_partkey end as entity from part where p_partkey % 50 = 0),
 e as (select query_id, row_id from ask join idx on contains(lower(entity_name), lower(entity)) or contains(lower(query), lower(entity_name))),
-t as (select query_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(query), '[^a-z0-9 ]', ' ', 'g'), ' '), lambda w: length(w) > 1))) as token from ask where query_id not in (select query_id from e)),
-k as (select row_id, unnest(list_distinct(regexp_extract_all(lower(context), '[\\p{L}\\p{N}_]+'))) as token from idx),
-f as (select query_id, row_id, row_number() over (partition by query_id order by row_id) as n from (select distinct query_id, row_id from t join k using (token)))
-select query_id, row_id, 'entity_like_match' as method, 1 as tier from e union all select query_id, row_id, 'fts5_match', 1 from f where n <= 5
-union all select query_id, page_id, 'web', 2 from ask join (select min(page_id) as page_id from pages) on true where query_id not in (select query_id from e) and query_id not in (select query_id from f)""")
+rest as (select query_id, list_filter(regexp_split_to_array(trim(regexp_replace(query, '[^\\p{L}\\p{N}_\\s]', ' ', 'g')), '\\s+'), lambda w: length(w) > 1) as words from ask where query_id not in (select query_id from e)),
+t as (select query_id, unnest(list_distinct(list_transform(words, lambda w: strip_accents(lower(w))))) as token from rest where not list_has_any(words, ['AND', 'OR', 'NOT'])),
+k as (select row_id, unnest(list_distinct(regexp_extract_all(strip_accents(lower(source || ' ' || context || ' ' || entity_name)), '[\\p{L}\\p{N}]+'))) as token from idx),
+f as (select query_id, row_id, row_number() over (partition by query_id order by row_id) as n from (select distinct query_id, row_id from t join k using (token))),
+w as (select query_id, unnest(words[1:3]) as word, unnest(range(1, 4)) as place from rest where list_has_any(words, ['AND', 'OR', 'NOT'])),
+l as (select query_id, place, row_id, context, row_number() over (partition by query_id, place order by row_id) as n from w join idx on contains(lower(context), lower(word)) where word is not null),
+o as (select query_id, row_id, row_number() over (partition by query_id, context order by place, row_id) as n from l where n <= 3)
+select query_id, row_id, 'entity_like_match' as method, 1 as tier from e union all select query_id, row_id, 'fts5_match', 1 from f where n <= 5 union all select query_id, row_id, 'keyword_like_match', 1 from o where n = 1
+union all select query_id, page_id, 'web', 2 from ask join (select min(page_id) as page_id from pages) on true where query_id not in (select query_id from e union select query_id from f union select query_id from o)""")
 def tiered_retrieval(spark, sf_dir):
+    """Parts ask about documents, by entity, by words in any of three columns, by parts of words where the query is no list of words, and else the web."""
     d = load(spark, sf_dir, "documents")
-    index = d.select(F.col("doc_id").alias("row_id"), F.col("source").alias("entity_name"), "source", F.col("text").alias("context"))
+    source = F.concat(F.lit("origin "), "lang", (F.col("doc_id") % 97).cast("string"))
+    index = d.select(F.col("doc_id").alias("row_id"), F.col("source").alias("entity_name"), source.alias("source"), F.col("text").alias("context"))
     i = F.col("p_partkey")
     j = F.expr("p_partkey div 50")
-    asked = load(spark, sf_dir, "part").where(i % 50 == 0).select(
-        i.alias("query_id"), F.when(j % 5 == 0, F.concat(F.lit("about src"), (j % 20).cast("string"), F.lit("!"))).otherwise("the of worthless").alias("query"),
-        F.when(j % 3 == 0, "src1").otherwise(F.concat(F.lit("none"), i.cast("string"))).alias("entity"),
+    query = (
+        F.when(j % 5 == 0, F.format_string("about src%d!", j % 20)).when(j % 5 == 1, F.concat(F.lit("the of "), "p_name")).when(j % 5 == 2, F.format_string("see fr%d, DE%d", j % 97, j % 89))
+        .when(j % 5 == 3, F.concat(F.lit("ereri AND thereand, "), "p_name")).otherwise(F.format_string("nowhere RÉEUXPA %d", i))
     )
+    entity = F.when(j % 7 == 0, "src1").otherwise(F.concat(F.lit("none"), i.cast("string")))
+    asked = load(spark, sf_dir, "part").where(i % 50 == 0).select(i.alias("query_id"), query.alias("query"), entity.alias("entity"))
     web = load(spark, sf_dir, "pages").agg(F.min("page_id").alias("row_id"))
     second = asked.select("query_id").join(F.broadcast(web)).select("query_id", "row_id", F.lit("web").alias("source"), F.lit("").alias("context"), F.lit("web").alias("method"))
     return retrieval.first_tier(retrieval.local_tier(asked, index), second).select("query_id", "row_id", "method", "tier")
