@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import clean, fixed, text
 from corpusmill.operators import gates, linkage, ordering
 from corpusmill.plans import scan
-from corpusmill.sources import jsonl, ordered
+from corpusmill.sources import jsonl, ordered, reports
 
 ODD = [
     '{"Q":"a"} tail', "{'Q':'a'}", '{"a": NaN}', '{"a": -Infinity, "b": "NaN \\" Infinity"}', '{"a": Infinityx}', '{"a": -NaN}', '{"a":1} {"b":2}', '{"a":1}}', '{"a":1}] }', "[1,2]", "1", "1,2", '"x"', "", " ", "null",
@@ -160,3 +160,27 @@ def test_current_against_raw(spark):
     out = scan.scan_report(mine, raw)
     assert {(r.corpus, r.issue_type, r.n) for r in out["counts"].collect()} == {("current", "A", 2), ("current", "B", 1), ("current", "C", 1), ("raw", "A", 1), ("raw", "B", 1)}
     assert sorted((r.corpus, r.place, r.line_num) for r in out["listed"].collect()) == [("current", 1, 9), ("current", 2, 1), ("current", 3, 2), ("current", 4, 1), ("raw", 1, 5)]
+
+
+def test_reports_and_logs(spark, tmp_path):
+    (tmp_path / "run_[1-2]_20260101_120000.md").write_text("数据集第 9 行 x 数据集第 4 行")
+    (tmp_path / "other.md").write_text("数据集第 7 行")
+    got = {r.file: (r.first_line, r.last_line, r.new_name) for r in reports.logged_ranges(reports.logged_lines(spark, str(tmp_path / "*.md"))).collect()}
+    assert got == {"run_[1-2]_20260101_120000.md": (4, 9, "run_[4-9]_20260101_120000.md"), "other.md": (7, 7, "other_[7-7].md")}
+    diffs = spark.createDataFrame([(3, "b", "o", "p"), (3, "a", "o", "p"), (1, "c", "o", "p")], "line_number long, facet string, original string, purified string")
+    rows = spark.createDataFrame([(1, "success", None), (3, "success", None), (2, "rollback", "why"), (9, "skipped_no_think", None), (8, "skipped", None)], "line_num long, run_status string, reason string")
+    reports.write_report(reports.run_report(diffs, rows), str(tmp_path / "report.txt"))
+    lines = [x for x in (tmp_path / "report.txt").read_text().split("\n") if x]
+    assert lines[:7] == ["# Purification run", "- lines purified: 2", "- facets purified: 3", "- success: 2", "- rollback: 1", "- skipped: 2", "- line 2, rollback: why"]
+    assert [x for x in lines if x.startswith("#")][1:] == ["## line 1", "### c", "## line 3", "### a", "### b"]
+    log = spark.createDataFrame([("t", 1)], "task_id string, round int")
+    assert reports.append_events(log, str(tmp_path / "log")) and reports.append_events(log, str(tmp_path / "log"))
+    assert sorted(json.loads(r.value)["task_id"] for r in spark.read.text(str(tmp_path / "log")).collect()) == ["t", "t"]
+    with pytest.warns(UserWarning):
+        assert not reports.append_events(log, "nowhere://x/y")
+    dim = "array<struct<label:string,score:double,reason:string>>"
+    audit = spark.createDataFrame([("t", "rejected", "q", 5.5, True, 2, [("l", 3.0, "r")], [(1, "f", "failed")])], f"task_id string, status string, query string, avg_score double, refusal_avoided boolean, refs_count int, failed_dimensions {dim}, facet_diagnostics array<struct<index:int,facet:string,status:string>>")
+    for _ in range(2):
+        reports.append_rejections(audit, str(tmp_path / "rej"))
+    assert [json.loads(r.value)["query"] for r in spark.read.text(str(tmp_path / "rej/generation_rejections.jsonl")).collect()] == ["q", "q"]
+    assert spark.read.text(str(tmp_path / "rej/generation_rejections.md")).where("value = '- l: 3.0, r'").count() == 2
