@@ -249,15 +249,16 @@ def count_tokens(docs: DataFrame, path: str, cache: str) -> DataFrame:
     digest = free(own, "t_digest")
     sized = with_digest(docs.select(*own, "text"), path, digest).withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     keys = stage(sized.drop("text"), "keys")
-    known = cached_counts(spark, cache, path).withColumnRenamed("t_digest", digest)
-    missing = stage(keys.select(digest).distinct().join(known, digest, "left_anti").withColumnRenamed(digest, "t_digest"), "missing")
+    wanted = stage(keys.select(F.col(digest).alias("t_digest")).distinct(), "wanted")
+    missing = stage(wanted.join(cached_counts(spark, cache, path), "t_digest", "left_anti"), "missing")
     n_missing = missing.count()
     if n_missing:
         texts = with_digest(docs.select("text"), path).select("t_digest", F.coalesce("text", F.lit("")).alias("t_text"))
         found = _missing_texts(texts, missing, n_missing).mapInArrow(_encoded(path), "t_digest binary, n_tokens long")
         with small_batches(spark):
             found.write.mode("append").parquet(_folder(spark, f"{cache.rstrip('/')}/version={_tokenizer(path).version()}"))
-    counts = cached_counts(spark, cache, path).withColumnRenamed("t_digest", digest)
+    # staged, so that nothing but the join stands behind the exchange of the rows and a digest of many rows can be split
+    counts = stage(cached_counts(spark, cache, path).join(wanted, "t_digest", "left_semi").withColumnRenamed("t_digest", digest), "counts")
     return keys.join(counts, digest, "left").select(*own, *ADDED)
 
 
