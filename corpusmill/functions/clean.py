@@ -46,6 +46,11 @@ def collapsed(text: Column, literals=fixed.COLLAPSE_LITERALS, patterns=fixed.COL
     return out
 
 
+def collapsed_strictly(text: Column) -> Column:
+    """The gate of the earlier editions, which also turns down what names its sources."""
+    return collapsed(text, patterns=fixed.STRICT_COLLAPSE_PATTERNS)
+
+
 def _collapse_lines(lines: Column) -> Column:
     return strip(F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n"))
 

@@ -122,13 +122,14 @@ def regressions(joined: DataFrame) -> DataFrame:
 
 
 def structural_audit(joined: DataFrame) -> DataFrame:
-    """Q2: line, structural findings, corrupted planners, mock references and noisy blocks."""
+    """Line, structural findings, corrupted planners, mock references, the number of noisy blocks and, of each, place from 0, planner and labels."""
     out = regressions(joined)
+    traced = F.transform("planners", lambda p, i: F.struct(i.alias("planner_index"), p["planner"].alias("planner"), think_noise(split_strict(p["answer"])["think"]).alias("traces")))
     noisy = F.filter(F.transform("planners", lambda p: think_noise(split_strict(p["answer"])["think"])), lambda t: F.size(t) > 0)
     return out.select(
         "line_num", "structural",
         F.transform(F.filter("planners", lambda p: corrupted_planner(p["planner"])), lambda p: F.substring(p["planner"], 1, 80)).alias("corrupted"),
-        mock_refs(F.col("refs")).alias("mock_refs"), F.size(noisy).alias("noisy_planners"),
+        mock_refs(F.col("refs")).alias("mock_refs"), F.size(noisy).alias("noisy_planners"), F.filter(traced, lambda t: F.size(t["traces"]) > 0).alias("noise"),
     )
 
 

@@ -184,3 +184,19 @@ def test_reports_and_logs(spark, tmp_path):
         reports.append_rejections(audit, str(tmp_path / "rej"))
     assert [json.loads(r.value)["query"] for r in spark.read.text(str(tmp_path / "rej/generation_rejections.jsonl")).collect()] == ["q", "q"]
     assert spark.read.text(str(tmp_path / "rej/generation_rejections.md")).where("value = '- l: 3.0, r'").count() == 2
+
+
+def test_stricter_gate_of_collapsed_texts(spark):
+    cases = {"现有资料未提供": (False, True), "看 refs 吧": (False, True), "prefs": (False, False), "我的推理链": (False, True), "从患者视角来说，好": (True, False), "根据资料显示": (True, True), "a [b": (True, True), "平稳": (False, False), "": (False, False)}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: (r.a, r.b) for r in df.select("t", clean.collapsed(F.col("t")).alias("a"), clean.collapsed_strictly(F.col("t")).alias("b")).collect()}
+    assert got == cases
+
+
+def test_noise_tells_its_planner(spark):
+    planners = "array<struct<planner:string,answer:string>>"
+    refs = "array<struct<source:string,context:string>>"
+    own = [("a", "<think>干净</think>x"), ("b", "<think>我们被要求输出 JSON</think>y")]
+    df = spark.createDataFrame([(1, own, None, False, False, own, None, False, False)], f"line_num long, planners {planners}, refs {refs}, has_refs_key boolean, has_history_key boolean, raw_planners {planners}, raw_refs {refs}, raw_has_refs_key boolean, raw_has_history_key boolean")
+    r = scan.structural_audit(df).first()
+    assert r.noisy_planners == 1 and [(n.planner_index, n.planner, n.traces) for n in r.noise] == [(1, "b", ["被要求", "JSON/Schema"])]
