@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import held_by_process, in_parts, table
+from corpusmill.llm.common import in_parts, table
 
 MARK = "▁"
 #: Chunks up to this length are cached, and a full cache is emptied.
@@ -291,9 +291,15 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+_codecs: dict[str, PieceCodec] = {}
+
+
 def _codec(path: str | None) -> PieceCodec:
+    """One codec for each model and task; its cache goes with the task, so stages that follow have the room."""
     path = path or model_path()
-    return held_by_process(f"pieces {path}", lambda: PieceCodec(path))
+    if path not in _codecs:
+        _codecs[path] = PieceCodec(path)
+    return _codecs[path]
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
