@@ -193,3 +193,11 @@ def test_numbers_and_blanks_of_any_length(spark):
     twice = "word " * 20_000
     began = time.time()
     assert values(spark, [(twice,)], n=text.repeats)[0].n is True and time.time() - began < 10
+
+
+def test_codes_of_long_keys(spark, tmp_path):
+    from corpusmill.plans.text_queries import QUERIES
+
+    spark.createDataFrame([(123457, "n"), (7, "n")], "p_partkey bigint, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.p_partkey: r.strict for r in QUERIES["identifier_evidence_filter"](spark, str(tmp_path)).collect()}
+    assert "YB12345，" in got[123457] and "YB00007，" in got[7]
