@@ -227,3 +227,20 @@ def test_stream_commits_and_resumes(spark, tmp_path):
     assert run() == 3
     (src / "b.jsonl").write_text('{"n": 3, "s": "rollback"}\n{"n": 4, "s": "success"}\n')
     assert run() == 3
+
+
+def test_lines_that_several_rows_share(spark):
+    cur = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "line_num bigint, q string")
+    raw = spark.createDataFrame([(1, "a"), (1, "x"), (1, "y"), (2, "z"), (7, "b")], "line_num bigint, q string")
+    got = sorted((r.line_num, r.q, r.mapping_status, r.raw_line) for r in linkage.link_records(cur, raw).collect())
+    assert got == [(1, "a", "SAME_LINE_Q_MATCH", 1), (1, "b", "MAPPED_BY_Q", 7), (2, "c", "NO_RAW_MATCH", None)]
+
+
+def test_mapping_counts_by_hand(spark, tmp_path):
+    from corpusmill.plans.table_queries import QUERIES
+
+    # turn 100 of conversation 1 has the line of turn 0 of conversation 2
+    rows = [(1, 100, "user", "u"), (2, 0, "user", "v"), (2, 1, "user", "w")]
+    spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.key, r.value): r.n for r in QUERIES["mapping_counts"](spark, str(tmp_path)).collect()}
+    assert got[("mapping_status", "SAME_LINE_Q_MATCH")] == 3 and sum(n for (k, _), n in got.items() if k == "raw_line") == 3
