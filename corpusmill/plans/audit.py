@@ -39,7 +39,9 @@ def audit(records: DataFrame, raw: DataFrame, responses: DataFrame, start: int =
     rows = exploded(linked.join(known, "raw_line", "left")).where("planner_index is not null")
     rows = rows.withColumns({"original_think": strip(first_think(F.col("answer"))), "answer_body": body_without_thinks(F.col("answer")), "ask": F.lit(None).cast(ASK)})
     rows = rows.withColumn("before", audit_status(F.col("mapping_status"), F.col("original_think")))
-    prompt = F.concat_ws("\n", "q", "planner", shortened_refs(F.col("r_refs")), "original_think", "answer_body")
+    # each planner is judged by itself: two lines that read alike are two requests, as their lines and places are named
+    place = F.concat_ws(" ", *[F.col(c).cast("string") for c in ("line_num", "raw_line", "planner_index")])
+    prompt = F.concat_ws("\n", "q", place, "planner", shortened_refs(F.col("r_refs")), "original_think", "answer_body")
     rows = answered(rows, responses, "audit", "judge", prompt, F.col("before.status") == "AUDIT", ["line_num", "planner_index"])
     rows = rows.withColumn("result", audit_result(F.col("got")))
     stopped, broken = F.col("before.status") != "AUDIT", F.col("failed").isNotNull()

@@ -244,3 +244,13 @@ def test_mapping_counts_by_hand(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = {(r.key, r.value): r.n for r in QUERIES["mapping_counts"](spark, str(tmp_path)).collect()}
     assert got[("mapping_status", "SAME_LINE_Q_MATCH")] == 3 and sum(n for (k, _), n in got.items() if k == "raw_line") == 3
+
+
+def test_lines_that_read_alike_are_audited_apart(spark, tmp_path):
+    from corpusmill.plans.rule_queries import QUERIES
+
+    # line 7 waits though line 8, which reads alike, is answered
+    rows = [(7, 0, "user", "same"), (8, 0, "user", "same")]
+    spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.line, r.planner_index): r.audit_status for r in QUERIES["mapped_audit"](spark, str(tmp_path)).collect()}
+    assert got == {(7, 0): "PENDING", (7, 1): "PENDING", (8, 0): "OK", (8, 1): "OK"}
