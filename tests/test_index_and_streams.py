@@ -86,3 +86,23 @@ def test_keys_are_never_forgotten(spark, tmp_path):
     got = sorted(((r.k, r.v) for r in cursor.first_rows(spark, store).collect()), key=str)
     assert got == sorted([(1, "b0"), (2, "b0"), (None, "b0"), (3, "b1"), (4, "b2")], key=str)
     assert cursor.first_rows(spark, store).where(F.col("k").isNull()).count() == 1
+
+
+def test_what_many_queries_find_is_not_written(spark, tmp_path, monkeypatch):
+    """Texts are written once, in the index, however many queries find them by entity or by a word."""
+    from pathlib import Path
+
+    from corpusmill.operators import retrieval
+    from corpusmill.sources import staging
+
+    base = str(tmp_path / "shared")
+    own = lambda _, name="t": f"{base}/{staging.uuid.uuid4().hex}/{name}"
+    monkeypatch.setattr(retrieval, "scratch", own)
+    monkeypatch.setattr(staging, "scratch", own)
+    text = lambda k: " ".join(f"w{(k * 7919 + j * 104729) % 1000003:06d}" for j in range(400))
+    index = spark.createDataFrame([(k, "src1", "s", text(k) + " alpha") for k in range(100)], "row_id long, entity_name string, source string, context string")
+    asked = spark.createDataFrame([(k, "about src1" if k % 2 else "alpha OR beta", "src1" if k % 2 else "none") for k in range(60)], "query_id long, query string, entity string")
+    out = retrieval.local_tier(asked, index).groupBy("method").count().collect()
+    assert {r["method"]: r["count"] for r in out} == {"entity_like_match": 3000, "keyword_like_match": 90}
+    size = lambda pattern: sum(p.stat().st_size for p in Path(base).glob(pattern) if p.suffix == ".parquet")
+    assert size("**/*.parquet") < 3 * size("*/full-text/rows/**/*.parquet")
