@@ -200,3 +200,15 @@ def test_noise_tells_its_planner(spark):
     df = spark.createDataFrame([(1, own, None, False, False, own, None, False, False)], f"line_num long, planners {planners}, refs {refs}, has_refs_key boolean, has_history_key boolean, raw_planners {planners}, raw_refs {refs}, raw_has_refs_key boolean, raw_has_history_key boolean")
     r = scan.structural_audit(df).first()
     assert r.noisy_planners == 1 and [(n.planner_index, n.planner, n.traces) for n in r.noise] == [(1, "b", ["被要求", "JSON/Schema"])]
+
+
+def test_containing_by_blocks_and_by_stretches(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("abc é\U0001f600", k=rng.randint(0, 400))) for _ in range(60)]
+    long_ = [t[a : a + n] for t in texts if len(t) > 200 for a, n in ((rng.randint(0, 60), rng.choice((31, 47, 63, 64, 120))),)]
+    short = ["".join(rng.choices("abc ", k=rng.randint(1, 8))) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, t string").repartition(3)
+    for terms in (long_ + short, long_ + short[:5], short, long_):
+        asked = spark.createDataFrame(list(enumerate(terms)), "n long, w string")
+        got = sorted((r.k, r.n) for r in linkage.containing(rows, asked, "t", "w").collect())
+        assert got == sorted((k, n) for k, t in enumerate(texts) for n, w in enumerate(terms) if w in t)
