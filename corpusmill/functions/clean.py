@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
-from corpusmill.functions.text import contains_any, find_all, has, let, strip, sub
+from corpusmill.functions.text import contains_any, find_all, has, let, needed, strip, sub
 
 #: Where Python's splitlines() cuts.
 LINES = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
@@ -16,7 +16,14 @@ LINES = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 
 def rewrite(text: Column, rules) -> Column:
     """(pattern, flags, replacement) one after the other."""
-    return reduce(lambda t, r: sub(t, r[0], r[2], r[1]), rules, text)
+
+    def step(t: Column, rule) -> Column:
+        pattern, flags, new = rule
+        word = needed(pattern)
+        # a text without a word that every match holds is handed on as it is
+        return sub(t, pattern, new, flags) if word is None else let(t, lambda x: F.when(F.contains(x, F.lit(word)), sub(x, pattern, new, flags)).otherwise(x))
+
+    return reduce(step, rules, text)
 
 
 def strip_noise(text: Column, rules=fixed.PRE_STRIP) -> Column:

@@ -201,3 +201,39 @@ def test_codes_of_long_keys(spark, tmp_path):
     spark.createDataFrame([(123457, "n"), (7, "n")], "p_partkey bigint, p_name string").write.parquet(f"{tmp_path}/part.parquet")
     got = {r.p_partkey: r.strict for r in QUERIES["identifier_evidence_filter"](spark, str(tmp_path)).collect()}
     assert "YB12345，" in got[123457] and "YB00007，" in got[7]
+
+
+def test_words_that_a_pattern_needs():
+    from corpusmill.functions import fixed, text
+
+    assert [text.needed(p) for p in ("没有(直接)?(提到|提供).*机制", "从.*?视角，", "a|首先", "首先要?(其次)?", "[首先]+", "实?", r"\brefs\b")] == ["没有", "视角", None, "首先", None, None, None]
+    assert text.lean(r"(?:\b|^)首先[，,\s]*", "i") == r"(?Ud)(?=首先)(?:\b|^)首先[，,\s]*" and text.lean(r"\brefs\b", "i").startswith("(?Udi)(?=r)")
+    assert text.lean(fixed.WASH[0][0], "i") == text.rx(fixed.WASH[0][0])
+
+
+def test_lean_rules_give_what_plain_ones_give(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corpusmill.functions import clean, fixed, text
+
+    rng = random.Random(4)
+    bits = ["首先", "首先要明确", "其次，", "第三", "refs", " RAG ", "《实体库:x》", "实体库中", "综上所述", "（见？）", "根据参考资料显示", "a", " ", "\n", "，", "从某视角来看", "最终结论是", "因此", "　"]
+    df = spark.createDataFrame([("".join(rng.choices(bits, k=rng.randint(0, 14))),) for _ in range(300)] + [(None,)], "t string")
+    t = F.col("t")
+    rules = [(p, "i", r) for p, r in fixed.TRANSITIONS] + [(p, "i", "") for p in fixed.LEAKAGE]
+    plain = t
+    for p, f, r in rules:
+        plain = F.regexp_replace(plain, text.rx(p, f), text.replacement(r))
+    assert df.where(~clean.rewrite(t, rules).eqNullSafe(plain)).isEmpty()
+    assert df.where(~text.strip(t).eqNullSafe(F.trim(t, F.lit(text.BLANKS)))).isEmpty()
+    for p in (*fixed.COLLAPSE_PATTERNS, *fixed.STRUGGLES):
+        assert df.where(~text.has(t, p).eqNullSafe(t.rlike(text.rx(p)))).isEmpty()
+
+
+def test_small_files_are_dealt_to_all_cores(spark):
+    from corpusmill.plans.rule_queries import QUERIES
+
+    for name in ("plan_violations", "shortened_evidence", "judge_parsing"):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= 4
