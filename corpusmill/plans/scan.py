@@ -14,6 +14,7 @@ from corpusmill.functions.clean import evidence_text
 from corpusmill.functions.text import contains_any, find_all, group, has, let, logged_fallbacks, strip, terms_in
 from corpusmill.functions.think import all_thinks, body_after_last, count_thinks, first_think, split_strict, without_facet_tag
 from corpusmill.operators.ordering import placed, severity_rank
+from corpusmill.schema import free
 
 
 def planner_issues(answer: Column, fallbacks=fixed.FALLBACKS, refusals=fixed.SAFE_REFUSALS, noise=fixed.ENGINEERING_NOISE, shortest: int = 80) -> Column:
@@ -160,13 +161,16 @@ def unsupported_numbers(answer: Column, refs_text: Column) -> Column:
         digits = F.ltrim(F.regexp_replace(n, r"\D", ""), F.lit("0"))
         return (F.length(digits) > 3) | ((F.length(digits) == 3) & (digits > "500"))
 
-    return F.array_sort(F.filter(numbers, lambda n: ~F.contains(refs_text, n) & (F.contains(n, F.lit("%")) | F.contains(n, F.lit(".")) | beyond(n))))
+    figures = F.filter(numbers, lambda n: F.contains(n, F.lit("%")) | F.contains(n, F.lit(".")) | beyond(n))
+    return F.array_sort(let(refs_text, lambda known: F.filter(figures, lambda n: ~F.contains(known, n))))
 
 
 def heuristic_audit(planners: DataFrame) -> DataFrame:
     """Q3: planners with line_num, q, planner, answer and refs."""
-    think = first_think(F.col("answer"))
-    out = planners.select(
+    # the block is a column of its own: inside arrays an expression is computed for each of its uses
+    own = free(planners.columns, "h_think")
+    think = F.col(own)
+    out = planners.withColumn(own, first_think(F.col("answer"))).select(
         "line_num", "planner", forced_facet(F.col("q"), F.col("planner"), think).alias("forced"), reasoning_quality(think).alias("quality"),
         mock_refs(F.col("refs"), fixed.MOCK_NAMES_V2, with_context=False).alias("mock_refs"), unsupported_numbers(F.col("answer"), evidence_text(F.col("refs"), False, " ")).alias("numbers"),
     )
