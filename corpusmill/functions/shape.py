@@ -67,13 +67,14 @@ def _some(*codes: Column) -> Column:
 
 def _text(value: Column, shape: Text, path: Column) -> Column:
     def read(x: Column) -> Column:
-        bare = F.lower(strip(x))
         tests = [F.when(F.length(x) < shape.least, _code(path, "string_too_short"))]
         if shape.most is not None:
             tests.append(F.when(F.length(x) > shape.most, _code(path, "string_too_long")))
         if shape.choices:
             tests.append(F.when(~x.isin(*shape.choices), _code(path, "literal_error")))
-        late = [F.when(has(bare, p, "i"), _code(path, "value_error " + p)) for p in shape.forbidden]
+        late = []
+        if shape.forbidden:
+            late.append(let(F.lower(strip(x)), lambda bare: F.coalesce(*[F.when(has(bare, p, "i"), _code(path, "value_error " + p)) for p in shape.forbidden])))
         if shape.refused is not None:
             late.append(let(shape.refused(x), lambda why: F.when(why != "", _code(path, F.concat(F.lit("value_error "), why)))))
         # what depends on the content is looked at once the form is right, and the first finding counts
@@ -135,8 +136,7 @@ def leaks(value: Column, shape: Shape, path: Column | None = None, patterns: tup
     """``path: pattern`` of the texts of a value that repeat instructions, for a value that fits the shape."""
     path = F.lit("$") if path is None else path
     if isinstance(shape, Text):
-        hit = F.coalesce(*[F.when(has(F.lower(F.try_variant_get(value, "$", "string")), p, "i"), F.concat(path, F.lit(": " + p))) for p in patterns])
-        return _some(hit)
+        return _some(let(F.lower(F.try_variant_get(value, "$", "string")), lambda low: F.coalesce(*[F.when(has(low, p, "i"), F.concat(path, F.lit(": " + p))) for p in patterns])))
     if isinstance(shape, Number):
         return F.array().cast(_NONE)
     if isinstance(shape, Many):

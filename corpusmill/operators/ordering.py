@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fixed
-from corpusmill.functions.text import strip
+from corpusmill.functions.text import let, strip
 from corpusmill.schema import free
 from corpusmill.sources.staging import staged
 
@@ -94,8 +94,7 @@ def shortened_refs(refs: Column, most: int = 16, characters: int = 800) -> Colum
     none = F.coalesce(F.size(refs), F.lit(0)) <= 0
 
     def shown(r: Column, i: Column) -> Column:
-        context = strip(F.coalesce(r["context"], F.lit("")))
-        cut = F.when(F.length(context) > characters, F.concat(F.substring(context, 1, characters), F.lit("..."))).otherwise(context)
+        cut = let(strip(F.coalesce(r["context"], F.lit(""))), lambda c: F.when(F.length(c) > characters, F.concat(F.substring(c, 1, characters), F.lit("..."))).otherwise(c))
         return F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] source: "), strip(F.coalesce(r["source"], F.lit(""))), F.lit("\ncontext: "), cut)
 
     listed = F.transform(F.slice(refs, 1, most), shown)
