@@ -19,8 +19,6 @@ from corpusmill.schema import free
 BUCKETS = 10_000
 #: Added to each bucket's count.
 SMOOTHING = 1.0
-#: The most labelled documents that the trusted target is made of.
-TRUSTED_ROWS = 20_000
 #: Part of the trusted documents that may fall below the threshold.
 TRUSTED_LOSS = 0.005
 WINDOW = 5
@@ -90,16 +88,31 @@ def base_counts(text: Column) -> dict[str, Column]:
     }
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``most`` ids labelled quality 1, the first by hash; ``fit`` marks the half that the target is made of."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids labelled quality 1; ``fit`` marks the half that the target is made of, the other half gives the threshold."""
     good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    first = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return first.withColumn("fit", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0)
+    return good.withColumn("fit", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0)
+
+
+def exact_quantile(scores: DataFrame, column: str, share: float, error: float = 1e-4) -> float | None:
+    """The quantile as ``percentile`` gives it, from counts and the few values between a lower bound and the place; null without values."""
+    values = scores.where(F.col(column).isNotNull()).select(column)
+    n = values.count()
+    if not n:
+        return None
+    at = share * (n - 1)
+    first = int(at)
+    low = values.approxQuantile(column, [max(0.0, share - 2 * error)], error)[0]
+    below = values.where(F.col(column) < low).count()
+    if below > first:
+        low, below = float("-inf"), 0
+    near = [r[0] for r in values.where(F.col(column) >= low).orderBy(column).limit(first - below + 2).collect()][first - below :]
+    return near[0] if at == first else near[0] * (first + 1 - at) + near[1] * (at - first)
 
 
 def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(target / raw) of each bucket; zeros if nothing is trusted."""
-    marked = docs.join(F.broadcast(trusted.withColumn("q_trusted", F.lit(1))), "doc_id", "left")
+    marked = docs.join(trusted.withColumn("q_trusted", F.lit(1)), "doc_id", "left")
     grams = marked.select(F.explode(_let(_hashes(words(F.col("text"))), lambda h: _buckets(h, buckets))).alias("b"), "q_trusted")
     rows = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("q_trusted").alias("good")).collect()
     raw, good = [SMOOTHING] * buckets, [SMOOTHING] * buckets
@@ -134,9 +147,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, trusted_loss: float = TRUS
     trusted = stage(trusted_ids(labels), "trusted")
     keyed = docs.select("doc_id", "text")
     ratios = fit_ratios(keyed, trusted.where("fit").select("doc_id"), buckets)
-    chosen = keyed.join(F.broadcast(trusted.where(~F.col("fit"))), "doc_id", "left_semi")
+    chosen = keyed.join(trusted.where(~F.col("fit")), "doc_id", "left_semi")
     scores = chosen.select(_let(_hashes(words(F.col("text"))), lambda h: F.when(F.size(h) >= 10, ratio_score(h, ratios))).alias("s"))
-    cut = scores.agg(F.percentile("s", F.lit(trusted_loss))).first()[0]
+    cut = exact_quantile(stage(scores, "scores"), "s", trusted_loss)
     cut = float("-inf") if cut is None else cut
     text = F.coalesce(F.col("text"), F.lit(""))
 

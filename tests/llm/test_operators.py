@@ -631,3 +631,13 @@ def test_pipeline_decisions_take_effect(spark, tmp_path, library):
     assert Counter(r.doc_id for r in final) == kept["mixing"]
     text = {i: t for i, t, *_ in rows}
     assert all(r.n_tokens == len(library.encode(text[r.doc_id])) for r in final)
+
+
+def test_quality_learns_from_all_trusted_rows(spark):
+    labels = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert quality.trusted_ids(labels).count() == 30_000
+    for n in (1, 2, 10, 3000, 50_000):
+        scores = spark.range(n).select(F.when(F.col("id") % 7 != 3, F.rand(n) - 0.5).alias("s"))
+        for share in (0.0, 0.005, 0.5, 1.0):
+            assert quality.exact_quantile(scores, "s", share) == pytest.approx(scores.agg(F.percentile("s", F.lit(share))).first()[0], abs=1e-12)
+    assert quality.exact_quantile(scores.limit(0), "s", 0.5) is None
