@@ -89,9 +89,16 @@ def base_counts(text: Column) -> dict[str, Column]:
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """All ids labelled quality 1; ``fit`` marks the half that the target is made of, the other half gives the threshold."""
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return good.withColumn("fit", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0)
+    """All ids labelled quality 1."""
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+
+
+def in_fit(labels: DataFrame) -> Column:
+    """Whether a doc_id falls in the half whose trusted documents make the target; the other half gives the threshold.
+
+    It is known without a join, so only texts of the first half travel.
+    """
+    return F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id").cast(labels.schema["doc_id"].dataType)), F.lit(2)) == 0
 
 
 def exact_quantile(scores: DataFrame, column: str, share: float, error: float = 1e-4) -> float | None:
@@ -110,9 +117,16 @@ def exact_quantile(scores: DataFrame, column: str, share: float, error: float =
     return near[0] if at == first else near[0] * (first + 1 - at) + near[1] * (at - first)
 
 
-def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """log(target / raw) of each bucket; zeros if nothing is trusted."""
-    marked = docs.join(trusted.withColumn("q_trusted", F.lit(1)), "doc_id", "left")
+def fit_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, asked: Column | None = None) -> list[float]:
+    """log(target / raw) of each bucket; zeros if nothing is trusted.
+
+    Where ``asked`` is given, trusted rows for which it is false do not count
+    as such; their texts are counted where they lie, without an exchange.
+    """
+    asked = F.lit(True) if asked is None else asked
+    # one plan at every size, so that what is exchanged grows with the input
+    marked = docs.where(asked).join(trusted.withColumn("q_trusted", F.lit(1)).hint("merge"), "doc_id", "left")
+    marked = marked.unionByName(docs.where(~asked).withColumn("q_trusted", F.lit(None).cast("int")))
     grams = marked.select(F.explode(_let(_hashes(words(F.col("text"))), lambda h: _buckets(h, buckets))).alias("b"), "q_trusted")
     rows = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("q_trusted").alias("good")).collect()
     raw, good = [SMOOTHING] * buckets, [SMOOTHING] * buckets
@@ -146,10 +160,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, trusted_loss: float = TRUS
     """
     trusted = stage(trusted_ids(labels), "trusted")
     keyed = docs.select("doc_id", "text")
-    ratios = fit_ratios(keyed, trusted.where("fit").select("doc_id"), buckets)
-    chosen = keyed.join(trusted.where(~F.col("fit")), "doc_id", "left_semi")
-    scores = chosen.select(_let(_hashes(words(F.col("text"))), lambda h: F.when(F.size(h) >= 10, ratio_score(h, ratios))).alias("s"))
-    cut = exact_quantile(stage(scores, "scores"), "s", trusted_loss)
+    fitted = in_fit(labels)
+    ratios = fit_ratios(keyed, trusted, buckets, fitted)
+    # scored before the join: a score takes less room than its text
+    scores = keyed.where(~fitted).select("doc_id", _let(_hashes(words(F.col("text"))), lambda h: F.when(F.size(h) >= 10, ratio_score(h, ratios))).alias("s"))
+    cut = exact_quantile(stage(scores.join(trusted, "doc_id", "left_semi"), "scores"), "s", trusted_loss)
     cut = float("-inf") if cut is None else cut
     text = F.coalesce(F.col("text"), F.lit(""))
 

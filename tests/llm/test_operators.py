@@ -558,6 +558,33 @@ def test_quality_ratio(spark, docs):
     assert none.where(F.col("kept") == F.col("base_failed")).count() == 0
 
 
+def test_quality_exchanges_half_of_the_texts_at_most(spark):
+    """F op9: both halves' texts were exchanged, for the fit and for the threshold."""
+    rng = np.random.default_rng(3)
+    docs = spark.createDataFrame([(i, " ".join(f"{x:08x}" for x in rng.integers(0, 1 << 32, 2000))) for i in range(200)], "doc_id long, text string").repartition(4).cache()
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 200, 3)], "doc_id long, quality int, toxic int")
+    size = docs.agg(F.sum(F.length("text"))).first()[0]
+
+    def written():
+        sc = spark.sparkContext
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before, limit = written(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = quality.score_quality(docs, labels).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        docs.unpersist()
+    assert len(rows) == 200 and written() - before < 0.7 * size
+    # the same split and the same target as by an explicit choice of ids
+    fit = {r.doc_id for r in quality.trusted_ids(labels).where(quality.in_fit(labels)).collect()}
+    chosen = spark.createDataFrame([(i,) for i in sorted(fit)], "doc_id long")
+    assert 0 < len(fit) < 67
+    assert quality.fit_ratios(docs, quality.trusted_ids(labels), 64, quality.in_fit(labels)) == quality.fit_ratios(docs, chosen, 64)
+
+
 # -- 10 ---------------------------------------------------------------------
 
 
