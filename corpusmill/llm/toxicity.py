@@ -101,12 +101,17 @@ def tokens_of(text: str) -> list[str]:
     return tokens
 
 
+def _shared_letters() -> np.ndarray:
+    """Numbers of code points that have none of their own."""
+    return (LETTERS - RARE + np.arange(0x110000) % RARE).astype(np.uint8)
+
+
 def alphabet(units: Iterable[str] = ()) -> np.ndarray:
     """Numbers of all code points: one each from 1 for a-z and then for the letters most frequent in ``units``, shared ones for the rest."""
     seen = Counter("".join(units))
     own = [chr(c) for c in range(97, 123)]
     own += [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if not "a" <= c <= "z"][: LETTERS - RARE - 1 - len(own)]
-    table_ = (LETTERS - RARE + np.arange(0x110000) % RARE).astype(np.uint8)
+    table_ = _shared_letters()
     table_[[ord(c) for c in own]] = np.arange(1, len(own) + 1)
     return table_
 
@@ -168,6 +173,16 @@ class Machine:
     letters: np.ndarray
     calibration: np.ndarray = None
 
+    def __getstate__(self) -> tuple:
+        """Only weights and letters that differ from the rest: what travels is kept on every disk, once a job."""
+        held, own = np.flatnonzero(self.weights), np.flatnonzero(self.letters != _shared_letters())
+        return held.astype(np.int32), self.weights[held], self.bias, own.astype(np.int32), self.letters[own], self.calibration
+
+    def __setstate__(self, state: tuple) -> None:
+        held, weights, self.bias, own, letters, self.calibration = state
+        self.weights, self.letters = np.zeros(LETTERS**3), _shared_letters()
+        self.weights[held], self.letters[own] = weights, letters
+
     def decide(self, units: list[str]) -> np.ndarray:
         out = np.empty(len(units))
         for at, codes in _by_length(units, self.letters):

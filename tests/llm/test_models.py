@@ -83,6 +83,20 @@ def test_scores_do_not_depend_on_the_batch():
         assert abs(got[k] - want) < 1e-3
 
 
+def test_a_machine_travels_small():
+    """F op4: 17 MB went to every disk with each job."""
+    from pyspark import cloudpickle
+
+    units = ["moron", "worthless", "日本語", "window", "garden", "paper", "morning", "ladder"]
+    machine = toxicity.train(units, np.array([9.0] * 3 + [0.0] * 5), np.array([1.0] * 3 + [9.0] * 5), toxicity.alphabet(units))
+    machine.calibration = np.arange(toxicity.N_FEATURES + 1.0)
+    sent = cloudpickle.dumps(toxicity._Reader(machine))
+    assert len(sent) < 1 << 18
+    got = cloudpickle.loads(sent).machine
+    assert (got.weights == machine.weights).all() and (got.letters == machine.letters).all() and (got.calibration == machine.calibration).all()
+    assert got.bias == machine.bias and (got.decide(units) == machine.decide(units)).all()
+
+
 def test_witnesses_are_the_units_that_speak_for_a_text(spark):
     bad, good = ["moron", "worthless"], ["window", "garden", "paper", "morning", "worth", "ladder"]
     machine = toxicity.train(bad + good, np.array([9.0] * 2 + [0.0] * 6), np.array([1.0] * 2 + [9.0] * 6))
