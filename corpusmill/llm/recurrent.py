@@ -24,11 +24,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import in_parts, share_of, stage, table
@@ -103,7 +103,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _forward(p: dict, ids: np.ndarray, h: np.ndarray, keep: bool):
     """States after each step of ids (steps, sequences); with ``keep`` also what backpropagation needs."""
     n = HIDDEN
-    x = p["e"][ids]
+    # take() and small keys: plain indexing of rows and sorts of wide numbers take several times as long
+    x = p["e"].take(ids, axis=0)
     states = np.empty((len(ids), *h.shape), np.float32)
     kept = []
     u, uz = p["u"][:, : 2 * n], p["u"][:, 2 * n :]
@@ -121,13 +122,13 @@ def _forward(p: dict, ids: np.ndarray, h: np.ndarray, keep: bool):
 
 def _by_class(states: np.ndarray, targets: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows in the order of their targets' classes: the order, the first row of each class, classes, and states with a one behind them, which takes the outputs' biases."""
-    cls = np.minimum(targets // CLASS, shape.classes)
+    cls = (np.minimum(targets, shape.head) // CLASS).astype(_id_type(shape.classes))
     cls[targets >= shape.head] = shape.classes
     order = np.argsort(cls, kind="stable")
-    cls = cls[order]
+    first = np.cumsum(np.bincount(cls, minlength=shape.classes + 1))
     rows = np.ones((len(order), HIDDEN + 1), states.dtype)
-    rows[:, :HIDDEN] = states[order]
-    return order, np.searchsorted(cls, np.arange(shape.classes + 1)), cls, rows
+    rows[:, :HIDDEN] = states.take(order, axis=0)
+    return order, np.append(0, first[:-1]), cls.take(order), rows
 
 
 def _outputs(p: dict) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -137,15 +138,16 @@ def _outputs(p: dict) -> tuple[np.ndarray, np.ndarray, bool]:
     return wc, wo, bool(highest > 60.0)
 
 
-def _weights(rows: np.ndarray, w: np.ndarray, absurd: bool, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """exp of the logits, their sums, and log of each row's share at its place."""
+def _weights(rows: np.ndarray, w: np.ndarray, absurd: bool, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """exp of the logits, their sums, log of each row's share at its place, and where the places are in the flat logits."""
     out = rows @ w
     if absurd:
         np.minimum(out, 60.0, out=out)
-    own = out[np.arange(len(out)), places]
+    at = np.arange(0, out.size, out.shape[1]) + places
+    own = out.take(at)
     np.exp(out, out=out)
     total = out @ np.ones(out.shape[1], out.dtype)
-    return out, total, own - np.log(total)
+    return out, total, own - np.log(total), at
 
 
 def _slices(first: int, end: int):
@@ -182,10 +184,10 @@ def _gradients(p: dict, shape: Shape, g: dict, ids: np.ndarray, targets: np.ndar
     def push(at: slice, w: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Scaled gradient of the logits of a slice; adds its loss."""
         nonlocal loss
-        prob, total, logs = _weights(rows[at], w, absurd, places)
+        prob, total, logs, own = _weights(rows[at], w, absurd, places)
         loss -= float(logs.sum())
         prob *= (scale / total)[:, None]
-        prob[np.arange(len(prob)), places] -= scale
+        prob.reshape(-1)[own] -= scale
         return prob
 
     for at in _slices(0, len(order)):
@@ -202,29 +204,43 @@ def _gradients(p: dict, shape: Shape, g: dict, ids: np.ndarray, targets: np.ndar
             g["wo"][own] += moved[:, :n]
             g["bo"][own] += moved[:, n]
             sorted_down[at] += q @ p["wo"][own]
-    down = np.empty_like(sorted_down)
-    down[order] = sorted_down
-    down = down.reshape(states.shape)
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    down = sorted_down.take(back, axis=0).reshape(states.shape)
     dx = np.empty((*states.shape[:2], 3 * n), np.float32)
     dh = np.zeros_like(h)
     u, uz = p["u"][:, : 2 * n], p["u"][:, 2 * n :]
     for t in range(len(ids) - 1, -1, -1):
         before, z, r, rh, new = kept[t]
         dh = dh + down[t]
-        dnew = dh * z * (1 - new * new)
+        own = dx[t]
+        old = 1 - z
+        dnew = new * new
+        np.subtract(1, dnew, out=dnew)
+        dnew *= z
+        dnew *= dh
+        own[:, 2 * n :] = dnew
         drh = dnew @ uz.T
-        dx[t, :, :n] = dh * (new - before) * z * (1 - z)
-        dx[t, :, n : 2 * n] = drh * before * r * (1 - r)
-        dx[t, :, 2 * n :] = dnew
-        dh = dh * (1 - z) + drh * r + dx[t, :, : 2 * n] @ u.T
+        dz = new - before
+        dz *= z
+        dz *= old
+        np.multiply(dz, dh, out=own[:, :n])
+        dr = 1 - r
+        dr *= rh
+        np.multiply(dr, drh, out=own[:, n : 2 * n])
+        dh *= old
+        drh *= r
+        dh += drh
+        dh += own[:, : 2 * n] @ u.T
     steps = dx.reshape(-1, 3 * n)
     g["u"][:, : 2 * n] += np.concatenate([k[0] for k in kept]).T @ steps[:, : 2 * n]
     g["u"][:, 2 * n :] += np.concatenate([k[3] for k in kept]).T @ steps[:, 2 * n :]
     # rows of the embeddings that the window touches, each with its summed gradient
-    flat_ids = ids.reshape(-1)
+    flat_ids = ids.reshape(-1).astype(_id_type(shape.head))
     order = np.argsort(flat_ids, kind="stable")
-    touched, starts = np.unique(flat_ids[order], return_index=True)
-    g["touched"], g["rows"] = touched, np.add.reduceat(steps[order], starts, axis=0)
+    sorted_ids = flat_ids.take(order)
+    starts = np.append(0, np.flatnonzero(sorted_ids[1:] != sorted_ids[:-1]) + 1)
+    g["touched"], g["rows"] = sorted_ids[starts].astype(np.int64), np.add.reduceat(steps.take(order, axis=0), starts, axis=0)
     return last, loss * float(scale)
 
 
@@ -358,16 +374,16 @@ class Model:
             line = np.concatenate([x for k in own for x in ([self.head + 1], docs[k])]).astype(np.int32)
             first = np.cumsum(long + 1) - long - 1
             h = np.zeros((len(own), HIDDEN), np.float32)
-            for at in range(0, int(long[0]), SCORED_WINDOW):
-                live = int((long > at).sum())
-                step = np.arange(at, min(at + SCORED_WINDOW, int(long[0])))
+            for start in range(0, int(long[0]), SCORED_WINDOW):
+                live = int((long > start).sum())
+                step = np.arange(start, min(start + SCORED_WINDOW, int(long[0])))
                 place = first[:live, None] + step
                 real = (step < long[:live, None]).T
                 given = np.where(real.T, line[np.minimum(place, len(line) - 1)], self.head)
                 goal = line[np.minimum(place + 1, len(line) - 1)].T
                 states, h, _ = _forward(p, np.ascontiguousarray(given.T), h[:live], keep=False)
-                logs = np.zeros(real.shape)
-                logs[real] = _log_probabilities(p, self.shape, states[real], goal[real])
+                logs, at = np.zeros(real.shape), np.flatnonzero(real)
+                logs.reshape(-1)[at] = _log_probabilities(p, self.shape, states.reshape(-1, HIDDEN).take(at, axis=0), goal.take(at))
                 out[own[:live]] += logs.sum(axis=0)
         return out
 
@@ -391,9 +407,10 @@ def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
             trainer, whole, held, n = Trainer(flat, shape, rate), 0, [], 0
             for batch in in_parts(batches, 0):
                 for text in batch.column(0):
-                    ids = [shape.head + 1, *map(place.get, tokens_of(text.as_py()), repeat(shape.head))]
-                    held.append(np.array(ids, _id_type(shape.head)))
-                    n += len(ids)
+                    tokens = tokens_of(text.as_py())
+                    ids = chain((shape.head + 1,), map(place.get, tokens, repeat(shape.head)))
+                    held.append(np.fromiter(ids, _id_type(shape.head), len(tokens) + 1))
+                    n += len(tokens) + 1
                 if n >= CHUNK_TOKENS:
                     trainer.learn(np.concatenate(held))
                     whole, held, n = whole + n, [], 0
@@ -409,8 +426,23 @@ def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
     return model
 
 
+def _known(staged: DataFrame) -> DataFrame:
+    """The words of ``_staged``'s blocks with ``n`` summed over all blocks; ``first`` marks one row of each word.
+
+    Sums and rows come from one exchange by word: a word has a row for each block at most.
+    """
+    each = Window.partitionBy("word")
+    rows = staged.where("word is not null").select("block", "word", F.sum("n").over(each).alias("n"), (F.row_number().over(each.orderBy("block")) == 1).alias("first"))
+    return stage(rows, "known", compression="zstd")
+
+
 def score_staged(staged: DataFrame, counts: DataFrame, model: Model | None) -> DataFrame:
     """The scores of all documents of ``_staged`` under a model; without one both are those of the smoothed base."""
+    return _scored(staged, staged.where("word is not null").select("block", "word").join(counts, "word").select("block", "word", "n"), model)
+
+
+def _scored(staged: DataFrame, words: DataFrame, model: Model | None) -> DataFrame:
+    """``score_staged`` for (block, word, n) of all words of each block."""
     total, distinct = (model.total, model.distinct) if model else (0, 0)
     kind = dict(staged.dtypes)["doc_id"]
 
@@ -422,7 +454,7 @@ def score_staged(staged: DataFrame, counts: DataFrame, model: Model | None) -> D
         base = np.log((n + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))
         # equal texts of a block have one score
         own, rows = np.unique(np.array([t.as_py() or "" for t in texts.column("text")], object), return_inverse=True)
-        ids = [np.fromiter(map(place.__getitem__, tokens_of(t)), np.int32) for t in own]
+        ids = [np.fromiter(map(place.__getitem__, t), np.int32, len(t)) for t in map(tokens_of, own)]
         lines = np.array([base[d].sum() for d in ids])
         logs = lines
         if model:
@@ -443,7 +475,7 @@ def score_staged(staged: DataFrame, counts: DataFrame, model: Model | None) -> D
 
     blocks = staged.where("word is not null").agg(F.countDistinct("block")).first()[0]
     tasks = max(int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks // TASK_BLOCKS))
-    own = staged.where("word is not null").select("block", "word").join(counts, "word").select("block", "word", "n").repartition(tasks, "block")
+    own = words.repartition(tasks, "block")
     texts = staged.where("word is null").select(F.col("block").alias("of"), "doc_id", "text").repartition(tasks, "of")
     schema = f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return texts.groupBy("of").cogroup(own.groupBy("block")).applyInArrow(score, schema)
@@ -460,9 +492,9 @@ def score_documents(docs: DataFrame, holdout: int = 10) -> DataFrame:
     """
     marked = docs.select("doc_id", "text").withColumn("learn", share_of(F.col("doc_id"), holdout) != 0)
     staged = _staged(marked)
-    counts = stage(staged.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "counts", compression="zstd")
-    model = fit(staged.where("word is null").select("text", "learn"), counts)
-    return score_staged(staged, counts, model)
+    known = _known(staged)
+    model = fit(staged.where("word is null").select("text", "learn"), known.where("first").select("word", "n"))
+    return _scored(staged, known.select("block", "word", "n"), model)
 
 
 def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -230,6 +230,28 @@ def test_lm_without_training_rows(spark, empty):
     assert (r.n_known, r.train_tokens, r.base_score, r.score) == (0, 0, 0.0, 0.0)
 
 
+def test_language_model_words_are_exchanged_once_by_word(spark):
+    """F op2: words were exchanged for their sums, and again, beside the sums, for the join with them."""
+    rng = np.random.default_rng(4)
+    docs = spark.createDataFrame([(i, " ".join(f"w{x}" for x in rng.integers(0, 4000, 300))) for i in range(120)] + [(500, None)], "doc_id long, text string").repartition(3).cache()
+    staged = recurrent._staged(docs.withColumn("learn", common.share_of(F.col("doc_id"), 10) != 0))
+    rows = staged.where("word is not null").select("block", "word", "n").collect()
+    sums = Counter()
+    for r in rows:
+        sums[bytes(r.word)] += r.n
+    known = recurrent._known(staged).collect()
+    assert sorted((r.block, bytes(r.word), r.n) for r in known) == sorted((r.block, bytes(r.word), sums[bytes(r.word)]) for r in rows)
+    assert Counter(bytes(r.word) for r in known if r.first) == Counter(set(sums))
+    before, limit = exchanged(spark, "shuffleWriteRecords"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = recurrent.score_documents(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        docs.unpersist()
+    assert len(got) == 121 and exchanged(spark, "shuffleWriteRecords") - before < 2.5 * len(rows)
+
+
 # -- 3 ----------------------------------------------------------------------
 
 
@@ -558,6 +580,12 @@ def test_quality_ratio(spark, docs):
     assert none.where(F.col("kept") == F.col("base_failed")).count() == 0
 
 
+def exchanged(spark, what):
+    """What all stages so far wrote to exchanges, ``shuffleWriteBytes`` or ``shuffleWriteRecords``."""
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(getattr(stages.apply(i), what)() for i in range(stages.size()))
+
 def test_quality_exchanges_half_of_the_texts_at_most(spark):
     """F op9: both halves' texts were exchanged, for the fit and for the threshold."""
     rng = np.random.default_rng(3)
@@ -565,19 +593,14 @@ def test_quality_exchanges_half_of_the_texts_at_most(spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 200, 3)], "doc_id long, quality int, toxic int")
     size = docs.agg(F.sum(F.length("text"))).first()[0]
 
-    def written():
-        sc = spark.sparkContext
-        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
-        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
-
-    before, limit = written(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    before, limit = exchanged(spark, "shuffleWriteBytes"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rows = quality.score_quality(docs, labels).collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         docs.unpersist()
-    assert len(rows) == 200 and written() - before < 0.7 * size
+    assert len(rows) == 200 and exchanged(spark, "shuffleWriteBytes") - before < 0.7 * size
     # the same split and the same target as by an explicit choice of ids
     fit = {r.doc_id for r in quality.trusted_ids(labels).where(quality.in_fit(labels)).collect()}
     chosen = spark.createDataFrame([(i,) for i in sorted(fit)], "doc_id long")
