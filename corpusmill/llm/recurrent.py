@@ -22,12 +22,11 @@ held as a whole anywhere.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +46,12 @@ ROUNDS, ROUND_TOKENS = 3, 50_000_000
 CHUNK_TOKENS = 4_000_000
 RATE = 0.015
 SCORED_AT_ONCE, SCORED_WINDOW = 1024, 32
+#: Steps whose outputs are computed together, at least.
+SCORED_ROWS = 32_768
 #: Rows of the output layer at a time.
 OUTPUT_ROWS = 2048
+#: Runs of equal tokens of up to so many rows are summed side by side.
+SHORT_RUN = 16
 FANOUT = 32
 LOG10 = float(np.log(10.0))
 
@@ -60,6 +63,38 @@ def tokens_of(text: str | None) -> list[bytes]:
     return out
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts end to end, as ``tokens_of`` gives them but without ends, and how many each text has."""
+    bare = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    parts = pc.ascii_split_whitespace(bare)
+    sizes, blank = pc.list_value_length(parts).to_numpy().astype(np.int64), pc.equal(pc.binary_length(bare), 0)
+    words = parts.flatten()
+    # a blank text is split into one empty word
+    if pc.any(blank).as_py():
+        sizes[blank.to_numpy(zero_copy_only=False)] = 0
+        words = words.filter(pc.greater(pc.binary_length(words), 0))
+    return words.cast(pa.binary()), sizes
+
+
+def places_of(texts: pa.Array, known: pa.Array, other: int | None = None, start: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The places in ``known`` of all tokens of texts end to end, and how many each text has.
+
+    ``other`` stands for tokens that are not known; without it they are an
+    error. With ``start`` each text has that place before its tokens.
+    """
+    words, sizes = words_of(texts)
+    found = [pc.index_in(w, value_set=known) for w in (words, pa.array([END], pa.binary()))]
+    if other is not None:
+        found = [pc.fill_null(x, other) for x in found]
+    elif any(x.null_count for x in found):
+        raise KeyError("a token that is not among the known words")
+    (places, end), ends = (x.to_numpy() for x in found), np.cumsum(sizes)
+    if start is None:
+        return np.insert(places, ends, end[0]), sizes + 1
+    bounds = np.column_stack([ends - sizes, ends]).reshape(-1)
+    return np.insert(places, bounds, np.tile(np.array([start, end[0]], places.dtype), len(sizes))), sizes + 2
+
+
 class Shape:
     """Sizes of a model and the places of its parts in one flat vector."""
 
@@ -92,38 +127,48 @@ class Shape:
         return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.minimum(x, 80.0, out=x)
-    np.exp(x, out=x)
-    x += 1.0
-    return np.reciprocal(x, out=x)
+def _gates(p: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs and weights of update, reset and candidate, each in a piece and scaled so that exp() takes their sums: -x of a logistic function, -2x of tanh."""
+    n = HIDDEN
+    scale = np.array([-1, -1, -2], p["u"].dtype)[:, None, None]
+    e, u = (np.multiply(p[k].reshape(-1, 3, n).transpose(1, 0, 2), scale, order="C") for k in "eu")
+    return e, u[:2], u[2]
 
 
-def _forward(p: dict, ids: np.ndarray, h: np.ndarray, keep: bool):
-    """States after each step of ids (steps, sequences); with ``keep`` also what backpropagation needs."""
-    n = HIDDEN
-    # take() and small keys: plain indexing of rows and sorts of wide numbers take several times as long
-    x = p["e"].take(ids, axis=0)
-    states = np.empty((len(ids), *h.shape), np.float32)
-    kept = []
-    u, uz = p["u"][:, : 2 * n], p["u"][:, 2 * n :]
-    for t in range(len(ids)):
-        gates = _sigmoid(x[t, :, : 2 * n] + h @ u)
-        z, r = gates[:, :n], gates[:, n:]
-        rh = r * h
-        new = rh @ uz
-        new += x[t, :, 2 * n :]
-        # tanh by the logistic function, which takes less time
-        new *= 2
-        new = _sigmoid(new)
-        new *= 2
-        new -= 1
-        if keep:
-            kept.append((h, z, r, rh, new))
-        h = h + z * (new - h)
-        states[t] = h
-    return states, h, kept
+def _forward(p: dict, ids: np.ndarray, h: np.ndarray, keep: bool, gates: tuple | None = None):
+    """States after each step of ids (steps, sequences); with ``keep`` also what backpropagation needs: states before the steps, gates and reset states.
+
+    ``gates`` are those of ``_gates``, for weights that stay the same from call to call.
+    """
+    e, u, uc = gates or _gates(p)
+    (steps, width), kind = ids.shape, e.dtype
+    # take() and whole pieces: plain indexing of rows, and slices of rows in each step, take several times as long
+    x = np.empty((3, steps, width, HIDDEN), kind)
+    for k in range(3):
+        np.take(e[k], ids, axis=0, out=x[k], mode="clip")
+    states = np.empty((steps + 1, width, HIDDEN), kind)
+    states[0] = h
+    reset = np.empty((steps if keep else 1, width, HIDDEN), kind)
+    pushed = np.empty((2, width, HIDDEN), kind)
+    # a gate whose exp() is infinite is 0
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            h, zr, new, rh = states[t], x[:2, t], x[2, t], reset[t if keep else 0]
+            zr += np.matmul(h, u, out=pushed)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            np.multiply(zr[1], h, out=rh)
+            new += np.matmul(rh, uc, out=pushed[0])
+            np.exp(new, out=new)
+            new += 1
+            np.divide(2, new, out=new)
+            new -= 1
+            after = states[t + 1]
+            np.subtract(new, h, out=after)
+            after *= zr[0]
+            after += h
+    return states[1:], states[-1].copy(), (states[:-1], x, reset) if keep else None
 
 
 def _by_class(states: np.ndarray, targets: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -180,76 +225,96 @@ def _log_probabilities(p: dict, shape: Shape, states: np.ndarray, targets: np.nd
 def _gradients(p: dict, shape: Shape, g: dict, ids: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
     """Adds the gradient of the mean loss of one window to ``g``; the state after it and the loss."""
     n = HIDDEN
-    states, last, kept = _forward(p, ids, h, keep=True)
+    states, last, (before, gates, reset) = _forward(p, ids, h, keep=True)
     flat, goal = states.reshape(-1, n), targets.reshape(-1)
     scale = flat.dtype.type(1.0 / len(goal))
     order, cuts, cls, rows = _by_class(flat, goal, shape)
     wc, wo, absurd = _outputs(p)
     goal, sorted_down, loss, gwc = goal[order], np.empty((len(order), n), flat.dtype), 0.0, np.zeros_like(wc)
 
-    def push(at: slice, w: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Scaled gradient of the logits of a slice; adds its loss."""
+    def push(at: slice, w: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient of the logits of a slice but for a factor of each row, and these factors; adds its loss."""
         nonlocal loss
         prob, total, logs, own = _weights(rows[at], w, absurd, places)
         loss -= float(logs.sum())
-        prob *= (scale / total)[:, None]
-        prob.reshape(-1)[own] -= scale
-        return prob
+        prob.reshape(-1)[own] -= total
+        return prob, (scale / total)[:, None]
 
+    back = np.ascontiguousarray(p["wc"].T)
     for at in _slices(0, len(order)):
-        prob = push(at, wc, cls[at])
-        gwc += rows[at].T @ prob
-        sorted_down[at] = prob @ p["wc"].T
+        prob, factor = push(at, wc, cls[at])
+        gwc += (prob.T @ (rows[at] * factor)).T
+        np.multiply(prob @ back, factor, out=sorted_down[at])
     g["wc"] += gwc[:n]
     g["bc"] += gwc[n]
     for c in range(shape.classes):
         own = slice(c * CLASS, (c + 1) * CLASS)
         for at in _slices(cuts[c], cuts[c + 1]):
-            q = push(at, wo[own].T, goal[at] - c * CLASS)
-            moved = q.T @ rows[at]
+            q, factor = push(at, wo[own].T, goal[at] - c * CLASS)
+            moved = q.T @ (rows[at] * factor)
             g["wo"][own] += moved[:, :n]
             g["bo"][own] += moved[:, n]
-            sorted_down[at] += q @ p["wo"][own]
+            sorted_down[at] += (q @ p["wo"][own]) * factor
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
     down = sorted_down.take(back, axis=0).reshape(states.shape)
-    dx = np.empty((*states.shape[:2], 3 * n), np.float32)
-    dh = np.zeros_like(h)
-    u, uz = p["u"][:, : 2 * n], p["u"][:, 2 * n :]
+    dx = np.empty_like(gates)
+    dh, drh, dgates = np.zeros_like(h), np.empty(h.shape, dx.dtype), np.empty((2, *h.shape), dx.dtype)
+    ut = np.ascontiguousarray(p["u"].reshape(n, 3, n).transpose(1, 2, 0))
     for t in range(len(ids) - 1, -1, -1):
-        before, z, r, rh, new = kept[t]
-        dh = dh + down[t]
-        own = dx[t]
+        (z, r, new), (dz, dr, dnew) = gates[:, t], dx[:, t]
+        dh += down[t]
         old = 1 - z
-        dnew = new * new
+        np.multiply(new, new, out=dnew)
         np.subtract(1, dnew, out=dnew)
         dnew *= z
         dnew *= dh
-        own[:, 2 * n :] = dnew
-        drh = dnew @ uz.T
-        dz = new - before
+        np.matmul(dnew, ut[2], out=drh)
+        np.subtract(new, before[t], out=dz)
         dz *= z
         dz *= old
-        np.multiply(dz, dh, out=own[:, :n])
-        dr = 1 - r
-        dr *= rh
-        np.multiply(dr, drh, out=own[:, n : 2 * n])
+        dz *= dh
+        np.subtract(1, r, out=dr)
+        dr *= reset[t]
+        dr *= drh
         dh *= old
         drh *= r
         dh += drh
-        dh += own[:, : 2 * n] @ u.T
-    steps = dx.reshape(-1, 3 * n)
-    g["u"][:, : 2 * n] += np.concatenate([k[0] for k in kept]).T @ steps[:, : 2 * n]
-    g["u"][:, 2 * n :] += np.concatenate([k[3] for k in kept]).T @ steps[:, 2 * n :]
+        np.matmul(dx[:2, t], ut[:2], out=dgates)
+        dh += dgates[0]
+        dh += dgates[1]
+    steps = dx.reshape(3, -1, n)
+    for k, source in enumerate((before, before, reset)):
+        g["u"][:, k * n : (k + 1) * n] += source.reshape(-1, n).T @ steps[k]
     # rows of the embeddings that the window touches, each with its summed gradient
     flat_ids = ids.reshape(-1).astype(_id_type(shape.head))
     order = np.argsort(flat_ids, kind="stable")
     sorted_ids = flat_ids.take(order)
     starts = np.append(0, np.flatnonzero(sorted_ids[1:] != sorted_ids[:-1]) + 1)
-    g["touched"], g["rows"] = sorted_ids[starts].astype(np.int64), np.add.reduceat(steps.take(order, axis=0), starts, axis=0)
+    g["touched"] = sorted_ids[starts].astype(np.int64)
+    g["rows"] = _sums(steps.take(order, axis=1), starts).transpose(1, 0, 2).reshape(-1, 3 * n)
     return last, loss * float(scale)
 
 
+def _sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows (parts, rows, width) that begin at ``starts``: short runs side by side, a row of each at a time, long ones one by one."""
+    sizes = np.diff(np.append(starts, rows.shape[1]))
+    by_size = np.argsort(-sizes, kind="stable")
+    sizes, first = sizes[by_size], starts[by_size]
+    long = int((sizes > SHORT_RUN).sum())
+    found = np.empty((rows.shape[0], len(starts), rows.shape[2]), rows.dtype)
+    found[:, long:] = rows.take(first[long:], axis=1)
+    for k in range(1, int(sizes[long]) if long < len(sizes) else 0):
+        live = int((sizes > k).sum())
+        found[:, long:live] += rows.take(first[long:live] + k, axis=1)
+    ones = np.ones(int(sizes[0]), rows.dtype)
+    for i in range(long):
+        found[:, i] = ones[: sizes[i]] @ rows[:, first[i] : first[i] + sizes[i]]
+    out = np.empty_like(found)
+    out[:, by_size] = found
+    return out
+
+
 class Trainer:
     """Adam over truncated backpropagation, its moments kept from stream to stream; embeddings move where they are touched."""
 
@@ -304,27 +369,30 @@ def _staged(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         block, size = TaskContext.get().partitionId() << 24, 0
-        train: Counter = Counter()
-        other: set = set()
+        #: Words of documents that are not learned from, and of those that are.
+        held: tuple[list, list] = ([], [])
 
         def words(kind: pa.DataType) -> pa.RecordBatch:
-            listed = [*train, *(w for w in other if w not in train)]
-            n = len(listed)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block)), pa.nulls(n, kind), pa.nulls(n, pa.string()), pa.nulls(n, pa.bool_()), pa.array(listed, pa.binary()), pa.array([train[w] for w in listed], pa.int64())], names
-            )
+            counted = pc.value_counts(pa.chunked_array(held[1], pa.binary()))
+            own, n = counted.field(0), counted.field(1)
+            rest = pc.unique(pa.chunked_array(held[0], pa.binary()))
+            rest = rest.filter(pc.invert(pc.is_in(rest, value_set=own)))
+            listed, n = pa.concat_arrays([own, rest]), pa.concat_arrays([n, pa.array(np.zeros(len(rest), np.int64))])
+            k = len(listed)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(k, block)), pa.nulls(k, kind), pa.nulls(k, pa.string()), pa.nulls(k, pa.bool_()), listed, n], names)
 
         kind = None
         for batch in in_parts(batches, 1):
-            kind, n = batch.column(0).type, batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), batch.column(0), batch.column(1).cast(pa.string()), batch.column(2), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
-            for text, learn in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                (train if learn else other).update(tokens_of(text))
-                size += len(text or "")
+            kind, n, texts = batch.column(0).type, batch.num_rows, batch.column(1).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), batch.column(0), texts, batch.column(2), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names)
+            for learn in (False, True):
+                part = texts.filter(pc.equal(batch.column(2), learn))
+                held[learn].extend((words_of(part)[0], pa.array([END] * len(part), pa.binary())))
+            size += pc.sum(pc.utf8_length(texts)).as_py() or 0
             if size >= BLOCK_BYTES:
                 yield words(kind)
-                train.clear()
-                other.clear()
+                for x in held:
+                    x.clear()
                 block, size = block + 1, 0
         if kind is not None:
             yield words(kind)
@@ -361,7 +429,7 @@ def _averaged(parts: DataFrame, trainers: int) -> np.ndarray:
 
 class Model:
     def __init__(self, head: list[bytes], counts: np.ndarray, total: int, distinct: int):
-        self.place = {w: i for i, w in enumerate(head)}
+        self.place, self.words = {w: i for i, w in enumerate(head)}, pa.array(head, pa.binary())
         self.head, self.total, self.distinct = len(head), total, distinct
         self.shape = Shape(len(head))
         self.tail = total - int(counts.sum())
@@ -371,8 +439,16 @@ class Model:
     def scores(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural-log probability of each sequence of head ids (``head`` for other tokens), states carried to its end."""
         p, out = self.shape.view(self.flat), np.zeros(len(docs))
+        gates, held = _gates(p), []
+
+        def put() -> None:
+            """Adds the logarithms of all steps held."""
+            of, states, goals = (np.concatenate(x) for x in zip(*held))
+            out[:] += np.bincount(of, _log_probabilities(p, self.shape, states, goals), len(out))
+            held.clear()
+
         sizes = np.array([len(d) for d in docs])
-        order = np.argsort(-sizes, kind="stable")
+        order, rows = np.argsort(-sizes, kind="stable"), 0
         for b in range(0, len(order), SCORED_AT_ONCE):
             own = order[b : b + SCORED_AT_ONCE]
             long = sizes[own]
@@ -387,10 +463,16 @@ class Model:
                 real = (step < long[:live, None]).T
                 given = np.where(real.T, line[np.minimum(place, len(line) - 1)], self.head)
                 goal = line[np.minimum(place + 1, len(line) - 1)].T
-                states, h, _ = _forward(p, np.ascontiguousarray(given.T), h[:live], keep=False)
-                logs, at = np.zeros(real.shape), np.flatnonzero(real)
-                logs.reshape(-1)[at] = _log_probabilities(p, self.shape, states.reshape(-1, HIDDEN).take(at, axis=0), goal.take(at))
-                out[own[:live]] += logs.sum(axis=0)
+                states, h, _ = _forward(p, np.ascontiguousarray(given.T), h[:live], keep=False, gates=gates)
+                at = np.flatnonzero(real)
+                held.append((own[at % live], states.reshape(-1, HIDDEN).take(at, axis=0), goal.take(at)))
+                rows += len(at)
+                # few sequences are long, and a window of few rows takes hardly less time than one of many
+                if rows >= SCORED_ROWS:
+                    put()
+                    rows = 0
+        if held:
+            put()
         return out
 
 
@@ -403,7 +485,7 @@ def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
     model = Model([bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.float64), int(sums[0]), int(sums[1]))
     rounds = ROUNDS + max(0, int(np.log2(max(1.0, model.total / ROUND_TOKENS)))) // 2
     own = texts.where("learn").select("text")
-    trainers, shape, place = max(1, own.rdd.getNumPartitions()), model.shape, model.place
+    trainers, shape, head = max(1, own.rdd.getNumPartitions()), model.shape, model.words
     for k in range(rounds):
         flat, rate = model.flat, RATE * (1 - 0.8 * k / rounds)
 
@@ -412,11 +494,9 @@ def fit(texts: DataFrame, counts: DataFrame, head: int = HEAD) -> Model | None:
 
             trainer, whole, held, n = Trainer(flat, shape, rate), 0, [], 0
             for batch in in_parts(batches, 0):
-                for text in batch.column(0):
-                    tokens = tokens_of(text.as_py())
-                    ids = chain((shape.head + 1,), map(place.get, tokens, repeat(shape.head)))
-                    held.append(np.fromiter(ids, _id_type(shape.head), len(tokens) + 1))
-                    n += len(tokens) + 1
+                ids, _ = places_of(batch.column(0), head, shape.head, shape.head + 1)
+                held.append(ids.astype(_id_type(shape.head)))
+                n += len(ids)
                 if n >= CHUNK_TOKENS:
                     trainer.learn(np.concatenate(held))
                     whole, held, n = whole + n, [], 0
@@ -453,25 +533,26 @@ def _scored(staged: DataFrame, words: DataFrame, model: Model | None) -> DataFra
     kind = dict(staged.dtypes)["doc_id"]
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
-        names = known.column("word").to_pylist()
-        n = known.column("n").to_numpy().astype(np.float64)
-        place = {w: i for i, w in enumerate(names)}
+        words, n = (known.column(c).combine_chunks() for c in ("word", "n"))
+        n = n.to_numpy().astype(np.float64)
         # with the base's smoothing, in natural logs; a word without a row here cannot occur
         base = np.log((n + SMOOTHING) / (total + SMOOTHING * (distinct + 1)))
         # equal texts of a block have one score
-        own, rows = np.unique(np.array([t.as_py() or "" for t in texts.column("text")], object), return_inverse=True)
-        ids = [np.fromiter(map(place.__getitem__, t), np.int32, len(t)) for t in map(tokens_of, own)]
+        own = pc.dictionary_encode(pc.fill_null(texts.column("text").combine_chunks(), ""))
+        rows = own.indices.to_numpy()
+        places, sizes = places_of(own.dictionary, words)
+        ids = np.split(places, np.cumsum(sizes)[:-1])
         lines = np.array([base[d].sum() for d in ids])
         logs = lines
         if model:
-            head = np.fromiter((model.place.get(w, model.head) for w in names), np.int32, len(names))
+            head = pc.fill_null(pc.index_in(words, value_set=model.words), model.head).to_numpy()
             inner = np.log((n + SMOOTHING) / (model.tail + SMOOTHING * (model.tail_distinct + 1)))
             inner[head < model.head] = 0.0
             logs = model.scores([head[d] for d in ids]) + np.array([inner[d].sum() for d in ids])
         return pa.table(
             {
                 "doc_id": texts.column("doc_id"),
-                "n_tokens": pa.array(np.array([len(d) for d in ids], np.int64)[rows]),
+                "n_tokens": pa.array(sizes[rows]),
                 "n_known": pa.array(np.array([int((n[d] > 0).sum()) for d in ids], np.int64)[rows]),
                 "train_tokens": pa.array(np.full(len(rows), total)),
                 "base_score": pa.array(lines[rows] / LOG10),

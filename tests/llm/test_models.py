@@ -5,6 +5,8 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from corpusmill.llm import language, recurrent, toxicity
 
@@ -169,3 +171,37 @@ def test_words_that_each_tell_a_little(spark):
     labels = [int(i % 3 == 0) for i in range(600)]
     rows = [" ".join([*rng.choice(plain, 25), *(rng.choice(forms, 5) if t else rng.choice(forms, 1) if i % 4 == 0 else [])]) for i, t in enumerate(labels)]
     assert _held_out_errors(spark, rows, labels) <= 0.02
+
+
+def test_long_sequences_share_the_output_layer(monkeypatch):
+    """F op2: each window of a few long sequences went through the output layer, all classes, by itself."""
+    rng = np.random.default_rng(3)
+    model = recurrent.Model([b"%d" % i for i in range(200)], np.arange(200, 0, -1).astype(float), 25_000, 900)
+    docs, calls, own = [rng.integers(0, 201, n) for n in (3000, 5, 2000, 0)], [], recurrent._log_probabilities
+    monkeypatch.setattr(recurrent, "_log_probabilities", lambda *a: calls.append(len(a[3])) or own(*a))
+    together = model.scores(docs)
+    assert calls == [5005]
+    monkeypatch.setattr(recurrent, "SCORED_ROWS", 1)
+    assert np.abs(model.scores(docs) - together).max() < 0.01 and len(calls) == 1 + 94
+
+
+def test_words_of_many_texts_equal_those_of_each():
+    texts = ["A b\tÄc  a\n", None, "", " \r\n ", "x\x0by\x0cz\x1cq\x85w\xa0e r\x00", "  lead", "KK É"] * 3
+    for part in (pa.array(texts), pa.array(texts).slice(2, 9), pa.array(["a"] * 3), pa.array([None, " "], pa.string()), pa.array([], pa.string())):
+        each = [recurrent.tokens_of(t) for t in part.to_pylist()]
+        words, sizes = recurrent.words_of(part)
+        assert words.to_pylist() == [w for t in each for w in t[:-1]] and sizes.tolist() == [len(t) - 1 for t in each]
+        known = pa.array([b"a", b"\n", b"lead"], pa.binary())
+        at = {w: i for i, w in enumerate(known.to_pylist())}
+        got, sizes = recurrent.places_of(part, known, 3, 4)
+        assert got.tolist() == [x for t in each for x in [4, *(at.get(w, 3) for w in t)]] and sizes.tolist() == [len(t) + 1 for t in each]
+    assert recurrent.places_of(pa.array(["a", "", "lead a"]), known)[0].tolist() == [0, 1, 1, 2, 0, 1]
+    with pytest.raises(KeyError):
+        recurrent.places_of(pa.array(["b"]), known)
+
+
+def test_sums_of_runs_of_rows():
+    rng = np.random.default_rng(5)
+    for sizes in ([1], [40], [1, 17, 16, 3, 200, 1, 2], rng.integers(1, 30, 60)):
+        rows, starts = rng.standard_normal((3, int(np.sum(sizes)), 4)), np.cumsum(sizes) - sizes
+        assert np.allclose(recurrent._sums(rows, starts), np.add.reduceat(rows, starts, axis=1))
