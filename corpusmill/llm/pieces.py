@@ -6,6 +6,8 @@ each piece is projected to a span of original bytes. ``PieceCodec`` cuts the
 normalised text where no piece of the vocabulary can cross (a space mark after
 anything else) and looks each chunk up in a bounded cache; the installed
 library's merge loop, with its own normaliser switched off, fills the misses.
+Only ids are cached; spans, decimals and decoded bytes come from a text's ids
+by tables of the vocabulary.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +28,7 @@ from corpusmill.llm.common import in_parts, table
 MARK = "▁"
 #: Chunks up to this length are cached, and a full cache is emptied.
 CACHED_LENGTH = 48
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 300_000
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -142,6 +145,12 @@ class Normalizer:
         return normal.replace(" ", MARK) if self.escape else normal, starts
 
 
+def _joined(table: pa.Array, ids: np.ndarray) -> bytes:
+    """The entries of a table of bytes at ``ids``, end to end."""
+    _, cuts, data = table.take(pa.array(ids)).buffers()
+    return data.to_pybytes()[: np.frombuffer(cuts, np.int32)[len(ids)]] if len(ids) else b""
+
+
 class PieceCodec:
     def __init__(self, path: str):
         import sentencepiece
@@ -167,9 +176,21 @@ class PieceCodec:
         inside = any(MARK in s.lstrip(MARK) for s, k in zip(self.surface, self.kind, strict=True) if k in (NORMAL, USER))
         self.cut = None if inside else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.odd = {i for i, k in enumerate(self.kind) if k not in (NORMAL, USER)}
-        self.number = [str(i) for i in range(len(self.kind))]
-        #: By chunk: ids, characters that each piece ends, places of byte pieces, text decoded from the ids, decimal ids.
-        self.cache: dict[str, tuple[bytes, bytes, bytes | None, bytes, bytes]] = {}
+        #: By id: value of a byte piece (else -1), characters that the piece begins, decimals, and the bytes it is decoded to.
+        self.byte, self.begun = np.full(len(self.kind), -1, np.int16), np.array([*map(len, self.surface)], np.int32)
+        spelled = [s.replace(MARK, " ").encode() for s in self.surface]
+        for i in self.odd:
+            if self.kind[i] == BYTE:
+                self.byte[i] = int(self.surface[i][3:5], 16)
+                self.begun[i], spelled[i] = self.byte[i] & 0xC0 != 0x80, bytes([self.byte[i]])
+            elif self.kind[i] == UNKNOWN:
+                self.begun[i], spelled[i] = 1, " ⁇ ".encode()
+            elif self.kind[i] == CONTROL:
+                spelled[i] = b""
+        self.spelled = pa.array(spelled, pa.binary())
+        self.decimals = pa.array([b"%d," % i for i in range(len(self.kind))], pa.binary())
+        #: By chunk: its ids.
+        self.cache: dict[str, bytes] = {}
 
     def chunks(self, normal: str) -> list[str]:
         return self.cut.findall(normal) if self.cut else [normal] if normal else []
@@ -191,70 +212,61 @@ class PieceCodec:
             out.append(raw.decode("utf-8", "replace"))
         return "".join(out).replace(MARK, " ")
 
+    def _part(self, chunk: str, ids: list[int]) -> bytes:
+        """What the cache holds for a chunk: its ids as int32."""
+        return array("i", ids).tobytes()
+
+    def _encoded(self, chunks: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each chunk and its part."""
+        return zip(chunks, map(self._part, chunks, self.library.encode(chunks, num_threads=1)), strict=True)
+
     def learn(self, chunks: list[str]) -> None:
         """Put chunks into the cache."""
         if len(self.cache) + len(chunks) > CACHE_ENTRIES:
             self.cache.clear()
-        for chunk, ids in zip(chunks, self.library.encode(chunks, num_threads=1), strict=True):
-            self.cache[chunk] = self._part(chunk, ids)
-
-    def _part(self, chunk: str, ids: list[int]) -> tuple[bytes, bytes, bytes | None, bytes, bytes]:
-        """Ids of a chunk, the characters that each piece ends, and the place of byte pieces in their character (else -1), as int32; None without odd pieces. Then what the ids decode to and their decimals."""
-        numbers = "".join([self.number[i] + "," for i in ids]).encode()
-        if self.odd.isdisjoint(ids):
-            pieces = [self.surface[i] for i in ids]
-            decoded = "".join(pieces).replace(MARK, " ").encode()
-            return np.array(ids, np.int32).tobytes(), np.array([*map(len, pieces)], np.int32).tobytes(), None, decoded, numbers
-        sizes, places, at, k = [], [], 0, 0
-        for i in ids:
-            if self.kind[i] == BYTE:
-                places.append(k)
-                k += 1
-                sizes.append(int(k == len(chunk[at].encode())))
-                k = 0 if sizes[-1] else k
-            else:
-                places.append(-1)
-                sizes.append(len(self.surface[i]) if self.kind[i] != UNKNOWN else 1)
-            at += sizes[-1]
-        return *[np.array(x, np.int32).tobytes() for x in (ids, sizes, places)], self._decoded(ids).encode(), numbers
-
-    def _parts(self, normal: str) -> list[tuple[bytes, bytes, bytes | None, bytes, bytes]]:
-        """The entries of all chunks of a normalised text."""
+        self.cache.update(self._encoded(chunks))
+
+    def _ids(self, normal: str) -> np.ndarray:
+        """The ids of a normalised text."""
         chunks = self.chunks(normal)
         cache = self.cache
         try:
-            return [*map(cache.__getitem__, chunks)]
+            return np.frombuffer(b"".join([*map(cache.__getitem__, chunks)]), np.int32)
         except KeyError:
             pass
         missing = {c for c in chunks if c not in cache}
         long = {c for c in missing if len(c) > CACHED_LENGTH}
         self.learn([*(missing - long)] if len(cache) + len(missing) <= CACHE_ENTRIES else [c for c in set(chunks) if len(c) <= CACHED_LENGTH])
-        found = {}
-        if long:
-            listed = [*long]
-            found = {c: self._part(c, i) for c, i in zip(listed, self.library.encode(listed, num_threads=1), strict=True)}
-        return [found.get(c) or cache[c] for c in chunks] if found else [*map(cache.__getitem__, chunks)]
-
-    def _projected(self, text: str, normal: str, source: np.ndarray, parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and the bytes of the source at which pieces begin and end."""
-        ids = np.frombuffer(b"".join([p[0] for p in parts]), np.int32)
-        ends = np.cumsum(np.frombuffer(b"".join([p[1] for p in parts]), np.int32), dtype=np.int32)
-        at = np.empty_like(ends)
-        at[:1], at[1:] = 0, ends[:-1]
-        if any([p[2] for p in parts]):
-            first, end = source[at], source[np.minimum(ends, len(source) - 1)]
-            data = text.encode()
-            places = np.frombuffer(b"".join([p[2] or b"\xff" * len(p[0]) for p in parts]), np.int32)
-            for n in np.flatnonzero(places >= 0).tolist():
-                k, a, b = int(places[n]), int(source[at[n]]), int(source[min(at[n] + 1, len(source) - 1)])
-                same = data[a:b] == normal[at[n]].encode()
-                first[n], end[n] = (a + k, a + k + 1) if same else (a, b)
-            return ids, first, end
-        # pieces join: each begins where the one before ends; none lies beyond the text
+        found = dict(self._encoded([*long])) if long else {}
+        parts = [found.get(c) or cache[c] for c in chunks] if found else [*map(cache.__getitem__, chunks)]
+        return np.frombuffer(b"".join(parts), np.int32)
+
+    def _projected(self, text: str, normal: str, source: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the source at which pieces begin and end."""
+        sizes, values = self.begun.take(ids), self.byte.take(ids)
+        ends = np.cumsum(sizes, dtype=np.int32)
+        # none lies beyond the text
         bounds = source.take(ends, mode="clip")
-        first = np.empty_like(bounds)
-        first[:1], first[1:] = source[:1], bounds[:-1]
-        return ids, first, bounds
+        odd = np.flatnonzero(values >= 0)
+        if not len(odd):
+            # pieces join: each begins where the one before ends
+            first = np.empty_like(bounds)
+            first[:1], first[1:] = source[:1], bounds[:-1]
+            return first, bounds
+        # bytes behind the first of a character begin none
+        at = ends - np.maximum(sizes, 1)
+        first, own = source.take(at), np.arange(len(odd))
+        lead = np.maximum.accumulate(np.where(sizes[odd] > 0, own, 0))
+        k, a, b = own - lead, first[odd], source.take(at[odd] + 1, mode="clip")
+        if self.normalizer.plain:
+            # only marks for spaces differ from their source, and in length too
+            value = values[odd][lead]
+            same = b - a == 1 + (value >= 0xC0).astype(np.int32) + (value >= 0xE0) + (value >= 0xF0)
+        else:
+            data = text.encode()
+            same = np.array([data[x:y] == normal[n].encode() for x, y, n in zip(a.tolist(), b.tolist(), at[odd].tolist(), strict=True)])
+        first[odd], bounds[odd] = np.where(same, a + k, a), np.where(same, a + k + 1, b)
+        return first, bounds
 
     def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, first and end bytes of the pieces; bytes are those of the source in UTF-8.
@@ -263,16 +275,16 @@ class PieceCodec:
         and the whole source of the character where it was.
         """
         normal, source = self.normalizer.aligned(text)
-        return self._projected(text, normal, source, self._parts(normal))
+        ids = self._ids(normal)
+        return ids, *self._projected(text, normal, source, ids)
 
     def whole(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes, bytes]:
         """What ``arrays`` gives, the text that the ids decode to in UTF-8, and the ids in decimals joined by commas."""
-        normal, source = self.normalizer.aligned(text)
-        parts = self._parts(normal)
-        decoded = b"".join([p[3] for p in parts])
+        ids, first, end = self.arrays(text)
+        decoded = _joined(self.spelled, ids)
         if self.normalizer.dummy and decoded.startswith(b" "):
             decoded = decoded[1:]
-        return *self._projected(text, normal, source, parts), decoded, b"".join([p[4] for p in parts])[:-1]
+        return ids, first, end, decoded, _joined(self.decimals, ids)[:-1]
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(id, first byte, end byte) of each piece."""

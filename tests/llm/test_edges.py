@@ -93,3 +93,26 @@ def test_columns_of_queries(spark):
         if "held_out" in columns:
             assert out.where(F.col("held_out") != (F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3 if name[2] == "4" else 5)) == (1 if name[2] == "4" else 0))).isEmpty()
             assert out.where("score < 0 or score > 1").isEmpty()
+
+
+def test_pieces_of_new_chunks_are_not_taken_one_by_one(monkeypatch):
+    """op7: each chunk that was not cached had its pieces spelled, measured and put into decimals one at a time."""
+    codec, library = pieces.PieceCodec(pieces.model_path()), sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    slow = pieces.PieceCodec(pieces.model_path())
+    # a user piece that no text has: every character by its own step
+    slow.normalizer = pieces.Normalizer(None, slow.normalizer.dummy, False, slow.normalizer.escape, ("never in a text",))
+    assert codec.normalizer.plain and not slow.normalizer.plain
+
+    def stop(*args):
+        raise AssertionError("a chunk was decoded by itself")
+
+    monkeypatch.setattr(pieces.PieceCodec, "_decoded", stop)
+    for t in ("a\nb", "漢字😀 x\n\n", "▁ ▁\n", "  \x00\U0010ffff é", "", "\n", "Wort\tWort <0x0A> ⁇", "😀"):
+        ids, first, end, decoded, decimals = codec.whole(t)
+        want = library.encode(t)
+        assert ids.tolist() == want and decoded.decode() == (library.decode(want) if want else "") and decimals.decode() == ",".join(map(str, want))
+        assert b"".join(t.encode()[a:b] for a, b in zip(first, end, strict=True)) == t.encode()
+        assert all(np.array_equal(x, y) for x, y in zip(slow.arrays(t), (ids, first, end), strict=True))
+        # a byte piece lies on its own byte
+        assert all(t.encode()[a:b] == bytes([codec.byte[i]]) for i, a, b in zip(ids, first, end, strict=True) if codec.byte[i] >= 0)
+    assert all(isinstance(x, bytes) for x in codec.cache.values())
