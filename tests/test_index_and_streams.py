@@ -106,3 +106,38 @@ def test_what_many_queries_find_is_not_written(spark, tmp_path, monkeypatch):
     assert {r["method"]: r["count"] for r in out} == {"entity_like_match": 3000, "keyword_like_match": 90}
     size = lambda pattern: sum(p.stat().st_size for p in Path(base).glob(pattern) if p.suffix == ".parquet")
     assert size("**/*.parquet") < 3 * size("*/full-text/rows/**/*.parquet")
+
+
+def test_matches_are_not_dealt_anew(spark, tmp_path, monkeypatch):
+    """Entity matches grow with queries times rows, and texts are long: neither goes through a shuffle."""
+    from corpusmill.operators import retrieval
+    from corpusmill.sources import staging
+
+    monkeypatch.setattr(staging, "scratch", lambda _, name="t": f"{tmp_path}/shared/{staging.uuid.uuid4().hex}/{name}")
+    text = lambda k: " ".join(f"w{(k * 7919 + j * 104729) % 1000003:06d}" for j in range(400)) + " Alphabet"
+    index = staging.staged(spark.createDataFrame([(k, "src1", "s", text(max(k, 1))) for k in range(1000)], "row_id long, entity_name string, source string, context string"))
+    lasting = retrieval.FullText(spark, str(tmp_path / "index"), buckets=4).add(index)
+    queries = [("about src1", "none"), ("alpha OR beta", "none"), ("w000000 AND alphabet", "none"), ("nothing here", "none"), ("W007919", "none")]
+    asked = staging.staged(spark.createDataFrame([(k, *queries[k % 5]) for k in range(1000)], "query_id long, query string, entity string"))
+    web = asked.select("query_id", F.lit(-1).cast("long").alias("row_id"), F.lit("web").alias("source"), F.lit("").alias("context"), F.lit("web").alias("method"))
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {f.getName(): f.length() for f in (files.apply(k) for k in range(files.size())) if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+    def run(*known):
+        local, *hits = retrieval.local_hits(asked, index, lasting) if known else (retrieval.local_tier(asked, index, lasting),)
+        out = retrieval.first_tier(local, web, found=tuple(hits)).select("query_id", "row_id", "method", "tier")
+        staging.staged(out, "out").createOrReplaceTempView("out")
+        return {(r.q, r.method, r.tier): (r.n, r.least, r.most) for r in spark.sql("select query_id % 5 as q, method, tier, count(*) as n, min(row_id) as least, max(row_id) as most from out group by 1, 2, 3").collect()}
+
+    before = set(shuffled())
+    got = run("hits")
+    after = sum(n for name, n in shuffled().items() if name not in before)
+    # rows 0 and 1 hold the same text, which counts once
+    assert got == {
+        (0, "entity_like_match", 1): (200_000, 0, 999), (1, "keyword_like_match", 1): (400, 0, 2), (2, "keyword_like_match", 1): (400, 0, 2), (3, "web", 2): (200, -1, -1), (4, "fts5_match", 1): (400, 0, 1),
+    }
+    assert after < 150_000
+    assert run() == got
