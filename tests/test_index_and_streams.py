@@ -141,3 +141,27 @@ def test_matches_are_not_dealt_anew(spark, tmp_path, monkeypatch):
     }
     assert after < 150_000
     assert run() == got
+
+
+def test_matches_lie_in_runs(spark, tmp_path, monkeypatch):
+    """Matches without texts are the pairs of queries and rows of a name, in far fewer bytes of a file than a byte a pair."""
+    from corpusmill.operators import retrieval
+    from corpusmill.sources import staging
+
+    monkeypatch.setattr(staging, "scratch", lambda _, name="t": f"{tmp_path}/shared/{staging.uuid.uuid4().hex}/{name}")
+    rows = [(k, f"src{k * k % 7}", "s", "text") for k in range(2000)] + [(2001, None, "s", "text"), (None, "src1", "s", "text"), (2002, "", "s", "text")]
+    index = staging.staged(spark.createDataFrame(rows, "row_id long, entity_name string, source string, context string"))
+    lasting = retrieval.FullText(spark, str(tmp_path / "index"), buckets=4).add(index.where("row_id is not null"))
+    queries = [(f"about src{k % 3}", "SRC" if k % 5 == 0 else f"none{k}") for k in range(1500)]
+    asked = spark.createDataFrame([(k, *q) for k, q in enumerate(queries)], "query_id long, query string, entity string")
+    want = sorted((k, r[0] is None, r[0] or 0) for k, (q, e) in enumerate(queries) for r in rows if r[1] is not None and (e.lower() in r[1] or r[1] in q))
+    for together, most in ((retrieval.TOGETHER, retrieval.AT_ONCE), (3, 2)):
+        monkeypatch.setattr(retrieval, "TOGETHER", together)
+        monkeypatch.setattr(retrieval, "AT_ONCE", most)
+        few = asked if together > 3 else asked.where("query_id < 30")
+        out = staging.staged(retrieval.local_hits(few, index, lasting, texts=False)[0], f"out{together}")
+        assert out.columns == ["query_id", "row_id", "method"] and {r.method for r in out.select("method").distinct().collect()} == {"entity_like_match"}
+        pairs = out.toPandas()
+        got = sorted(zip(pairs.query_id.tolist(), pairs.row_id.isna().tolist(), pairs.row_id.fillna(0).astype(int).tolist()))
+        assert got == [w for w in want if together > 3 or w[0] < 30]
+    assert sum(p.stat().st_size for p in tmp_path.glob("shared/*/out256/*.parquet")) < len(want) / 4
